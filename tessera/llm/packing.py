@@ -17,7 +17,7 @@ from tessera.llm.common import text_batches
 WINDOW = 2048
 END_ID = 1
 #: Entries of a worker's table of known words; it starts anew beyond that, which bounds its memory.
-KNOWN_WORDS = 250_000
+KNOWN_WORDS = 500_000
 
 PIECES = T.StructType([
     T.StructField("start", T.LongType()), T.StructField("length", T.LongType()), T.StructField("ids_crc32", T.LongType()),
@@ -62,7 +62,17 @@ class LevelArray:
         return window_id, level
 
 
+_readers: dict[str, Callable[[str], np.ndarray]] = {}
+
+
 def word_ids(tokenizer_path: str) -> Callable[[str], np.ndarray]:
+    """word_reader(), one for each worker: later tasks find the words that earlier ones met."""
+    if tokenizer_path not in _readers:
+        _readers[tokenizer_path] = word_reader(tokenizer_path)
+    return _readers[tokenizer_path]
+
+
+def word_reader(tokenizer_path: str) -> Callable[[str], np.ndarray]:
     """Ids of a text by the tokenizer at that path, without special tokens added.
 
     The vocabulary's splitter never joins across white space, so that a word between white
