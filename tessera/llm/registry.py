@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tessera.llm import mpeg, packing, toxicity, warc
+from tessera.llm import chunk_dedup, line_dedup, mpeg, packing, suffix_dedup, toxicity, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -22,6 +23,18 @@ def op5_mpeg(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mpeg.media_columns(_table(spark, sf_dir, "documents")).drop("seek_offsets")
 
 
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.suffix_dedup(_table(spark, sf_dir, "documents"))
+
+
+def op8_chunk_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chunk_dedup.chunk_dedup(_table(spark, sf_dir, "documents"))
+
+
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.line_dedup(_table(spark, sf_dir, "documents")).withColumn("kept_sha256", F.sha2("kept_text", 256)).drop("kept_text")
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
@@ -30,10 +43,11 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op4_warc, op5_mpeg, op7_packing, op10_toxicity)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op4_warc, op5_mpeg, op6_suffix_dedup, op7_packing, op8_chunk_dedup, op9_line_dedup, op10_toxicity)}
 
 #: DuckDB SQL by query, where SQL can express it.
 ORACLES: dict[str, str] = {
+    "op9_line_dedup": line_dedup.ORACLE,
     "op4_warc": """
         WITH p AS (SELECT page_id, url, coalesce(html, '') AS h FROM pages),
         d AS (SELECT page_id, url, strlen(h) AS b, sha1(h) AS s FROM p),
