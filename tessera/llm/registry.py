@@ -8,13 +8,26 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import chunk_dedup, line_dedup, mpeg, packing, suffix_dedup, toxicity, warc
+from tessera.llm import chunk_dedup, hnsw, line_dedup, minhash, mpeg, packing, pieces, suffix_dedup, toxicity, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_hnsw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _table(spark, sf_dir, "embeddings")
+    return hnsw.search(rows, rows.where(F.col("vec_id") % 100 == 0))
+
+
+def op2_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.round_trip(_table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+def op3_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(_table(spark, sf_dir, "documents"), words=3, similar=85)
+
+
 def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archive_round_trip(spark, _table(spark, sf_dir, "pages"))
 
@@ -43,7 +56,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op4_warc, op5_mpeg, op6_suffix_dedup, op7_packing, op8_chunk_dedup, op9_line_dedup, op10_toxicity)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_hnsw, op2_pieces, op3_minhash, op4_warc, op5_mpeg, op6_suffix_dedup, op7_packing, op8_chunk_dedup, op9_line_dedup, op10_toxicity)}
 
 #: DuckDB SQL by query, where SQL can express it.
 ORACLES: dict[str, str] = {
