@@ -2,39 +2,19 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
-#: Rows in an Arrow batch of whole texts; 10,000 (the default) rows of long texts don't fit a worker.
-TEXT_ROWS = 1000
-
-
-def shared_folder(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or a local one where it is unset."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        folder = "file://" + tempfile.mkdtemp(prefix="tessera-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return folder.rstrip("/")
+from tessera.storage import fresh_path, shared_folder, stored
 
+__all__ = ["blocks", "bytes_of", "fresh_path", "mix", "powers", "prefix_hash", "shared_folder", "span_hash", "stored", "text_batches"]
 
-def fresh_path(spark: SparkSession, what: str) -> str:
-    """A new path below the shared folder."""
-    return f"{shared_folder(spark)}/tessera/{what}-{uuid.uuid4().hex}"
-
-
-def stored(df: DataFrame, what: str, codec: str = "zstd") -> DataFrame:
-    """Write df as a table in the shared folder and read it back: later steps don't recompute it, and a lost executor costs only its tasks."""
-    spark = df.sparkSession
-    path = fresh_path(spark, what)
-    df.write.option("compression", codec).parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+#: Rows in an Arrow batch of whole texts; 10,000 (the default) rows of long texts don't fit a worker.
+TEXT_ROWS = 1000
 
 
 def text_batches(spark: SparkSession) -> None:

@@ -167,7 +167,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, similar: int = 80, id_col:
     weight = shared.groupBy("id").agg(F.sum("size").alias("weight"))
     shared = stored(shared.join(weight, "id").select("h", "id", "n", "weight"), "weighed")
     wanted = shared.select("id").distinct()
-    sets = stored(own.join(wanted, "id").mapInArrow(_sets(words), "id long, hashes array<long>").dropDuplicates(["id"]), "shingles", "none")
+    sets = stored(own.join(wanted, "id").mapInArrow(_sets(words), "id long, hashes array<long>").dropDuplicates(["id"]), "shingles")
 
     def pairs(rows: DataFrame, centre) -> DataFrame:
         """Each row's pair with its bucket's centre, where their sizes and components allow a new link."""

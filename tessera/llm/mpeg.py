@@ -265,4 +265,4 @@ def read_media(media: DataFrame, id_col: str = "doc_id", every: int = 64) -> Dat
 
 def media_columns(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Store every text as a media column in the shared folder, then parse and read the stored bytes back."""
-    return read_media(stored(media_table(df, id_col, text_col), "media"), id_col)
+    return read_media(stored(media_table(df, id_col, text_col), "media", "zstd"), id_col)
