@@ -35,7 +35,7 @@ def bytes_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return (np.frombuffer(data, np.uint8) if data is not None and data.size else np.zeros(0, np.uint8)), offsets
 
 
-def blocks(column: pa.Array, limit: int = 1 << 21) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+def blocks(column: pa.Array, limit: int = 1 << 20) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """Runs of whole rows of about limit bytes: (first row, row after the last, bytes, offsets from 0)."""
     data, offsets = bytes_of(column)
     i, n = 0, len(offsets) - 1

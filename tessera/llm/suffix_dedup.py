@@ -32,8 +32,8 @@ from tessera.llm.spans import cut, whole_keys
 LENGTH = 100
 GRAM = 32
 PERIOD = 32
-#: Text of a block whose suffixes are sorted at a time.
-BLOCK_BYTES = 2 << 20
+#: Text of a block whose suffixes are sorted at a time; its arrays take about 150 times as much.
+BLOCK_BYTES = 1 << 19
 #: Documents of the sample that shows hot minimisers, and the share of them that makes one hot.
 SAMPLE_DOCS, HOT_SHARE = 4000, 0.01
 
