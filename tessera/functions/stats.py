@@ -11,19 +11,19 @@ from tessera.functions.seq import RANKS
 from tessera.params import Consensus
 
 
-def rank_consensus(paths: Column, p: Consensus = Consensus()) -> Column:
-    """Accepted path and confidence from a cell's distinct paths and their counts.
+def rank_consensus(paths: Column, p: Consensus = Consensus()):
+    """The first state of a path's consensus, and the step that takes it down one rank: (state, step(state, rank)).
 
     paths: array of (path, n).  Rank after rank, candidates are the values among reads that
     carry the accepted value of the rank before.  Reads that conflict with an accepted rank
     weigh on all candidates alike, so that a candidate's log likelihood needs counts alone:
     of its own value, of null and of the rest among reads without conflict.  The best
     candidate's softmax share must reach min_confidence, and it must not be null; else the
-    path ends there.
+    path ends there. confidence is that of the last accepted rank, 1.0 without any.
     """
     ln = {k: math.log(getattr(p, k)) for k in ("p_match", "p_none", "p_error")}
     codes = list(RANKS)
-    start = F.struct(*[F.lit(None).cast("string").alias(c) for c in codes], F.lit(0.0).alias("confidence"), F.lit(True).alias("going"), F.lit(0).alias("depth"))
+    start = F.struct(*[F.lit(None).cast("string").alias(c) for c in codes], F.lit(1.0).alias("confidence"), F.lit(True).alias("going"), F.lit(0).alias("depth"))
 
     def step(state: Column, k: int) -> Column:
         code = codes[k]
@@ -45,10 +45,9 @@ def rank_consensus(paths: Column, p: Consensus = Consensus()) -> Column:
         share = F.lit(1.0) / F.aggregate(ranked, F.lit(0.0), lambda t, x: t + F.exp(x["ll"] - best["ll"]))
         real = F.exists(names, lambda v: v.isNotNull())
         accepted = state["going"] & real & (share >= p.min_confidence) & best["v"].isNotNull()
-        tried = state["going"] & real
         return F.struct(
             *[(F.when(accepted, best["v"]) if c == code else state[c]).alias(c) for c in codes],
-            F.when(tried, share).otherwise(state["confidence"]).alias("confidence"),
+            F.when(accepted, share).otherwise(state["confidence"]).alias("confidence"),
             accepted.alias("going"),
             F.when(accepted, k + 1).otherwise(state["depth"]).alias("depth"),
         )
@@ -72,15 +71,15 @@ def contamination_mean(contam: Column, match: Column, noise: Column, p: Consensu
     return (F.lit(p.alpha) + contam) / (F.lit(p.alpha + p.beta) + contam + match + noise)
 
 
-def noise_split(counts: Column, accepted: Column, p: Consensus = Consensus()) -> Column:
-    """(match, noise, contam) from an array of (v, n) without nulls.
+def noise_split(counts: Column, accepted: Column, reads: Column, p: Consensus = Consensus()) -> Column:
+    """(match, noise, contam) from an array of (v, n) without nulls; reads: all reads, those without a value too.
 
     Values other than the accepted one are noise below min_noise_reads or below noise_ratio
-    of the total, contamination otherwise.
+    of all reads, contamination otherwise.
     """
     total = _sum(counts, lambda x: x["n"])
     other = F.filter(counts, lambda x: accepted.isNull() | (x["v"] != accepted))
-    small = lambda x: (x["n"] < p.min_noise_reads) | (x["n"] / total < p.noise_ratio)
+    small = lambda x: (x["n"] < p.min_noise_reads) | (x["n"] / reads < p.noise_ratio)
     return F.struct(
         (total - _sum(other, lambda x: x["n"])).alias("match"),
         _sum(F.filter(other, small), lambda x: x["n"]).alias("noise"),

@@ -64,10 +64,10 @@ def call_sequences(counts: DataFrame, clusters: DataFrame, p: Consensus = Consen
     joined = counts.join(clusters, ["target", "core"]).groupBy("cell", "target", F.col("dominant").alias("core")).agg(F.sum("n").alias("n"))
     cells = joined.groupBy("cell", "target").agg(F.collect_list(F.struct(F.col("core").alias("v"), F.col("n"))).alias("counts"), F.sum("n").alias("total"))
     out = cells.withColumn("call", stats.sequence_consensus(F.col("counts"), p))
-    split = stats.noise_split(F.col("counts"), F.col("call.v"), p)
+    split = stats.noise_split(F.col("counts"), F.col("call.v"), F.col("total"), p)
     known = F.col("call.v").isNotNull()
     out = out.withColumn("split", split)
-    return out.select("cell", "target", F.col("call.v").alias("core"), F.col("call.confidence").alias("confidence"), F.when(known, stats.contamination_mean(F.col("split.contam"), F.col("split.match"), F.col("split.noise"), p)).alias("contamination"), "total", F.when(known, F.col("split.noise")).otherwise(0).alias("noise"))
+    return out.select("cell", "target", F.col("call.v").alias("core"), F.when(known, F.col("call.confidence")).alias("confidence"), F.when(known, stats.contamination_mean(F.col("split.contam"), F.col("split.match"), F.col("split.noise"), p)).alias("contamination"), "total", F.when(known, F.col("split.noise")).otherwise(0).alias("noise"))
 
 
 def name_sequences(calls: DataFrame, place: DataFrame) -> DataFrame:
