@@ -167,7 +167,8 @@ def near_duplicates(docs: DataFrame, words: int = 5, similar: int = 80, id_col:
     weight = shared.groupBy("id").agg(F.sum("size").alias("weight"))
     shared = stored(shared.join(weight, "id").select("h", "id", "n", "weight"), "weighed")
     wanted = shared.select("id").distinct()
-    sets = stored(own.join(wanted, "id").mapInArrow(_sets(words), "id long, hashes array<long>").dropDuplicates(["id"]), "shingles")
+    # a merge join at every size: the ids wanted grow with the input and are never broadcast
+    sets = stored(own.join(wanted.hint("merge"), "id").mapInArrow(_sets(words), "id long, hashes array<long>").dropDuplicates(["id"]), "shingles")
 
     def pairs(rows: DataFrame, centre) -> DataFrame:
         """Each row's pair with its bucket's centre, where their sizes and components allow a new link."""
@@ -177,7 +178,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, similar: int = 80, id_col:
 
     def verified(asked: DataFrame) -> DataFrame:
         left, right = sets.toDF("a", "left"), sets.toDF("b", "right")
-        met = asked.join(right, "b").join(left, "a").withColumn("i", F.size(F.array_intersect("left", "right")))
+        met = asked.join(right.hint("merge"), "b").join(left.hint("merge"), "a").withColumn("i", F.size(F.array_intersect("left", "right")))
         return met.where(F.lit(100) * F.col("i") >= F.lit(similar) * (F.size("left") + F.size("right") - F.col("i"))).select("a", "b")
 
     shared = shared.withColumn("c", F.col("id"))
