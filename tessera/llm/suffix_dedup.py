@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import blocks, bytes_of, prefix_hash, span_hash, stored, text_batches
+from tessera.llm.common import BASE, blocks, bytes_of, mix, prefix_hash, span_hash, stored, text_batches
 from tessera.llm.spans import cut, whole_keys
 
 LENGTH = 100
@@ -147,7 +147,8 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id"
                 for again in (True, False):
                     order, new, later = earlier((key, ctx), doc, at)
                     gone = order[later]
-                    yield _batch(key[gone], ctx[gone], doc[gone], _place(at[gone], count[gone], lead[gone], GONE))
+                    # settled rows need no bucket; their own place deals them out evenly
+                    yield _batch(mix(doc[gone].view(np.uint64) * np.uint64(BASE) + at[gone].astype(np.uint64)), ctx[gone], doc[gone], _place(at[gone], count[gone], lead[gone], GONE))
                     stay = order[~later]
                     key, ctx, doc, at, count, lead, first = (x[stay] for x in (key, ctx, doc, at, count, lead, first))
                     if not again or not len(hot.value):
