@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import re
 from collections import Counter
 from collections.abc import Iterator
@@ -17,10 +18,14 @@ from tessera.llm.common import stored, text_batches
 
 #: The most labelled rows that a fit reads, the first by a hash of their ids.
 FIT_ROWS = 8000
-#: The most terms that the voters' lexicons hold.
-TERMS = 1500
+#: The most candidate terms that the driver looks at.
+TERMS = 2000
+#: A term is in at least this share of the bad rows, and its rate there is this many times that in good rows.
+SUPPORT, PURITY = 0.03, 40.0
 #: Lexicon voters; each holds the terms of one rank class.
 LEXICONS = 12
+#: What a development label weighs against a posterior one.
+GOLD_WEIGHT = 10
 PREFIXES = (4, 5, 6)
 #: Entries of a worker's table of known words.
 KNOWN_WORDS = 200_000
@@ -44,15 +49,15 @@ PATTERN_CUTS = (0.3, 0.2, 0.1, 0.02)
 
 @dataclass
 class Model:
-    """What scoring needs: terms' numbers, weights (terms, then voters' patterns), the intercept."""
+    """What scoring needs: each term's numbers and how often it must occur, weights (terms, patterns, any term at all), the intercept."""
 
-    terms: dict[str, int]
+    terms: dict[str, tuple[tuple[int, int], ...]]
     weights: np.ndarray
     intercept: float
     accuracies: np.ndarray
     correlations: np.ndarray
 
-    def score(self, text: str, known: dict[str, tuple[int, ...]]) -> float:
+    def score(self, text: str, known: dict[str, tuple[str, ...]]) -> float:
         counts = Counter(WORD.findall(text.lower()))
         z = self.intercept
         if self.terms:
@@ -60,44 +65,67 @@ class Model:
             for word, n in counts.items():
                 found = known.get(word)
                 if found is None:
-                    found = known[word] = tuple(self.terms[t] for t in terms_of(word) if t in self.terms)
+                    found = known[word] = tuple(t for t in terms_of(word) if t in self.terms)
                 for t in found:
                     hits[t] += n
-            z += sum(self.weights[t] * np.log1p(n) for t, n in hits.items())
-        z += float(np.dot(self.weights[len(self.terms) :], np.array(patterns_of(text, sum(counts.values()))) > PATTERN_CUTS)) if len(self.weights) > len(self.terms) else 0.0
+            found_terms = [self.weights[k] for t, n in hits.items() for k, least in self.terms[t] if n >= least]
+            z += sum(found_terms) + (self.weights[-1] if found_terms else 0.0)
+        cut = len(self.weights) - len(PATTERN_CUTS) - 1
+        z += float(np.dot(self.weights[cut:-1], np.array(patterns_of(text, sum(counts.values()))) > PATTERN_CUTS)) if cut >= 0 else 0.0
         return float(1 / (1 + np.exp(-np.clip(z, -30, 30))))
 
 
-def label_model(votes: np.ndarray, prior: float, rounds: int = 30) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Posterior labels, voters' accuracies and their correlations, from votes alone.
+def distinct_terms(found: list[tuple[str, int, int]]) -> list[tuple[str, int]]:
+    """Terms and how often they must occur, from (term, least, rows), the most frequent first.
 
-    votes: rows by voters, 1, -1 or 0 (abstains).  Expectation maximisation over each
-    voter's chances to vote 1, -1 or 0 given the label.  What two voters share beyond the
-    label shows as the correlation of their residuals; a voter's log likelihood is divided
-    by one plus its correlations, so that voters that repeat each other count as fewer.
+    Without those that a chosen beginning covers; of nested terms in nearly the same rows the longest.
+    """
+    out: list[tuple[str, int]] = []
+    for term, least, a in sorted(found, key=lambda t: (-t[2], t[1], len(t[0]), t[0])):
+        stem = term.rstrip("*")
+        longer = term.endswith("*") and any(m == least and n >= 0.97 * a and o != term and o.rstrip("*").startswith(stem) for o, m, n in found)
+        covered = any(o == term or o.endswith("*") and stem.startswith(o[:-1]) for o, _ in out)
+        if not longer and not covered:
+            out.append((term, least))
+    return out
+
+
+def label_model(votes: np.ndarray, prior: float, gold: np.ndarray | None = None, rounds: int = 30) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Posterior labels, voters' accuracies and their correlations.
+
+    votes: rows by voters, 1, -1 or 0 (abstains, which says nothing).  Expectation
+    maximisation over how often a voter votes for and against either label; gold labels of a
+    development set, where given, anchor it, GOLD_WEIGHT votes each: a document that one
+    voter alone speaks for would else drift towards the prior.  What two voters share
+    beyond the label shows as the correlation of their residuals; a voter's log odds are
+    divided by one plus its correlations, so that voters that repeat each other count as
+    fewer.
     """
     n, m = votes.shape
-    kinds = np.stack([(votes == v).astype(float) for v in (1, 0, -1)])
-    chance = np.empty((2, 3, m))
-    chance[1], chance[0] = np.array([0.4, 0.55, 0.05])[:, None], np.array([0.05, 0.55, 0.4])[:, None]
-    share, posterior, correlations = np.ones(m), np.full(n, prior), np.zeros((m, m))
+    plus, minus = (votes > 0).astype(float), (votes < 0).astype(float)
+
+    def tally(y: np.ndarray) -> np.ndarray:
+        """Votes for and against, by label, and the labels themselves."""
+        return np.stack([y @ plus, (1 - y) @ plus, y @ minus, (1 - y) @ minus, np.full(m, y.sum()), np.full(m, n - y.sum())])
+
+    anchor = GOLD_WEIGHT * tally(gold) if gold is not None else tally(np.where(votes.sum(1) > 0, 0.9, prior / 2))
+    counts, share, correlations = anchor, np.ones(m), np.zeros((m, m))
+    posterior = np.full(n, prior)
     for turn in range(rounds):
-        logs = [np.log(prior if y else 1 - prior) + np.einsum("knm,km->n", kinds, np.log(chance[y]) * share) for y in (0, 1)]
-        posterior = 1 / (1 + np.exp(np.clip(logs[0] - logs[1], -30, 30)))
-        for y, w in ((1, posterior), (0, 1 - posterior)):
-            chance[y] = (np.einsum("knm,n->km", kinds, w) + 0.1) / (w.sum() + 0.3)
+        for_, against = (np.log((counts[k] + 0.5) / (counts[4] + 1)) - np.log((counts[k + 1] + 0.5) / (counts[5] + 1)) for k in (0, 2))
+        posterior = 1 / (1 + np.exp(-np.clip(math.log(prior / (1 - prior)) + plus @ (for_ * share) + minus @ (against * share), -30, 30)))
+        counts = anchor + tally(posterior)
+        accuracy = (counts[0] + counts[3] + 0.5) / (counts[:4].sum(0) + 1)
         if turn % 5 == 4:
-            expected = np.outer(posterior, chance[1][0] - chance[1][2]) + np.outer(1 - posterior, chance[0][0] - chance[0][2])
-            rest = votes - expected
-            scale = np.sqrt((rest**2).mean(0)) + 1e-9
-            correlations = (rest.T @ rest) / n / np.outer(scale, scale)
+            rest = votes - np.abs(votes) * (2 * posterior[:, None] - 1) * (2 * accuracy - 1)
+            scale = np.sqrt((rest**2).mean(0) + 0.02)  # residuals near 0 say nothing of each other
+            correlations = (rest.T @ rest) / max(1, n) / np.outer(scale, scale)
             np.fill_diagonal(correlations, 0)
-            share = 1 / (1 + np.where(correlations > 0.2, correlations, 0).sum(1))
-    said = (np.abs(votes) * np.where(votes > 0, posterior[:, None], 1 - posterior[:, None])).sum(0)
-    return posterior, said / np.maximum(1e-9, np.abs(votes).sum(0)), correlations
+            share = 1 / (1 + np.where(correlations > 0.3, correlations, 0).sum(1))
+    return posterior, accuracy, correlations
 
 
-def linear(features: np.ndarray, target: np.ndarray, ridge: float = 1.0, rounds: int = 60) -> tuple[np.ndarray, float]:
+def linear(features: np.ndarray, target: np.ndarray, ridge: float = 0.05, rounds: int = 60) -> tuple[np.ndarray, float]:
     """Logistic regression on soft labels by Newton steps with a ridge; the intercept isn't penalised."""
     x = np.hstack([features, np.ones((len(features), 1))])
     w = np.zeros(x.shape[1])
@@ -117,8 +145,8 @@ def linear(features: np.ndarray, target: np.ndarray, ridge: float = 1.0, rounds:
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", fit_rows: int = FIT_ROWS, terms: int = TERMS) -> Model:
     """Learn from at most fit_rows labelled rows whose crc32(id as text) mod 5 isn't 0.
 
-    Labels choose and rank the lexicons' terms, as a development set; the label model then
-    sees the votes alone and the classifier its posteriors alone.  Terms and the rows' hits
+    Labels choose the lexicons' terms and anchor the label model's accuracies, as a
+    development set; the classifier sees the label model's posteriors alone.  Terms and the rows' hits
     are what the driver gets: at most terms rows, and fit_rows rows of numbers.  Without
     labelled rows of both kinds the model scores everything alike, below 0.5.
     """
@@ -148,29 +176,32 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     bad, good = sizes.get(1, 0), sizes.get(0, 0)
     if not bad or not good:
         return Model({}, np.zeros(0), -3.0, np.zeros(0), np.zeros((0, 0)))
-    counted = rows.select("y", F.explode(F.map_keys("found")).alias("term")).groupBy("term").agg(F.sum("y").alias("a"), F.sum(1 - F.col("y")).alias("b")).where("a >= 2")
-    weight = F.log((F.col("a") + 0.5) / (bad + 1)) - F.log((F.col("b") + 0.5) / (good + 1))
-    best = counted.withColumn("weight", weight).where((F.col("weight") > 2.0) & (F.col("a") * F.lit(good) > 8.0 * F.col("b") * F.lit(bad))).orderBy((F.col("weight") * F.sqrt("a")).desc(), "term").limit(terms)
-    lexicon = [(r["term"], r["weight"]) for r in best.collect()]
-    numbers = {t: k for k, (t, _) in enumerate(lexicon)}
-    listed = docs.sparkSession.createDataFrame([(t, k) for t, k in numbers.items()] or [("", -1)], "term string, k int")
-    pairs = rows.select("id", F.explode("found").alias("term", "n")).join(F.broadcast(listed), "term").groupBy("id").agg(F.collect_list(F.struct("k", "n")).alias("hits"))
-    table = rows.select("id", "patterns").join(pairs, "id", "left").orderBy("id").collect()
-    x, pats = np.zeros((len(table), len(numbers))), np.zeros((len(table), len(PATTERN_CUTS)))
+    levels = F.explode(F.filter(F.array(F.lit(1), F.lit(2)), lambda m: m <= F.col("n")))
+    counted = rows.select("y", F.explode("found").alias("term", "n")).select("y", "term", levels.alias("least")).groupBy("term", "least").agg(F.sum("y").alias("a"), F.sum(1 - F.col("y")).alias("b"))
+    # a term's chance to be in bad rows alone by luck, over all terms, must be small; and it must matter
+    least = max(math.ceil((math.log(max(2, counted.count())) + 2) / math.log((bad + good) / bad)), math.ceil(SUPPORT * bad))
+    best = counted.where((F.col("a") >= least) & (F.col("b") * F.lit(bad) * PURITY <= F.col("a") * F.lit(good))).orderBy(F.desc("a"), "b", F.desc(F.length("term")), "term").limit(terms)
+    lexicon = distinct_terms([(r["term"], r["least"], r["a"]) for r in best.collect()])
+    numbers: dict[str, tuple[tuple[int, int], ...]] = {}
+    for k, (term, m) in enumerate(lexicon):
+        numbers[term] = numbers.get(term, ()) + ((k, m),)
+    listed = docs.sparkSession.createDataFrame([(t, k, m) for k, (t, m) in enumerate(lexicon)] or [("", -1, 1)], "term string, k int, least int")
+    pairs = rows.select("id", F.explode("found").alias("term", "n")).join(F.broadcast(listed), "term").where("n >= least").groupBy("id").agg(F.collect_list("k").alias("hits"))
+    table = rows.select("id", "y", "patterns").join(pairs, "id", "left").orderBy("id").collect()
+    x, pats = np.zeros((len(table), len(lexicon))), np.zeros((len(table), len(PATTERN_CUTS)))
     for r, row in enumerate(table):
-        for hit in row["hits"] or ():
-            x[r, hit["k"]] = np.log1p(hit["n"])
+        x[r, row["hits"] or []] = 1
         pats[r] = np.array(row["patterns"]) > PATTERN_CUTS
-    group = np.arange(len(numbers)) % LEXICONS
+    group = np.arange(len(lexicon)) % LEXICONS
     seen = np.stack([(x[:, group == g] > 0).sum(1) for g in range(LEXICONS)], 1)
     total = seen.sum(1)
     votes = np.where(seen > 0, 1, 0)
-    none, many = np.where(total == 0, -1, np.where(total >= 4, 1, 0))[:, None], np.where(total >= 2, 1, -1)[:, None]
-    strong = np.array([w > np.median([v for _, v in lexicon] or [0]) for _, w in lexicon] or [], bool)
-    sure = np.where((x[:, strong] > 0).sum(1) > 1, 1, -1)[:, None] if len(strong) else -np.ones((len(x), 1))
+    none, many = np.where(total == 0, -1, 0)[:, None], np.where(total >= 3, 1, 0)[:, None]
+    whole = np.array([not t.endswith("*") for t, _ in lexicon], bool)
+    sure = np.where((x[:, whole] > 0).sum(1) > 1, 1, 0)[:, None]
     votes = np.hstack([votes, none, many, sure, np.where(pats > 0, 1, 0)])
-    posterior, accuracies, correlations = label_model(votes, bad / (bad + good))
-    weights, intercept = linear(np.hstack([x, pats]), posterior)
+    posterior, accuracies, correlations = label_model(votes, bad / (bad + good), np.array([row["y"] for row in table], float))
+    weights, intercept = linear(np.hstack([x, pats, (total > 0)[:, None]]), posterior)
     return Model(numbers, weights, intercept, accuracies, correlations)
 
 
@@ -199,7 +230,7 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     return docs.select(F.col(id_col), of(F.col(text_col)).alias("score"))
 
 
-_known: dict[int, dict[str, tuple[int, ...]]] = {}
+_known: dict[int, dict[str, tuple[str, ...]]] = {}
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> DataFrame:
