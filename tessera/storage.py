@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
@@ -30,4 +31,22 @@ def stored(df: DataFrame, what: str, codec: str = "none") -> DataFrame:
     spark = df.sparkSession
     path = fresh_path(spark, what)
     df.write.option("compression", codec).parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    table._stored_at = path
+    return table
+
+
+def release(*tables: DataFrame) -> None:
+    """Delete stored() tables that nothing reads any more."""
+    for table in tables:
+        path = getattr(table, "_stored_at", None)
+        if path:
+            jvm = table.sparkSession._jvm
+            place = jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(table.sparkSession._jsc.hadoopConfiguration()).delete(place, True)
+
+
+def forget_shuffles(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of plans that are done; it does so once the driver's garbage is collected."""
+    gc.collect()
+    spark._jvm.System.gc()
