@@ -79,21 +79,35 @@ def primer_matches(seq: Column, primer: str, max_shift: int, max_edits: int, cen
     return F.coalesce(F.exists(table, fits), F.lit(False))
 
 
-def primer_distance_at(seq: Column, primer: str, start: int, max_edits: int) -> Column:
-    """The least accepted edit distance of a primer at one start, or null."""
-    seq, primer, indel = F.upper(F.trim(seq)), primer.strip().upper(), min(max_edits, 2)
+#: What stands for a distance beyond the limit: levenshtein's -1 modulo 100.
+_FAR = 99
+
+
+def _distance_or_far(seq: Column, primer: str, start: int, max_edits: int) -> Column:
+    """The least edit distance at one start over all window lengths, _FAR if none is accepted; seq is upper case."""
+    indel = min(max_edits, 2)
     tries = []
     for n in range(max(1, len(primer) - indel), len(primer) + indel + 1):
         window = F.substring(seq, start + 1, n)
-        d = F.levenshtein(F.lit(primer), window, max_edits)
-        tries.append(F.when((F.length(window) == n) & (d >= 0), d))
+        tries.append(F.when(F.length(window) == n, F.pmod(F.levenshtein(F.lit(primer), window, max_edits), F.lit(100))).otherwise(_FAR))
     return F.least(*tries) if len(tries) > 1 else tries[0]
 
 
+def primer_distance_at(seq: Column, primer: str, start: int, max_edits: int) -> Column:
+    """The least accepted edit distance of a primer at one start, or null."""
+    return F.nullif(_distance_or_far(F.upper(F.trim(seq)), primer.strip().upper(), start, max_edits), F.lit(_FAR))
+
+
 def primer_start(seq: Column, primer: str, p: Matching = Matching()) -> Column:
-    """The start with the least distance among the valid ones, the first on ties; null if none fits."""
-    found = [F.struct(primer_distance_at(seq, primer, s, p.max_edits).alias("d"), F.lit(k).alias("k"), F.lit(s).alias("s")) for k, s in enumerate(p.r1_starts)]
-    return F.array_min(F.filter(F.array(*found), lambda x: x["d"].isNotNull()))["s"]
+    """The start with the least distance among the valid ones, the first on ties; null if none fits.
+
+    A whole copy of the primer at a valid start needs no distances: the first one wins.
+    """
+    seq, primer, starts = F.upper(F.trim(seq)), primer.strip().upper(), p.r1_starts
+    exact = F.coalesce(*[F.when(F.substring(seq, s + 1, len(primer)) == primer, F.lit(s)) for s in starts])
+    # distance, order and start in one number
+    ranked = F.least(*[_distance_or_far(seq, primer, s, p.max_edits) * 10_000 + (100 * k + s) for k, s in enumerate(starts)], F.lit(_FAR * 10_000))
+    return F.coalesce(exact, F.when(ranked < _FAR * 10_000, ranked % 100))
 
 
 def after(seq: Column, start: Column | int, primer: str) -> Column:

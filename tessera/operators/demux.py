@@ -75,7 +75,8 @@ def trimmed(pairs: DataFrame, fwd: str, rev: str, p: Matching = Matching()) -> D
 
 def stagger_counts(pairs: DataFrame, starts: tuple[int, ...] = Matching().r1_starts) -> DataFrame:
     """(start, n) for each valid start, zeros included."""
-    counted = pairs.where("r1_primer_start is not null").groupBy(F.col("r1_primer_start").alias("start")).agg(F.count(F.lit(1)).alias("n"))
+    # no filter before the aggregate: pushed down, it would compute the start once more
+    counted = pairs.groupBy(F.col("r1_primer_start").cast("int").alias("start")).agg(F.count(F.lit(1)).alias("n"))
     every = pairs.sparkSession.createDataFrame([(s,) for s in starts], "start int")
     return every.join(F.broadcast(counted), "start", "left").select("start", F.coalesce("n", F.lit(0)).alias("n"))
 
