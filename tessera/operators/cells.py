@@ -34,10 +34,11 @@ def consensus(counts: DataFrame, p: Consensus = Consensus()) -> DataFrame:
     out = out.withColumn("_accepted", value(F.col("_s"))).withColumn("_deep", F.filter(deep, lambda x: x["v"].isNotNull()))
     out = out.withColumn("_names", F.transform(F.array_distinct(F.transform("_deep", lambda x: x["v"])), lambda v: F.struct(v.alias("v"), F.aggregate(F.filter("_deep", lambda x: x["v"] == v), F.lit(0).cast("long"), lambda t, x: t + x["n"]).alias("n"))))
     out = out.withColumn("_split", stats.noise_split(F.col("_names"), F.col("_accepted"), F.col("total_16s"), p))
-    return out.select(
-        "cell", "total_16s", F.col("_split.noise").alias("noise"),
-        F.struct(*[F.col("_s")[c].alias(c) for c in codes]).alias("path"), F.col("_s.confidence").alias("confidence"),
+    # a generator of one row: filters on these columns stay above it, where they don't repeat their expressions
+    result = F.struct(
+        F.col("_split.noise").alias("noise"), F.struct(*[F.col("_s")[c].alias(c) for c in codes]).alias("path"), F.col("_s.confidence").alias("confidence"),
         stats.contamination_mean(F.col("_split.contam"), F.col("_split.match"), F.col("_split.noise"), p).alias("contamination"))
+    return out.select("cell", "total_16s", F.inline(F.array(result)))
 
 
 def target_counts(packets: DataFrame) -> DataFrame:

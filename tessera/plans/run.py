@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tessera.operators import barcodes, cells, demux, sequences, variants
 from tessera.params import Params
 from tessera.plans import results
-from tessera.storage import stored
+from tessera.storage import release, stored
 
 
 @dataclass
@@ -49,15 +49,17 @@ def run(pairs: DataFrame, panel: DataFrame, labels: DataFrame, taxa: DataFrame,
     names, modes = [r[1] for r in rows[1:]], panel.select("target", "mode")
     checked = demux.with_qc(pairs, params.read_qc)
     qc = demux.qc_counts(checked)
-    passed = demux.place_16s(checked.where("qc_reason is null"), fwd, rev, params.matching)
-    own = demux.packets(passed, rows, params.matching, params.read_qc.barcode_length)
+    # a table between the primer steps: their expressions are large, and plans that combine them larger
+    passed = stored(demux.place_16s(checked.where("qc_reason is null").drop("qc_reason"), fwd, rev, params.matching), "placed")
+    own = stored(demux.packets(passed, rows, params.matching, params.read_qc.barcode_length), "genes")
     own = own.join(F.broadcast(panel.select("panel_index", "target")), "panel_index", "left")
     own = demux.classify(own, labels, taxa).select("read_index", "read_id", "barcode", "gene_class", "panel_index", "target", "path", "r1_primer_start", "r1_seq", "r2_seq")
     packets = stored(own, "packets")
+    release(passed)
     clustered = stored(barcodes.with_cells(packets, params.cells.barcode_shift), "clustered")
 
     counts = stored(cells.target_counts(clustered), "counts")
-    summary = cells.consensus(cells.path_counts(clustered), params.consensus)
+    summary = stored(cells.consensus(cells.path_counts(clustered), params.consensus), "summary")
     order = barcodes_order(clustered)
     stage1 = stored(cells.stage1(summary, params.cells), "stage1")
     sized = cells.taxon_size(stage1, params.cells.min_cells_per_taxon)
