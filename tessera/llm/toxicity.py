@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 import re
+import uuid
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -212,12 +213,16 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     """
     text_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)  # at most TERMS terms and weights
+    token = uuid.uuid4().hex
 
     @F.pandas_udf(T.DoubleType())
     def of(texts):
         import pandas as pd
 
-        known = _known.setdefault(id(shared), {})
+        if _known.get("of") != token:
+            _known.clear()
+            _known.update({"of": token, "words": {}})
+        known = _known["words"]
         out = []
         for text in texts:
             out.append(shared.value.score(text or "", known))
@@ -230,7 +235,8 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     return docs.select(F.col(id_col), of(F.col(text_col)).alias("score"))
 
 
-_known: dict[int, dict[str, tuple[str, ...]]] = {}
+#: A worker's words and their terms, for the last model only.
+_known: dict = {}
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> DataFrame:
