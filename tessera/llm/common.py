@@ -9,9 +9,9 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import SparkSession
 
-from tessera.storage import fresh_path, shared_folder, stored
+from tessera.storage import forget_shuffles, fresh_path, release, shared_folder, stored
 
-__all__ = ["blocks", "bytes_of", "fresh_path", "mix", "powers", "prefix_hash", "shared_folder", "span_hash", "stored", "text_batches"]
+__all__ = ["blocks", "bytes_of", "forget_shuffles", "fresh_path", "mix", "powers", "prefix_hash", "release", "shared_folder", "span_hash", "stored", "text_batches"]
 
 #: Rows in an Arrow batch of whole texts; 10,000 (the default) rows of long texts don't fit a worker.
 TEXT_ROWS = 1000

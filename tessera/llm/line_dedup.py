@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import stored
+from tessera.llm.common import release, stored
 
 RUN = 3
 
@@ -34,7 +34,7 @@ def _solid(lines: Column) -> Column:
 
 def repeated_windows(docs: DataFrame, run: int = RUN, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """First lines (_doc, _start; counting lines that aren't blank) of the windows of run lines that occur earlier."""
-    own = docs.select(F.col(id_col).alias("_doc"), F.col(text_col).alias("_text")).where("_doc is not null and _text is not null")
+    own = docs.select(F.col(f"`{id_col}`").alias("_doc"), F.col(f"`{text_col}`").alias("_text")).where("_doc is not null and _text is not null")
     hashes = own.select("_doc", F.transform(_solid(_lines(F.col("_text"))), lambda s: s["h"]).alias("hs")).where(F.size("hs") >= run)
     placed = F.transform("hs", lambda h, i: F.struct(h.alias("h"), i.alias("p")))
     minima = F.array_distinct(F.transform(_sequence(F.size("hs") - (run - 1)), lambda j: F.array_min(F.slice(F.col("placed"), j + 1, run))))
@@ -51,6 +51,7 @@ def repeated_windows(docs: DataFrame, run: int = RUN, id_col: str = "doc_id", te
     at = F.col("p") - F.col("start")
     windows = windows.where((F.array_min("w") == F.col("h")) & (F.array_position("w", F.col("h")) == at + 1)).select("_doc", "start", "w")
     windows = stored(windows, "line-windows")
+    release(marks, twice)
     first = stored(windows.groupBy("w").agg(F.min(F.struct("_doc", "start")).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").select("w", "first"), "line-first")
     return windows.join(first, "w").where(F.struct("_doc", "start") > F.col("first")).select("_doc", F.col("start").alias("_start"))
 
@@ -66,9 +67,11 @@ def line_dedup(docs: DataFrame, run: int = RUN, id_col: str = "doc_id", text_col
     """
     gone = repeated_windows(docs, run, id_col, text_col).groupBy("_doc").agg(F.array_sort(F.collect_set("_start")).alias("_starts"))
     wanted = docs if keep else docs.select(id_col, text_col)
-    df = wanted.join(gone, F.col(id_col) == F.col("_doc"), "left").drop("_doc")
+    # a row goes as one struct, so that no name of its columns meets those here
+    rows = wanted.select(F.struct(*[F.col(f"`{c}`") for c in wanted.columns]).alias("_row"), F.col(f"`{id_col}`").alias("_id"), F.col(f"`{text_col}`").alias("_text"))
+    df = rows.join(gone, F.col("_id") == F.col("_doc"), "left").drop("_doc")
     cut_here = F.col("_starts").isNotNull()
-    lines = _lines(F.col(text_col))
+    lines = _lines(F.col("_text"))
     df = df.withColumn("_lines", F.when(cut_here, lines)).withColumn("_index", F.when(cut_here, F.transform(_solid(F.col("_lines")), lambda s: s["i"])))
     # runs of overlapping windows, as first and last line
     n = F.size("_starts")
@@ -79,12 +82,12 @@ def line_dedup(docs: DataFrame, run: int = RUN, id_col: str = "doc_id", text_col
     # what stays: from behind each run (or the beginning) to before the next (or the end)
     begins, ends = F.concat(F.array(F.lit(0)), F.transform(z, lambda x: x + 1)), F.concat(a, F.array(F.size("_lines")))
     pieces = F.transform(F.arrays_zip(begins.alias("b"), ends.alias("e")), lambda p: F.slice(F.col("_lines"), p["b"] + 1, F.greatest(p["e"] - p["b"], F.lit(0))))
-    kept = F.when(cut_here, F.array_join(F.flatten(pieces), "\n")).otherwise(F.col(text_col))
+    kept = F.when(cut_here, F.array_join(F.flatten(pieces), "\n")).otherwise(F.col("_text"))
     if keep:
-        return df.withColumn(text_col, kept).select(*docs.columns)
+        return df.select(*[kept.alias(c) if c == text_col else F.col("_row")[c].alias(c) for c in docs.columns])
     removed = F.coalesce(F.aggregate("_runs", F.lit(0), lambda t, r: t + r["z"] - r["a"] + 1), F.lit(0))
     count = F.coalesce(F.size(F.filter(lines, lambda x: F.trim(x) != "")), F.lit(0))
-    return df.select(id_col, F.when(F.col(text_col).isNull(), 0).otherwise(count).cast("long").alias("n_lines"), removed.cast("long").alias("n_removed"), F.coalesce(F.when(cut_here, F.size("_runs")), F.lit(0)).cast("long").alias("n_runs"), kept.alias("kept_text"))
+    return df.select(F.col("_id").alias(id_col), F.when(F.col("_text").isNull(), 0).otherwise(count).cast("long").alias("n_lines"), removed.cast("long").alias("n_removed"), F.coalesce(F.when(cut_here, F.size("_runs")), F.lit(0)).cast("long").alias("n_runs"), kept.alias("kept_text"))
 
 
 #: DuckDB SQL of line_dedup()'s rows, the kept text as its SHA-256.

@@ -18,6 +18,7 @@ bucket with a chance of (1 - 0.85**4)**24, about 1e-8 (at 0.8, 3e-6).
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -25,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import blocks, mix, prefix_hash, span_hash, stored, text_batches
+from tessera.llm.common import blocks, forget_shuffles, mix, prefix_hash, release, span_hash, stored, text_batches
 
 BANDS, ROWS = 24, 4
 BINS = BANDS * ROWS
@@ -144,8 +145,12 @@ def components(links: DataFrame) -> DataFrame:
         lower = label.join(near, F.col("node") == F.col("a"), "left").select("node", "component", F.least("component", "least").alias("to"))
         target = label.select(F.col("node").alias("to"), F.col("component").alias("further"))
         after = stored(lower.join(target, "to", "left").select("node", F.least("to", "further").alias("component"), (F.least("to", "further") != F.col("component")).alias("moved")), "labels")
-        label = after.select("node", "component")
-        if after.where("moved").isEmpty():
+        done = after.where("moved").isEmpty()
+        release(label)
+        label, before = after.select("node", "component"), after
+        label._stored_at = before._stored_at
+        if done:
+            release(both)
             return label
 
 
@@ -163,16 +168,20 @@ def near_duplicates(docs: DataFrame, words: int = 5, similar: int = 80, id_col:
     classes = stored(signed.where("n > 0 and id is not null").groupBy("d0", "d1", "n").agg(F.min("id").alias("id"), F.first("bands").alias("bands")), "classes")
     placed = classes.select("id", "n", F.explode("bands").alias("h"))
     twice = stored(placed.groupBy("h").agg(F.count(F.lit(1)).alias("size")).where("size > 1"), "buckets")
-    shared = stored(placed.join(twice, "h"), "shared")
-    weight = shared.groupBy("id").agg(F.sum("size").alias("weight"))
-    shared = stored(shared.join(weight, "id").select("h", "id", "n", "weight"), "weighed")
+    met = stored(placed.join(twice, "h"), "shared")
+    weight = met.groupBy("id").agg(F.sum("size").alias("weight"))
+    shared = stored(met.join(weight, "id").select("h", "id", "n", "weight"), "weighed")
+    release(twice, met)
     wanted = shared.select("id").distinct()
     # a merge join at every size: the ids wanted grow with the input and are never broadcast
     sets = stored(own.join(wanted.hint("merge"), "id").mapInArrow(_sets(words), "id long, hashes array<long>").dropDuplicates(["id"]), "shingles")
+    forget_shuffles(docs.sparkSession)
+    scratch = [shared, sets]
 
     def pairs(rows: DataFrame, centre) -> DataFrame:
         """Each row's pair with its bucket's centre, where their sizes and components allow a new link."""
         chosen = stored(rows.groupBy("h").agg(F.max_by(F.struct("id", "n", "c"), centre).alias("to")), "centres")
+        scratch.append(chosen)
         apart = rows.join(chosen, "h").where((F.col("c") != F.col("to.c")) & (100 * F.least("n", "to.n") >= similar * F.greatest("n", "to.n")))
         return apart.select(F.least("id", "to.id").alias("a"), F.greatest("id", "to.id").alias("b")).distinct()
 
@@ -181,23 +190,27 @@ def near_duplicates(docs: DataFrame, words: int = 5, similar: int = 80, id_col:
         met = asked.join(right.hint("merge"), "b").join(left.hint("merge"), "a").withColumn("i", F.size(F.array_intersect("left", "right")))
         return met.where(F.lit(100) * F.col("i") >= F.lit(similar) * (F.size("left") + F.size("right") - F.col("i"))).select("a", "b")
 
-    shared = shared.withColumn("c", F.col("id"))
-    asked = stored(pairs(shared, F.struct("weight", -F.col("id"))), "asked")
+    asked = stored(pairs(shared.withColumn("c", F.col("id")), F.struct("weight", -F.col("id"))), "asked")
     links = stored(verified(asked), "links")
+    scratch += [asked, links]
     label = components(links)
     for turn in range(MOST_ROUNDS):
         # buckets whose members are still in several components
-        named = shared.drop("c").join(label.withColumnRenamed("node", "id"), "id", "left").select("h", "id", "n", "weight", F.coalesce("component", "id").alias("c"))
+        named = shared.join(label.withColumnRenamed("node", "id"), "id", "left").select("h", "id", "n", "weight", F.coalesce("component", "id").alias("c"))
         named = stored(named, "named")
         mixed = stored(named.groupBy("h").agg(F.min("c").alias("c0"), F.max("c").alias("c1")).where("c0 != c1").select("h"), "mixed")
         more = pairs(named.join(mixed, "h"), F.struct(F.xxhash64("h", "id", F.lit(turn)), "id")).join(asked, ["a", "b"], "left_anti")
         more = stored(more, "asked")
+        release(named, mixed)
+        scratch.append(more)
         if more.isEmpty():
             break
         found = stored(verified(more), "links")
+        scratch.append(found)
         none = found.isEmpty()
         if not none:
             links, asked = links.union(found), asked.union(more)
+            release(label)
             label = components(links)
         else:
             asked = asked.union(more)
@@ -205,6 +218,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, similar: int = 80, id_col:
             break
     known = classes.select("d0", "d1", F.col("n").alias("n_class"), F.col("id").alias("first")).join(label.withColumnRenamed("node", "first"), "first", "left")
     known = stored(known.select("d0", "d1", "n_class", F.coalesce("component", "first").alias("c")), "known")
+    release(classes, label, *scratch)
     out = signed.select("id", "n", "d0", "d1").join(known.withColumnRenamed("n_class", "n"), ["d0", "d1", "n"], "left")
     component = F.when(F.col("id").isNotNull(), F.coalesce("c", "id"))
     return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), component.alias("component_id"), F.coalesce(component == F.col("id"), F.lit(True)).alias("kept"))
@@ -212,5 +226,6 @@ def near_duplicates(docs: DataFrame, words: int = 5, similar: int = 80, id_col:
 
 def near_dedup(docs: DataFrame, words: int = 5, similar: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """docs without the near duplicates: one document of each component stays, that with the smallest id; rows with a null id stay."""
-    gone = near_duplicates(docs, words, similar, id_col, text_col).where(~F.col("kept")).select(F.col(id_col).alias("_gone")).distinct()
-    return docs.join(gone, docs[id_col].cast("long") == F.col("_gone"), "left_anti")
+    name = f"_gone_{uuid.uuid4().hex}"
+    gone = near_duplicates(docs, words, similar, id_col, text_col).where(~F.col("kept")).select(F.col(id_col).alias(name)).distinct()
+    return docs.join(gone, docs[id_col].cast("long") == F.col(name), "left_anti")

@@ -34,17 +34,19 @@ def cut(docs: DataFrame, spans: DataFrame, id_col: str, text_col: str, keep: boo
     text_batches(docs.sparkSession)
     listed = spans.groupBy("_doc").agg(F.collect_list("_begin").alias("_begin"), F.collect_list("_end").alias("_end"))
     wanted = docs if keep else docs.select(id_col, text_col)
-    joined = wanted.join(listed, F.col(id_col).cast("long") == F.col("_doc"), "left").drop("_doc")
     own = wanted.schema
+    # a row goes as one struct, so that no name of its columns meets those here
+    rows = wanted.select(F.struct(*[F.col(f"`{c}`") for c in own.fieldNames()]).alias("_row"), F.col(f"`{id_col}`").cast("long").alias("_id"))
+    joined = rows.join(listed, F.col("_id") == F.col("_doc"), "left").select("_row", "_begin", "_end")
     place = own.fieldNames().index(text_col)
     extra = [] if keep else [T.StructField("n_bytes", T.LongType()), T.StructField("n_removed", T.LongType()), T.StructField("n_spans", T.LongType()), T.StructField("kept_sha256", T.StringType())]
     schema = own if keep else T.StructType([own[id_col], *extra])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            begins, ends = batch.column(len(own)), batch.column(len(own) + 1)
+            own_columns, begins, ends = [batch.column(0).field(i) for i in range(len(own))], batch.column(1), batch.column(2)
             rows, texts = [], []
-            for k, text in enumerate(batch.column(place).to_pylist()):
+            for k, text in enumerate(own_columns[place].to_pylist()):
                 raw = (text or "").encode("utf-8", "surrogatepass")
                 b, e = begins[k].as_py(), ends[k].as_py()
                 if not b:
@@ -59,10 +61,10 @@ def cut(docs: DataFrame, spans: DataFrame, id_col: str, text_col: str, keep: boo
                 else:
                     rows.append((len(raw), int((e - b).sum()), len(b), hashlib.sha256(kept).hexdigest()))
             if keep:
-                columns = [pa.array(texts, pa.string()) if i == place else batch.column(i) for i in range(len(own))]
+                columns = [pa.array(texts, pa.string()) if i == place else own_columns[i] for i in range(len(own))]
                 yield pa.RecordBatch.from_arrays(columns, names=own.fieldNames())
             elif rows:
-                yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(list(c)) for c in zip(*rows))], names=schema.names)
+                yield pa.RecordBatch.from_arrays([own_columns[own.fieldNames().index(id_col)], *(pa.array(list(c)) for c in zip(*rows))], names=schema.names)
 
     return joined.mapInArrow(run, schema)
 

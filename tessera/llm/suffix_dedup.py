@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import BASE, blocks, bytes_of, mix, prefix_hash, span_hash, stored, text_batches
+from tessera.llm.common import BASE, blocks, bytes_of, forget_shuffles, mix, prefix_hash, span_hash, stored, text_batches
 from tessera.llm.spans import cut, whole_keys
 
 LENGTH = 100
@@ -186,6 +186,8 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id"
 
     parted = own.mapInArrow(split, RUNS).repartition("key").sortWithinPartitions("key")
     settled = stored(parted.mapInArrow(settle, RUNS), "suffix-runs")
+    del parted
+    forget_shuffles(spark)
     kind = F.col("place").bitwiseAND(3)
     gone = settled.where(kind == GONE).select(F.col("doc").alias("_doc"), F.shiftright("place", 20).alias("_begin"), (F.shiftright("place", 20) + F.shiftright("place", 10).bitwiseAND(1023) + (length - 1)).alias("_end"))
     asked = settled.where(kind == OPEN).groupBy("doc").agg(F.collect_list("key").alias("keys"), F.collect_list("place").alias("places"))
