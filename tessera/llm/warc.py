@@ -45,8 +45,10 @@ def write_record(page_id: int | None, url: str | None, payload: bytes, digest: s
     http = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: %d\r\n\r\n" % len(payload)
     block = http if refers_to is not None else http + payload
     lines = ["WARC/1.1", f"WARC-Type: {'response' if refers_to is None else 'revisit'}", f"WARC-Record-ID: {record_id(page_id)}", f"WARC-Date: {DATE}"]
-    lines += [f"WARC-Target-URI: {_clean(url)}"] * (url is not None)
-    lines += [f"Page-Id: {page_id}"] * (page_id is not None)
+    if url is not None:
+        lines.append(f"WARC-Target-URI: {_clean(url)}")
+    if page_id is not None:
+        lines.append(f"Page-Id: {page_id}")
     lines += [f"WARC-Payload-Digest: sha1:{base64.b32encode(bytes.fromhex(digest)).decode()}"]
     if refers_to is not None:
         lines += ["WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest", f"WARC-Refers-To: {record_id(refers_to)}", f"Refers-To-Page-Id: {refers_to}"]
