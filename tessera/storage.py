@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import gc
 import tempfile
+import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -47,6 +48,12 @@ def release(*tables: DataFrame) -> None:
 
 
 def forget_shuffles(spark: SparkSession) -> None:
-    """Let Spark delete the shuffle files of plans that are done; it does so once the driver's garbage is collected."""
-    gc.collect()
-    spark._jvm.System.gc()
+    """Let Spark delete the shuffle files of plans that are done.
+
+    It does so once the driver's garbage is collected: first Python's, which lets go of the
+    JVM's, then, a moment later, the JVM's.
+    """
+    for _ in range(2):
+        gc.collect()
+        spark._jvm.System.gc()
+        time.sleep(0.3)
