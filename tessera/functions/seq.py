@@ -76,7 +76,9 @@ def primer_matches(seq: Column, primer: str, max_shift: int, max_edits: int, cen
         # an edit distance beyond the limit rules equal lengths out as well
         return (F.length(window) == w["n"]) & near & (~same | (hamming(w["p"], window) <= max_edits))
 
-    return F.coalesce(F.exists(table, fits), F.lit(False))
+    # most reads have the primer in place; one comparison settles those
+    whole = F.substring(seq, centre + 1, len(primer.strip())) == primer.strip().upper()
+    return F.coalesce(whole | F.exists(table, fits), F.lit(False))
 
 
 #: What stands for a distance beyond the limit: levenshtein's -1 modulo 100.
