@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import BASE, blocks, bytes_of, forget_shuffles, mix, prefix_hash, span_hash, stored, text_batches
+from tessera.llm.common import BASE, blocks, bytes_of, forget_shuffles, mix, prefix_hash, release, span_hash, stored, text_batches
 from tessera.llm.spans import cut, whole_keys
 
 LENGTH = 100
@@ -148,7 +148,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id"
                     order, new, later = earlier((key, ctx), doc, at)
                     gone = order[later]
                     # settled rows need no bucket; their own place deals them out evenly
-                    yield _batch(mix(doc[gone].view(np.uint64) * np.uint64(BASE) + at[gone].astype(np.uint64)), ctx[gone], doc[gone], _place(at[gone], count[gone], lead[gone], GONE))
+                    yield _batch(mix(doc[gone].view(np.uint64) * np.uint64(BASE) + at[gone].astype(np.uint64)), np.zeros_like(ctx[gone]), doc[gone], _place(at[gone], count[gone], lead[gone], GONE))
                     stay = order[~later]
                     key, ctx, doc, at, count, lead, first = (x[stay] for x in (key, ctx, doc, at, count, lead, first))
                     if not again or not len(hot.value):
@@ -172,12 +172,13 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id"
             key, ctx, doc, place = (table.column(k).to_numpy() for k in ("key", "ctx", "doc", "place"))
             kind = place & 3
             done = kind == GONE
-            yield _batch(key[done], ctx[done], doc[done], place[done])
+            # nothing reads the hashes of settled rows; zeros take no room
+            yield _batch(np.zeros_like(key[done]), np.zeros_like(key[done]), doc[done], place[done])
             key, ctx, doc, place = (x[~done] for x in (key, ctx, doc, place))
             at = place >> 20
             order, new, later = earlier((key, ctx), doc, at)
             gone = order[later]
-            yield _batch(key[gone], ctx[gone], doc[gone], place[gone] | GONE)
+            yield _batch(np.zeros_like(key[gone]), np.zeros_like(key[gone]), doc[gone], place[gone] | GONE)
             heads = order[new]
             starts = np.flatnonzero(np.r_[True, np.diff(key[heads]) != 0]) if len(heads) else np.zeros(0, int)
             many = np.repeat(np.diff(np.r_[starts, len(heads)]) > 1, np.diff(np.r_[starts, len(heads)])) if len(heads) else np.zeros(0, bool)
@@ -209,7 +210,11 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id"
 
     open_runs = own.join(asked, F.col("_id") == F.col("doc")).select("_id", "_text", "keys", "places").mapInArrow(texts, "key long, doc long, place long, bytes binary")
     deep = open_runs.repartition("key").sortWithinPartitions("key").mapInArrow(sort, "_doc long, _begin long, _end long")
-    return gone.unionByName(deep)
+    spans = stored(gone.unionByName(deep), "suffix-spans")
+    release(settled)
+    del deep, open_runs, asked, gone
+    forget_shuffles(spark)
+    return spans
 
 
 def words_of(text: np.ndarray) -> np.ndarray:
