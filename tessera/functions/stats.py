@@ -11,48 +11,49 @@ from tessera.functions.seq import RANKS
 from tessera.params import Consensus
 
 
-def rank_consensus(paths: Column, p: Consensus = Consensus()):
-    """The first state of a path's consensus, and the step that takes it down one rank: (state, step(state, rank)).
-
-    paths: array of (path, n).  Rank after rank, candidates are the values among reads that
-    carry the accepted value of the rank before.  Reads that conflict with an accepted rank
-    weigh on all candidates alike, so that a candidate's log likelihood needs counts alone:
-    of its own value, of null and of the rest among reads without conflict.  The best
-    candidate's softmax share must reach min_confidence, and it must not be null; else the
-    path ends there. confidence is that of the last accepted rank, 1.0 without any.
+def consensus_start() -> Column:
+    """The state of a consensus before any rank: no rank accepted, confidence 1.0."""
+    return F.struct(*[F.lit(None).cast("string").alias(c) for c in RANKS], F.lit(1.0).alias("confidence"), F.lit(True).alias("going"), F.lit(0).alias("depth"))
+
+
+def consensus_steps(k: int, p: Consensus = Consensus()) -> list[tuple[str, Column]]:
+    """Columns, each built on those before, that take a cell's consensus (_s) down rank k.
+
+    paths: array of (path, n), a cell's distinct paths and their counts.  Rank after rank,
+    candidates are the values among reads that carry the accepted value of the rank before.
+    Reads that conflict with an accepted rank weigh on all candidates alike, so that a
+    candidate's log likelihood needs counts alone: of its own value, of null and of the rest
+    among reads without conflict.  The best candidate's softmax share must reach
+    min_confidence, and it must not be null; else the path ends there.  confidence is that
+    of the last accepted rank.  What later columns use several times has a column of its own.
     """
-    ln = {k: math.log(getattr(p, k)) for k in ("p_match", "p_none", "p_error")}
-    codes = list(RANKS)
-    start = F.struct(*[F.lit(None).cast("string").alias(c) for c in codes], F.lit(1.0).alias("confidence"), F.lit(True).alias("going"), F.lit(0).alias("depth"))
-
-    def step(state: Column, k: int) -> Column:
-        code = codes[k]
-        # reads that agree so far or are null there
-        fitting = F.filter(paths, lambda x: _all([x["path"][c].isNull() | (x["path"][c] == state[c]) for c in codes[:k]]))
-        own = F.filter(paths, lambda x: x["path"][codes[k - 1]] == state[codes[k - 1]]) if k else paths
-        names = F.array_distinct(F.transform(own, lambda x: x["path"][code]))
-        total = _sum(fitting, lambda x: x["n"])
-        none = _sum(F.filter(fitting, lambda x: x["path"][code].isNull()), lambda x: x["n"])
-
-        def scored(v: Column) -> Column:
-            mine = _sum(F.filter(fitting, lambda x: x["path"][code] == v), lambda x: x["n"])
-            value = mine * ln["p_match"] + none * ln["p_none"] + (total - mine - none) * ln["p_error"]
-            empty = none * ln["p_match"] + (total - none) * ln["p_error"]
-            return F.struct(F.when(v.isNull(), empty).otherwise(value).alias("ll"), v.alias("v"))
-
-        ranked = F.transform(names, scored)
-        best = F.array_max(ranked)
-        share = F.lit(1.0) / F.aggregate(ranked, F.lit(0.0), lambda t, x: t + F.exp(x["ll"] - best["ll"]))
-        real = F.exists(names, lambda v: v.isNotNull())
-        accepted = state["going"] & real & (share >= p.min_confidence) & best["v"].isNotNull()
-        return F.struct(
-            *[(F.when(accepted, best["v"]) if c == code else state[c]).alias(c) for c in codes],
-            F.when(accepted, share).otherwise(state["confidence"]).alias("confidence"),
-            accepted.alias("going"),
-            F.when(accepted, k + 1).otherwise(state["depth"]).alias("depth"),
-        )
-
-    return start, step
+    ln = {n: math.log(getattr(p, n)) for n in ("p_match", "p_none", "p_error")}
+    codes, state = list(RANKS), F.col("_s")
+    code = codes[k]
+    own = F.filter("paths", lambda x: x["path"][codes[k - 1]] == state[codes[k - 1]]) if k else F.col("paths")
+    fitting = F.filter("paths", lambda x: _all([x["path"][c].isNull() | (x["path"][c] == state[c]) for c in codes[:k]]))
+    total, none, best = F.col("_total"), F.col("_none"), F.col("_best")
+
+    def scored(v: Column) -> Column:
+        mine = _sum(F.filter("_fitting", lambda x: x["v"] == v), lambda x: x["n"])
+        value = mine * ln["p_match"] + none * ln["p_none"] + (total - mine - none) * ln["p_error"]
+        empty = none * ln["p_match"] + (total - none) * ln["p_error"]
+        return F.struct(F.when(v.isNull(), empty).otherwise(value).alias("ll"), v.alias("v"))
+
+    share = F.try_divide(F.lit(1.0), F.aggregate("_ranked", F.lit(0.0), lambda t, x: t + F.exp(x["ll"] - best["ll"])))
+    accepted = state["going"] & F.exists("_names", lambda v: v.isNotNull()) & (F.col("_share") >= p.min_confidence) & best["v"].isNotNull()
+    ok = F.col("_ok")
+    return [
+        ("_names", F.array_distinct(F.transform(own, lambda x: x["path"][code]))),
+        ("_fitting", F.transform(fitting, lambda x: F.struct(x["path"][code].alias("v"), x["n"].alias("n")))),
+        ("_total", _sum(F.col("_fitting"), lambda x: x["n"])),
+        ("_none", _sum(F.filter("_fitting", lambda x: x["v"].isNull()), lambda x: x["n"])),
+        ("_ranked", F.transform("_names", scored)),
+        ("_best", F.array_max("_ranked")),
+        ("_share", share),
+        ("_ok", F.coalesce(accepted, F.lit(False))),
+        ("_s", F.struct(*[(F.when(ok, best["v"]) if c == code else state[c]).alias(c) for c in codes], F.when(ok, F.col("_share")).otherwise(state["confidence"]).alias("confidence"), ok.alias("going"), F.when(ok, k + 1).otherwise(state["depth"]).alias("depth"))),
+    ]
 
 
 def _all(conditions: list[Column]) -> Column:

@@ -20,13 +20,13 @@ def path_counts(packets: DataFrame) -> DataFrame:
 def consensus(counts: DataFrame, p: Consensus = Consensus()) -> DataFrame:
     """(cell, total_16s, noise, path, confidence, contamination) from path_counts()' rows.
 
-    A chain of seven projections, a rank each; each is a step of the cell's own array.
+    A chain of projections, a few for each rank, over the cell's own array.
     """
     cells = counts.groupBy("cell").agg(F.collect_list(F.struct("path", "n")).alias("paths"), F.sum("n").alias("total_16s"))
-    state, step = stats.rank_consensus(F.col("paths"), p)
-    out = cells.withColumn("_s", state)
+    out = cells.withColumn("_s", stats.consensus_start())
     for k in range(len(S.RANKS)):
-        out = out.withColumn("_s", step(F.col("_s"), k))
+        for name, column in stats.consensus_steps(k, p):
+            out = out.withColumn(name, column)
     codes = list(S.RANKS)
     rank = F.greatest(F.col("_s.depth") - 1, F.lit(0))
     value = lambda path: F.element_at(F.array(*[path[c] for c in codes]), rank + 1)
