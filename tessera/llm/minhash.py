@@ -7,12 +7,14 @@
 3. In a bucket, classes aren't paired with one another: each is paired with the bucket's
    centre, the class that shares most buckets with others (the base of a group of near
    copies).  Pairs are verified on full sets.
-4. Members that the centre didn't settle are paired with further centres, chosen by hash
-   and per bucket, as long as that finds links, and at least MORE_ROUNDS times; in a bucket
-   of two or three classes, every pair is verified by then.
+4. Buckets whose members are still in several components get more centres, chosen by hash,
+   MORE_CENTRES times as many a round, until each member outside the component of the first
+   centre has been one.  So each pair of a bucket is verified or in one component, or can't
+   be similar: by its sizes, or by how many bits differ between its sets' parities.
 5. Connected components of the verified links.
 
-Candidates grow with the classes, not with pairs.  Two classes at the threshold share no
+Candidates grow with the classes where centres settle a bucket, and with the pairs of classes
+that are in different components where they don't.  Two classes at the threshold share no
 bucket with a chance of (1 - 0.85**4)**24, about 1e-8 (at 0.8, 3e-6).
 """
 
@@ -30,9 +32,9 @@ from tessera.llm.common import blocks, forget_shuffles, mix, prefix_hash, releas
 
 BANDS, ROWS = 24, 4
 BINS = BANDS * ROWS
-MORE_ROUNDS = 2
-#: Rounds beyond which members that no centre settled stay apart; see the README for measured recall.
-MOST_ROUNDS = 6
+MORE_CENTRES = 4
+#: 64-bit words of a set's parities.
+PARITY = 16
 PROBES = 128
 
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -103,6 +105,14 @@ def sketches(hashes: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return dense
 
 
+def parities(hashes: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Texts by PARITY words: whether an odd number of hashes falls to each bit. As many bits as differ between two texts, so many hashes at least aren't in both."""
+    n, bits = len(offsets) - 1, 64 * PARITY
+    bit = (mix(hashes ^ np.uint64(0x2545F4914F6CDD1D)) % np.uint64(bits)).astype(np.int64)
+    odd = np.bincount(np.repeat(np.arange(n), np.diff(offsets)) * bits + bit, minlength=n * bits) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64).reshape(n, PARITY)
+
+
 def _signatures(words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -127,7 +137,8 @@ def _sets(words: int):
             for i, j, data, offsets in blocks(batch.column(1)):
                 hashes, at = shingle_sets(data, offsets, words)
                 lists = pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), pa.array(hashes.view(np.int64)))
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), lists], names=["id", "hashes"])
+                bits = pa.ListArray.from_arrays(pa.array(np.arange(j - i + 1, dtype=np.int32) * PARITY), pa.array(parities(hashes, at).reshape(-1)))
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), lists, bits], names=["id", "hashes", "bits"])
 
     return run
 
@@ -174,48 +185,59 @@ def near_duplicates(docs: DataFrame, words: int = 5, similar: int = 80, id_col:
     release(twice, met)
     wanted = shared.select("id").distinct()
     # a merge join at every size: the ids wanted grow with the input and are never broadcast
-    sets = stored(own.join(wanted.hint("merge"), "id").mapInArrow(_sets(words), "id long, hashes array<long>").dropDuplicates(["id"]), "shingles")
+    sets = stored(own.join(wanted.hint("merge"), "id").mapInArrow(_sets(words), "id long, hashes array<long>, bits array<long>").dropDuplicates(["id"]), "shingles")
     forget_shuffles(docs.sparkSession)
     scratch = [shared, sets]
 
-    def pairs(rows: DataFrame, centre) -> DataFrame:
-        """Each row's pair with its bucket's centre, where their sizes and components allow a new link."""
-        chosen = stored(rows.groupBy("h").agg(F.max_by(F.struct("id", "n", "c"), centre).alias("to")), "centres")
-        scratch.append(chosen)
-        apart = rows.join(chosen, "h").where((F.col("c") != F.col("to.c")) & (100 * F.least("n", "to.n") >= similar * F.greatest("n", "to.n")))
+    def pairs(rows: DataFrame, chosen: DataFrame, able=F.lit(True)) -> DataFrame:
+        """Each row's pairs with its bucket's centres, where their sizes and components (and what else is asked) allow a new link."""
+        apart = rows.join(chosen, "h").where((F.col("c") != F.col("to.c")) & (100 * F.least("n", "to.n") >= similar * F.greatest("n", "to.n")) & able)
         return apart.select(F.least("id", "to.id").alias("a"), F.greatest("id", "to.id").alias("b")).distinct()
 
     def verified(asked: DataFrame) -> DataFrame:
-        left, right = sets.toDF("a", "left"), sets.toDF("b", "right")
+        left, right = sets.select(F.col("id").alias("a"), F.col("hashes").alias("left")), sets.select(F.col("id").alias("b"), F.col("hashes").alias("right"))
         met = asked.join(right.hint("merge"), "b").join(left.hint("merge"), "a").withColumn("i", F.size(F.array_intersect("left", "right")))
         return met.where(F.lit(100) * F.col("i") >= F.lit(similar) * (F.size("left") + F.size("right") - F.col("i"))).select("a", "b")
 
-    asked = stored(pairs(shared.withColumn("c", F.col("id")), F.struct("weight", -F.col("id"))), "asked")
+    heavy = F.struct("weight", -F.col("id"))
+    alone = shared.withColumn("c", F.col("id"))
+    first = stored(alone.groupBy("h").agg(F.max_by(F.struct("id", "n", "c"), heavy).alias("to")), "centres")
+    asked = stored(pairs(alone, first), "asked")
     links = stored(verified(asked), "links")
-    scratch += [asked, links]
+    scratch += [first, asked, links]
     label = components(links)
-    for turn in range(MOST_ROUNDS):
+    # of a pair, as many hashes at least are in one set only as parities differ
+    differ = sum((F.bit_count(F.col("bits")[k].bitwiseXOR(F.col("to.bits")[k])) for k in range(PARITY)), F.lit(0))
+    able = differ * (100 + similar) <= (100 - similar) * (F.col("n") + F.col("to.n"))
+    centres, whole = 1, False
+    while not whole:
+        centres *= MORE_CENTRES
         # buckets whose members are still in several components
         named = shared.join(label.withColumnRenamed("node", "id"), "id", "left").select("h", "id", "n", "weight", F.coalesce("component", "id").alias("c"))
         named = stored(named, "named")
-        mixed = stored(named.groupBy("h").agg(F.min("c").alias("c0"), F.max("c").alias("c1")).where("c0 != c1").select("h"), "mixed")
-        more = pairs(named.join(mixed, "h"), F.struct(F.xxhash64("h", "id", F.lit(turn)), "id")).join(asked, ["a", "b"], "left_anti")
-        more = stored(more, "asked")
-        release(named, mixed)
+        mixed = named.groupBy("h").agg(F.min("c").alias("c0"), F.max("c").alias("c1"), F.max_by("c", heavy).alias("home"), F.count(F.lit(1)).alias("size")).where("c0 != c1")
+        mixed = stored(mixed.select("h", "home", "size"), "mixed")
+        largest = mixed.agg(F.max("size")).first()[0]
+        if largest is None:
+            release(named, mixed)
+            break
+        # of two members of different components, one at least isn't at home, and the last round has all of those as centres
+        whole = centres >= largest
+        rows = stored(named.join(mixed, "h").join(sets.select("id", "bits").hint("merge"), "id"), "apart")
+        at = F.pmod(F.xxhash64("h", "id"), F.col("size"))
+        chosen = rows.where((F.col("c") != F.col("home")) & (at < centres)).select("h", F.struct("id", "n", "c", "bits").alias("to"))
+        more = stored(pairs(rows, chosen.hint("merge"), able).join(asked, ["a", "b"], "left_anti"), "asked")
+        release(named, mixed, rows)
         scratch.append(more)
         if more.isEmpty():
-            break
+            continue
+        asked = asked.union(more)
         found = stored(verified(more), "links")
         scratch.append(found)
-        none = found.isEmpty()
-        if not none:
-            links, asked = links.union(found), asked.union(more)
+        if not found.isEmpty():
+            links = links.union(found)
             release(label)
             label = components(links)
-        else:
-            asked = asked.union(more)
-        if none and turn + 1 >= MORE_ROUNDS:
-            break
     known = classes.select("d0", "d1", F.col("n").alias("n_class"), F.col("id").alias("first")).join(label.withColumnRenamed("node", "first"), "first", "left")
     known = stored(known.select("d0", "d1", "n_class", F.coalesce("component", "first").alias("c")), "known")
     release(classes, label, *scratch)

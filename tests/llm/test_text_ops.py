@@ -86,6 +86,31 @@ def test_near_duplicates(spark, words, similar):
     assert minhash.near_duplicates(empty(spark)).count() == 0
 
 
+def loose_variants(n=600, length=200, edits=0.04, seed=3):
+    """Variants of one text that isn't itself a row."""
+    r = random.Random(seed)
+    base = [f"w{k}" for k in range(length)]
+    return [(k, " ".join(f"x{k}y{p}" if r.random() < edits else w for p, w in enumerate(base))) for k in range(n)]
+
+
+def test_near_duplicates_of_loosely_similar_variants(spark):
+    rows = loose_variants()
+    want, _ = brute_components(rows, 3, 85)
+    assert max(map(list(want.values()).count, set(want.values()))) > 50
+    got = minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), 3, 85).collect()
+    assert {r.doc_id: r.component_id for r in got} == want
+
+
+def test_parities_bound_what_differs():
+    r = np.random.default_rng(2)
+    for size in (1, 40, 3000):
+        a = np.unique(r.integers(0, 1 << 62, size, dtype=np.uint64))
+        b = np.unique(np.r_[a[: size * 9 // 10], r.integers(0, 1 << 62, 1 + size // 10, dtype=np.uint64)])
+        x, y = minhash.parities(np.r_[a, b], np.array([0, len(a), len(a) + len(b)]))
+        assert 0 < np.bitwise_count((x ^ y).view(np.uint64)).sum() <= len(np.setxor1d(a, b))
+    assert not minhash.parities(np.zeros(0, np.uint64), np.zeros(3, np.int64)).any()
+
+
 def test_densified_sketches_estimate_similarity():
     r = np.random.default_rng(1)
     for size in (3, 40, 2000):
