@@ -1,4 +1,9 @@
-"""SentencePiece encoding and decoding: an Aho-Corasick automaton over the pieces drives a single-pass Viterbi."""
+"""SentencePiece encoding and decoding: an Aho-Corasick automaton over the pieces drives a single pass.
+
+For a unigram model that is a Viterbi over the sums of scores.  A BPE model's scores are ranks
+of merges: of the pieces that end at a place, that is the last one of the text up to there
+which merges leave apart from the last one before it.
+"""
 
 from __future__ import annotations
 
@@ -25,7 +30,7 @@ UNKNOWN_COST = 10.0
 class Pieces:
     """A vocabulary's automaton: goto edges, failure links, and output links to the next shorter piece that ends at the same place."""
 
-    def __init__(self, pieces: list[str], scores: list[float], usable: list[bool], byte_ids: list[int], unknown_id: int):
+    def __init__(self, pieces: list[str], scores: list[float], usable: list[bool], byte_ids: list[int], unknown_id: int, bpe: bool = False):
         self.pieces, self.scores, self.byte_ids, self.unknown_id = pieces, scores, byte_ids, unknown_id
         self.floor = min([s for s, u in zip(scores, usable) if u], default=0.0) - UNKNOWN_COST
         self.edges: list[dict[str, int]] = [{}]
@@ -65,17 +70,25 @@ class Pieces:
             self.raw[i] = bytes([value])
         self.plain = all(SPACE not in p.lstrip(SPACE) for p, u in zip(pieces, usable) if u)
         self.known: dict[str, bytes] = {}
+        self.bpe, self.apart = bpe, {}
+        if bpe:
+            self.rank = {p: (-s, i) for i, (p, s, u) in enumerate(zip(pieces, scores, usable)) if u and p}
+            # pieces that merges don't reach never come up
+            reached = {i for p, (_, i) in self.rank.items() if len(self.merged(p)) == 1}
+            self.outputs = [tuple(o for o in found if o[2] in reached) for found in self.outputs]
 
     @classmethod
     def load(cls, path: str) -> Pieces:
         import sentencepiece
+        from sentencepiece import sentencepiece_model_pb2
 
         model = sentencepiece.SentencePieceProcessor(model_file=path)
+        spec = sentencepiece_model_pb2.ModelProto.FromString(model.serialized_model_proto())
         n = model.get_piece_size()
         pieces = [model.id_to_piece(i) for i in range(n)]
         byte_ids = [model.piece_to_id(f"<0x{b:02X}>") for b in range(256)] if any(map(model.is_byte, range(n))) else []
         usable = [not (model.is_control(i) or model.is_unknown(i) or model.is_byte(i) or model.is_unused(i)) for i in range(n)]
-        return cls(pieces, [model.get_score(i) for i in range(n)], usable, byte_ids, model.unk_id())
+        return cls(pieces, [model.get_score(i) for i in range(n)], usable, byte_ids, model.unk_id(), spec.trainer_spec.model_type == spec.trainer_spec.BPE)
 
     def viterbi(self, text: str) -> list[int]:
         """Ids of the segmentation with the largest sum of scores, in one pass; of equal ones, that with the longer last piece. text has SPACE for blanks."""
@@ -104,13 +117,61 @@ class Pieces:
             n = begin
         return out[::-1]
 
+    def merged(self, text: str) -> list[str]:
+        """Characters merged by rank, the leftmost of equal ones first; for texts of a piece or two."""
+        parts, rank = list(text), self.rank
+        while True:
+            found = [(rank[x + y][0], k) for k, (x, y) in enumerate(zip(parts, parts[1:])) if x + y in rank]
+            if not found:
+                return parts
+            k = min(found)[1]
+            parts[k : k + 2] = [parts[k] + parts[k + 1]]
+
+    def merges(self, text: str) -> list[int]:
+        """Ids of a BPE model's encoding, in one pass. text has SPACE for blanks."""
+        n = len(text)
+        back = [(-1, 0)] * (n + 1)
+        edges, fail, outputs, apart, state = self.edges, self.fail, self.outputs, self.apart, 0
+        for end, c in enumerate(text, 1):
+            while state and c not in edges[state]:
+                state = fail[state]
+            state = edges[state].get(c, 0)
+            back[end] = (-1, end - 1)
+            for length, _, i in outputs[state]:
+                before = back[end - length][0]
+                if before >= 0:
+                    whole = apart.get((before, i))
+                    if whole is None:
+                        if len(apart) > KNOWN_UNITS:
+                            apart.clear()
+                        two = [self.pieces[before], self.pieces[i]]
+                        whole = apart[before, i] = self.merged(two[0] + two[1]) == two
+                    if not whole:
+                        continue
+                back[end] = (i, end - length)
+                break
+        out: list[int] = []
+        while n:
+            i, begin = back[n]
+            if i >= 0:
+                out.append(i)
+            elif self.byte_ids:
+                out.extend(self.byte_ids[b] for b in reversed(text[begin:n].encode("utf-8", "surrogatepass")))
+            else:
+                out.append(self.unknown_id)
+            n = begin
+        return out[::-1]
+
+    def segmented(self, text: str) -> list[int]:
+        return self.merges(text) if self.bpe else self.viterbi(text)
+
     def encode(self, text: str) -> np.ndarray:
         """Ids of a whole text: a space goes before it, and blanks count as SPACE."""
         if not text:
             return np.zeros(0, np.int32)
         text = SPACE + text.replace(" ", SPACE)
         if not self.plain:
-            return np.array(self.viterbi(text), np.int32)
+            return np.array(self.segmented(text), np.int32)
         known, units = self.known, UNIT.findall(text)
         new = set(units).difference(known)
         if new:
@@ -118,7 +179,7 @@ class Pieces:
                 known.clear()
                 new = set(units)
             for u in new:
-                known[u] = np.array(self.viterbi(u), np.int32).tobytes()
+                known[u] = np.array(self.segmented(u), np.int32).tobytes()
         return np.frombuffer(b"".join(map(known.__getitem__, units)), np.int32)
 
     def decode(self, ids: np.ndarray) -> str:

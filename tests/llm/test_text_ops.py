@@ -287,6 +287,17 @@ def test_level_array_takes_the_smallest_sum_of_squares():
         assert sum(x * x for x in counts) == best[0]
 
 
+def test_ids_are_the_models_own():
+    import sentencepiece
+
+    r, model, own = random.Random(5), pieces.Pieces.load(MODEL), sentencepiece.SentencePieceProcessor(model_file=MODEL)
+    known = [own.id_to_piece(i).replace(pieces.SPACE, " ") for i in range(259, own.get_piece_size())]
+    texts = [" ".join(r.choice(known) for _ in range(8)) for _ in range(500)] + ["".join(r.choice(known) for _ in range(8)) for _ in range(1500)]
+    texts += ["".join(r.choice("  aetnihs\n.0é🧿") for _ in range(r.randint(0, 60))) for _ in range(1500)] + ["a" + " " * k + "b" for k in range(40)] + ["unbelievably internationalisation", "▁x"]
+    texts += ["".join(r.choice("etaoinshrdlucmfw") for _ in range(r.randint(1, 30))) for _ in range(1500)]
+    assert [t for t in texts if model.encode(t).tolist() != own.encode(t)] == []
+
+
 def test_pieces(spark):
     model = pieces.Pieces.load(MODEL)
     for text in ("", " ", "Hello  World\n\té 😀 x", "the theatre", "a" * 50):
