@@ -113,6 +113,19 @@ def pool_score(chosen: DataFrame, scores: DataFrame) -> DataFrame:
     return own.agg(F.avg("delta_g").alias("avg_score"), F.min("delta_g").alias("min_score")).withColumn("rank_score", F.col("avg_score") + F.col("min_score"))
 
 
+class Scores(dict):
+    """Dimer scores that are worked out when they are first asked for."""
+
+    def __init__(self, oligos: dict[str, tuple[str, str]], energy):
+        super().__init__()
+        self.oligos, self.energy = oligos, energy
+
+    def __missing__(self, ids: tuple[str, str]) -> float:
+        own = [o[-OLIGO:] for i in ids for o in self.oligos[i]]
+        score = self[ids] = min(self.energy(x, y) for x in own for y in own)
+        return score
+
+
 def anneal(genes: list[list[str]], scores: dict[tuple[str, str], float], fixed: int, cycles: int, temperature: float, beta: float, seed: int) -> tuple[float, float, float, list[str]]:
     """One chain of a given number of cycles: (rank, average, minimum, pairs) of the best set it proposed.
 
@@ -149,27 +162,30 @@ def anneal(genes: list[list[str]], scores: dict[tuple[str, str], float], fixed:
     return (*best, best_set)
 
 
-def anneal_chains(candidates: DataFrame, scores: DataFrame, fixed: int = 0, chains: int = 200, cycles: int = 2000, temperature: float = 600.0, beta: float = 0.997, top: int = 10, seed: int = 0) -> DataFrame:
+def anneal_chains(candidates: DataFrame, scores: DataFrame | None, fixed: int = 0, chains: int = 200, cycles: int = 2000, temperature: float = 600.0, beta: float = 0.997, top: int = 10, seed: int = 0, energy=dimer_energy) -> DataFrame:
     """The best sets of independent chains: (chain, rank_score, avg_score, min_score, primers), top of them.
 
     Candidates and scores of a panel, some hundred pairs a gene, go to every chain; their
-    number is checked.
+    number is checked.  Without scores, each chain scores the pairs that it meets itself, so
+    that all pairs of many candidates needn't be scored.
     """
     spark = candidates.sparkSession
-    rows = candidates.select("gene_idx", "primer_id").orderBy("gene_idx", "primer_id").limit(100_001).collect()
+    rows = candidates.select("gene_idx", "primer_id", "fwd", "rev").orderBy("gene_idx", "primer_id").limit(100_001).collect()
     if len(rows) > 100_000:
         raise ValueError("more candidates than a chain can hold")
     genes: dict[int, list[str]] = {}
     for r in rows:
         genes.setdefault(r["gene_idx"], []).append(r["primer_id"])
-    known = {(r["id_lo"], r["id_hi"]): r["delta_g"] for r in scores.collect()}
-    shared = spark.sparkContext.broadcast(([genes[k] for k in sorted(genes)], known))
+    known = {(r["id_lo"], r["id_hi"]): r["delta_g"] for r in scores.collect()} if scores is not None else None
+    oligos = {r["primer_id"]: (r["fwd"], r["rev"]) for r in rows} if scores is None else None
+    shared = spark.sparkContext.broadcast(([genes[k] for k in sorted(genes)], known, oligos))
 
     def run(batches):
         for pdf in batches:
             out = []
             for chain in pdf["chain"]:
-                g, s = shared.value
+                g, s, o = shared.value
+                s = Scores(o, energy) if s is None else s
                 rank, avg, low, chosen = anneal(g, s, fixed, cycles, temperature, beta, seed + int(chain))
                 out.append({"chain": int(chain), "rank_score": rank, "avg_score": avg, "min_score": low, "primers": chosen})
             yield pd.DataFrame(out, columns=["chain", "rank_score", "avg_score", "min_score", "primers"])

@@ -604,9 +604,9 @@ def q54_primer_validation(spark, sf_dir):
 _pool = "pr AS (SELECT p_partkey % 5 AS gene_idx, concat('p', CAST(p_partkey AS STRING)) AS primer_id, substr(translate(md5(concat('f', CAST(p_partkey AS STRING))), '0123456789abcdef', 'ACGTACGTACGTACGT'), 1, 20) AS fwd, substr(translate(md5(concat('r', CAST(p_partkey AS STRING))), '0123456789abcdef', 'ACGTACGTACGTACGT'), 1, 20) AS rev FROM {part} WHERE p_partkey <= 40)"
 
 
-def _pool_df(spark, sf_dir) -> DataFrame:
+def _pool_df(spark, sf_dir, whole: bool = False) -> DataFrame:
     part = spark.read.parquet(f"{sf_dir}/part.parquet")
-    return spark.sql("WITH " + _pool + " SELECT CAST(gene_idx AS INT) AS gene_idx, CAST(gene_idx AS STRING) AS gene, primer_id, fwd, rev FROM pr", part=part)
+    return spark.sql("WITH " + (_pool.replace(" WHERE p_partkey <= 40", "") if whole else _pool) + " SELECT CAST(gene_idx AS INT) AS gene_idx, CAST(gene_idx AS STRING) AS gene, primer_id, fwd, rev FROM pr", part=part)
 
 
 def _levenshtein_score(a: str, b: str) -> float:
@@ -634,8 +634,7 @@ def q56_pool_score(spark, sf_dir):
 
 @query()
 def q57_annealing(spark, sf_dir):
-    pool = _pool_df(spark, sf_dir)
-    out = primers.anneal_chains(pool, primers.dimer_scores(pool, _levenshtein_score), fixed=1, chains=8, cycles=200, top=3)
+    out = primers.anneal_chains(_pool_df(spark, sf_dir, whole=True), None, fixed=1, energy=_levenshtein_score)
     return out.select("chain", "rank_score", "avg_score", "min_score", F.concat_ws(",", "primers").alias("primers"))
 
 

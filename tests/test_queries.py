@@ -43,5 +43,10 @@ def test_query_runs(spark, name):
     assert queries.QUERIES[name](spark, SF).count() >= 0
 
 
+def test_annealing_takes_all_parts(spark):
+    rows = queries.q57_annealing(spark, SF).collect()
+    assert len(rows) == 10 and max(int(p[1:]) for r in rows for p in r.primers.split(",")) > 40
+
+
 def test_flagship(spark):
     assert queries.flagship(spark, SF).count() > 0

@@ -143,6 +143,12 @@ def test_empty_reports_have_headers(spark, tmp_path):
     assert next((tmp_path / "t").glob("*")).read_text() == "a\tb\n"
 
 
+def test_chains_score_what_they_meet(spark):
+    pool = spark.createDataFrame([(g, f"g{g}", f"g{g}_{k}", "ACGTACGTACGTACGTACG" + "ACGT"[k], "TTGGCCAATTGGCCAATT" + "ACGT"[g]) for g in range(3) for k in range(4)], primers.CANDIDATES)
+    asked = {"fixed": 1, "chains": 3, "cycles": 300, "top": 3}
+    assert primers.anneal_chains(pool, None, **asked).collect() == primers.anneal_chains(pool, primers.dimer_scores(pool), **asked).collect()
+
+
 def test_primer_pools(spark):
     rows = [(g, f"g{g}", f"g{g}_{k}", "ACGTACGTACGTACGTACG" + "ACGT"[k], "TTGGCCAATTGGCCAATT" + "ACGT"[g]) for g in range(3) for k in range(4)]
     pool = primers.with_fixed(spark.createDataFrame(rows, primers.CANDIDATES), [("ad", "ACGTTT", "GGGAAA")])
