@@ -11,9 +11,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """spark.checkpoint.dir, or a local folder where it is unset."""
+    """spark.checkpoint.dir; where it is unset, a folder of this machine, for local sessions only."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        if not spark.sparkContext.master.split("[")[0] == "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         folder = "file://" + tempfile.mkdtemp(prefix="tessera-")
         spark.conf.set("spark.checkpoint.dir", folder)
     return folder.rstrip("/")
@@ -37,14 +39,18 @@ def stored(df: DataFrame, what: str, codec: str = "none") -> DataFrame:
     return table
 
 
+def delete(spark: SparkSession, path: str) -> None:
+    """Delete a file or folder of any file system that Spark reaches."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def release(*tables: DataFrame) -> None:
     """Delete stored() tables that nothing reads any more."""
     for table in tables:
         path = getattr(table, "_stored_at", None)
         if path:
-            jvm = table.sparkSession._jvm
-            place = jvm.org.apache.hadoop.fs.Path(path)
-            place.getFileSystem(table.sparkSession._jsc.hadoopConfiguration()).delete(place, True)
+            delete(table.sparkSession, path)
 
 
 def forget_shuffles(spark: SparkSession) -> None:
