@@ -8,10 +8,9 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from tessera.llm.common import blocks, mix, text_batches
-from tessera.llm.spans import cut
+from tessera.llm.common import blocks, mix
+from tessera.llm.spans import RUNS, Mapper, cut, dealt, documents, settled, spans_of
 
 #: Bytes of a chunk: never below the least but at a text's end, never above the most; about LEAST + 2**BITS on average.
 LEAST, MOST, BITS = 48, 384, 5
@@ -19,6 +18,10 @@ LEAST, MOST, BITS = 48, 384, 5
 GEAR = (mix(np.arange(1001, 1257, dtype=np.uint64)) >> np.uint64(32)).astype(np.uint32)
 
 
+#: Bytes that are hashed at a time.
+STRETCH = 1 << 20
+
+
 def gear_hash(data: np.ndarray) -> np.ndarray:
     """The gear hash at each byte: h = 2 h + gear(byte) modulo 2**32, that is, the last 32 bytes'."""
     h = GEAR[data]
@@ -34,7 +37,12 @@ def chunk_ends(data: np.ndarray, offsets: np.ndarray, least: int, most: int, bit
     if not len(data):
         none = np.zeros(0, np.int64)
         return none, none, none
-    places = np.flatnonzero(gear_hash(data) >> np.uint32(32 - bits) == 0) + 1
+    # in stretches, each behind the 31 bytes that its first hash depends on: a very long text takes no more memory
+    found = []
+    for begin in range(0, len(data), STRETCH):
+        lead = min(begin, 31)
+        found.append(np.flatnonzero(gear_hash(data[begin - lead : begin + STRETCH])[lead:] >> np.uint32(32 - bits) == 0) + (begin + 1))
+    places = np.concatenate(found)
     cuts = np.searchsorted(places, offsets)
     places = places.tolist()
     rows, begins, ends = [], [], []
@@ -63,68 +71,44 @@ def chunk_ends(data: np.ndarray, offsets: np.ndarray, least: int, most: int, bit
     return np.array(rows, np.int64), np.array(begins, np.int64), np.array(ends, np.int64)
 
 
-def repeated_chunks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: int = LEAST, most: int = MOST, bits: int = BITS) -> DataFrame:
-    """Spans (_doc, _begin, _end) of chunks whose digest an earlier chunk has (smaller id, or same document, earlier place).
+def repeated_chunks(own: DataFrame, least: int = LEAST, most: int = MOST, bits: int = BITS) -> DataFrame:
+    """Spans (_doc, _dig, _begin, _end) of chunks whose digest an earlier chunk has (smaller document, or same document, earlier place).
 
-    Chunks below least bytes, texts' ends, stay.  Mappers settle repeats inside their own
-    block and send one chunk of a digest; what arrives is streamed in order, so that a
-    digest in very many documents needs no memory.
+    own: from documents().  Chunks below least bytes, texts' ends, stay, but where they are
+    a whole text.  Mappers settle repeats among very many chunks and send one of a digest;
+    what arrives is streamed in order, so that a digest in very many documents needs no
+    memory.
     """
-    text_batches(docs.sparkSession)
-    own = docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).alias("_text")).where("_id is not null")
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        mapper = Mapper()
         for batch in batches:
-            ids = batch.column(0).to_numpy()
-            for i, j, data, offsets in blocks(batch.column(1)):
+            ids, digs = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            for i, j, data, offsets in blocks(batch.column(2)):
                 rows, begins, ends = chunk_ends(data, offsets, least, most, bits)
-                long = ends - begins >= least
+                whole = (begins == offsets[rows]) & (ends == offsets[rows + 1])
+                long = (ends - begins >= least) | whole
                 rows, begins, ends = rows[long], begins[long], ends[long]
                 raw = data.tobytes()
                 digests = b"".join([hashlib.blake2b(raw[b:e], digest_size=16).digest() for b, e in zip(begins.tolist(), ends.tolist())])
                 d = np.frombuffer(digests, np.int64).reshape(-1, 2)
-                doc, at, size = ids[i:j][rows], begins - offsets[rows], ends - begins
-                order = np.lexsort((at, doc, d[:, 1], d[:, 0]))
-                d, doc, at, size = d[order], doc[order], at[order], size[order]
-                new = np.r_[True, (d[1:] != d[:-1]).any(1)] if len(d) else np.zeros(0, bool)
-                head = np.flatnonzero(new)[np.cumsum(new) - 1] if len(d) else order
-                later = (doc != doc[head]) | (at != at[head])
-                yield pa.RecordBatch.from_arrays([pa.array(x) for x in (d[:, 0].copy(), d[:, 1].copy(), doc, at << 16 | size << 1 | later)], names=["d0", "d1", "doc", "place"])
+                at, size = begins - offsets[rows], ends - begins
+                yield from mapper.add(d[:, 0], d[:, 1], ids[i:j][rows], digs[i:j][rows], at, at + size, size)
+        yield from mapper.flush()
 
     def settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, head = None, None
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            d0, d1, doc, place = (c.to_numpy() for c in batch.columns)
-            local = place & 1 == 1
-            gone = local.copy()
-            f = np.flatnonzero(~local)
-            if len(f):
-                new = np.r_[(int(d0[f[0]]), int(d1[f[0]])) != last, (np.diff(d0[f]) != 0) | (np.diff(d1[f]) != 0)]
-                starts = np.flatnonzero(new)
-                which = np.cumsum(new) - 1
-                if len(starts):
-                    own_head = f[starts[np.maximum(which, 0)]]
-                    gone[f] = (which >= 0) & ((doc[f] != doc[own_head]) | (place[f] >> 16 != place[own_head] >> 16))
-                before = which < 0
-                if before.any():
-                    gone[f[before]] = (doc[f[before]] != head[0]) | (place[f[before]] >> 16 != head[1])
-                if len(starts):
-                    h = f[starts[-1]]
-                    last, head = (int(d0[h]), int(d1[h])), (int(doc[h]), int(place[h] >> 16))
-            begin = place[gone] >> 16
-            yield pa.RecordBatch.from_arrays([pa.array(doc[gone]), pa.array(begin), pa.array(begin + (place[gone] >> 1 & 0x7FFF))], names=["_doc", "_begin", "_end"])
-
-    chunks = own.mapInArrow(split, "d0 long, d1 long, doc long, place long").repartition("d0", "d1")
-    ordered = chunks.sortWithinPartitions("d0", "d1", "doc", "place")
-    return ordered.mapInArrow(settle, "_doc long, _begin long, _end long")
+        return settled(batches, lambda place: (place >> 20) + (place >> 2 & 0x3FFFF), False)
+
+    return spans_of(dealt(own.mapInArrow(split, RUNS)).mapInArrow(settle, RUNS))
 
 
 def chunk_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: bool = False) -> DataFrame:
     """Remove chunks whose bytes an earlier chunk has: with keep docs with texts cut, else (id, n_bytes, n_removed, n_spans, kept_sha256).
 
-    Null or empty text: nothing to remove.  Null id: untouched.  Repeated rows with one id
-    count as one document.  Empty table: no rows.
+    Null or empty text: nothing to remove.  Null id: untouched.  Ids that aren't integers:
+    a TypeError.  Repeated rows (same id and text) count as one document, each with its
+    spans; different texts of one id are documents one after another, by a hash of the
+    text.  Empty table: no rows.  Other columns go along with keep, whatever their names.
     """
-    return cut(docs, repeated_chunks(docs, id_col, text_col), id_col, text_col, keep)
+    own, dig = documents(docs, id_col, text_col)
+    return cut(docs, repeated_chunks(own), dig, id_col, text_col, keep)

@@ -2,25 +2,38 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame
+from pyspark.sql import types as T
 
-from tessera.storage import forget_shuffles, fresh_path, release, shared_folder, stored
+from tessera.storage import delete, forget_shuffles, fresh_path, release, shared_folder, stored
 
-__all__ = ["blocks", "bytes_of", "forget_shuffles", "fresh_path", "mix", "powers", "prefix_hash", "release", "shared_folder", "span_hash", "stored", "text_batches"]
+__all__ = ["blocks", "bytes_of", "delete", "forget_shuffles", "fresh_path", "integer_id", "mix", "portions", "powers", "prefix_hash", "release", "shared_folder", "span_hash", "stored", "stretches"]
 
-#: Rows in an Arrow batch of whole texts; 10,000 (the default) rows of long texts don't fit a worker.
-TEXT_ROWS = 1000
+#: Bytes of text that a worker has as Python objects at a time; one longer text counts as a portion of its own.
+PORTION = 8 << 20
 
 
-def text_batches(spark: SparkSession) -> None:
-    """Keep Arrow batches of whole texts small."""
-    if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch", "10000")) > TEXT_ROWS:
-        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(TEXT_ROWS))
+def integer_id(df: DataFrame, id_col: str) -> None:
+    """Refuse ids that aren't integers before any work is done: earlier and smaller are defined on integers."""
+    kind = df.schema[id_col].dataType
+    if not isinstance(kind, T.IntegralType):
+        raise TypeError(f"{id_col} must hold integers, not {kind.simpleString()}")
+
+
+def portions(batches: Iterator[pa.RecordBatch], text: Callable[[pa.RecordBatch], pa.Array] = lambda b: b.column(1), limit: int = PORTION) -> Iterator[pa.RecordBatch]:
+    """Batches in slices of about limit bytes of their text column; Spark bounds a batch by bytes as well, but at 64 MB."""
+    for batch in batches:
+        _, offsets = bytes_of(text(batch))
+        i, n = 0, batch.num_rows
+        while i < n:
+            j = max(i + 1, int(np.searchsorted(offsets, offsets[i] + limit, "right")) - 1)
+            yield batch.slice(i, j - i)
+            i = j
 
 
 def bytes_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -45,6 +58,21 @@ def blocks(column: pa.Array, limit: int = 1 << 20) -> Iterator[tuple[int, int, n
         i = j
 
 
+def stretches(column: pa.Array, overlap: int, limit: int = 1 << 20) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, int]]:
+    """blocks(), but a row of more than two limits comes in stretches, each with overlap bytes of the next one.
+
+    So (first row, row after the last, bytes, offsets from 0, where in the row's text they
+    begin): every string of overlap + 1 bytes begins in one stretch, and ends there.
+    """
+    for i, j, data, offsets in blocks(column, limit):
+        if j - i > 1 or len(data) <= 2 * limit:
+            yield i, j, data, offsets, 0
+            continue
+        for base in range(0, max(1, len(data) - overlap), limit):
+            part = data[base : base + limit + overlap]
+            yield i, j, part, np.array([0, len(part)], np.int64), base
+
+
 def mix(h: np.ndarray) -> np.ndarray:
     """A bijective 64-bit finaliser (xor-shift and multiply)."""
     h = h ^ (h >> np.uint64(32))

@@ -8,26 +8,29 @@ without any text.  Windows that follow one another with the same minimiser form
 travel as one row.
 
 1. Runs that are equal as a whole, bytes and all, are settled by their hashes: the earliest
-   stays.  Mappers settle what meets in their block before the shuffle.
+   stays.  Mappers settle what they meet before the shuffle; what arrives is streamed.
 2. Runs that share a minimiser but differ go on as text, bucket by bucket, and their
    suffixes are sorted one bucket block at a time: first by `PERIOD` bytes, then, where that
    ties, by the precomputed rank of the next cover sample.
 
-Minimisers in very many documents (found in a bounded sample; a matter of speed alone) have
-their runs dealt out window by window, by each window's own hash.
+No bucket is larger than a worker can sort.  Minimisers in very many documents (found in a
+bounded sample; a matter of speed alone) have their runs dealt out window by window, by each
+window's own hash and the minimiser's, before step 1; those that still have more than `WIDE`
+different runs after it, before step 2.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import BASE, blocks, bytes_of, forget_shuffles, mix, prefix_hash, release, span_hash, stored, text_batches
-from tessera.llm.spans import cut, whole_keys
+from tessera.llm.common import bytes_of, forget_shuffles, prefix_hash, release, span_hash, stored, stretches
+from tessera.llm.spans import OPEN, RUNS, Mapper, cut, dealt, documents, earlier, gone_batch, settled, spans_of, whole_keys
 
 LENGTH = 100
 GRAM = 32
@@ -37,7 +40,8 @@ BLOCK_BYTES = 1 << 19
 #: Documents of the sample that shows hot minimisers, and the share of them that makes one hot.
 SAMPLE_DOCS, HOT_SHARE = 4000, 0.01
 
-RUNS = "key long, ctx long, doc long, place long"
+#: Contexts of a minimiser beyond which its windows are dealt out one by one: what one worker sorts at a time stays below that many.
+WIDE = 4000
 
 
 def difference_cover(v: int) -> np.ndarray:
@@ -76,45 +80,16 @@ def runs_of(data: np.ndarray, offsets: np.ndarray, length: int, gram: int) -> tu
     return first, np.diff(np.r_[new, len(valid)]), places[new], grams, sums
 
 
-def earlier(order_keys: tuple[np.ndarray, ...], doc: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Sort by keys, then doc and at: the order, where groups begin, and whether a row comes after its group's first (not only beside it)."""
-    order = np.lexsort((at, doc, *order_keys[::-1]))
-    new = np.zeros(len(order), bool)
-    if len(order):
-        new[0] = True
-        for k in order_keys:
-            new[1:] |= np.diff(k[order].view(np.int64)) != 0
-    group = np.cumsum(new) - 1
-    head = np.flatnonzero(new)[group] if len(order) else group
-    later = (doc[order] != doc[order][head]) | (at[order] != at[order][head])
-    return order, new, later
-
-
-def _place(at: np.ndarray, count: np.ndarray, lead: np.ndarray, kind: int) -> np.ndarray:
-    return at.astype(np.int64) << 20 | count.astype(np.int64) << 10 | lead.astype(np.int64) << 2 | kind
-
-
-def _unplace(place: np.ndarray) -> tuple[np.ndarray, ...]:
-    return place >> 20, place >> 10 & 1023, place >> 2 & 255, place & 3
-
-
-RUN, GONE, OPEN = 0, 1, 2
-
-
-def _batch(key: np.ndarray, ctx: np.ndarray, doc: np.ndarray, place: np.ndarray) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(ctx.view(np.int64)), pa.array(doc), pa.array(place)], names=["key", "ctx", "doc", "place"])
-
-
-def hot_grams(docs: DataFrame, length: int, gram: int, id_col: str, text_col: str) -> np.ndarray:
+def hot_grams(own: DataFrame, length: int, gram: int) -> np.ndarray:
     """Minimisers in at least HOT_SHARE of a sample's documents, at most (runs of a document) / HOT_SHARE of them."""
-    rows = docs.count()
+    rows = own.count()
     if not rows:
         return np.zeros(0, np.int64)
-    sample = docs.select(id_col, text_col).where(F.pmod(F.xxhash64(id_col), F.lit(1_000_000)) < int(min(1.0, SAMPLE_DOCS / rows) * 1_000_000))
+    sample = own.select("_id", "_text").where(F.pmod(F.xxhash64("_id"), F.lit(1_000_000)) < int(min(1.0, SAMPLE_DOCS / rows) * 1_000_000))
 
     def grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for _, _, data, offsets in blocks(batch.column(1)):
+            for _, _, data, offsets, _ in stretches(batch.column(1), length - 1):
                 if found := runs_of(data, offsets, length, gram):
                     first, _, places, hashes, _ = found
                     each = np.unique(np.stack([np.searchsorted(offsets, first, "right"), hashes[places].view(np.int64)]), axis=1)
@@ -125,94 +100,116 @@ def hot_grams(docs: DataFrame, length: int, gram: int, id_col: str, text_col: st
     return np.sort(np.array([r["gram"] for r in counted.select("gram").collect()], np.int64))
 
 
-def repeated_spans(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Spans (_doc, _begin, _end) whose union is every byte covered by a string of length bytes that also starts earlier."""
-    spark = docs.sparkSession
-    text_batches(spark)
+def each_window(count: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Runs of count windows window by window: each one's run, and its place in the run."""
+    run = np.repeat(np.arange(len(count)), count)
+    return run, np.arange(len(run)) - np.repeat(np.cumsum(count) - count, count)
+
+
+def repeated_spans(own: DataFrame, length: int = LENGTH) -> DataFrame:
+    """Spans (_doc, _dig, _begin, _end) whose union is every byte covered by a string of length bytes that also starts earlier; own: from documents()."""
+    if not 24 <= length <= 256:
+        raise ValueError("strings of 24 to 256 bytes can be compared")
+    spark = own.sparkSession
     gram = min(GRAM, max(8, length // 3))
-    own = docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).alias("_text")).where("_id is not null")
-    hot = spark.sparkContext.broadcast(hot_grams(own, length, gram, "_id", "_text"))
+    hot = spark.sparkContext.broadcast(hot_grams(own, length, gram))
+    said = lambda count, lead: count << 8 | lead
+    count_of, lead_of = (lambda place: place >> 10 & 1023), (lambda place: place >> 2 & 255)
+    end_of = lambda place: (place >> 20) + count_of(place) + (length - 1)
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        mapper = Mapper()
         for batch in batches:
-            ids = batch.column(0).to_numpy()
-            for i, j, data, offsets in blocks(batch.column(1)):
+            ids, digs = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            for i, j, data, offsets, base in stretches(batch.column(2), length - 1):
                 found = runs_of(data, offsets, length, gram)
                 if not found:
                     continue
                 first, count, places, grams, sums = found
                 row = np.searchsorted(offsets, first, "right") - 1
                 key, ctx, lead = grams[places], span_hash(sums, first, first + count + length - 1), places - first
-                doc, at = ids[i:j][row], first - offsets[row]
-                for again in (True, False):
-                    order, new, later = earlier((key, ctx), doc, at)
-                    gone = order[later]
-                    # settled rows need no bucket; their own place deals them out evenly
-                    yield _batch(mix(doc[gone].view(np.uint64) * np.uint64(BASE) + at[gone].astype(np.uint64)), np.zeros_like(ctx[gone]), doc[gone], _place(at[gone], count[gone], lead[gone], GONE))
-                    stay = order[~later]
-                    key, ctx, doc, at, count, lead, first = (x[stay] for x in (key, ctx, doc, at, count, lead, first))
-                    if not again or not len(hot.value):
-                        break
+                doc, dig, at = ids[i:j][row], digs[i:j][row], first - offsets[row] + base
+                if len(hot.value):
                     where = np.minimum(np.searchsorted(hot.value, key.view(np.int64)), len(hot.value) - 1)
-                    wide = hot.value[where] == key.view(np.int64)
-                    if not wide.any():
-                        break
-                    each = np.repeat(np.flatnonzero(wide), count[wide])
-                    step = np.arange(len(each)) - np.repeat(np.cumsum(count[wide]) - count[wide], count[wide])
-                    start = first[each] + step
-                    window = span_hash(sums, start, start + length)
-                    rest = ~wide
-                    key, ctx = np.r_[key[rest], window], np.r_[ctx[rest], window]
-                    doc, at = np.r_[doc[rest], doc[each]], np.r_[at[rest], at[each] + step]
-                    first, count, lead = np.r_[first[rest], start], np.r_[count[rest], np.ones(len(each), np.int64)], np.r_[lead[rest], np.zeros(len(each), np.int64)]
-                yield _batch(key, ctx, doc, _place(at, count, lead, RUN))
+                    wide = np.flatnonzero(hot.value[where] == key.view(np.int64))
+                    if len(wide):
+                        order, new, later = earlier((key[wide], ctx[wide]), doc[wide], dig[wide], at[wide])
+                        gone, stay = wide[order[later]], wide[order[new]]
+                        yield gone_batch(doc[gone], dig[gone], at[gone], at[gone] + count[gone] + (length - 1))
+                        run, step = each_window(count[stay])
+                        run = stay[run]
+                        window = span_hash(sums, first[run] + step, first[run] + step + length)
+                        yield from mapper.add(window, key[run], doc[run], dig[run], at[run] + step, at[run] + step + length, said(np.ones(len(run), np.int64), 0))
+                        rest = np.ones(len(key), bool)
+                        rest[wide] = False
+                        key, ctx, doc, dig, at, count, lead = (x[rest] for x in (key, ctx, doc, dig, at, count, lead))
+                yield from mapper.add(key, ctx, doc, dig, at, at + count + (length - 1), said(count, lead))
+        yield from mapper.flush()
 
     def settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table in whole_keys(batches, "key", lambda b: b.num_rows, 200_000):
-            key, ctx, doc, place = (table.column(k).to_numpy() for k in ("key", "ctx", "doc", "place"))
-            kind = place & 3
-            done = kind == GONE
-            # nothing reads the hashes of settled rows; zeros take no room
-            yield _batch(np.zeros_like(key[done]), np.zeros_like(key[done]), doc[done], place[done])
-            key, ctx, doc, place = (x[~done] for x in (key, ctx, doc, place))
-            at = place >> 20
-            order, new, later = earlier((key, ctx), doc, at)
-            gone = order[later]
-            yield _batch(np.zeros_like(key[gone]), np.zeros_like(key[gone]), doc[gone], place[gone] | GONE)
-            heads = order[new]
-            starts = np.flatnonzero(np.r_[True, np.diff(key[heads]) != 0]) if len(heads) else np.zeros(0, int)
-            many = np.repeat(np.diff(np.r_[starts, len(heads)]) > 1, np.diff(np.r_[starts, len(heads)])) if len(heads) else np.zeros(0, bool)
-            more = heads[many]
-            yield _batch(key[more], ctx[more], doc[more], place[more] | OPEN)
-
-    parted = own.mapInArrow(split, RUNS).repartition("key").sortWithinPartitions("key")
-    settled = stored(parted.mapInArrow(settle, RUNS), "suffix-runs")
-    del parted
+        return settled(batches, end_of, True)
+
+    def settle_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return settled(batches, end_of, False)
+
+    first_pass = stored(dealt(own.mapInArrow(split, RUNS)).mapInArrow(settle, RUNS), "suffix-runs")
     forget_shuffles(spark)
-    kind = F.col("place").bitwiseAND(3)
-    gone = settled.where(kind == GONE).select(F.col("doc").alias("_doc"), F.shiftright("place", 20).alias("_begin"), (F.shiftright("place", 20) + F.shiftright("place", 10).bitwiseAND(1023) + (length - 1)).alias("_end"))
-    asked = settled.where(kind == OPEN).groupBy("doc").agg(F.collect_list("key").alias("keys"), F.collect_list("place").alias("places"))
+    open_ = first_pass.where(F.col("place").bitwiseAND(3) == OPEN)
+    counts = stored(open_.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > WIDE).select(F.col("key").alias("wide")), "suffix-wide")
+    parts = [spans_of(first_pass)]
+
+    def asked(runs: DataFrame) -> DataFrame:
+        """Documents and what of them is open; a document's runs are bounded by its length."""
+        listed = runs.groupBy("doc", "dig").agg(F.collect_list("key").alias("keys"), F.collect_list("place").alias("places"))
+        return own.join(listed, (F.col("_id") == F.col("doc")) & (F.col("_dig") == F.col("dig"))).select("_id", "_dig", "_text", "keys", "places")
+
+    def runs_in(batch: pa.RecordBatch, most: int = 20_000) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray]]:
+        """For each document of asked() and each most of its runs: its id and hash, its bytes, keys and places."""
+        data, offsets = bytes_of(batch.column(2))
+        for k, (doc, dig) in enumerate(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())):
+            keys, places = batch.column(3)[k].values.to_numpy(), batch.column(4)[k].values.to_numpy()
+            for i in range(0, len(keys), most):
+                yield doc, dig, data[offsets[k] : offsets[k + 1]], keys[i : i + most], places[i : i + most]
 
     def texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            data, offsets = bytes_of(batch.column(1))
-            raw = data.tobytes()
-            for k, doc in enumerate(batch.column(0).to_pylist()):
-                keys, places = batch.column(2)[k].values.to_numpy(), batch.column(3)[k].values.to_numpy()
-                at, count, _, _ = _unplace(places)
-                begin = at + offsets[k]
-                cuts = [raw[b:e] for b, e in zip(begin.tolist(), (begin + count + length - 1).tolist())]
-                yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(np.full(len(keys), doc, np.int64)), pa.array(places), pa.array(cuts, pa.binary())], names=["key", "doc", "place", "bytes"])
+            for doc, dig, data, keys, places in runs_in(batch):
+                raw, begin = data.tobytes(), places >> 20
+                cuts = [raw[b:e] for b, e in zip(begin.tolist(), end_of(places).tolist())]
+                same = np.ones(len(keys), np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(doc * same), pa.array(dig * same), pa.array(places), pa.array(cuts, pa.binary())], names=["key", "doc", "dig", "place", "bytes"])
+
+    def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Open runs of wide keys as windows, by their own hashes."""
+        mapper = Mapper()
+        for batch in batches:
+            for doc, dig, data, keys, places in runs_in(batch):
+                order = np.argsort(places, kind="stable")
+                for low in range(0, len(order), 4096):
+                    mine = order[low : low + 4096]
+                    begin, end = places[mine] >> 20, end_of(places[mine])
+                    base = int(begin[0])
+                    sums = prefix_hash(data[base : int(end.max())])
+                    run, step = each_window(count_of(places[mine]))
+                    at = begin[run] + step
+                    key, same = span_hash(sums, at - base, at - base + length), np.ones(len(at), np.int64)
+                    yield from mapper.add(key, keys[mine][run].view(np.uint64), doc * same, dig * same, at, at + length, said(same, 0))
+        yield from mapper.flush()
 
     def sort(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in whole_keys(batches, "key", lambda b: b.nbytes, BLOCK_BYTES):
-            yield _repeated_in_block(table, length)
-
-    open_runs = own.join(asked, F.col("_id") == F.col("doc")).select("_id", "_text", "keys", "places").mapInArrow(texts, "key long, doc long, place long, bytes binary")
-    deep = open_runs.repartition("key").sortWithinPartitions("key").mapInArrow(sort, "_doc long, _begin long, _end long")
-    spans = stored(gone.unionByName(deep), "suffix-spans")
-    release(settled)
-    del deep, open_runs, asked, gone
+            yield _repeated_in_block(table, length, count_of, lead_of)
+
+    if not counts.isEmpty():
+        # merge joins, which split a skewed key, and a key in very many rows is what this is for
+        wide = open_.join(counts.hint("merge"), F.col("key") == F.col("wide"), "left_semi")
+        parts.append(spans_of(dealt(asked(wide).mapInArrow(windows, RUNS)).mapInArrow(settle_windows, RUNS)))
+        open_ = open_.join(counts.hint("merge"), F.col("key") == F.col("wide"), "left_anti")
+    deep = asked(open_).mapInArrow(texts, "key long, doc long, dig long, place long, bytes binary")
+    parts.append(deep.repartition("key").sortWithinPartitions("key").mapInArrow(sort, "_doc long, _dig long, _begin long, _end long"))
+    spans = stored(reduce(DataFrame.unionByName, parts), "suffix-spans")
+    release(first_pass, counts)
+    del deep, open_, parts
     forget_shuffles(spark)
     return spans
 
@@ -276,11 +273,11 @@ def cover_ranks(words: np.ndarray, text: np.ndarray, at: np.ndarray, depth: int)
     return order, common
 
 
-def _repeated_in_block(table: pa.Table, length: int) -> pa.RecordBatch:
+def _repeated_in_block(table: pa.Table, length: int, count_of: Callable[[np.ndarray], np.ndarray], lead_of: Callable[[np.ndarray], np.ndarray]) -> pa.RecordBatch:
     """Spans of a block of whole buckets that a window earlier in (doc, place) repeats."""
-    key, doc, place = (table.column(k).to_numpy() for k in ("key", "doc", "place"))
+    key, doc, dig, place = (table.column(k).to_numpy() for k in ("key", "doc", "dig", "place"))
     data, offsets = bytes_of(table.column("bytes").combine_chunks() if isinstance(table.column("bytes"), pa.ChunkedArray) else table.column("bytes"))
-    at, count, lead, _ = _unplace(place)
+    at, count, lead = place >> 20, count_of(place), lead_of(place)
     sizes = np.diff(offsets)
     # each context is laid out so that its minimiser stands at a multiple of the period
     shift = -lead % PERIOD
@@ -291,8 +288,7 @@ def _repeated_in_block(table: pa.Table, length: int) -> pa.RecordBatch:
     words = words_of(text)
     cover = difference_cover(PERIOD)
     jump = np.array([min((c - r) % PERIOD for c in cover) for r in range(PERIOD)])
-    run = np.repeat(np.arange(len(key)), count)
-    step = np.arange(len(run)) - np.repeat(np.cumsum(count) - count, count)
+    run, step = each_window(count)
     suffix = base[run] + step
     # a bucket: windows of one minimiser that have it at the same place
     offset_in = lead[run] - step
@@ -311,22 +307,22 @@ def _repeated_in_block(table: pa.Table, length: int) -> pa.RecordBatch:
         mine = delta[tied] == d
         # ranks that agree on length - d bytes are one
         deep[mine] = np.cumsum(common < length - d)[where[of[mine]]]
-    sorted_, new, later = earlier((rank[tied], deep), doc[run[tied]], at[run[tied]] + step[tied])
+    sorted_, _, later = earlier((rank[tied], deep), doc[run[tied]], dig[run[tied]], at[run[tied]] + step[tied])
     gone = tied[sorted_[later]]
-    docs, begins = doc[run[gone]], at[run[gone]] + step[gone]
-    order = np.lexsort((begins, docs))
-    docs, begins = docs[order], begins[order]
-    start = np.flatnonzero(np.r_[True, (np.diff(docs) != 0) | (np.diff(begins) > 1)]) if len(docs) else np.zeros(0, int)
-    last = np.r_[start[1:] - 1, len(docs) - 1] if len(docs) else start
-    return pa.RecordBatch.from_arrays([pa.array(docs[start]), pa.array(begins[start]), pa.array(begins[last] + length)], names=["_doc", "_begin", "_end"])
+    begin = at[run[gone]] + step[gone]
+    out = gone_batch(doc[run[gone]], dig[run[gone]], begin, begin + length)
+    return pa.RecordBatch.from_arrays([out.column(2), out.column(3), pa.array(out.column(4).to_numpy() >> 20), out.column(1)], names=["_doc", "_dig", "_begin", "_end"])
 
 
 def suffix_dedup(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id", text_col: str = "text", keep: bool = False) -> DataFrame:
-    """Remove each byte covered by a length-byte string that also starts earlier (smaller id, or same document, earlier start).
+    """Remove each byte covered by a length-byte string that also starts earlier (smaller document, or same document, earlier start).
 
     Strings never cross documents and are judged on the input.  With keep: docs with their
     texts cut; else (id, n_bytes, n_removed, n_spans, kept_sha256).  Null or empty text:
-    nothing to remove.  Null id: untouched.  Repeated rows with one id count as one
-    document.  Empty table: no rows.  Other columns go along with keep.
+    nothing to remove.  Null id: untouched.  Ids that aren't integers: a TypeError.
+    Repeated rows (same id and text) count as one document, each with its spans; different
+    texts of one id are documents one after another, by a hash of the text.  Empty table:
+    no rows.  Other columns go along with keep, whatever their names.
     """
-    return cut(docs, repeated_spans(docs, length, id_col, text_col), id_col, text_col, keep)
+    own, dig = documents(docs, id_col, text_col)
+    return cut(docs, repeated_spans(own, length), dig, id_col, text_col, keep)
