@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import blocks, forget_shuffles, mix, prefix_hash, release, span_hash, stored, text_batches
+from tessera.llm.common import blocks, forget_shuffles, integer_id, mix, prefix_hash, release, span_hash, stored
 
 BANDS, ROWS = 24, 4
 BINS = BANDS * ROWS
@@ -44,15 +44,12 @@ _SPACE[[0x20, *range(0x09, 0x0E)]] = True
 _STEP = np.uint64(0x9FB21C651E98DF25)
 
 
-def shingle_sets(data: np.ndarray, offsets: np.ndarray, words: int) -> tuple[np.ndarray, np.ndarray]:
-    """Sorted distinct shingle hashes of a block's texts, end to end, and their n + 1 offsets.
+#: Bytes of a very long text that are hashed at a time.
+STRETCH = 1 << 21
 
-    Words are runs of other bytes than white space, A-Z in lower case; a text of fewer
-    words than a shingle has is one shingle.
-    """
-    n = len(offsets) - 1
-    if not len(data):
-        return np.zeros(0, np.uint64), np.zeros(n + 1, np.int64)
+
+def _word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the words of a block's texts, end to end, and their n + 1 offsets."""
     data = _LOWER[data]
     space = _SPACE[data]
     edge = np.zeros(len(data) + 1, bool)
@@ -61,8 +58,37 @@ def shingle_sets(data: np.ndarray, offsets: np.ndarray, words: int) -> tuple[np.
     first = solid & (edge[:-1] | np.r_[True, space[:-1]])
     last = solid & (edge[1:] | np.r_[space[1:], True])
     begins, ends = np.flatnonzero(first), np.flatnonzero(last) + 1
-    h = span_hash(prefix_hash(data), begins, ends)
-    cuts = np.searchsorted(begins, offsets)
+    return span_hash(prefix_hash(data), begins, ends), np.searchsorted(begins, offsets)
+
+
+def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """_word_hashes(), one very long text in stretches that end at white space, so that their arrays stay small."""
+    if len(offsets) != 2 or len(data) <= 2 * STRETCH:
+        return _word_hashes(data, offsets)
+    out, begin = [], 0
+    while begin < len(data):
+        end = begin + STRETCH
+        while end < len(data) and not _SPACE[data[end]]:
+            # the next white space, looked for a stretch at a time
+            found = np.flatnonzero(_SPACE[data[end : end + STRETCH]])
+            end += int(found[0]) if len(found) else STRETCH
+        end = min(end, len(data))
+        out.append(_word_hashes(data[begin:end], np.array([0, end - begin]))[0])
+        begin = end
+    h = np.concatenate(out)
+    return h, np.array([0, len(h)])
+
+
+def shingle_sets(data: np.ndarray, offsets: np.ndarray, words: int) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted distinct shingle hashes of a block's texts, end to end, and their n + 1 offsets.
+
+    Words are runs of other bytes than white space, A-Z in lower case; a text of fewer
+    words than a shingle has is one shingle.
+    """
+    n = len(offsets) - 1
+    if not len(data):
+        return np.zeros(0, np.uint64), np.zeros(n + 1, np.int64)
+    h, cuts = word_hashes(data, offsets)
     count = np.diff(cuts)
     row = np.repeat(np.arange(n), count)
     left = np.repeat(cuts[1:], count) - np.arange(len(h))  # words from here to the text's end
@@ -113,6 +139,15 @@ def parities(hashes: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return np.packbits(odd.astype(np.uint8)).view(np.int64).reshape(n, PARITY)
 
 
+SEEDS = (0x1F83D9AB, 0x5BE0CD19137E2179)
+
+
+def digest(hashes: np.ndarray, offsets: np.ndarray, seed: int) -> np.ndarray:
+    """A hash of each set, whatever its order."""
+    sums = np.r_[np.zeros(1, np.uint64), np.cumsum(mix(hashes ^ np.uint64(seed)), dtype=np.uint64)]
+    return (sums[offsets[1:]] - sums[offsets[:-1]]).view(np.int64)
+
+
 def _signatures(words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -123,10 +158,9 @@ def _signatures(words: int):
                 keys = np.broadcast_to(np.arange(1, BANDS + 1, dtype=np.uint64), (j - i, BANDS)).copy()
                 for r in range(ROWS):
                     keys = mix(keys * _STEP + sketch[:, :, r])
-                sums = [np.r_[np.zeros(1, np.uint64), np.cumsum(mix(hashes ^ np.uint64(s)), dtype=np.uint64)] for s in (0x1F83D9AB, 0x5BE0CD19137E2179)]
-                d0, d1 = (s[at[1:]] - s[at[:-1]] for s in sums)
+                d0, d1 = (digest(hashes, at, s) for s in SEEDS)
                 lists = pa.ListArray.from_arrays(pa.array(np.arange(j - i + 1, dtype=np.int32) * BANDS), pa.array(keys.reshape(-1).view(np.int64)))
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), pa.array(n), pa.array(d0.view(np.int64)), pa.array(d1.view(np.int64)), lists], names=["id", "n", "d0", "d1", "bands"])
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), batch.column(2).slice(i, j - i), pa.array(n), pa.array(d0), pa.array(d1), lists], names=["id", "dig", "n", "d0", "d1", "bands"])
 
     return run
 
@@ -138,7 +172,9 @@ def _sets(words: int):
                 hashes, at = shingle_sets(data, offsets, words)
                 lists = pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), pa.array(hashes.view(np.int64)))
                 bits = pa.ListArray.from_arrays(pa.array(np.arange(j - i + 1, dtype=np.int32) * PARITY), pa.array(parities(hashes, at).reshape(-1)))
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), lists, bits], names=["id", "hashes", "bits"])
+                # an id may have another text as well; the set that is asked for has this hash
+                own = pa.array(digest(hashes, at, SEEDS[0]) == batch.column(2).slice(i, j - i).to_numpy())
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), batch.column(2).slice(i, j - i), lists, bits], names=["id", "k", "hashes", "bits"]).filter(own)
 
     return run
 
@@ -169,39 +205,49 @@ def near_duplicates(docs: DataFrame, words: int = 5, similar: int = 80, id_col:
     """(id, n_shingles, component_id, kept): texts linked where 100 * intersection >= similar * union of their shingle sets.
 
     component_id: the smallest id reachable, itself included; kept: whether that is its
-    own.  Texts without words: in a component of their own.  Null id: kept, without a
-    component.  Repeated rows with one id: each row gets its own set's component.  Empty
+    own.  Texts without words, null or empty ones too: in a component of their own.  Null
+    id: kept, without a component.  Ids that aren't integers: a TypeError.  Different texts
+    of one id are linked by the id; each row gets the component of its own text.  Empty
     table: no rows.
     """
-    text_batches(docs.sparkSession)
-    own = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    signed = stored(own.mapInArrow(_signatures(words), "id long, n long, d0 long, d1 long, bands array<long>"), "minhash")
+    out = _judged(docs, words, similar, id_col, text_col)
+    return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.col("component").alias("component_id"), "kept")
+
+
+def _judged(docs: DataFrame, words: int, similar: int, id_col: str, text_col: str) -> DataFrame:
+    """(id, dig, n, component, kept): a row of near_duplicates() for each row, and its text's hash."""
+    integer_id(docs, id_col)
+    own = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").alias("text"), F.xxhash64(F.coalesce(F.col(f"`{text_col}`"), F.lit(""))).alias("dig"))
+    signed = stored(own.mapInArrow(_signatures(words), "id long, dig long, n long, d0 long, d1 long, bands array<long>"), "minhash")
     classes = stored(signed.where("n > 0 and id is not null").groupBy("d0", "d1", "n").agg(F.min("id").alias("id"), F.first("bands").alias("bands")), "classes")
-    placed = classes.select("id", "n", F.explode("bands").alias("h"))
+    # a class is its first id and d0, as one id may be the first of several; links are between ids
+    placed = classes.select("id", F.col("d0").alias("k"), "n", F.explode("bands").alias("h"))
     twice = stored(placed.groupBy("h").agg(F.count(F.lit(1)).alias("size")).where("size > 1"), "buckets")
     met = stored(placed.join(twice, "h"), "shared")
-    weight = met.groupBy("id").agg(F.sum("size").alias("weight"))
-    shared = stored(met.join(weight, "id").select("h", "id", "n", "weight"), "weighed")
+    weight = met.groupBy("id", "k").agg(F.sum("size").alias("weight"))
+    shared = stored(met.join(weight, ["id", "k"]).select("h", "id", "k", "n", "weight"), "weighed")
     release(twice, met)
-    wanted = shared.select("id").distinct()
+    wanted = shared.select("id", "k").distinct()
     # a merge join at every size: the ids wanted grow with the input and are never broadcast
-    sets = stored(own.join(wanted.hint("merge"), "id").mapInArrow(_sets(words), "id long, hashes array<long>, bits array<long>").dropDuplicates(["id"]), "shingles")
+    sets = stored(own.join(wanted.hint("merge"), "id").select("id", "text", "k").mapInArrow(_sets(words), "id long, k long, hashes array<long>, bits array<long>").dropDuplicates(["id", "k"]), "shingles")
     forget_shuffles(docs.sparkSession)
     scratch = [shared, sets]
 
     def pairs(rows: DataFrame, chosen: DataFrame, able=F.lit(True)) -> DataFrame:
         """Each row's pairs with its bucket's centres, where their sizes and components (and what else is asked) allow a new link."""
         apart = rows.join(chosen, "h").where((F.col("c") != F.col("to.c")) & (100 * F.least("n", "to.n") >= similar * F.greatest("n", "to.n")) & able)
-        return apart.select(F.least("id", "to.id").alias("a"), F.greatest("id", "to.id").alias("b")).distinct()
+        first = F.col("id") < F.col("to.id")
+        low, high = (lambda c: F.when(first, F.col(c)).otherwise(F.col(f"to.{c}"))), (lambda c: F.when(first, F.col(f"to.{c}")).otherwise(F.col(c)))
+        return apart.select(low("id").alias("a"), low("k").alias("ka"), high("id").alias("b"), high("k").alias("kb")).distinct()
 
     def verified(asked: DataFrame) -> DataFrame:
-        left, right = sets.select(F.col("id").alias("a"), F.col("hashes").alias("left")), sets.select(F.col("id").alias("b"), F.col("hashes").alias("right"))
-        met = asked.join(right.hint("merge"), "b").join(left.hint("merge"), "a").withColumn("i", F.size(F.array_intersect("left", "right")))
+        left, right = sets.select(F.col("id").alias("a"), F.col("k").alias("ka"), F.col("hashes").alias("left")), sets.select(F.col("id").alias("b"), F.col("k").alias("kb"), F.col("hashes").alias("right"))
+        met = asked.join(right.hint("merge"), ["b", "kb"]).join(left.hint("merge"), ["a", "ka"]).withColumn("i", F.size(F.array_intersect("left", "right")))
         return met.where(F.lit(100) * F.col("i") >= F.lit(similar) * (F.size("left") + F.size("right") - F.col("i"))).select("a", "b")
 
-    heavy = F.struct("weight", -F.col("id"))
+    heavy = F.struct("weight", -F.col("id"), "k")
     alone = shared.withColumn("c", F.col("id"))
-    first = stored(alone.groupBy("h").agg(F.max_by(F.struct("id", "n", "c"), heavy).alias("to")), "centres")
+    first = stored(alone.groupBy("h").agg(F.max_by(F.struct("id", "k", "n", "c"), heavy).alias("to")), "centres")
     asked = stored(pairs(alone, first), "asked")
     links = stored(verified(asked), "links")
     scratch += [first, asked, links]
@@ -213,7 +259,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, similar: int = 80, id_col:
     while not whole:
         centres *= MORE_CENTRES
         # buckets whose members are still in several components
-        named = shared.join(label.withColumnRenamed("node", "id"), "id", "left").select("h", "id", "n", "weight", F.coalesce("component", "id").alias("c"))
+        named = shared.join(label.withColumnRenamed("node", "id"), "id", "left").select("h", "id", "k", "n", "weight", F.coalesce("component", "id").alias("c"))
         named = stored(named, "named")
         mixed = named.groupBy("h").agg(F.min("c").alias("c0"), F.max("c").alias("c1"), F.max_by("c", heavy).alias("home"), F.count(F.lit(1)).alias("size")).where("c0 != c1")
         mixed = stored(mixed.select("h", "home", "size"), "mixed")
@@ -223,10 +269,10 @@ def near_duplicates(docs: DataFrame, words: int = 5, similar: int = 80, id_col:
             break
         # of two members of different components, one at least isn't at home, and the last round has all of those as centres
         whole = centres >= largest
-        rows = stored(named.join(mixed, "h").join(sets.select("id", "bits").hint("merge"), "id"), "apart")
-        at = F.pmod(F.xxhash64("h", "id"), F.col("size"))
-        chosen = rows.where((F.col("c") != F.col("home")) & (at < centres)).select("h", F.struct("id", "n", "c", "bits").alias("to"))
-        more = stored(pairs(rows, chosen.hint("merge"), able).join(asked, ["a", "b"], "left_anti"), "asked")
+        rows = stored(named.join(mixed, "h").join(sets.select("id", "k", "bits").hint("merge"), ["id", "k"]), "apart")
+        at = F.pmod(F.xxhash64("h", "id", "k"), F.col("size"))
+        chosen = rows.where((F.col("c") != F.col("home")) & (at < centres)).select("h", F.struct("id", "k", "n", "c", "bits").alias("to"))
+        more = stored(pairs(rows, chosen.hint("merge"), able).join(asked, ["a", "ka", "b", "kb"], "left_anti"), "asked")
         release(named, mixed, rows)
         scratch.append(more)
         if more.isEmpty():
@@ -241,13 +287,19 @@ def near_duplicates(docs: DataFrame, words: int = 5, similar: int = 80, id_col:
     known = classes.select("d0", "d1", F.col("n").alias("n_class"), F.col("id").alias("first")).join(label.withColumnRenamed("node", "first"), "first", "left")
     known = stored(known.select("d0", "d1", "n_class", F.coalesce("component", "first").alias("c")), "known")
     release(classes, label, *scratch)
-    out = signed.select("id", "n", "d0", "d1").join(known.withColumnRenamed("n_class", "n"), ["d0", "d1", "n"], "left")
+    out = signed.select("id", "dig", "n", "d0", "d1").join(known.withColumnRenamed("n_class", "n"), ["d0", "d1", "n"], "left")
     component = F.when(F.col("id").isNotNull(), F.coalesce("c", "id"))
-    return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), component.alias("component_id"), F.coalesce(component == F.col("id"), F.lit(True)).alias("kept"))
+    return out.select("id", "dig", "n", component.alias("component"), F.coalesce(component == F.col("id"), F.lit(True)).alias("kept"))
 
 
 def near_dedup(docs: DataFrame, words: int = 5, similar: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """docs without the near duplicates: one document of each component stays, that with the smallest id; rows with a null id stay."""
-    name = f"_gone_{uuid.uuid4().hex}"
-    gone = near_duplicates(docs, words, similar, id_col, text_col).where(~F.col("kept")).select(F.col(id_col).alias(name)).distinct()
-    return docs.join(gone, docs[id_col].cast("long") == F.col(name), "left_anti")
+    """docs without the near duplicates: of each component the documents with its smallest id stay.
+
+    Rows with a null id stay, as do repeated rows (same id and text) of a document that
+    stays.  Texts without words are no copies of one another and stay.  Empty table: no
+    rows.  All columns go along, whatever their names.
+    """
+    name = uuid.uuid4().hex
+    gone = _judged(docs, words, similar, id_col, text_col).where(~F.col("kept")).select(F.col("id").alias(f"_id_{name}"), F.col("dig").alias(f"_dig_{name}")).distinct()
+    same = F.xxhash64(F.coalesce(F.col(f"`{text_col}`"), F.lit(""))) == F.col(f"_dig_{name}")
+    return docs.join(gone, (F.col(f"`{id_col}`").cast("long") == F.col(f"_id_{name}")) & same, "left_anti")
