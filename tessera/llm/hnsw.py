@@ -1,13 +1,16 @@
 """Approximate nearest neighbours: a hierarchical navigable small-world graph for each shard.
 
 Graphs are stored as flat arrays: level 0 has 2 * LINKS neighbour slots a node, each node
-of a higher level LINKS more, -1 where empty.  Equal vectors are one node; shards hold up
-to SHARD of them, dealt out by hash, and their results are merged.
+of a higher level LINKS more, -1 where empty.  Equal vectors are one node; shards hold them
+dealt out by hash, and their results are merged.
+
+Nodes go into a graph a group at a time, and queries walk it a block at a time: all of a
+group take their steps together, so that a step is a few array operations.  A group's own
+members, and all nodes of a graph that is still small, are compared by a matrix product.
 """
 
 from __future__ import annotations
 
-import heapq
 import math
 from collections.abc import Iterator
 
@@ -17,127 +20,243 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tessera.llm.common import stored
+from tessera.llm.common import integer_id, release, stored
 
-LINKS, BUILD, SEARCH, SHARD = 12, 64, 96, 4096
-#: Queries that search a shard together.
-QUERY_BLOCK = 1024
+LINKS, BUILD, SEARCH = 12, 64, 96
+#: Nodes of a shard: SHARD while that makes up to SHARDS of them, then more, up to MOST, which bounds a worker's memory.
+SHARD, SHARDS, MOST = 8192, 256, 1 << 17
+#: Queries that walk a shard's graph together, and nodes that go into it together.
+QUERY_BLOCK, GROUP = 512, 512
+#: Up to so many nodes a graph is searched by a matrix product while it is built, BLOCK nodes at a time; a walk takes longer below that, and finds less.
+SMALL, BLOCK = 1 << 16, 4096
 
 
 class Graph:
-    """A navigable small-world graph over float32 vectors; levels by a hash of the node's number."""
+    """A navigable small-world graph over float32 vectors; levels by the node's number."""
 
-    def __init__(self, vectors: np.ndarray, links: int = LINKS, build: int = BUILD):
-        self.x = np.ascontiguousarray(vectors, np.float32)
-        self.links, self.build = links, build
+    def __init__(self, vectors: np.ndarray, links: int = LINKS, build: int = BUILD, small: int = SMALL):
+        self._set(vectors, links)
         n = len(self.x)
         rng = np.random.default_rng(12345)
         self.level = np.minimum((-np.log(1 - rng.random(n)) / math.log(max(2, links))).astype(np.int64), 8)
         self.ground = np.full((n, 2 * links), -1, np.int32)
         upper = np.cumsum(np.r_[0, self.level])
         self.place, self.upper = upper[:-1], np.full((int(upper[-1]), links), -1, np.int32)
-        self.entry, self.top = -1, -1
-        for i in range(n):
-            self._insert(i)
+        self.entry = -1
+        begin = 0
+        while begin < n:
+            # a group is never larger than the graph that it goes into, but for the first
+            end = min(n, begin + min(GROUP, max(64, begin)))
+            self._insert(begin, end, build, small)
+            begin = end
+
+    def _set(self, vectors: np.ndarray, links: int) -> None:
+        self.x = np.ascontiguousarray(vectors, np.float32)
+        self.square = np.einsum("ij,ij->i", self.x, self.x)
+        self.links = links
 
     @classmethod
     def of(cls, x: np.ndarray, level: np.ndarray, ground: np.ndarray, upper: np.ndarray, entry: int, links: int) -> Graph:
         """A graph from its stored arrays."""
         g = cls.__new__(cls)
-        g.x, g.links, g.build, g.level, g.entry, g.top = x, links, BUILD, level, entry, int(level[entry]) if entry >= 0 else -1
+        g._set(x, links)
+        g.level, g.entry = level, entry
         g.ground, g.upper, g.place = ground.reshape(-1, 2 * links), upper.reshape(-1, links), np.cumsum(np.r_[0, level])[:-1]
         return g
 
-    def _row(self, node: int, level: int) -> np.ndarray:
-        return self.ground[node] if level == 0 else self.upper[self.place[node] + level - 1]
-
-    def _near(self, q: np.ndarray, nodes: np.ndarray) -> np.ndarray:
-        d = self.x[nodes] - q
-        return np.einsum("ij,ij->i", d, d)
-
-    def _search(self, q: np.ndarray, start: list[tuple[float, int]], width: int, level: int) -> list[tuple[float, int]]:
-        """The width nearest nodes that a best-first walk finds: (squared distance, node), nearest first."""
-        seen = np.zeros(len(self.x), bool)
-        seen[[v for _, v in start]] = True
-        todo, best = list(start), [(-d, v) for d, v in start]
-        heapq.heapify(todo)
-        heapq.heapify(best)
-        while todo:
-            d, v = heapq.heappop(todo)
-            if len(best) >= width and d > -best[0][0]:
+    def _rows(self, nodes: np.ndarray, level: int) -> np.ndarray:
+        return self.ground[nodes] if level == 0 else self.upper[self.place[nodes] + level - 1]
+
+    def _put(self, nodes: np.ndarray, level: int, rows: np.ndarray) -> None:
+        if level == 0:
+            self.ground[nodes] = rows
+        else:
+            self.upper[self.place[nodes] + level - 1] = rows
+
+    def _walk(self, q: np.ndarray, start: np.ndarray, width: int, level: int) -> tuple[np.ndarray, np.ndarray]:
+        """For each query the width nearest nodes that a best-first walk finds, nearest first: squared distances (less the query's own square) and nodes, -1 where there are fewer.
+
+        start: a node for each query.  Each step opens a query's few nearest nodes that
+        aren't open yet, and ends once all of the width are.
+        """
+        m, step = len(q), 1 if width == 1 else 4
+        row = np.arange(m)
+        near = np.full((m, width), np.inf, np.float32)
+        node = np.full((m, width), -1, np.int32)
+        opened = np.zeros((m, width), bool)
+        seen = np.zeros((m, len(self.x)), bool)
+        near[:, 0] = self.square[start] - 2 * np.einsum("ij,ij->i", self.x[start], q)
+        node[:, 0] = start
+        seen[row, start] = True
+        live = row
+        while len(live):
+            # the nearest that aren't open, of those queries that still have any
+            waiting = np.where(opened[live], np.inf, near[live])
+            pick = np.argpartition(waiting, step - 1, axis=1)[:, :step] if step < width else np.zeros((len(live), 1), np.int64)
+            good = np.take_along_axis(waiting, pick, 1) < np.inf
+            some = good.any(1)
+            live, pick, good = live[some], pick[some], good[some]
+            if not len(live):
+                break
+            opened[live[:, None], pick] = True
+            rows = np.where(good[:, :, None], self._rows(np.where(good, node[live[:, None], pick], 0), level), -1).reshape(len(live), -1)
+            of, at = np.nonzero(rows >= 0)
+            to = rows[of, at]
+            fresh = ~seen[live[of], to]
+            of, to = of[fresh], to[fresh]
+            # a node that two opened ones name counts once
+            _, once = np.unique(of.astype(np.int64) << 32 | to, return_index=True)
+            of, to = of[once], to[once]
+            mine = live[of]
+            seen[mine, to] = True
+            d = self.square[to] - 2 * np.einsum("ij,ij->i", self.x[to], q[mine])
+            better = d < near[mine].max(1) if width > 1 else d < near[mine, 0]
+            of, to, d = of[better], to[better], d[better]
+            if len(of):
+                count = np.bincount(of, minlength=len(live))
+                slot = np.arange(len(of)) - np.repeat(np.cumsum(count) - count, count)
+                got = np.flatnonzero(count)
+                wide = int(count.max())
+                more, which = np.full((len(live), wide), np.inf, np.float32), np.full((len(live), wide), -1, np.int32)
+                more[of, slot], which[of, slot] = d, to
+                at = live[got]
+                both, names = np.hstack([near[at], more[got]]), np.hstack([node[at], which[got]])
+                done = np.hstack([opened[at], np.zeros((len(got), wide), bool)])
+                best = np.argpartition(both, width - 1, axis=1)[:, :width]
+                near[at], node[at], opened[at] = (np.take_along_axis(c, best, 1) for c in (both, names, done))
+        order = np.argsort(near, axis=1, kind="stable")
+        return np.take_along_axis(near, order, 1), np.take_along_axis(node, order, 1)
+
+    def _descend(self, q: np.ndarray, level: int) -> np.ndarray:
+        """The node that a walk from the top finds nearest on the level above, for each query."""
+        at = np.full(len(q), self.entry)
+        for k in range(int(self.level[self.entry]), level, -1):
+            at = self._walk(q, at, 1, k)[1][:, 0]
+        return at
+
+    def _choose(self, near: np.ndarray, node: np.ndarray, most: int) -> np.ndarray:
+        """Of each row's candidates, nearest first, up to most neighbours: those nearer to the row's own node than to one chosen before; the rest fills up.
+
+        near: squared distances.  A row of -1 has none.
+        """
+        m, width = node.shape
+        known = node >= 0
+        if width <= most:
+            return np.hstack([node, np.full((m, most - width), -1, np.int32)]) if width < most else node
+        free, taken = known.copy(), np.zeros_like(known)
+        row, x, square = np.arange(m), self.x[node], self.square[node]
+        for _ in range(most):
+            first = np.argmax(free, axis=1)
+            any_ = free[row, first]
+            if not any_.any():
                 break
-            row = self._row(v, level)
-            row = row[row >= 0]
-            row = row[~seen[row]]
-            if not len(row):
+            taken[row[any_], first[any_]] = True
+            between = square + square[row, first][:, None] - 2 * np.matmul(x, x[row, first][:, :, None])[:, :, 0]
+            free &= ~taken & ((between > near) | ~any_[:, None])
+        # chosen ones first, then the others, each nearest first
+        order = np.argsort(np.where(taken, 0, np.where(known, 1, 2)), axis=1, kind="stable")[:, :most]
+        return np.take_along_axis(node, order, 1)
+
+    def _candidates(self, begin: int, end: int, members: np.ndarray, start: np.ndarray, level: int, build: int, small: int) -> tuple[np.ndarray, np.ndarray]:
+        """For each member of the group (numbers in it) its nearest nodes on a level, those of the group among them: squared distances and nodes, nearest first."""
+        new = begin + members
+        q, own = self.x[new], self.square[new]
+        if begin <= small:
+            there = np.flatnonzero(self.level[:begin] >= level)
+            near, node = np.zeros((len(new), 0), np.float32), np.zeros((len(new), 0), np.int32)
+            for low in range(0, len(there), BLOCK):
+                some = there[low : low + BLOCK]
+                d = self.square[some] - 2 * (q @ self.x[some].T)
+                near, node = np.hstack([near, d]), np.hstack([node, np.broadcast_to(some.astype(np.int32), d.shape)])
+                if near.shape[1] > build:
+                    best = np.argpartition(near, build - 1, axis=1)[:, :build]
+                    near, node = np.take_along_axis(near, best, 1), np.take_along_axis(node, best, 1)
+        else:
+            near, node = self._walk(q, start, build, level)
+        beside = self.square[new] - 2 * (q @ q.T)
+        np.fill_diagonal(beside, np.inf)
+        near, node = np.hstack([near, beside]), np.hstack([node, np.broadcast_to(new.astype(np.int32), beside.shape)])
+        order = np.argsort(near, axis=1, kind="stable")[:, : min(build, near.shape[1] - 1)]
+        near, node = np.take_along_axis(near, order, 1), np.take_along_axis(node, order, 1)
+        return np.maximum(near + own[:, None], 0), np.where(np.isfinite(near), node, -1)
+
+    def _insert(self, begin: int, end: int, build: int, small: int) -> None:
+        levels = self.level[begin:end]
+        top = int(self.level[self.entry]) if self.entry >= 0 else -1
+        at = np.full(end - begin, self.entry)
+        walks = begin > small
+        for level in range(max(top, int(levels.max())), -1, -1):
+            if walks and level <= top:
+                # those that aren't on this level only pass
+                passing = np.flatnonzero(levels < level)
+                if len(passing):
+                    at[passing] = self._walk(self.x[begin + passing], at[passing], 1, level)[1][:, 0]
+            members = np.flatnonzero(levels >= level)
+            if not len(members):
                 continue
-            seen[row] = True
-            for e, u in zip(self._near(q, row).tolist(), row.tolist()):
-                if len(best) < width:
-                    heapq.heappush(best, (-e, u))
-                    heapq.heappush(todo, (e, u))
-                elif e < -best[0][0]:
-                    heapq.heapreplace(best, (-e, u))
-                    heapq.heappush(todo, (e, u))
-        return sorted((-d, v) for d, v in best)
-
-    def _choose(self, found: list[tuple[float, int]], most: int) -> list[int]:
-        """Neighbours that are nearer to the new node than to one chosen before; the rest fills up."""
-        nodes = np.array([v for _, v in found])
-        if len(nodes) <= most:
-            return nodes.tolist()
-        x = self.x[nodes]
-        sq = np.einsum("ij,ij->i", x, x)
-        between = sq[:, None] + sq[None, :] - 2 * (x @ x.T)
-        chosen: list[int] = []
-        nearest = np.full(len(nodes), np.inf)
-        for k, (d, _) in enumerate(found):
-            if d < nearest[k]:
-                chosen.append(k)
-                if len(chosen) == most:
-                    break
-                nearest = np.minimum(nearest, between[k])
-        taken = set(chosen)
-        chosen += [k for k in range(len(nodes)) if k not in taken][: most - len(chosen)]
-        return nodes[chosen].tolist()
-
-    def _insert(self, i: int) -> None:
-        level = int(self.level[i])
-        if self.entry < 0:
-            self.entry, self.top = i, level
+            if walks and level > top:
+                near, node = self._candidates(begin, end, members, at[members], level, build, 1 << 62)
+            else:
+                near, node = self._candidates(begin, end, members, at[members], level, build, small)
+            if not node.shape[1]:
+                continue
+            if walks and level > 0:
+                # the way down goes on from the nearest node of the graph as it was
+                old = np.where((node >= 0) & (node < begin), np.arange(node.shape[1]), node.shape[1]).min(1)
+                has = old < node.shape[1]
+                at[members[has]] = node[has, old[has]]
+            mine = self._choose(near, node, self.links)
+            most = 2 * self.links if level == 0 else self.links
+            rows = np.full((len(members), most), -1, np.int32)
+            rows[:, : self.links] = mine
+            self._put(begin + members, level, rows)
+            self._link_back(begin + members, mine, level, most)
+        highest = begin + int(np.argmax(levels))
+        if self.entry < 0 or self.level[highest] > top:
+            self.entry = highest
+
+    def _link_back(self, new: np.ndarray, mine: np.ndarray, level: int, most: int) -> None:
+        """Let the neighbours of new nodes name them as well; a node that would have more than most chooses anew."""
+        of, slot = np.nonzero(mine >= 0)
+        to, by = mine[of, slot].astype(np.int64), new[of]
+        order = np.lexsort((by, to))
+        to, by = to[order], by[order]
+        heads = np.flatnonzero(np.r_[True, to[1:] != to[:-1]])
+        if not len(heads):
             return
-        q = self.x[i]
-        at = [(float(self._near(q, np.array([self.entry]))[0]), self.entry)]
-        for k in range(self.top, level, -1):
-            at = self._search(q, at[:1], 1, k)
-        for k in range(min(level, self.top), -1, -1):
-            at = self._search(q, at, self.build, k)
-            mine = self._choose(at, self.links)
-            self._row(i, k)[: len(mine)] = mine
-            for v in mine:
-                row = self._row(v, k)
-                free = np.flatnonzero(row < 0)
-                if len(free):
-                    row[free[0]] = i
-                else:
-                    others = np.append(row, i)
-                    d = self._near(self.x[v], others)
-                    order = np.argsort(d, kind="stable")
-                    kept = self._choose([(float(d[o]), int(others[o])) for o in order], len(row))
-                    row[:] = -1
-                    row[: len(kept)] = kept
-        if level > self.top:
-            self.entry, self.top = i, level
-
-    def nearest(self, q: np.ndarray, k: int, width: int = SEARCH) -> np.ndarray:
-        """About the k nearest nodes, nearest first."""
+        count = np.diff(np.r_[heads, len(to)])
+        wide = int(count.max())
+        added = np.full((len(heads), wide), -1, np.int32)
+        added[np.repeat(np.arange(len(heads)), count), np.arange(len(to)) - np.repeat(heads, count)] = by
+        target = to[heads]
+        old = self._rows(target, level)
+        # a node that is named already isn't named twice
+        added[(added[:, :, None] == old[:, None, :]).any(2)] = -1
+        both = np.hstack([old, added])
+        both = np.take_along_axis(both, np.argsort(both < 0, axis=1, kind="stable"), 1)
+        total = (both >= 0).sum(1)
+        fits = total <= most
+        if fits.any():
+            self._put(target[fits], level, np.hstack([both[fits], np.full((int(fits.sum()), most), -1, np.int32)])[:, :most])
+        full = np.flatnonzero(~fits)
+        full = full[np.argsort(-total[full], kind="stable")]
+        while len(full):
+            # as many at a time as keep the gathered vectors few
+            width = int(total[full[0]])
+            part, full = full[: max(1, 32768 // width)], full[max(1, 32768 // width) :]
+            names, here = both[part][:, :width], target[part]
+            near = self.square[names] + self.square[here][:, None] - 2 * np.matmul(self.x[names], self.x[here][:, :, None])[:, :, 0]
+            near = np.where(names >= 0, np.maximum(near, 0), np.inf)
+            by_distance = np.argsort(near, axis=1, kind="stable")
+            self._put(here, level, self._choose(np.take_along_axis(near, by_distance, 1), np.take_along_axis(names, by_distance, 1), most))
+
+    def nearest(self, q: np.ndarray, k: int, width: int = 0) -> np.ndarray:
+        """About the k nearest nodes of each query, nearest first, -1 where there are fewer. width: of the walk; by default SEARCH, and half more for each doubling of the graph beyond SHARD."""
+        width = width or int(SEARCH * max(1.0, 1 + 0.5 * math.log2(max(1, len(self.x)) / SHARD)))
+        q = np.ascontiguousarray(q, np.float32)
         if self.entry < 0:
-            return np.zeros(0, np.int64)
-        q = np.asarray(q, np.float32)
-        at = [(float(self._near(q, np.array([self.entry]))[0]), self.entry)]
-        for level in range(self.top, 0, -1):
-            at = self._search(q, at[:1], 1, level)
-        return np.array([v for _, v in self._search(q, at, max(width, k), 0)[:k]], np.int64)
+            return np.full((len(q), k), -1, np.int32)
+        return self._walk(q, self._descend(q, 0), max(width, k), 0)[1][:, :k]
 
 
 def proper(vector) -> F.Column:
@@ -146,64 +265,102 @@ def proper(vector) -> F.Column:
     return F.coalesce(vector.isNotNull() & (F.size(vector) > 0) & finite & F.exists(vector, lambda v: v != 0), F.lit(False))
 
 
+def shards_for(nodes: int, shard: int) -> int:
+    """How many shards so many nodes take."""
+    return max(1, -(-nodes // min(MOST, max(shard, -(-nodes // SHARDS)))))
+
+
+def _vectors(rows: DataFrame, id_col: str, vector_col: str, name: str) -> DataFrame:
+    """(name, v): ids and vectors in double precision, both proper."""
+    integer_id(rows, id_col)
+    own = rows.select(F.col(f"`{id_col}`").cast("long").alias(name), F.transform(F.col(f"`{vector_col}`"), lambda v: v.cast("double") + F.lit(0.0)).alias("v"))
+    return own.where(F.col(name).isNotNull() & proper(F.col("v")))
+
+
 def build_index(rows: DataFrame, k: int, id_col: str, vector_col: str, shard: int = SHARD) -> tuple[DataFrame, int]:
     """A graph for each shard of the distinct vectors, as flat arrays, and the number of shards.
 
     Every vector is indexed.  A node carries the k + 1 smallest ids of its vector, which
     are all that a result of k can name; that choice limits each partition's rows before
-    they meet.
+    they meet.  Vectors are kept in double precision, graphs compare them in single.
     """
-    own = rows.select(F.col(id_col).cast("long").alias("id"), F.transform(F.col(vector_col), lambda v: (v + F.lit(0.0)).cast("float")).alias("v")).where(F.col("id").isNotNull() & proper(F.col("v")))
+    own = _vectors(rows, id_col, vector_col, "id")
     ranked = own.distinct().withColumn("r", F.row_number().over(W.partitionBy("v").orderBy("id"))).where(F.col("r") <= k + 1)
     nodes = stored(ranked.groupBy("v").agg(F.array_sort(F.collect_list("id")).alias("ids")), "vectors")
     # vectors of another length can't be compared; they have shards of their own
     sizes = {r["d"]: r["n"] for r in nodes.groupBy(F.size("v").alias("d")).agg(F.count(F.lit(1)).alias("n")).collect()}
-    shards = max([1, *(-(-n // shard) for n in sizes.values())])
+    shards = max([1, *(shards_for(n, shard) for n in sizes.values())])
 
     def build(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("first", kind="stable")
-        x = np.stack(pdf["v"].to_numpy()).astype(np.float32)
+        x = np.stack(pdf["v"].to_numpy())
+        # links follow from the order of nodes; neighbours in the table needn't be neighbours here
+        order = np.random.default_rng(7).permutation(len(x))
+        x, ids = x[order], [pdf["ids"].iloc[k] for k in order]
         g = Graph(x)
-        counts = pdf["ids"].map(len).to_numpy()
-        return pd.DataFrame([{"d": int(pdf["d"].iloc[0]), "s": int(pdf["s"].iloc[0]), "vectors": x.tobytes(), "counts": counts.astype(np.int32).tobytes(), "ids": np.concatenate(pdf["ids"].to_numpy()).astype(np.int64).tobytes(), "level": g.level.tobytes(), "ground": g.ground.tobytes(), "upper": g.upper.tobytes(), "entry": g.entry}])
+        single = bool((x == x.astype(np.float32)).all())
+        return pd.DataFrame([{
+            "d": int(pdf["d"].iloc[0]), "s": int(pdf["s"].iloc[0]), "single": single, "vectors": (x.astype(np.float32) if single else x).tobytes(), "counts": np.array([len(i) for i in ids], np.int32).tobytes(),
+            "ids": np.concatenate(ids).astype(np.int64).tobytes(), "level": g.level.astype(np.int8).tobytes(), "ground": g.ground.tobytes(), "upper": g.upper.tobytes(), "entry": g.entry}])
 
     dealt = nodes.select(F.size("v").alias("d"), F.pmod(F.xxhash64("v"), F.lit(shards)).cast("int").alias("s"), "v", "ids", F.col("ids")[0].alias("first"))
-    graphs = dealt.groupBy("d", "s").applyInPandas(build, "d int, s int, vectors binary, counts binary, ids binary, level binary, ground binary, upper binary, entry long")
-    return stored(graphs, "graphs"), shards
+    graphs = stored(dealt.groupBy("d", "s").applyInPandas(build, "d int, s int, single boolean, vectors binary, counts binary, ids binary, level binary, ground binary, upper binary, entry long"), "graphs")
+    release(nodes)
+    return graphs, shards
 
 
 def search(rows: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "vec_id", vector_col: str = "embedding", shard: int = SHARD) -> DataFrame:
     """Each query's k nearest of rows but itself, by Euclidean distance: (query_id, rank, vec_id, score).
 
     Each shard's graph finds 2 * k candidates, whose distances are then taken on the
-    vectors in double precision; ties go to the smaller id.  A query meets every shard by
-    the shard's key, in blocks.  Vectors that are null, zero or hold a null or a number
-    that isn't finite take no part.  Repeated rows count once.  Empty table: no rows.
+    vectors in double precision; ties go to the smaller id.  Queries are dealt into blocks;
+    a block meets a shard by both their keys, so that no group grows with the queries, and
+    its k best of each shard are merged.  Vectors that are null, zero or hold a null or a
+    number that isn't finite take no part, nor do rows without an id.  Ids that aren't
+    integers: a TypeError.  Repeated rows count once; an id with several vectors can be
+    found by each of them, but named once, and asks with one of them, the smallest.  Empty
+    table: no rows.  Other columns aren't read.
     """
     graphs, shards = build_index(rows, k, id_col, vector_col, shard)
-    asked = queries.select(F.col(id_col).cast("long").alias("query_id"), F.transform(F.col(vector_col), lambda v: v.cast("float")).alias("q")).where(F.col("query_id").isNotNull() & proper(F.col("q"))).dropDuplicates(["query_id"])
-    blocks = asked.select(F.size("q").alias("d"), F.pmod(F.xxhash64("query_id"), F.lit(1 << 30)).alias("b"), "query_id", "q", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("s"))
+    asked = _vectors(queries, id_col, vector_col, "query_id").groupBy("query_id").agg(F.min("v").alias("q"))
+    asked = stored(asked.withColumn("d", F.size("q")), "queries")
+    blocks = max(1, -(-asked.count() // QUERY_BLOCK))
+    dealt = asked.select("d", F.pmod(F.xxhash64("query_id"), F.lit(blocks)).cast("int").alias("b"), "query_id", "q")
+    # a row for each block, and each shard's graph once for each block of its length of vectors
+    each = dealt.select("d", "b").distinct()
+    key = [F.col(c).alias(c) for c in ("d", "s", "b")]  # names of each side's own: both come from the same tables
+    left = graphs.join(each, "d").select(*key, F.struct(*[c for c in graphs.columns if c not in ("d", "s")]).alias("g"))
+    right = dealt.join(graphs.select("d", "s"), "d").select(*key, "query_id", "q")
 
-    def look(key: tuple, left: Iterator[pd.DataFrame] | pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+    def look(key: tuple, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         if not len(left) or not len(right):
             return pd.DataFrame({"query_id": pd.Series(dtype="int64"), "vec_id": pd.Series(dtype="int64"), "score": pd.Series(dtype="float64")})
-        row = left.iloc[0]
-        x = np.frombuffer(row["vectors"], np.float32).reshape(-1, key[0])
-        counts, ids = np.frombuffer(row["counts"], np.int32), np.frombuffer(row["ids"], np.int64)
+        g = left["g"].iloc[0]
+        vectors = np.frombuffer(g["vectors"], np.float32 if g["single"] else np.float64).reshape(-1, key[0])
+        counts, ids = np.frombuffer(g["counts"], np.int32), np.frombuffer(g["ids"], np.int64)
         begin = np.cumsum(np.r_[0, counts])
-        g = Graph.of(x, np.frombuffer(row["level"], np.int64), np.frombuffer(row["ground"], np.int32), np.frombuffer(row["upper"], np.int32), int(row["entry"]), LINKS)
-        qs, vs, ds = [], [], []
-        for query_id, q in zip(right["query_id"].tolist(), right["q"]):
-            q = np.asarray(q, np.float32)
-            found = g.nearest(q, 2 * k)
-            d = np.sqrt(((x[found].astype(np.float64) - q.astype(np.float64)) ** 2).sum(1))
-            named = [(e, v) for e, node in zip(d.tolist(), found.tolist()) for v in ids[begin[node] : begin[node + 1]].tolist() if v != query_id]
-            for e, v in heapq.nsmallest(k, named):
-                qs.append(query_id)
-                vs.append(v)
-                ds.append(e)
-        return pd.DataFrame({"query_id": np.array(qs, np.int64), "vec_id": np.array(vs, np.int64), "score": np.array(ds, np.float64)})
-
-    found = graphs.groupBy("d", "s").cogroup(blocks.groupBy("d", "s")).applyInPandas(look, "query_id long, vec_id long, score double")
+        graph = Graph.of(vectors.astype(np.float32), np.frombuffer(g["level"], np.int8).astype(np.int64), np.frombuffer(g["ground"], np.int32), np.frombuffer(g["upper"], np.int32), int(g["entry"]), LINKS)
+        asking, q = right["query_id"].to_numpy(), np.stack(right["q"].to_numpy())
+        parts = []
+        for i in range(0, len(q), QUERY_BLOCK):
+            found = graph.nearest(q[i : i + QUERY_BLOCK], 2 * k)
+            of, slot = np.nonzero(found >= 0)
+            node = found[of, slot]
+            of += i
+            score = np.empty(len(of))
+            for low in range(0, len(of), 4096):
+                part = slice(low, low + 4096)
+                score[part] = np.sqrt(((vectors[node[part]].astype(np.float64) - q[of[part]]) ** 2).sum(1))
+            each = np.repeat(np.arange(len(of)), counts[node])
+            named = ids[np.repeat(begin[node], counts[node]) + np.arange(len(each)) - np.repeat(np.cumsum(counts[node]) - counts[node], counts[node])]
+            table = pd.DataFrame({"query_id": asking[of[each]], "vec_id": named, "score": score[each]})
+            table = table[table["query_id"] != table["vec_id"]].sort_values(["query_id", "score", "vec_id"], kind="stable").drop_duplicates(["query_id", "vec_id"])
+            parts.append(table.groupby("query_id", sort=False).head(k))
+        return pd.concat(parts)
+
+    found = left.groupBy("d", "s", "b").cogroup(right.groupBy("d", "s", "b")).applyInPandas(look, "query_id long, vec_id long, score double")
+    found = found.groupBy("query_id", "vec_id").agg(F.min("score").alias("score"))
     best = W.partitionBy("query_id").orderBy("score", "vec_id")
-    return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
+    out = stored(found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score"), "nearest")
+    release(graphs, asked)
+    return out
