@@ -16,7 +16,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm.common import fresh_path, stored, text_batches
+from tessera.llm.common import delete, fresh_path, integer_id, portions, release, stored
 
 #: Smaller payloads are never written as revisits.
 MIN_REVISIT_BYTES = 1000
@@ -78,8 +78,12 @@ def with_revisits(pages: DataFrame, id_col: str = "page_id", url_col: str = "url
     """pages as (page_id, url, html, digest, refers_to): equal payloads of min_bytes refer to the one with the largest id.
 
     The table of repeated digests is aggregated on the mappers first; its join with the
-    pages splits hot digests as a skewed join.
+    pages splits hot digests as a skewed join.  Null html: empty, and smaller than
+    min_bytes.  Null id: never referred to where another row has an id.  Rows that repeat
+    the largest id refer to nothing.  Ids that aren't integers: a TypeError.  Empty table: no
+    rows.  Other columns aren't read.
     """
+    integer_id(pages, id_col)
     own = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).cast("string").alias("url"), F.coalesce(F.col(html_col), F.lit("")).alias("html"))
     own = own.withColumn("digest", F.sha1("html"))
     large: Column = F.octet_length("html") >= min_bytes
@@ -90,28 +94,28 @@ def with_revisits(pages: DataFrame, id_col: str = "page_id", url_col: str = "url
 def write_archives(pages: DataFrame, folder: str, file_bytes: int = FILE_BYTES) -> DataFrame:
     """Write with_revisits()' rows as archives below folder, which all executors share, and give the index.
 
-    The index is stored as a table before anything reads it.  A file gets its name only
-    when it is whole, and a task that runs again writes the same names, so that a lost
-    executor leaves nothing half written in the index.
+    The index is stored as a table before anything reads it.  Each file has a name of its
+    own: a task that runs again, or twice at a time, never touches what another attempt
+    wrote, and the index has the rows of the one attempt that Spark committed.  Files of
+    other attempts stay behind, unnamed by the index, until the folder is deleted.
     """
-    text_batches(pages.sparkSession)
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, base = fs.FileSystem.from_uri(folder)
         store.create_dir(base, recursive=True)
-        task, number = TaskContext.get().partitionId(), 0
+        task = TaskContext.get().partitionId()
         out, temp, at, rows = None, "", 0, []
 
         def close() -> pa.RecordBatch:
-            nonlocal out, number, rows, at
+            nonlocal out, rows, at
             out.close()
-            name = f"{base}/pages-{task:06d}-{number:04d}.warc.gz"
+            name = f"{base}/pages-{task:06d}-{uuid.uuid4().hex}.warc.gz"
             store.move(temp, name)
             done = pa.RecordBatch.from_pylist([r | {"file": name} for r in rows], pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("payload_digest", pa.string()), ("record_type", pa.string()), ("refers_to", pa.int64()), ("file", pa.string()), ("offset", pa.int64()), ("length", pa.int64())]))
-            out, number, rows, at = None, number + 1, [], 0
+            out, rows, at = None, [], 0
             return done
 
-        for batch in batches:
+        for batch in portions(batches, lambda b: b.column(2)):
             for page_id, url, html, digest, refers_to in zip(*(c.to_pylist() for c in batch.columns)):
                 if out is None:
                     temp = f"{base}/.{uuid.uuid4().hex}.part"
@@ -131,9 +135,14 @@ def write_archives(pages: DataFrame, folder: str, file_bytes: int = FILE_BYTES)
 def read_archives(index: DataFrame, folder: str, gap: int = GAP, read_bytes: int = READ_BYTES) -> DataFrame:
     """Read the records that the index rows name: a row for each, with its payload.
 
-    Rows are dealt out by file and sorted by offset; neighbouring ranges are read at once.
-    A file is at most FILE_BYTES and one record long, which bounds a task's share of it.
+    Rows are dealt out by file and stretch of read_bytes, sorted by offset; neighbouring
+    ranges are read at once.  There are as many tasks as the archives' own bytes ask for,
+    as the index says nothing of them to Spark.  Empty index: no rows.
     """
+    spark = index.sparkSession
+    total = index.agg(F.sum("length").alias("total")).first()["total"] or 0
+    each = int(spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes())
+    tasks = max(1, -(-total // each), min(spark.sparkContext.defaultParallelism, -(-total // (1 << 20))))
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, _ = fs.FileSystem.from_uri(folder)
@@ -157,7 +166,7 @@ def read_archives(index: DataFrame, folder: str, gap: int = GAP, read_bytes: int
         if run:
             yield fetch()
 
-    return index.select("file", "offset", "length").repartition("file").sortWithinPartitions("file", "offset").mapInArrow(read, RECORD)
+    return index.select("file", "offset", "length").repartition(tasks, F.col("file"), F.floor(F.col("offset") / read_bytes)).sortWithinPartitions("file", "offset").mapInArrow(read, RECORD)
 
 
 def archive_round_trip(spark: SparkSession, pages: DataFrame) -> DataFrame:
@@ -171,6 +180,8 @@ def archive_round_trip(spark: SparkSession, pages: DataFrame) -> DataFrame:
     folder = fresh_path(spark, "warc")
     index = write_archives(with_revisits(pages), folder)
     found = stored(read_archives(index, folder).drop("payload"), "warc-read")
+    delete(spark, folder)
+    release(index)
     sizes = found.where("record_type = 'response' and page_id is not null").groupBy(F.col("page_id").alias("refers_to"), F.col("payload_digest").alias("full_digest")).agg(F.max("payload_bytes").alias("full_bytes"))
     full = found.join(sizes.withColumnRenamed("full_digest", "payload_digest"), ["refers_to", "payload_digest"], "left")
     return full.select("page_id", "url", F.coalesce("payload_bytes", "full_bytes").alias("payload_bytes"), "payload_digest", "record_type", "refers_to")
