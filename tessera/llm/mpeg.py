@@ -1,8 +1,8 @@
 """Media columns: MPEG audio streams, parsed and written without a codec.
 
 ``parse`` resynchronises frame headers, reads ID3v2, ID3v1 and APEv2 tags and Xing, Info
-and VBRI tables, verifies the checksums of Layer III frames, and gives exact durations and
-each frame's offset.  ``carry`` stores bytes losslessly as ancillary data of MPEG-2 Layer
+and VBRI tables, verifies frames' checksums, and gives exact durations and each frame's
+offset.  ``carry`` stores bytes losslessly as ancillary data of MPEG-2 Layer
 III frames (576 bytes a frame of 576 samples), ``payload`` reads them back.
 """
 
@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from tessera.llm.common import stored, text_batches
+from tessera.llm.common import portions, stored
 
 # Fixed values of ISO/IEC 11172-3 and 13818-3: kbit/s by index 1 to 14, Hz by index 0 to 2.
 KBITS = {
@@ -31,6 +31,14 @@ KBITS = {
 }
 HERTZ = {"1": (44100, 48000, 32000), "2": (22050, 24000, 16000), "2.5": (11025, 12000, 8000)}
 VERSIONS = {0: "2.5", 2: "2", 3: "1"}
+# Layer II allocation: (bits, subbands) in a row, by table. "low" is for the lower sampling rates.
+ALLOCATION = {
+    "a": ((4, 11), (3, 12), (2, 4)),
+    "b": ((4, 11), (3, 12), (2, 7)),
+    "c": ((4, 2), (3, 6)),
+    "d": ((4, 2), (3, 10)),
+    "low": ((4, 4), (3, 7), (2, 19)),
+}
 # End of the fixed values.
 
 UNIT = 576
@@ -53,14 +61,48 @@ def _crc_table() -> list[int]:
 CRC = _crc_table()
 
 
-def frame_crc(data: bytes) -> int:
-    """The CRC-16 of MPEG audio: polynomial 0x8005, start 0xFFFF."""
-    r = 0xFFFF
-    for b in data:
+def frame_crc(data: bytes, bits: int | None = None) -> int:
+    """The CRC-16 of MPEG audio over the first bits of data (all of them by default): polynomial 0x8005, start 0xFFFF."""
+    r, bits = 0xFFFF, 8 * len(data) if bits is None else bits
+    for b in data[: bits // 8]:
         r = (r << 8 & 0xFF00) ^ CRC[r >> 8 ^ b]
+    for k in range(bits % 8):
+        high = r >> 15 ^ data[bits // 8] >> 7 - k & 1
+        r = (r << 1 & 0xFFFF) ^ (0x8005 if high else 0)
     return r
 
 
+def _allocation(h: dict) -> tuple[tuple[int, int], ...]:
+    """The allocation table of a Layer II frame, by its rate for each channel."""
+    each = h["bitrate"] // 1000 // (1 if h["mono"] else 2)
+    if h["version"] != "1":
+        return ALLOCATION["low"]
+    if each <= 48:
+        return ALLOCATION["d" if h["hertz"] == 32000 else "c"]
+    return ALLOCATION["a" if h["hertz"] == 48000 or each <= 80 else "b"]
+
+
+def guarded(data: bytes, at: int, h: dict) -> tuple[bytes, int]:
+    """What a frame's checksum covers, as bytes and a number of bits: the header's last 16 bits, then allocation (Layer I), allocation and scale factor selection (Layer II) or side information (Layer III)."""
+    front, body, channels = data[at + 2 : at + 4], at + 6, 1 if h["mono"] else 2
+    if h["layer"] == 3:
+        bits = 8 * h["side"]
+    elif h["layer"] == 1:
+        bits = 4 * (channels * h["bound"] + 32 - h["bound"])
+    else:
+        whole, bits, used = int.from_bytes(data[body : body + 64].ljust(64, b"\0"), "big"), 0, 0
+        widths = [w for w, n in _allocation(h) for _ in range(n)]
+        for band, width in enumerate(widths):
+            shared = channels == 2 and band >= h["bound"]
+            for _ in range(1 if shared else channels):
+                # a subband that both channels share selects scale factors for each
+                if whole >> 512 - bits - width & (1 << width) - 1:
+                    used += 2 if shared else 1
+                bits += width
+        bits += 2 * used
+    return front + data[body : body + (bits + 7) // 8], 16 + bits
+
+
 _heads: dict[bytes, dict | None] = {}
 
 
@@ -78,7 +120,7 @@ def head(four: bytes) -> dict | None:
             pad, mono = four[2] >> 1 & 1, four[3] >> 6 == 3
             size = (12 * bits // hertz + pad) * 4 if layer == 1 else samples // 8 * bits // hertz + pad
             side = 0 if layer < 3 else (17 if mono else 32) if version == "1" else (9 if mono else 17)
-            out = {"version": version, "layer": layer, "bitrate": bits, "hertz": hertz, "samples": samples, "size": size, "side": side, "mono": mono, "crc": not four[1] & 1}
+            out = {"version": version, "layer": layer, "bitrate": bits, "hertz": hertz, "samples": samples, "size": size, "side": side, "mono": mono, "bound": 4 * (four[3] >> 4 & 3) + 4 if four[3] >> 6 == 1 else 32, "crc": not four[1] & 1}
     if len(_heads) > 4096:
         _heads.clear()
     _heads[four] = out
@@ -117,9 +159,9 @@ def parse(data: bytes) -> dict:
     """Frames, tags, tables and times of an MPEG audio stream.
 
     offsets: of each audio frame.  duration: exact seconds, a Fraction (the sum of samples
-    over Hz).  table: a Xing, Info or VBRI frame's fields, or None.  crc_bad: frames of
-    Layer III whose checksum is wrong (other layers' checksums aren't verified).  skipped:
-    bytes between frames that belong to none.  Where nothing can be read: no frames.
+    over Hz).  table: a Xing, Info or VBRI frame's fields, or None.  crc_seen, crc_bad:
+    frames that have a checksum, and those whose checksum is wrong.  skipped: bytes between
+    frames that belong to none.  Where nothing can be read: no frames.
     """
     begin, end, said = _tags(data)
     at, out, table, skipped, crc_seen, crc_bad = begin, [], None, 0, 0, 0
@@ -133,13 +175,13 @@ def parse(data: bytes) -> dict:
             if kind is not None and not lost or follows + 4 > end or head(data[follows : follows + 4]):
                 lost = False
                 kind = kind or (h["version"], h["layer"], h["hertz"])
-                if h["crc"] and h["layer"] == 3:
+                if h["crc"]:
                     crc_seen += 1
-                    guarded = data[at + 2 : at + 4] + data[at + 6 : at + 6 + h["side"]], data[at + 4 : at + 6]
-                    if guarded not in good:
-                        if frame_crc(guarded[0]) == int.from_bytes(guarded[1], "big"):
+                    checked = *guarded(data, at, h), data[at + 4 : at + 6]
+                    if checked not in good:
+                        if frame_crc(*checked[:2]) == int.from_bytes(checked[2], "big"):
                             if len(good) < 64:
-                                good.add(guarded)
+                                good.add(checked)
                         else:
                             crc_bad += 1
                 found = None
@@ -217,12 +259,11 @@ def payload(data: bytes, parsed: dict) -> np.ndarray:
 
 
 def media_table(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Each text's bytes as a media column: (id, media), unshuffled."""
-    text_batches(df.sparkSession)
+    """Each text's bytes as a media column: (id, media), unshuffled. Null or empty text: a frame of 255s. Null id: kept. Repeated rows: as often. Empty table: no rows."""
     schema = T.StructType([T.StructField(id_col, df.schema[id_col].dataType), T.StructField("media", T.BinaryType())])
 
     def store(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in portions(batches):
             media = [carry((x or "").encode("utf-8", "surrogatepass")) for x in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(media, pa.binary())], names=schema.names)
 
@@ -232,17 +273,17 @@ def media_table(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
 READ = "n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string, n_frames long, n_samples long, sample_rate int, duration_s double, crc_bad long, seek_offsets array<int>"
 
 
-def read_media(media: DataFrame, id_col: str = "doc_id", every: int = 64) -> DataFrame:
+def read_media(media: DataFrame, id_col: str = "doc_id", every: int = 1) -> DataFrame:
     """Parse a media column that carry() wrote and read its payload back: a row for each stream.
 
-    seek_offsets has the place of each every-th frame; duration_s is the nearest double to
+    seek_offsets has the place of each frame (of each every-th one, where asked); duration_s is the nearest double to
     the exact duration, which feature states as samples/Hz.  Null or empty text: one frame
     of 255s.  Null id: kept.  Repeated rows: as often.  Empty table: no rows.
     """
     schema = T.StructType([T.StructField(id_col, media.schema[id_col].dataType), *T.StructType.fromDDL(READ).fields])
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in portions(batches):
             rows = []
             for data in batch.column(1).to_pylist():
                 p = parse(data)
@@ -264,5 +305,5 @@ def read_media(media: DataFrame, id_col: str = "doc_id", every: int = 64) -> Dat
 
 
 def media_columns(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Store every text as a media column in the shared folder, then parse and read the stored bytes back."""
+    """Store every text as a media column in the shared folder, then parse and read the stored bytes back: read_media()'s rows."""
     return read_media(stored(media_table(df, id_col, text_col), "media", "zstd"), id_col)

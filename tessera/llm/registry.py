@@ -33,7 +33,7 @@ def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_mpeg(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mpeg.media_columns(_table(spark, sf_dir, "documents")).drop("seek_offsets")
+    return mpeg.media_columns(_table(spark, sf_dir, "documents"))
 
 
 def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
