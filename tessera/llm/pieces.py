@@ -7,17 +7,17 @@ which merges leave apart from the last one before it.
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections import deque
 from collections.abc import Iterator
-import re
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from tessera.llm.common import text_batches
+from tessera.llm.common import portions
 
 SPACE = "▁"
 #: A unit: spaces in a row and what follows up to the next. No piece goes on behind a space, so units are independent.
@@ -30,7 +30,8 @@ UNKNOWN_COST = 10.0
 class Pieces:
     """A vocabulary's automaton: goto edges, failure links, and output links to the next shorter piece that ends at the same place."""
 
-    def __init__(self, pieces: list[str], scores: list[float], usable: list[bool], byte_ids: list[int], unknown_id: int, bpe: bool = False):
+    def __init__(self, pieces: list[str], scores: list[float], usable: list[bool], byte_ids: list[int], unknown_id: int, bpe: bool = False, lead: bool = True):
+        self.lead = lead
         self.pieces, self.scores, self.byte_ids, self.unknown_id = pieces, scores, byte_ids, unknown_id
         self.floor = min([s for s, u in zip(scores, usable) if u], default=0.0) - UNKNOWN_COST
         self.edges: list[dict[str, int]] = [{}]
@@ -48,9 +49,9 @@ class Pieces:
                 state = to
             self.piece[state] = i
         self.fail = [0] * len(self.edges)
-        #: The pieces that end in a state, by way of its output links: (length, score, id), longest first.
-        self.outputs: list[tuple[tuple[int, float, int], ...]] = [()] * len(self.edges)
-        queue = deque([0])
+        #: The longest piece that ends in a state, its own or its output link's: (length, score, id, the next shorter one), or None.
+        self.outputs: list[tuple | None] = [None] * len(self.edges)
+        queue, order = deque([0]), []
         while queue:
             state = queue.popleft()
             for c, to in self.edges[state].items():
@@ -59,23 +60,25 @@ class Pieces:
                     while back and c not in self.edges[back]:
                         back = self.fail[back]
                     self.fail[to] = self.edges[back].get(c, 0)
-                i = self.piece[to]
-                own = ((len(pieces[i]), scores[i], i),) if i >= 0 else ()
-                self.outputs[to] = own + self.outputs[self.fail[to]]
                 queue.append(to)
+                order.append(to)
         self.raw = [b""] * len(pieces)
         for i, p in enumerate(pieces):
             self.raw[i] = p.replace(SPACE, " ").encode()
         for value, i in enumerate(byte_ids):
             self.raw[i] = bytes([value])
-        self.plain = all(SPACE not in p.lstrip(SPACE) for p, u in zip(pieces, usable) if u)
+        # where SPACE is a piece as well, no unknown run goes across units
+        self.plain = all(SPACE not in p.lstrip(SPACE) for p, u in zip(pieces, usable) if u) and any(p == SPACE for p, u in zip(pieces, usable) if u)
         self.known: dict[str, bytes] = {}
         self.bpe, self.apart = bpe, {}
         if bpe:
             self.rank = {p: (-s, i) for i, (p, s, u) in enumerate(zip(pieces, scores, usable)) if u and p}
             # pieces that merges don't reach never come up
             reached = {i for p, (_, i) in self.rank.items() if len(self.merged(p)) == 1}
-            self.outputs = [tuple(o for o in found if o[2] in reached) for found in self.outputs]
+        # in breadth first order a state's failure link, which is shorter, has its output already
+        for state in order:
+            i, link = self.piece[state], self.outputs[self.fail[state]]
+            self.outputs[state] = (len(pieces[i]), scores[i], i, link) if i >= 0 and (not bpe or i in reached) else link
 
     @classmethod
     def load(cls, path: str) -> Pieces:
@@ -88,7 +91,15 @@ class Pieces:
         pieces = [model.id_to_piece(i) for i in range(n)]
         byte_ids = [model.piece_to_id(f"<0x{b:02X}>") for b in range(256)] if any(map(model.is_byte, range(n))) else []
         usable = [not (model.is_control(i) or model.is_unknown(i) or model.is_byte(i) or model.is_unused(i)) for i in range(n)]
-        return cls(pieces, [model.get_score(i) for i in range(n)], usable, byte_ids, model.unk_id(), spec.trainer_spec.model_type == spec.trainer_spec.BPE)
+        rules = spec.normalizer_spec
+        if rules.precompiled_charsmap or rules.remove_extra_whitespaces or not rules.escape_whitespaces:
+            raise ValueError("models whose texts are normalised first can't be used: encoding must be lossless")
+        if any(p.type == p.USER_DEFINED for p in spec.pieces):
+            raise ValueError("models with pieces that go before all others can't be used")
+        bpe = spec.trainer_spec.model_type == spec.trainer_spec.BPE
+        if not bpe and spec.trainer_spec.model_type != spec.trainer_spec.UNIGRAM:
+            raise ValueError("the model is neither a unigram nor a BPE model")
+        return cls(pieces, [model.get_score(i) for i in range(n)], usable, byte_ids, model.unk_id(), bpe, rules.add_dummy_prefix)
 
     def viterbi(self, text: str) -> list[int]:
         """Ids of the segmentation with the largest sum of scores, in one pass; of equal ones, that with the longer last piece. text has SPACE for blanks."""
@@ -100,7 +111,9 @@ class Pieces:
                 state = fail[state]
             state = edges[state].get(c, 0)
             top, via = best[end - 1] + self.floor, (-1, end - 1)
-            for length, score, i in outputs[state]:
+            out = outputs[state]
+            while out:
+                length, score, i, out = out
                 s = best[end - length] + score
                 if s > top:
                     top, via = s, (i, end - length)
@@ -112,8 +125,8 @@ class Pieces:
                 out.append(i)
             elif self.byte_ids:
                 out.extend(self.byte_ids[b] for b in reversed(text[begin:n].encode("utf-8", "surrogatepass")))
-            else:
-                out.append(self.unknown_id)
+            elif not out or out[-1] != self.unknown_id:
+                out.append(self.unknown_id)  # unknown characters in a row are one
             n = begin
         return out[::-1]
 
@@ -137,7 +150,9 @@ class Pieces:
                 state = fail[state]
             state = edges[state].get(c, 0)
             back[end] = (-1, end - 1)
-            for length, _, i in outputs[state]:
+            out = outputs[state]
+            while out:
+                length, _, i, out = out
                 before = back[end - length][0]
                 if before >= 0:
                     whole = apart.get((before, i))
@@ -157,7 +172,7 @@ class Pieces:
                 out.append(i)
             elif self.byte_ids:
                 out.extend(self.byte_ids[b] for b in reversed(text[begin:n].encode("utf-8", "surrogatepass")))
-            else:
+            elif not out or out[-1] != self.unknown_id:
                 out.append(self.unknown_id)
             n = begin
         return out[::-1]
@@ -166,10 +181,10 @@ class Pieces:
         return self.merges(text) if self.bpe else self.viterbi(text)
 
     def encode(self, text: str) -> np.ndarray:
-        """Ids of a whole text: a space goes before it, and blanks count as SPACE."""
+        """Ids of a whole text: where the model says so, a space goes before it; blanks count as SPACE."""
         if not text:
             return np.zeros(0, np.int32)
-        text = SPACE + text.replace(" ", SPACE)
+        text = (SPACE if self.lead else "") + text.replace(" ", SPACE)
         if not self.plain:
             return np.array(self.segmented(text), np.int32)
         known, units = self.known, UNIT.findall(text)
@@ -183,9 +198,9 @@ class Pieces:
         return np.frombuffer(b"".join(map(known.__getitem__, units)), np.int32)
 
     def decode(self, ids: np.ndarray) -> str:
-        """The text of ids: bytes put together, SPACE as a blank, without the first one."""
+        """The text of ids: bytes put together, SPACE as a blank, without the one that encode() puts first."""
         raw = b"".join(map(self.raw.__getitem__, ids.tolist()))
-        return raw.removeprefix(b" ").decode("utf-8", "replace")
+        return (raw.removeprefix(b" ") if self.lead else raw).decode("utf-8", "replace")
 
 
 _loaded: dict[str, Pieces] = {}
@@ -199,20 +214,19 @@ def loaded(path: str) -> Pieces:
 
 
 def encode(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, ids): every whole text encoded. Null or empty text: no ids. Null id: kept. No shuffle."""
-    text_batches(docs.sparkSession)
+    """(id, ids): every whole text encoded. Null or empty text: no ids. Null id: kept. Repeated rows: as often. Empty table: no rows. No shuffle."""
     schema = T.StructType([docs.select(id_col).schema[0], T.StructField("ids", T.ArrayType(T.IntegerType()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = loaded(model_path)
-        for batch in batches:
+        for batch in portions(batches):
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([model.encode(x or "") for x in batch.column(1).to_pylist()], pa.list_(pa.int32()))], names=schema.names)
 
     return docs.select(id_col, text_col).mapInArrow(run, schema)
 
 
 def decode(encoded: DataFrame, model_path: str, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
-    """(id, text): ids decoded; null ids give a null text."""
+    """(id, text): ids decoded; null ids give a null text, no ids an empty one. Repeated rows: as often. Empty table: no rows."""
     schema = T.StructType([encoded.select(id_col).schema[0], T.StructField("text", T.StringType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -225,11 +239,11 @@ def decode(encoded: DataFrame, model_path: str, id_col: str = "doc_id", ids_col:
 
 
 def round_trip(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, n_ids, ids_crc32, n_bytes_fallback, text_bytes, lossless): each text encoded and decoded again, in one pass.
+    """(id, n_ids, ids_crc32, n_byte_ids, text_bytes, lossless): each text encoded and decoded again, in one pass.
 
     lossless: whether decoding gives the text back (but for SPACE itself, which a decoder can't tell from a blank).
+    Null or empty text: no ids, lossless.  Null id: kept.  Repeated rows: as often.  Empty table: no rows.
     """
-    text_batches(docs.sparkSession)
     own = docs.select(id_col).schema[0]
     schema = T.StructType([own, T.StructField("n_ids", T.LongType()), T.StructField("ids_crc32", T.LongType()), T.StructField("n_byte_ids", T.LongType()), T.StructField("text_bytes", T.LongType()), T.StructField("lossless", T.BooleanType())])
 
@@ -237,7 +251,7 @@ def round_trip(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_co
         model = loaded(model_path)
         fallback = np.zeros(len(model.pieces), bool)
         fallback[model.byte_ids] = True
-        for batch in batches:
+        for batch in portions(batches):
             rows = []
             for x in batch.column(1).to_pylist():
                 x = x or ""
