@@ -15,18 +15,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.llm.common import stored, text_batches
+from tessera.llm.common import integer_id, portions, stored
 
 #: The most labelled rows that a fit reads, the first by a hash of their ids.
 FIT_ROWS = 8000
-#: The most candidate terms that the driver looks at.
-TERMS = 2000
 #: A term is in at least this share of the bad rows, and its rate there is this many times that in good rows.
 SUPPORT, PURITY = 0.03, 40.0
 #: Lexicon voters; each holds the terms of one rank class.
 LEXICONS = 12
 #: What a development label weighs against a posterior one.
-GOLD_WEIGHT = 10
+GOLD_WEIGHT = 1
 PREFIXES = (4, 5, 6)
 #: Entries of a worker's table of known words.
 KNOWN_WORDS = 200_000
@@ -96,7 +94,7 @@ def label_model(votes: np.ndarray, prior: float, gold: np.ndarray | None = None,
 
     votes: rows by voters, 1, -1 or 0 (abstains, which says nothing).  Expectation
     maximisation over how often a voter votes for and against either label; gold labels of a
-    development set, where given, anchor it, GOLD_WEIGHT votes each: a document that one
+    development set, where given, anchor it, GOLD_WEIGHT posterior ones each: a document that one
     voter alone speaks for would else drift towards the prior.  What two voters share
     beyond the label shows as the correlation of their residuals; a voter's log odds are
     divided by one plus its correlations, so that voters that repeat each other count as
@@ -109,8 +107,10 @@ def label_model(votes: np.ndarray, prior: float, gold: np.ndarray | None = None,
         """Votes for and against, by label, and the labels themselves."""
         return np.stack([y @ plus, (1 - y) @ plus, y @ minus, (1 - y) @ minus, np.full(m, y.sum()), np.full(m, n - y.sum())])
 
-    anchor = GOLD_WEIGHT * tally(gold) if gold is not None else tally(np.where(votes.sum(1) > 0, 0.9, prior / 2))
-    counts, share, correlations = anchor, np.ones(m), np.zeros((m, m))
+    # without a development set the votes' majority is where the search begins, no more
+    anchor = GOLD_WEIGHT * tally(gold) if gold is not None else np.zeros((6, m))
+    counts = anchor if gold is not None else tally(np.where(votes.sum(1) > 0, 0.9, prior / 2))
+    share, correlations = np.ones(m), np.zeros((m, m))
     posterior = np.full(n, prior)
     for turn in range(rounds):
         for_, against = (np.log((counts[k] + 0.5) / (counts[4] + 1)) - np.log((counts[k + 1] + 0.5) / (counts[5] + 1)) for k in (0, 2))
@@ -143,20 +143,23 @@ def linear(features: np.ndarray, target: np.ndarray, ridge: float = 0.05, rounds
     return w[:-1], float(w[-1])
 
 
-def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", fit_rows: int = FIT_ROWS, terms: int = TERMS) -> Model:
+def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", fit_rows: int = FIT_ROWS) -> Model:
     """Learn from at most fit_rows labelled rows whose crc32(id as text) mod 5 isn't 0.
 
     Labels choose the lexicons' terms and anchor the label model's accuracies, as a
-    development set; the classifier sees the label model's posteriors alone.  Terms and the rows' hits
-    are what the driver gets: at most terms rows, and fit_rows rows of numbers.  Without
-    labelled rows of both kinds the model scores everything alike, below 0.5.
+    development set; the classifier sees the label model's posteriors alone.  Terms and the
+    rows' hits are what the driver gets: a term is in a share SUPPORT of the bad rows, so
+    that there are at most 1 / SUPPORT times as many as a bad row has distinct ones; rows are
+    at most fit_rows, of numbers.  Without labelled rows of both kinds the model scores
+    everything alike, below 0.5.  An id with several labels counts as bad if one of them is;
+    labels but 0 and 1, and rows without an id, teach nothing.
     """
+    integer_id(docs, id_col)
     chosen = labels.where(f"{label_col} in (0, 1) and {id_col} is not null").groupBy(F.col(id_col).cast("long").alias("_id")).agg(F.max(label_col).cast("int").alias("_y")).where(F.crc32(F.col("_id").cast("string")) % 5 != 0)
     chosen = chosen.orderBy(F.xxhash64("_id"), "_id").limit(fit_rows)
-    text_batches(docs.sparkSession)
 
     def take(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in portions(batches, lambda b: b.column(2)):
             ids, ys, words, pats = [], [], [], []
             for i, y, text in zip(*(c.to_pylist() for c in batch.columns)):
                 counts = Counter(WORD.findall((text or "").lower()))
@@ -181,7 +184,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     counted = rows.select("y", F.explode("found").alias("term", "n")).select("y", "term", levels.alias("least")).groupBy("term", "least").agg(F.sum("y").alias("a"), F.sum(1 - F.col("y")).alias("b"))
     # a term's chance to be in bad rows alone by luck, over all terms, must be small; and it must matter
     least = max(math.ceil((math.log(max(2, counted.count())) + 2) / math.log((bad + good) / bad)), math.ceil(SUPPORT * bad))
-    best = counted.where((F.col("a") >= least) & (F.col("b") * F.lit(bad) * PURITY <= F.col("a") * F.lit(good))).orderBy(F.desc("a"), "b", F.desc(F.length("term")), "term").limit(terms)
+    best = counted.where((F.col("a") >= least) & (F.col("b") * F.lit(bad) * PURITY <= F.col("a") * F.lit(good))).orderBy(F.desc("a"), "b", F.desc(F.length("term")), "term")
     lexicon = distinct_terms([(r["term"], r["least"], r["a"]) for r in best.collect()])
     numbers: dict[str, tuple[tuple[int, int], ...]] = {}
     for k, (term, m) in enumerate(lexicon):
@@ -206,13 +209,15 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     return Model(numbers, weights, intercept, accuracies, correlations)
 
 
-def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", keep: bool = False) -> DataFrame:
-    """docs with their scores in [0, 1]: (id, score), or with keep all columns and _toxic_score. No shuffle.
+def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", keep: bool = False, score_col: str = "score") -> DataFrame:
+    """docs with their scores in [0, 1]: (id, score_col), or with keep all columns and score_col, which docs must not have. No shuffle.
 
-    Null or empty text: the score of a text without words.  Null id: kept.
+    Null or empty text: the score of a text without words.  Null id: kept.  Repeated rows:
+    as often, with one score.  Empty table: no rows.
     """
-    text_batches(docs.sparkSession)
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # at most TERMS terms and weights
+    if keep and score_col in docs.columns:
+        raise ValueError(f"docs has a column {score_col}")
+    shared = docs.sparkSession.sparkContext.broadcast(model)  # the lexicon's terms and weights, see fit()
     token = uuid.uuid4().hex
 
     @F.pandas_udf(T.DoubleType())
@@ -231,8 +236,8 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
         return pd.Series(out, dtype="float64")
 
     if keep:
-        return docs.withColumn("_toxic_score", of(F.col(text_col)))
-    return docs.select(F.col(id_col), of(F.col(text_col)).alias("score"))
+        return docs.withColumn(score_col, of(F.col(f"`{text_col}`")))
+    return docs.select(F.col(id_col), of(F.col(f"`{text_col}`")).alias(score_col))
 
 
 #: A worker's words and their terms, for the last model only.
@@ -240,6 +245,10 @@ _known: dict = {}
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> DataFrame:
-    """Fit on the labelled rows and score every row: (id, held_out, score, predicted)."""
+    """Fit on the labelled rows and score every row: (id, held_out, score, predicted).
+
+    held_out: whether crc32(id as text) mod 5 is 0, null where the id is.  See fit() and
+    score() for nulls, empty texts, repeated rows and empty tables.
+    """
     scored = score(docs, fit(docs, labels, id_col, text_col, label_col), id_col, text_col)
     return scored.select(id_col, (F.crc32(F.col(id_col).cast("string")) % 5 == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
