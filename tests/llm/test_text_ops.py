@@ -8,6 +8,7 @@ from fractions import Fraction
 import numpy as np
 import public_tokenizers
 import pytest
+import xxhash
 
 from tessera.llm import chunk_dedup, line_dedup, minhash, mpeg, packing, pieces, suffix_dedup, toxicity, warc
 
@@ -121,9 +122,22 @@ def test_densified_sketches_estimate_similarity():
         assert abs((s[0] == s[1]).mean() - true) < 0.25
 
 
+def in_order(rows):
+    """Documents, that is (id, text), in the order that earlier means: by id, then by a hash of the text where ids repeat."""
+    docs = {(i, t or "") for i, t in rows if i is not None}
+    told = len(docs) > len({i for i, _ in docs}) or len([i for i, _ in rows if i is not None]) > len(docs)
+    return sorted(docs, key=lambda d: (d[0], np.uint64(xxhash.xxh64(d[1].encode(), seed=42).intdigest()).astype(np.int64) if told else 0))
+
+
+def two_texts(rows):
+    """rows, and other texts under ids that are there already: copies of other texts, shorter and longer ones."""
+    own = [(i, t) for i, t in rows if i is not None and t]
+    return [*rows, *((i, own[-k - 1][1] + own[k + 3][1]) for k, (i, _) in enumerate(own[:12])), (own[0][0], own[5][1][:150]), (own[1][0], None)]
+
+
 def brute_cut(rows, length):
     seen, out = {}, {}
-    for i, t in sorted({(i, t or "") for i, t in rows if i is not None}):
+    for i, t in in_order(rows):
         b = t.encode()
         mask = np.zeros(len(b), bool)
         for p in range(len(b) - length + 1):
@@ -133,30 +147,118 @@ def brute_cut(rows, length):
             else:
                 seen[w] = 1
         runs = int((np.diff(np.r_[0, mask.astype(int)]) == 1).sum())
-        out[i] = (len(b), int(mask.sum()), runs, hashlib.sha256(bytes(np.frombuffer(b, np.uint8)[~mask])).hexdigest())
+        left = bytes(np.frombuffer(b, np.uint8)[~mask])
+        out[i, t] = (len(b), int(mask.sum()), runs, hashlib.sha256(left).hexdigest()), left.decode("utf-8", "ignore") if mask.any() else t
     return out
 
 
-@pytest.mark.parametrize("length", [100, 40])
-def test_suffix_dedup(spark, length):
-    rows = made(2) + [(2000, "ab" * 200), (2001, "b" + "ab" * 150), (2002, "q" * 350)]
-    want = brute_cut(rows, length)
-    got = suffix_dedup.suffix_dedup(frame(spark, rows), length).collect()
-    assert len(got) == len(rows)
-    for r in got:
-        assert r.doc_id is None and r.n_removed == 0 or (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) == want[r.doc_id]
-    kept = suffix_dedup.suffix_dedup(frame(spark, rows), length, keep=True)
-    assert kept.columns == [c.split()[0] for c in CLASH.split(", ")] and kept.count() == len(rows)
-    assert suffix_dedup.suffix_dedup(empty(spark)).count() == 0
+def held(got, want, rows):
+    """Digest rows against documents: ids with several texts have several rows."""
+    mine = sorted((i, *want[i, t or ""][0]) for i, t in rows if i is not None)
+    assert sorted((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got if r.doc_id is not None) == mine
+    assert len(got) == len(rows) and all(r.n_removed <= r.n_bytes for r in got) and all(not r.n_removed for r in got if r.doc_id is None)
+
+
+def same_texts(spark, kept, want, rows):
+    """Kept texts against documents, and all other columns as they were."""
+    assert kept.columns == [c.split()[0] for c in CLASH.split(", ")]
+    mine = [(k, i, t if i is None or t is None else want[i, t][1]) for k, (i, t) in enumerate(rows)]
+    assert sorted(((r.id, r.doc_id, r.text) for r in kept.collect())) == sorted(mine)
+    assert {(r.n, r.h, r.c, r._doc, r._starts, r.size, r.key) for r in kept.collect()} == {(1, "x", 2, "y", 3, 4, "z")}
 
 
-def test_hot_minimisers_give_the_same_result(spark, monkeypatch):
-    rows = made(3)
-    monkeypatch.setattr(suffix_dedup, "HOT_SHARE", 0.0)
-    monkeypatch.setattr(suffix_dedup, "max", lambda *a: 2 if a == (40, 0) else max(*a), raising=False)
-    want = brute_cut(rows, 100)
-    got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in suffix_dedup.suffix_dedup(frame(spark, rows)).collect() if r.doc_id is not None}
-    assert got == want
+@pytest.mark.parametrize("length", [100, 40])
+@pytest.mark.parametrize("more", [list, two_texts])
+def test_suffix_dedup(spark, length, more):
+    rows = more(made(2) + [(2000, "ab" * 200), (2001, "b" + "ab" * 150), (2002, "q" * 350)])
+    want = brute_cut(rows, length)
+    held(suffix_dedup.suffix_dedup(frame(spark, rows), length).collect(), want, rows)
+    same_texts(spark, suffix_dedup.suffix_dedup(frame(spark, rows), length, keep=True), want, rows)
+
+
+def test_ids_must_be_integers(spark):
+    docs = spark.createDataFrame([("a", "x"), ("b", "y")], "doc_id string, text string")
+    for f in (suffix_dedup.suffix_dedup, chunk_dedup.chunk_dedup, line_dedup.line_dedup, minhash.near_duplicates, minhash.near_dedup):
+        with pytest.raises(TypeError):
+            f(docs)
+
+
+def test_suffix_dedup_of_nothing(spark):
+    assert suffix_dedup.suffix_dedup(empty(spark)).count() == 0 and suffix_dedup.suffix_dedup(empty(spark), keep=True).count() == 0
+    nothing = spark.createDataFrame([(1, None), (2, ""), (None, None)], "doc_id long, text string")
+    assert {(r.n_bytes, r.n_removed) for r in suffix_dedup.suffix_dedup(nothing).collect()} == {(0, 0)}
+    with pytest.raises(ValueError):
+        suffix_dedup.suffix_dedup(nothing, length=300)
+
+
+@pytest.fixture(scope="module")
+def long_texts():
+    """Texts of more than two stretches, which share passages across a stretch's end, and what repeats."""
+    r = random.Random(8)
+    a = "".join(r.choices("abcdefgh  \n", k=2_600_000))
+    passage = a[1_048_576 - 2000 : 1_048_576 + 3000]
+    b = "".join(r.choices("ijklmnop  \n", k=2_300_000))
+    return [(1, a), (2, b[:2_097_152 - 700] + passage + b[2_097_152 - 700 :]), (3, "zz" + passage + "yy")], len(passage)
+
+
+def test_very_long_texts(spark, long_texts):
+    rows, size = long_texts
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(2)
+    got = {r.doc_id: r for r in suffix_dedup.suffix_dedup(docs).collect()}
+    # what stands beside a passage may be alike by chance, in a letter or two
+    assert got[1].n_removed == 0 and all(size <= got[i].n_removed <= size + 6 and got[i].n_spans == 1 for i in (2, 3))
+    near = {r.doc_id: r for r in minhash.near_duplicates(docs, 3, 85).collect()}
+    assert {i: near[i].n_shingles for i, _ in rows} == {i: len(sets_of(t, 3)) for i, t in rows}
+    chunks = {r.doc_id: r for r in chunk_dedup.chunk_dedup(docs).collect()}
+    want = brute_chunks(rows)
+    assert {i: (chunks[i].n_bytes, chunks[i].n_removed, chunks[i].n_spans, chunks[i].kept_sha256) for i, _ in rows} == {d[0]: w[0] for d, w in want.items()}
+
+
+def test_words_of_very_long_texts_are_hashed_alike():
+    data = np.frombuffer(b"ab cd  " + b"x" * (5 << 20) + b" ef " + b"gh " * (1 << 20), np.uint8)
+    whole, at = minhash._word_hashes(data, np.array([0, len(data)]))
+    parts, cuts = minhash.word_hashes(data, np.array([0, len(data)]))
+    assert (whole == parts).all() and (at == cuts).all()
+
+
+def frequent(n=400):
+    """One passage in every text, its surroundings different in each; one in half of them, in two variants."""
+    r = random.Random(4)
+    some = lambda k: "".join(r.choices("abcdefghijklmnopqrstuvwxyz ", k=k))
+    everywhere, often = some(150), [some(130), some(130)]
+    return [(k, some(r.randint(0, 90)) + everywhere + some(r.randint(0, 90)) + (often[k % 4 // 2] + some(40) if k % 2 else "")) for k in range(n)]
+
+
+@pytest.mark.parametrize("hot_share,wide", [(0.0, 4000), (9.0, 3), (0.0, 3)])
+def test_frequent_minimisers_give_the_same_result(spark, monkeypatch, hot_share, wide):
+    monkeypatch.setattr(suffix_dedup, "HOT_SHARE", hot_share)
+    monkeypatch.setattr(suffix_dedup, "WIDE", wide)
+    for rows in (frequent(), made(3)):
+        held(suffix_dedup.suffix_dedup(frame(spark, rows)).collect(), brute_cut(rows, 100), rows)
+
+
+def test_mappers_and_streams_settle_alike():
+    r = np.random.default_rng(5)
+    from tessera.llm import spans
+
+    n = 3000
+    key, ctx, doc, at = r.integers(0, 60, n), r.integers(0, 3, n), r.integers(0, 40, n), r.integers(0, 50, n)
+    dig, size = doc % 2, 5 + key % 7
+    mapper = spans.Mapper()
+    batches = []
+    for i in range(0, n, 700):
+        part = slice(i, i + 700)
+        batches += [*mapper.add(key[part], ctx[part], doc[part], dig[part], at[part], at[part] + size[part], size[part]), *mapper.flush()]
+    table = __import__("pyarrow").Table.from_batches(batches).sort_by([(k, "ascending") for k in ("key", "ctx", "doc", "dig", "place")])
+    out = [b for b in spans.settled(iter(table.to_batches(max_chunksize=97)), lambda p: (p >> 20) + (p >> 2 & 0x3FFFF), True)]
+    rows = [x for b in out for x in zip(*(c.to_pylist() for c in b.columns))]
+    firsts: dict = {}
+    for k, c, d, g, a in zip(key.tolist(), ctx.tolist(), doc.tolist(), dig.tolist(), at.tolist()):
+        firsts[k, c] = min(firsts.get((k, c), (d, g, a)), (d, g, a))
+    gone = {(d, g, a + x) for k, c, d, g, a, s in zip(*(y.tolist() for y in (key, ctx, doc, dig, at, size))) if (d, g, a) != firsts[k, c] for x in range(s)}
+    assert {(d, g, x) for _, end, d, g, p in rows if p & 3 == spans.GONE for x in range(p >> 20, end)} == gone
+    several = {k for k, _ in firsts if len([1 for j, _ in firsts if j == k]) > 1}
+    assert {(k, c, d, g, p >> 20) for k, c, d, g, p in rows if p & 3 == spans.OPEN} == {(k, c, *v) for (k, c), v in firsts.items() if k in several}
 
 
 def test_every_difference_has_a_shift_into_the_cover():
@@ -167,7 +269,7 @@ def test_every_difference_has_a_shift_into_the_cover():
 
 def brute_chunks(rows):
     seen, out = {}, {}
-    for i, t in sorted({(i, t or "") for i, t in rows if i is not None}):
+    for i, t in in_order(rows):
         b = t.encode()
         h, last, cuts = 0, 0, []
         for k, x in enumerate(b):
@@ -177,24 +279,26 @@ def brute_chunks(rows):
                 cuts.append((last, k + 1))
                 last = k + 1
         cuts += [(last, len(b))] if last < len(b) else []
-        kept, removed = b"", 0
+        kept, runs, before = b"", [], False
         for x, y in cuts:
-            if y - x >= chunk_dedup.LEAST and b[x:y] in seen:
-                removed += y - x
+            again = (y - x >= chunk_dedup.LEAST or y - x == len(b)) and b[x:y] in seen
+            if again:
+                runs = [*runs[:-1], (runs[-1][0], y)] if before else [*runs, (x, y)]
             else:
                 kept += b[x:y]
-            seen.setdefault(b[x:y], 1)
-        out[i] = (len(b), removed, hashlib.sha256(kept).hexdigest())
+            before = again
+            if y - x >= chunk_dedup.LEAST or y - x == len(b):
+                seen.setdefault(b[x:y], 1)
+        out[i, t] = (len(b), sum(y - x for x, y in runs), len(runs), hashlib.sha256(kept).hexdigest()), kept.decode("utf-8", "ignore") if runs else t
     return out
 
 
-def test_chunk_dedup(spark):
-    rows = made(4) + [(3000, "w" * 5000)]
+@pytest.mark.parametrize("more", [list, two_texts])
+def test_chunk_dedup(spark, more):
+    rows = more(made(4) + [(3000, "w" * 5000)])
     want = brute_chunks(rows)
-    got = chunk_dedup.chunk_dedup(frame(spark, rows)).collect()
-    assert len(got) == len(rows)
-    for r in got:
-        assert r.doc_id is None and r.n_removed == 0 or (r.n_bytes, r.n_removed, r.kept_sha256) == want[r.doc_id]
+    held(chunk_dedup.chunk_dedup(frame(spark, rows)).collect(), want, rows)
+    same_texts(spark, chunk_dedup.chunk_dedup(frame(spark, rows), keep=True), want, rows)
     assert chunk_dedup.chunk_dedup(empty(spark)).count() == 0
 
 
@@ -208,37 +312,51 @@ def test_insertions_move_few_chunks():
 
 def brute_lines(rows):
     seen, out = set(), {}
-    for i, t in sorted({(i, t) for i, t in rows if i is not None and t is not None}):
+    for i, t in in_order(rows):
         lines = t.split("\n")
         solid = [k for k, x in enumerate(lines) if x.strip(" ")]
-        gone, starts = set(), []
-        for j in range(len(solid) - 2):
-            w = tuple(lines[solid[j + k]] for k in range(3))
+        gone, ends = set(), []
+        for j in range(len(solid)):
+            size = next((n for n in (1, 2, 3) if j + n <= len(solid) and (n == 3 or sum(lines[solid[j + k]].count(" ") + 1 for k in range(n)) >= 50)), None)
+            if size is None:
+                continue
+            w = tuple(lines[solid[j + k]] for k in range(size))
             if w in seen:
-                gone.update(range(solid[j], solid[j + 2] + 1))
-                starts.append(j)
+                gone.update(range(solid[j], solid[j + size - 1] + 1))
+                ends.append((j, j + size - 1))
             seen.add(w)
-        runs = sum(1 for k, j in enumerate(starts) if not k or j > starts[k - 1] + 2)
-        out[i] = (len(solid), sum(1 for k in solid if k in gone), runs, "\n".join(x for k, x in enumerate(lines) if k not in gone))
+        runs = sum(1 for k, (j, _) in enumerate(ends) if not k or j > ends[k - 1][1])
+        out[i, t] = len(solid), sum(1 for k in solid if k in gone), runs, "\n".join(x for k, x in enumerate(lines) if k not in gone)
     return out
 
 
-def test_line_dedup(spark):
-    rows = made(5)
+@pytest.mark.parametrize("more", [list, two_texts])
+def test_line_dedup(spark, more):
+    long = " ".join(f"w{k}" for k in range(50))
+    rows = more(made(5) + [(5000, long), (5001, f"a\n{long}\n\nb"), (5002, f"{long[:150]}\n{long[150:]}"), (5003, f"x\n{long[:150]}\n{long[150:]}\ny"), (5004, long[:-4])])
     want = brute_lines(rows)
+    assert more is two_texts or want[5000, long][1] == 0 and want[5001, f"a\n{long}\n\nb"][1:3] == (1, 1)
     got = line_dedup.line_dedup(frame(spark, rows)).collect()
-    assert len(got) == len(rows)
-    for r in got:
-        if r.doc_id is not None and r.doc_id != 1000:
-            assert (r.n_lines, r.n_removed, r.n_runs, r.kept_text) == want[r.doc_id]
-    assert next(r for r in got if r.doc_id == 1000).kept_text is None
+    mine = [(i, *(want[i, t] if t is not None else (0, 0, 0, None))) for i, t in rows if i is not None]
+    order = lambda x: tuple((v is None, v) for v in x)
+    assert len(got) == len(rows) and sorted(((r.doc_id, r.n_lines, r.n_removed, r.n_runs, r.kept_text) for r in got if r.doc_id is not None), key=order) == sorted(mine, key=order)
+    assert all(not r.n_removed for r in got if r.doc_id is None)
     kept = line_dedup.line_dedup(frame(spark, rows), keep=True)
-    assert kept.columns == [c.split()[0] for c in CLASH.split(", ")] and kept.count() == len(rows)
+    same_texts(spark, kept, {d: (None, w[3]) for d, w in want.items()}, rows)
     plan = line_dedup.line_dedup(frame(spark, rows))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
     assert line_dedup.line_dedup(empty(spark)).count() == 0
 
 
+def test_near_dedup_tells_texts_of_one_id_apart(spark):
+    texts = {k: " ".join(f"{k}{j}" for j in range(60)) for k in "abc"}
+    rows = [(1, texts["a"]), (2, texts["b"]), (5, texts["b"]), (5, texts["c"]), (5, texts["c"]), (7, texts["c"] + " more"), (8, None), (9, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = minhash.near_duplicates(docs)
+    assert sorted((r.doc_id, r.component_id, r.kept) for r in got.collect()) == [(1, 1, True), (2, 2, True), (5, 2, False), (5, 5, True), (5, 5, True), (7, 5, False), (8, 8, True), (9, 9, True)]
+    assert sorted((r.doc_id, r.text or "") for r in minhash.near_dedup(docs).collect()) == [(1, texts["a"]), (2, texts["b"]), (5, texts["c"]), (5, texts["c"]), (8, ""), (9, "")]
+
+
 def test_packing(spark):
     from tokenizers import Tokenizer
 
@@ -298,6 +416,65 @@ def test_ids_are_the_models_own():
     assert [t for t in texts if model.encode(t).tolist() != own.encode(t)] == []
 
 
+def test_ids_of_a_unigram_model_are_the_librarys(tmp_path):
+    """A model put together by hand: pieces over a few letters with scores drawn at random, with and without byte pieces."""
+    import sentencepiece
+    from sentencepiece import sentencepiece_model_pb2 as proto
+
+    for fallback in (True, False):
+        for lead in (True, False):
+            r, spec = random.Random(11), proto.ModelProto()
+            add = lambda p, s, kind: spec.pieces.add(piece=p, score=s, type=kind)
+            kinds = proto.ModelProto.SentencePiece
+            add("<unk>", 0, kinds.UNKNOWN)
+            add("<s>", 0, kinds.CONTROL)
+            if fallback:
+                for b in range(256):
+                    add(f"<0x{b:02X}>", 0, kinds.BYTE)
+            seen = {*"abcd▁"}
+            while len(seen) < 120:
+                seen.add(("▁" if r.random() < 0.4 else "") + "".join(r.choice("abcdé") for _ in range(r.randint(1, 5))))
+            for p in sorted(seen):
+                add(p, -r.uniform(2, 12), kinds.NORMAL)
+            spec.trainer_spec.model_type, spec.trainer_spec.byte_fallback = spec.trainer_spec.UNIGRAM, fallback
+            spec.trainer_spec.vocab_size = len(spec.pieces)
+            spec.normalizer_spec.name, spec.normalizer_spec.add_dummy_prefix = "identity", lead
+            spec.normalizer_spec.remove_extra_whitespaces, spec.normalizer_spec.escape_whitespaces = False, True
+            path = str(tmp_path / f"{fallback}{lead}.model")
+            with open(path, "wb") as f:
+                f.write(spec.SerializeToString())
+            own, model = sentencepiece.SentencePieceProcessor(model_file=path), pieces.Pieces.load(path)
+            texts = ["".join(r.choice("aabbccddé  x漢") for _ in range(r.randint(0, 40))) for _ in range(800)] + ["abcd" * 400]
+            total = lambda ids: sum(model.scores[i] for i in ids)
+            other = [t for t in texts if model.encode(t).tolist() != own.encode(t)]
+            # the same pieces in another order have one sum, but for rounding
+            assert len(other) < 4 and all(abs(total(model.encode(t).tolist()) - total(own.encode(t))) < 1e-6 for t in other)
+
+
+def test_models_that_normalise_are_refused(tmp_path):
+    from sentencepiece import sentencepiece_model_pb2 as proto
+
+    spec = proto.ModelProto.FromString(open(MODEL, "rb").read())
+    spec.normalizer_spec.remove_extra_whitespaces = True
+    (tmp_path / "x.model").write_bytes(spec.SerializeToString())
+    with pytest.raises(ValueError):
+        pieces.Pieces.load(str(tmp_path / "x.model"))
+
+
+def test_round_trips_against_the_library(spark):
+    import sentencepiece
+
+    own, rows = sentencepiece.SentencePieceProcessor(model_file=MODEL), made(12)
+    got = sorted((r.doc_id is None, r.doc_id, r.n_ids, r.ids_crc32, r.n_byte_ids, r.text_bytes, r.lossless) for r in pieces.round_trip(frame(spark, rows), MODEL).collect() if r.doc_id is not None)
+    want = []
+    for i, t in rows:
+        if i is not None:
+            ids = own.encode(t or "")
+            want.append((False, i, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()), sum(map(own.is_byte, ids)), len((t or "").encode()), True))
+    assert got == sorted(want)
+    assert pieces.round_trip(empty(spark), MODEL).count() == 0
+
+
 def test_pieces(spark):
     model = pieces.Pieces.load(MODEL)
     for text in ("", " ", "Hello  World\n\té 😀 x", "the theatre", "a" * 50):
@@ -323,6 +500,34 @@ def test_pieces(spark):
     assert pieces.encode(empty(spark), MODEL).count() == 0
 
 
+def crc16(bits):
+    """Bit by bit, by the polynomial's definition."""
+    r = 0xFFFF
+    for b in bits:
+        r ^= b << 15
+        r = (r << 1 ^ 0x8005 if r & 0x8000 else r << 1) & 0xFFFF
+    return r
+
+
+def bits_of(data):
+    return [x >> 7 - k & 1 for x in data for k in range(8)]
+
+
+def media_by_hand(raw):
+    """The stored form, byte by byte: a tag, a frame with the table, frames of 576 bytes of payload."""
+    n = max(1, -(-len(raw) // 576))
+    head, quiet = bytes([0xFF, 0xF2, 0xD8, 0xC0]), bytes(9)
+    lead = head + crc16(bits_of(head[2:] + quiet)).to_bytes(2, "big") + quiet
+    text = b"\0payload_bytes\0%d" % len(raw)
+    said = b"TXXX" + bytes([0, 0, 0, len(text), 0, 0]) + text
+    seek = bytes(min(255, 256 * (648 + n * 648 * k // 100) // ((n + 1) * 648)) for k in range(100))
+    info = b"Info\0\0\0\7" + n.to_bytes(4, "big") + ((n + 1) * 648).to_bytes(4, "big") + seek
+    out = b"ID3\3\0\0\0\0\0" + bytes([len(said)]) + said + (lead + info).ljust(648, b"\0")
+    for k in range(n):
+        out += (lead + raw[576 * k : 576 * k + 576].ljust(576, b"\xff")).ljust(648, b"\0")
+    return out
+
+
 def test_media(spark):
     rows = made(8)
     got = mpeg.media_columns(frame(spark, rows)).collect()
@@ -335,6 +540,14 @@ def test_media(spark):
             media = mpeg.carry(raw)
             assert (r.n_bytes, r.payload_bytes, r.payload_sha256, r.tail_crc32) == (len(raw), len(full), hashlib.sha256(full).hexdigest(), zlib.crc32(full[-32:]))
             assert (r.media_bytes, r.media_sha256) == (len(media), hashlib.sha256(media).hexdigest()) and r.n_samples == len(full) and r.crc_bad == 0
+            assert media_by_hand(raw) == media
+            # the first frames are the tag's end and the table's frame
+            tag = 10 + 10 + len(f"payload_bytes {len(raw)}") + 1
+            assert r.seek_offsets == [tag + 648 * (1 + k) for k in range(len(full) // 576)] and r.duration_s == len(full) / 16000
+            values = [b - 128 for b in raw]
+            signs = [v < 0 for v in values]
+            crossings = sum(a != b for a, b in zip(signs, signs[1:]))
+            assert r.feature == f"frames={len(full) // 576};duration={len(full)}/16000;energy={sum(v * v for v in values)};crossings={crossings};mean={sum(values) / max(1, len(values)):.6f}"
     assert mpeg.media_columns(empty(spark)).count() == 0
 
 
@@ -357,6 +570,41 @@ def test_streams_with_rubbish_tags_and_damage():
     assert (h["version"], h["layer"], h["bitrate"], h["hertz"], h["size"], h["samples"]) == ("1", 3, 128000, 44100, 417, 1152)
 
 
+def layered(layer, version_bits, rate, hz, mode, extension, allocation, selection):
+    """A frame of Layer I or II with a checksum: its allocation bits, then its selection bits."""
+    header = bytes([0xFF, 0xE0 | version_bits << 3 | 4 - layer << 1, rate << 4 | hz << 2, mode << 6 | extension << 4])
+    bits = allocation + selection
+    crc = crc16(bits_of(header[2:]) + bits)
+    body = int("".join(map(str, bits + [0] * (-len(bits) % 8))), 2).to_bytes((len(bits) + 7) // 8, "big")
+    return (header + crc.to_bytes(2, "big") + body).ljust(mpeg.head(header)["size"], b"\x55")
+
+
+def test_checksums_of_the_other_layers():
+    r = random.Random(6)
+    coin = lambda n: [r.randint(0, 1) for _ in range(n)]
+    # Layer I: 32 subbands of 4 bits, for each channel below the bound of joint stereo
+    one = [layered(1, 3, 9, 0, mode, ext, coin(4 * n), []) for mode, ext, n in ((3, 0, 32), (0, 0, 64), (1, 0, 2 * 4 + 28), (1, 2, 2 * 12 + 20)) for _ in range(3)]
+    # Layer II: widths by table, two selection bits for each subband and channel that has any bits
+    two = []
+    wide = {"a": [4] * 11 + [3] * 12 + [2] * 4, "b": [4] * 11 + [3] * 12 + [2] * 7, "c": [4] * 2 + [3] * 6, "d": [4] * 2 + [3] * 10, "low": [4] * 4 + [3] * 7 + [2] * 19}
+    for version, rate, hz, table, mode, ext in ((3, 4, 0, "a", 3, 0), (3, 10, 0, "b", 3, 0), (3, 14, 1, "a", 0, 0), (3, 2, 0, "c", 3, 0), (3, 2, 2, "d", 3, 0), (2, 8, 0, "low", 3, 0), (3, 14, 0, "b", 1, 1)):
+        for _ in range(3):
+            bits, chosen = [], []
+            for band, width in enumerate(wide[table]):
+                shared = mode == 1 and band >= 4 * ext + 4
+                for _ in range(1 if mode == 3 or shared else 2):
+                    some = coin(width) if r.random() < 0.6 else [0] * width
+                    bits += some
+                    chosen += coin(4 if shared else 2) if any(some) else []
+            two.append(layered(2, version, rate, hz, mode, ext, bits, chosen))
+    for frame_ in one + two:
+        p = mpeg.parse(frame_ * 3)
+        assert len(p["offsets"]) == 3 and (p["crc_seen"], p["crc_bad"]) == (3, 0)
+        hurt = bytearray(frame_ * 3)
+        hurt[len(frame_) + 6] ^= 0x80
+        assert mpeg.parse(bytes(hurt))["crc_bad"] == 1
+
+
 def test_archives(spark):
     big = "é" * 600
     rows = [(1, "http://a/ b", big), (5, None, big), (3, "http://c\n", big), (2, "u", "small"), (4, "u", "small"), (6, "u", None), (7, "u", ""), (None, "u", "x"), (9, "u", "y" * 999), (10, "u", "y" * 999), (11, "u", "z" * 1000), (12, "u", "z" * 1000)]
@@ -370,6 +618,37 @@ def test_archives(spark):
     assert warc.archive_round_trip(spark, spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
 
 
+def test_archives_with_repeated_rows_and_clashing_columns(spark):
+    rows = [(4, "u", "z" * 1200), (4, "u", "z" * 1200), (4, "v", "z" * 1200), (3, "w", "z" * 1200), (None, "n", "z" * 1200), (2, "u", "ab"), (2, "u", "ab")]
+    pages = spark.createDataFrame([(i, u, h, "d", 1, "f", 2, 3, 4) for i, u, h in rows], "page_id long, url string, html string, digest string, n long, file string, offset long, last long, refers_to long").repartition(3)
+    got = sorted(((r.page_id, r.url, r.payload_bytes, r.record_type, r.refers_to) for r in warc.archive_round_trip(spark, pages).collect()), key=str)
+    assert got == sorted([(4, "u", 1200, "response", None)] * 2 + [(4, "v", 1200, "response", None), (3, "w", 1200, "revisit", 4), (2, "u", 2, "response", None), (2, "u", 2, "response", None), (None, "n", 1200, "response", None)], key=str)
+
+
+def test_tasks_that_run_twice_leave_the_index_right(spark):
+    from tessera.llm.common import fresh_path
+
+    pages = spark.createDataFrame([(k, f"u{k}", f"page {k} " * (1 + k % 90)) for k in range(300)], "page_id long, url string, html string").repartition(4)
+    folder = fresh_path(spark, "warc")
+    first = warc.write_archives(warc.with_revisits(pages), folder, file_bytes=4000)
+    # another attempt of every task, with its rows in another order, into the same folder
+    second = warc.write_archives(warc.with_revisits(pages).repartition(3).sortWithinPartitions("url"), folder, file_bytes=4000)
+    for index in (first, second):
+        back = warc.read_archives(index, folder)
+        assert {r.page_id: bytes(r.payload).decode() for r in back.collect()} == {k: f"page {k} " * (1 + k % 90) for k in range(300)}
+    assert not {r.file for r in first.collect()} & {r.file for r in second.collect()}
+
+
+def test_reading_back_has_tasks_by_the_archives_bytes(spark):
+    from tessera.llm.common import fresh_path
+
+    r = random.Random(2)
+    pages = spark.createDataFrame([(k, "u", "".join(r.choices("abcdefghijklmnop", k=60_000))) for k in range(120)], "page_id long, url string, html string")
+    folder = fresh_path(spark, "warc")
+    index = warc.write_archives(warc.with_revisits(pages), folder, file_bytes=1 << 20)
+    assert warc.read_archives(index, folder).rdd.getNumPartitions() >= 3
+
+
 def test_selected_records_are_read_by_their_ranges(spark):
     from tessera.llm.common import fresh_path
 
@@ -381,6 +660,58 @@ def test_selected_records_are_read_by_their_ranges(spark):
     assert {r.page_id: bytes(r.payload).decode() for r in some} == {k: f"page {k} " * 50 for k in range(0, 200, 7)}
 
 
+def simulated_votes(seed=1, n=6000):
+    """Labels, and voters of known accuracy that abstain now and then; the last one repeats the first nine times in ten."""
+    r = np.random.default_rng(seed)
+    y = (r.random(n) < 0.3).astype(int)
+    accuracy = np.array([0.9, 0.85, 0.8, 0.75, 0.7])
+    right = r.random((n, 5)) < accuracy
+    votes = np.where(right, 2 * y[:, None] - 1, 1 - 2 * y[:, None])
+    votes[r.random((n, 5)) < 0.2] = 0
+    again = np.where(r.random(n) < 0.9, votes[:, 4], np.where(r.random(n) < 0.5, 1, -1))
+    return y, np.hstack([votes, again[:, None]]), accuracy
+
+
+def test_label_model_finds_accuracies_and_correlations():
+    y, votes, accuracy = simulated_votes()
+    posterior, found, correlations = toxicity.label_model(votes, 0.3)
+    assert np.abs(found[:5] - accuracy).max() < 0.05
+    pairs = {(i, j): correlations[i, j] for i in range(6) for j in range(i)}
+    assert max(pairs, key=pairs.get) == (5, 4) and pairs[5, 4] > 0.5 and all(v < 0.3 for k, v in pairs.items() if k != (5, 4))
+    # as good as the posterior of the true accuracies, the copy left out, and better than a plain majority
+    odds = np.log(0.3 / 0.7) + votes[:, :5] @ np.log(accuracy / (1 - accuracy))
+    best, got, majority = ((odds > 0) == y).mean(), ((posterior > 0.5) == y).mean(), ((votes.sum(1) > 0) == y).mean()
+    assert got > best - 0.01 and got > majority
+    # labels of a development set make it no worse
+    assert ((toxicity.label_model(votes, 0.3, y.astype(float))[0] > 0.5) == y).mean() > best - 0.01
+
+
+def test_linear_classifier_is_the_minimum_of_its_loss():
+    r = np.random.default_rng(2)
+    x = (r.random((400, 6)) < 0.3).astype(float)
+    target = 1 / (1 + np.exp(-(x @ r.normal(size=6) * 2 - 0.5)))
+    w, b = toxicity.linear(x, target, ridge=0.05)
+    p = 1 / (1 + np.exp(-(x @ w + b)))
+    assert np.abs(x.T @ (p - target) + 0.05 * w).max() < 1e-4 and abs((p - target).sum() + 1e-3 * b) < 1e-4
+
+    def loss(v):
+        z = x @ v[:-1] + v[-1]
+        return (np.logaddexp(0, z) - target * z).sum() + 0.025 * (v[:-1] ** 2).sum() + 0.0005 * v[-1] ** 2
+
+    own = np.r_[w, b]
+    assert all(loss(own) < loss(own + r.normal(size=7) * 0.05) for _ in range(50))
+
+
+def test_scores_keep_all_columns(spark):
+    rows = made(9)
+    model = toxicity.Model({"aa": ((0, 1),)}, np.array([9.0, 0.0, 0.0, 0.0, 0.0, 0.0]), -3.0, np.zeros(0), np.zeros((0, 0)))
+    kept = toxicity.score(frame(spark, rows), model, keep=True, score_col="points")
+    assert kept.columns == [*(c.split()[0] for c in CLASH.split(", ")), "points"]
+    assert sorted((r.id, r.points > 0.5) for r in kept.collect()) == [(k, "aa" in (t or "").lower().split()) for k, (_, t) in enumerate(rows)]
+    with pytest.raises(ValueError):
+        toxicity.score(frame(spark, rows), model, keep=True, score_col="size")
+
+
 def test_toxicity(spark):
     r = random.Random(9)
     words = ["".join(r.choice("abcdefg") for _ in range(5)) for _ in range(300)]
