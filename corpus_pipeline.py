@@ -2,16 +2,25 @@
 
 Each stage takes (spark, docs, sf_dir) and gives a DataFrame; all but the last give the
 columns of documents.  ``run`` writes every stage's result as a table in the shared folder
-and reads it again for the next one.
+and reads it again for the next one; the one before it is deleted then.
+
+In every stage: null and empty texts stay as they are (toxicity scores them as texts without
+words, near-dedup takes none for a copy, packing gives each one piece).  Ids must be integers;
+rows without an id stay, untouched by what compares documents.  Repeated rows (same id and
+text) are one document, whose rows go or stay together.  Columns beside doc_id and text go
+along, whatever their names; n_chars, where there is one, follows the text.  Empty tables
+give empty tables.
 """
 
 from __future__ import annotations
 
+import uuid
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm.common import stored
+from tessera.llm.common import release, stored
 from tessera.llm.line_dedup import line_dedup
 from tessera.llm.minhash import near_dedup
 from tessera.llm.packing import pack
@@ -21,17 +30,19 @@ from tessera.llm.toxicity import fit, score
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the toxicity model scores below 0.5; it is fitted on labelled documents of this stage's input."""
-    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    return score(docs, fit(docs, labels), keep=True).where(F.col("_toxic_score") < 0.5).drop("_toxic_score")
+    labels, name = spark.read.parquet(f"{sf_dir}/labels.parquet"), f"_score_{uuid.uuid4().hex}"
+    return score(docs, fit(docs, labels), keep=True, score_col=name).where(F.col(name) < 0.5).drop(name)
 
 
 def _counted(docs: DataFrame) -> DataFrame:
     """docs with n_chars of the text as it is now, where there is such a column."""
-    return docs.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else docs
+    if "n_chars" not in docs.columns:
+        return docs
+    return docs.withColumn("n_chars", F.when(F.col("text").isNull(), F.col("n_chars")).otherwise(F.char_length("text").cast(docs.schema["n_chars"].dataType)))
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without the runs of three or more lines that an earlier text has."""
+    """Texts without the runs of three lines or fifty words, or more, that an earlier text has."""
     return _counted(line_dedup(docs, keep=True))
 
 
@@ -66,5 +77,6 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the documents table."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
-        docs = stored(stage(spark, docs, sf_dir), f"stage-{name}", "zstd")
+        before, docs = docs, stored(stage(spark, docs, sf_dir), f"stage-{name}", "zstd")
+        release(before)  # the table of the stage before; documents itself isn't one
     return docs
