@@ -58,7 +58,8 @@ def repeated_windows(own: DataFrame, run: int = RUN, long: int = LONG) -> DataFr
     marks = marks.select("_doc", "_of", F.col("m.h").alias("h"), F.col("m.p").alias("p"), begin.alias("b"), F.slice("hs", begin + 1, F.col("m.p") + run - begin).alias("near"))
     marks = stored(marks, "line-marks")
     twice = stored(marks.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("h"), "line-twice")
-    joined = marks.join(twice, "h")
+    # merge joins at every size: all of these tables grow with the input
+    joined = marks.join(twice.hint("merge"), "h")
     # windows inside `near` that reach the fingerprint, and of those the ones whose leftmost minimum it is
     at = F.transform(_sequence(F.col("p") - F.col("b") + 1), lambda j: F.struct(j.alias("j"), _length(F.col("near"), j, run, long).alias("n")))
     reach = F.filter(at, lambda s: s["n"].isNotNull() & (F.col("b") + s["j"] + s["n"] > F.col("p")))
@@ -70,7 +71,7 @@ def repeated_windows(own: DataFrame, run: int = RUN, long: int = LONG) -> DataFr
     release(marks, twice)
     place = F.struct("_doc", "_of", "start")
     first = stored(windows.groupBy("w").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("times")).where("times > 1").select("w", "first"), "line-first")
-    later = stored(windows.join(first, "w").where(place > F.col("first")).select("_doc", "_of", F.col("start").alias("_start"), F.col("n").alias("_n")), "line-later")
+    later = stored(windows.join(first.hint("merge"), "w").where(place > F.col("first")).select("_doc", "_of", F.col("start").alias("_start"), F.col("n").alias("_n")), "line-later")
     release(windows, first)
     return later
 
@@ -91,7 +92,7 @@ def line_dedup(docs: DataFrame, run: int = RUN, long: int = LONG, id_col: str =
     wanted = docs if keep else docs.select(id_col, text_col)
     # a row goes as one struct, so that no name of its columns meets those here
     rows = wanted.select(F.struct(*[F.col(f"`{c}`") for c in wanted.columns]).alias("_row"), F.col(f"`{id_col}`").alias("_id"), F.col(f"`{text_col}`").alias("_text")).withColumn("_dig", dig)
-    df = rows.join(gone, (F.col("_id") == F.col("_doc")) & (F.col("_dig") == F.col("_of")), "left").drop("_doc", "_of", "_dig")
+    df = rows.join(gone.hint("merge"), (F.col("_id") == F.col("_doc")) & (F.col("_dig") == F.col("_of")), "left").drop("_doc", "_of", "_dig")
     cut_here = F.col("_windows").isNotNull()
     lines = _lines(F.col("_text"))
     df = df.withColumn("_lines", F.when(cut_here, lines)).withColumn("_index", F.when(cut_here, F.transform(_solid(F.col("_lines")), lambda s: s["i"])))
