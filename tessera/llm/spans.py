@@ -167,7 +167,8 @@ def cut(docs: DataFrame, spans: DataFrame, dig: Column, id_col: str, text_col: s
     # a row goes as one struct, so that no name of its columns meets those here
     rows = wanted.select(F.struct(*[F.col(f"`{c}`") for c in own.fieldNames()]).alias("_row"), F.col(f"`{id_col}`").cast("long").alias("_id"), F.col(f"`{text_col}`").alias("_text"))
     rows = rows.select("_row", "_id", dig.alias("_dig"))
-    joined = rows.join(listed, (F.col("_id") == F.col("_doc")) & (F.col("_dig") == F.col("_of")), "left").select("_row", "_begin", "_end")
+    # a merge join at every size: both sides grow with the input
+    joined = rows.join(listed.hint("merge"), (F.col("_id") == F.col("_doc")) & (F.col("_dig") == F.col("_of")), "left").select("_row", "_begin", "_end")
     place = own.fieldNames().index(text_col)
     extra = [] if keep else [T.StructField("n_bytes", T.LongType()), T.StructField("n_removed", T.LongType()), T.StructField("n_spans", T.LongType()), T.StructField("kept_sha256", T.StringType())]
     schema = own if keep else T.StructType([own[id_col], *extra])
@@ -203,9 +204,7 @@ def whole_keys(batches: Iterator[pa.RecordBatch], key: str, weight: Callable[[pa
     """Rows that come sorted by key, in tables of whole keys that weigh about limit."""
     held: list[pa.RecordBatch] = []
     total = 0
-    for batch in batches:
-        if not batch.num_rows:
-            continue
+    for batch in (b.slice(i, 1000) for b in batches for i in range(0, b.num_rows, 1000)):
         held.append(batch)
         total += weight(batch)
         if total < limit:

@@ -161,7 +161,7 @@ def repeated_spans(own: DataFrame, length: int = LENGTH) -> DataFrame:
     def asked(runs: DataFrame) -> DataFrame:
         """Documents and what of them is open; a document's runs are bounded by its length."""
         listed = runs.groupBy("doc", "dig").agg(F.collect_list("key").alias("keys"), F.collect_list("place").alias("places"))
-        return own.join(listed, (F.col("_id") == F.col("doc")) & (F.col("_dig") == F.col("dig"))).select("_id", "_dig", "_text", "keys", "places")
+        return own.join(listed.hint("merge"), (F.col("_id") == F.col("doc")) & (F.col("_dig") == F.col("dig"))).select("_id", "_dig", "_text", "keys", "places")
 
     def runs_in(batch: pa.RecordBatch, most: int = 20_000) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray]]:
         """For each document of asked() and each most of its runs: its id and hash, its bytes, keys and places."""
