@@ -1,10 +1,17 @@
-"""Column expressions over reads, qualities and primers. All run inside the JVM."""
+"""Column expressions over reads, qualities and primers.
+
+What looks at every base of every read runs over Arrow batches (``kernels``); all else runs
+inside the JVM.
+"""
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from tessera.functions import kernels
 from tessera.params import Matching, ReadQC
 
 
@@ -23,15 +30,19 @@ def bases_at_least(quality: Column, score: int) -> Column:
     return F.size(F.filter(phred(quality), lambda x: x >= score))
 
 
+def _numbers(found: np.ndarray) -> pa.Array:
+    """Numbers, null where they are negative."""
+    return pa.array(found.astype(np.int32), pa.int32(), mask=found < 0)
+
+
 def qc_reason(r1: Column, q1: Column, r2: Column, q2: Column, p: ReadQC = ReadQC()) -> Column:
-    """Why a pair fails, or null; the rules apply in order. The barcode's bases are held against the mean's threshold."""
-    short = (F.length(r1) < p.min_length) | (F.length(r2) < p.min_length) | (F.length(r1) != F.length(q1)) | (F.length(r2) != F.length(q2))
-    return (
-        F.when(short, "read_length_or_quality_length")
-        .when((mean_phred(q1) < p.min_mean_phred) | (mean_phred(q2) < p.min_mean_phred), "mean_phred")
-        .when(F.length(r2) < p.barcode_length, "barcode_length")
-        .when(bases_at_least(F.substring(q2, 1, p.barcode_length), p.min_mean_phred) < p.min_barcode_bases, "barcode_q25")
-    )
+    """Why a pair fails, or null; the rules apply in order. The barcode's bases are held against the mean's threshold. Null counts as empty."""
+
+    @F.arrow_udf("string")
+    def reason(a: pa.Array, b: pa.Array, c: pa.Array, d: pa.Array) -> pa.Array:
+        return kernels.qc_reason(a, b, c, d, p.min_length, p.min_mean_phred, p.barcode_length, p.min_barcode_bases)
+
+    return reason(r1, q1, r2, q2)
 
 
 def hamming(a: Column, b: Column) -> Column:
@@ -63,22 +74,12 @@ def primer_matches(seq: Column, primer: str, max_shift: int, max_edits: int, cen
 
     Windows of the primer's own length are compared place by place, others by edit distance.
     """
-    seq = F.upper(F.trim(seq))
-    places = windows(primer, max_shift, max_edits, centre)
-    if not places:
-        return F.lit(False)
-    table = F.array(*[F.struct(F.lit(rest).alias("p"), F.lit(start + 1).alias("s"), F.lit(n).alias("n")) for rest, start, n in places])
 
-    def fits(w: Column) -> Column:
-        window = F.substring(seq, w["s"], w["n"])
-        same = F.length(w["p"]) == w["n"]
-        near = F.levenshtein(w["p"], window, max_edits) >= 0
-        # an edit distance beyond the limit rules equal lengths out as well
-        return (F.length(window) == w["n"]) & near & (~same | (hamming(w["p"], window) <= max_edits))
+    @F.arrow_udf("boolean")
+    def matches(reads: pa.Array) -> pa.Array:
+        return pa.array(kernels.primer_matches(reads, primer, max_shift, max_edits, centre))
 
-    # most reads have the primer in place; one comparison settles those
-    whole = F.substring(seq, centre + 1, len(primer.strip())) == primer.strip().upper()
-    return F.coalesce(whole | F.exists(table, fits), F.lit(False))
+    return matches(seq)
 
 
 #: What stands for a distance beyond the limit: levenshtein's -1 modulo 100.
@@ -101,15 +102,43 @@ def primer_distance_at(seq: Column, primer: str, start: int, max_edits: int) ->
 
 
 def primer_start(seq: Column, primer: str, p: Matching = Matching()) -> Column:
-    """The start with the least distance among the valid ones, the first on ties; null if none fits.
+    """The start with the least distance among the valid ones, the first on ties; null if none fits."""
 
-    A whole copy of the primer at a valid start needs no distances: the first one wins.
-    """
-    seq, primer, starts = F.upper(F.trim(seq)), primer.strip().upper(), p.r1_starts
-    exact = F.coalesce(*[F.when(F.substring(seq, s + 1, len(primer)) == primer, F.lit(s)) for s in starts])
-    # distance, order and start in one number
-    ranked = F.least(*[_distance_or_far(seq, primer, s, p.max_edits) * 10_000 + (100 * k + s) for k, s in enumerate(starts)], F.lit(_FAR * 10_000))
-    return F.coalesce(exact, F.when(ranked < _FAR * 10_000, ranked % 100))
+    @F.arrow_udf("int")
+    def start(reads: pa.Array) -> pa.Array:
+        return _numbers(kernels.primer_start(reads, primer, list(p.r1_starts), p.max_edits))
+
+    return start(seq)
+
+
+def place_16s(r1: Column, r2: Column, fwd: str, rev: str, p: Matching = Matching()) -> Column:
+    """primer_start() on R1, null unless R2's primer matches too; R2 is looked at only where R1 has a start."""
+
+    @F.arrow_udf("int")
+    def place(a: pa.Array, b: pa.Array) -> pa.Array:
+        return _numbers(kernels.place_16s(a, b, fwd, rev, list(p.r1_starts), p.max_edits, p.max_shift, p.r2_primer_start))
+
+    return place(r1, r2)
+
+
+def gene_of(r1: Column, r2: Column, skip: Column, panel: list[tuple[int, str, str]], p: Matching = Matching()) -> Column:
+    """The number of the first row (number, fwd, rev) of a panel whose primers both match: exact ones before near ones. skip: reads that row 0 isn't held against."""
+
+    @F.arrow_udf("int")
+    def gene(a: pa.Array, b: pa.Array, c: pa.Array) -> pa.Array:
+        return _numbers(kernels.gene_of(a, b, np.array(c.fill_null(False)), panel, p.max_shift, p.max_edits, p.r2_primer_start))
+
+    return gene(r1, r2, skip)
+
+
+def pair_distance(a: Column, b: Column, max_shift: int) -> Column:
+    """paired_semi_global() of two cores over Arrow batches, for very many pairs."""
+
+    @F.arrow_udf("int")
+    def distance(a1: pa.Array, a2: pa.Array, b1: pa.Array, b2: pa.Array) -> pa.Array:
+        return pa.array(np.maximum(kernels.shifted(a1, b1, max_shift), kernels.shifted(a2, b2, max_shift)).astype(np.int32))
+
+    return distance(a["r1"], a["r2"], b["r1"], b["r2"])
 
 
 def after(seq: Column, start: Column | int, primer: str) -> Column:
@@ -178,7 +207,7 @@ def percent(text: Column) -> Column:
     return F.rtrim(F.trim(text.cast("string")), F.lit("%")).try_cast("double")
 
 
-#: Rank codes and their names in nested results.
+# Fixed values of the result format: rank codes and their names, and how a lineage reads.
 RANKS = {"R1": "domain", "P": "phylum", "C": "class", "O": "order", "F": "family", "G": "genus", "S": "species"}
 
 
@@ -214,3 +243,9 @@ def display_label(text: Column, width: int = 18) -> Column:
     words = F.split(F.trim(text), r"\s+")
     step = lambda t, w: F.when(t == "", w).when(F.length(F.substring_index(t, "\n", -1)) + 1 + F.length(w) <= width, F.concat(t, F.lit(" "), w)).otherwise(F.concat(t, F.lit("\n"), w))
     return F.aggregate(words, F.lit(""), step)
+
+
+def flag(text: Column) -> Column:
+    """true, 1, yes or y, and false, 0, no or n, in any case and with blanks around; anything else ends the query."""
+    word = F.lower(F.trim(text))
+    return F.when(word.isin("true", "1", "yes", "y"), True).when(word.isin("false", "0", "no", "n"), False).when(text.isNotNull(), F.raise_error(F.concat(F.lit("neither true nor false: "), text)).cast("boolean"))

@@ -31,26 +31,13 @@ def qc_counts(checked: DataFrame) -> DataFrame:
 
 
 def place_16s(pairs: DataFrame, fwd: str, rev: str, p: Matching = Matching()) -> DataFrame:
-    """pairs with r1_primer_start: where the 16S primer begins on R1, null unless R2's primer matches too.
-
-    The R2 rule runs only for rows with a start.
-    """
-    start = S.primer_start(F.col("r1_seq"), fwd, p)
-    placed = pairs.withColumn("r1_primer_start", start)
-    matches = F.when(F.col("r1_primer_start").isNotNull(), S.primer_matches(F.col("r2_seq"), rev, p.max_shift, p.max_edits, p.r2_primer_start))
-    return placed.withColumn("r1_primer_start", F.when(matches, F.col("r1_primer_start")))
+    """pairs with r1_primer_start: where the 16S primer begins on R1, null unless R2's primer matches too."""
+    return pairs.withColumn("r1_primer_start", S.place_16s(F.col("r1_seq"), F.col("r2_seq"), fwd, rev, p))
 
 
 def gene_of(r1: Column, r2: Column, panel: Panel, p: Matching = Matching(), skip_16s: Column | None = None) -> Column:
     """panel_index of a read: an exact match on any primer goes before near matches; among either the panel's order decides. Null: none."""
-    skip = F.lit(False) if skip_16s is None else skip_16s
-
-    def first(match) -> list[Column]:
-        return [F.when((~skip if k == 0 else F.lit(True)) & match(fwd, rev), F.lit(k)) for k, _, fwd, rev, _ in panel]
-
-    exact = first(lambda f, r: (F.substring(r2, p.r2_primer_start + 1, len(r)) == r) & (F.substring(r1, 1, len(f)) == f))
-    near = first(lambda f, r: S.primer_matches(r2, r, p.max_shift, p.max_edits, p.r2_primer_start) & S.primer_matches(r1, f, p.max_shift, p.max_edits))
-    return F.coalesce(*exact, *near)
+    return S.gene_of(r1, r2, F.lit(False) if skip_16s is None else skip_16s, [(k, fwd, rev) for k, _, fwd, rev, _ in panel], p)
 
 
 def packets(pairs: DataFrame, panel: Panel, p: Matching = Matching(), barcode_length: int = 20) -> DataFrame:

@@ -3,18 +3,20 @@
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tessera.functions import seq as S
 from tessera.functions import stats
+from tessera.operators.order import numbered_in
 from tessera.operators.variants import shifted_distance
 from tessera.params import Consensus, Targets
+from tessera.storage import stored
 
 CORE = "struct<r1:string,r2:string>"
 
@@ -31,31 +33,57 @@ def cluster_cores(counts: DataFrame, p: Targets = Targets(), guard: str = "all_d
 
     Cores of a target come by reads, then first seen.  One joins the first dominant core
     within the distance, provided that it is as near to every dominant core of the target so
-    far (guard "all_dominants") or to the members of that cluster ("cluster").  A function
-    call holds the distinct cores of one target.
+    far (guard "all_dominants") or to the members of that cluster ("cluster").
+
+    With the first guard what joins is near every dominant core before it, so that it joins
+    the first of all.  Each target's dominant cores are held against what is still open, one
+    a round: what is far from one becomes dominant itself, what has no dominant core left
+    before it has joined.  A round's join has one row a target of the panel.
     """
     own = counts.groupBy("target", "core").agg(F.sum("n").alias("n"), F.min("first").alias("first"))
-    ranked = own.withColumn("rank", F.row_number().over(W.partitionBy("target").orderBy(F.desc("n"), "first", "core"))).select("target", "core", "rank")
+    own = own.select("target", "core", F.struct((-F.col("n")).alias("n"), "first", "core").alias("ord"))
+    if guard == "cluster":
+        return _cluster_by_members(own, p)
+    own = stored(own, "cores")
+    top = own.groupBy("target").agg(F.min("ord").alias("first"))
+    top = stored(top.select("target", F.col("first.core").alias("head"), F.col("first").alias("last")), "heads")
+    # "last": the place of the last dominant core that a target's open cores were held against
+    open_, heads, last = own.join(F.broadcast(top), "target").where(F.col("ord") > F.col("last")).select("target", "core", "ord", "head"), [top.select("target", F.col("head").alias("core"))], top.select("target", "last")
+    known = None
+    while True:
+        judged = stored(open_.withColumn("far", S.pair_distance(F.col("core"), F.col("head"), p.max_shift) > p.max_mismatches), "judged")
+        new = judged.where("far").select("target", "core", "ord")
+        heads.append(new.select("target", "core"))
+        known = new if known is None else known.unionByName(new)
+        following = known.join(F.broadcast(last), "target").where(F.col("ord") > F.col("last")).groupBy("target").agg(F.min("ord").alias("last"))
+        last = stored(following, "last")
+        rest = judged.where("not far").select("target", "core", "ord").join(F.broadcast(last), "target").where(F.col("ord") > F.col("last"))
+        open_ = rest.select("target", "core", "ord", F.col("last.core").alias("head"))
+        if open_.isEmpty():
+            break
+    dominant = reduce(DataFrame.unionByName, heads).withColumn("dominant", F.col("core"))
+    joined = own.join(dominant.select("target", "core", "dominant"), ["target", "core"], "left").join(F.broadcast(top.select("target", "head")), "target")
+    return joined.select("target", "core", F.coalesce("dominant", "head").alias("dominant"))
+
+
+def _cluster_by_members(own: DataFrame, p: Targets) -> DataFrame:
+    """cluster_cores() with the guard over a cluster's own members; a function call holds the distinct cores of one target."""
 
     def fold(pdf: pd.DataFrame) -> pd.DataFrame:
-        rows = sorted(pdf.to_dict("records"), key=lambda r: r["rank"])
+        rows = pdf.sort_values("rank", kind="stable").to_dict("records")
         arrays = [tuple(np.frombuffer(r["core"][m].encode(), np.uint8) for m in ("r1", "r2")) for r in rows]
         near = lambda x, y: max(shifted_distance(x[m], y[m], p.max_shift) for m in (0, 1)) <= p.max_mismatches
-        heads: list[int] = []
         members: dict[int, list[int]] = {}
         owner = []
         for k, x in enumerate(arrays):
-            first = next((h for h in heads if near(x, arrays[h])), None)
-            held = heads if guard == "all_dominants" else members.get(first, [])
-            if first is not None and all(near(x, arrays[h]) for h in held):
-                members[first].append(k)
-                owner.append(first)
-            else:
-                heads.append(k)
-                members[k] = [k]
-                owner.append(k)
+            first = next((h for h in members if near(x, arrays[h])), None)
+            if first is None or not all(near(x, arrays[m]) for m in members[first]):
+                first = k
+            members.setdefault(first, []).append(k)
+            owner.append(first)
         return pd.DataFrame({"target": [r["target"] for r in rows], "core": [r["core"] for r in rows], "dominant": [rows[o]["core"] for o in owner]})
 
+    ranked = numbered_in(own, "target", ["ord"], "rank").select("target", "core", "rank")
     return ranked.groupBy("target").applyInPandas(fold, f"target string, core {CORE}, dominant {CORE}")
 
 
@@ -73,8 +101,7 @@ def call_sequences(counts: DataFrame, clusters: DataFrame, p: Consensus = Consen
 def name_sequences(calls: DataFrame, place: DataFrame) -> DataFrame:
     """(target, seq_no, sequence_id, core, cells): cores by number of cells, ties by the first cell's place; place: (cell, place)."""
     counted = calls.where("core is not null").join(place, "cell").groupBy("target", "core").agg(F.count(F.lit(1)).alias("cells"), F.min("place").alias("place"))
-    no = F.row_number().over(W.partitionBy("target").orderBy(F.desc("cells"), "place", "core"))
-    return counted.withColumn("seq_no", no).select("target", "seq_no", F.concat("target", F.lit("_seq_"), F.col("seq_no").cast("string")).alias("sequence_id"), "core", "cells")
+    return numbered_in(counted, "target", [F.desc("cells"), "place", "core"], "seq_no").select("target", "seq_no", F.concat("target", F.lit("_seq_"), F.col("seq_no").cast("string")).alias("sequence_id"), "core", "cells")
 
 
 def poisson_sf(k: float, rate: float) -> float:
@@ -223,23 +250,36 @@ def phase_calls(names: DataFrame, modes: DataFrame) -> DataFrame:
     return out.select("target", "sequence_id", "mode", F.when(F.col("best").isNotNull(), "ssr_detected").otherwise("no_ssr_detected").alias("call"), "best.motif", "best.repeat_count", "best.start", "best.end", F.lit(None).cast("double").alias("direct_similarity"), F.lit("tandem_repeat_scan").alias("evidence"))
 
 
+#: Lengths of the words that sequences meet references by; a sequence takes the longest that its longer mate has.
+WORDS = (16, 8, 4, 1)
+
+
 def reference_matches(names: DataFrame, reference: DataFrame) -> DataFrame:
     """(sequence_id, subject, r1_start, r1_end, r2_start, r2_end): subjects that hold both mates whole, on either strand.
 
     Places are counted from 1; of several, the first on the given strand, else on the other.
-    A finds-in join can't be an equi-join; each sequence meets each subject by the 16 bases
-    that a whole mate begins with, on either strand.
+    A finds-in join can't be an equi-join; each sequence meets each subject by the word that
+    its longer mate begins with, on either strand.  Words travel without what they are from;
+    a subject's bases are fetched for the sequences that met it.  An empty mate is in no
+    subject.
     """
-    k = 16
-    head = lambda c: F.explode(F.array_distinct(F.array(F.substring(c, 1, k), F.substring(S.reverse_complement(F.col(c)), 1, k))))
-    asked = names.select("sequence_id", F.col("core.r1").alias("q1"), F.col("core.r2").alias("q2")).where(f"length(q1) >= {k}")
-    keys = asked.select("sequence_id", "q1", "q2", head("q1").alias("key"))
-    places = reference.where(f"length(seq) >= {k}").select("name", "title", "seq", F.explode(F.transform(F.sequence(F.lit(1), F.length("seq") - (k - 1)), lambda i: F.substring(F.col("seq"), i, F.lit(k)))).alias("key")).distinct()
-    met = keys.join(places, "key").dropDuplicates(["sequence_id", "name"])
+    both = names.select("sequence_id", F.col("core.r1").alias("q1"), F.col("core.r2").alias("q2")).where("length(q1) > 0 and length(q2) > 0")
+    longer = F.when(F.length("q1") >= F.length("q2"), F.col("q1")).otherwise(F.col("q2"))
+    size = F.coalesce(*[F.when(F.length("long") >= k, F.lit(k)) for k in WORDS])
+    asked = both.withColumn("long", longer).withColumn("k", size)
+    front = lambda c: c.substr(F.lit(1), F.col("k"))
+    keys = asked.select("sequence_id", "k", F.explode(F.array_distinct(F.array(front(F.col("long")), front(S.reverse_complement(F.col("long")))))).alias("key"))
+    # at most a row for each length
+    sizes = [r["k"] for r in asked.select("k").distinct().collect()]
+    words = lambda k: reference.where(F.length("seq") >= k).select("name", F.lit(k).alias("k"), F.explode(F.array_distinct(F.transform(F.sequence(F.lit(1), F.length("seq") - (k - 1)), lambda i: F.substring(F.col("seq"), i, F.lit(k))))).alias("key"))
+    if not sizes:
+        sizes = [WORDS[0]]
+    met = keys.join(reduce(DataFrame.unionByName, [words(k) for k in sizes]).distinct(), ["k", "key"]).select("sequence_id", "name").distinct()
+    out = met.join(asked.select("sequence_id", "q1", "q2"), "sequence_id").join(reference.select("name", "title", "seq"), "name")
 
     def place(q: str):
         given, other = F.instr("seq", F.col(q)), F.instr("seq", S.reverse_complement(F.col(q)))
         return F.when(given > 0, given).when(other > 0, other)
 
-    out = met.withColumn("r1_start", place("q1")).withColumn("r2_start", place("q2")).where("r1_start is not null and r2_start is not null")
+    out = out.withColumn("r1_start", place("q1")).withColumn("r2_start", place("q2")).where("r1_start is not null and r2_start is not null")
     return out.select("sequence_id", F.col("title").alias("subject"), "r1_start", (F.col("r1_start") + F.length("q1") - 1).alias("r1_end"), "r2_start", (F.col("r2_start") + F.length("q2") - 1).alias("r2_end"), F.lit(100.0).alias("percent_identity"))

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tessera.functions import seq as S
+from tessera.operators.order import numbered
 from tessera.params import Variants
 
 SUMMARY = "cell string, reads_used long, raw_unique long, dominant_reads long, coexisting long, secondary long, final_reads long, max_distance long, status string, core struct<r1:string,r2:string>"
@@ -37,18 +39,18 @@ def summarise(counts: DataFrame, p: Variants = Variants()) -> DataFrame:
 
     Cores come in order of abundance.  A core near the dominant one joins it if it is near
     every core that joined before; else it counts as secondary where it has enough reads.
-    Only distinct cores of a cell meet in the function, already counted.
+    A cell is one row here, with its distinct cores, already counted; cells come in Arrow
+    batches.
     """
+    far = lambda x, y: max(shifted_distance(x[m], y[m], p.max_shift) for m in (0, 1))
 
-    def fold(pdf: pd.DataFrame) -> pd.DataFrame:
-        rows = sorted(pdf.to_dict("records"), key=lambda r: (-r["n"], r["rank"]))
-        total = sum(r["n"] for r in rows)
+    def fold(cell: str, items: list[dict]) -> tuple:
+        total = -sum(r["n"] for r in items)
         gate = max(2, int(p.gate_ratio * total))
-        arrays = [tuple(np.frombuffer(r["core"][m].encode(), np.uint8) for m in ("r1", "r2")) for r in rows]
-        far = lambda x, y: max(shifted_distance(x[m], y[m], p.max_shift) for m in (0, 1))
-        members, final, coexisting, secondary, widest = [arrays[0]], rows[0]["n"], 0, 0, 0
-        for r, x in zip(rows[1:], arrays[1:]):
-            d, n = far(x, arrays[0]), r["n"]
+        arrays = [tuple(np.frombuffer(r["core"][m].encode(), np.uint8) for m in ("r1", "r2")) for r in items]
+        members, final, coexisting, secondary, widest = [arrays[0]], -items[0]["n"], 0, 0, 0
+        for r, x in zip(items[1:], arrays[1:]):
+            d, n = far(x, arrays[0]), -r["n"]
             clash = d if d > p.max_distance else next((e for e in (far(x, m) for m in members) if e > p.max_distance), None)
             if clash is None:
                 members.append(x)
@@ -57,10 +59,21 @@ def summarise(counts: DataFrame, p: Variants = Variants()) -> DataFrame:
                 secondary, widest = secondary + n, max(widest, clash)
         share = secondary / (final + secondary)
         status = "low_depth" if total < p.min_reads else "single_ASV" if not secondary else "mixed_ASV" if share >= p.mixed_ratio else "corrupted_single_ASV"
-        return pd.DataFrame([{"cell": rows[0]["cell"], "reads_used": total, "raw_unique": len(rows), "dominant_reads": rows[0]["n"], "coexisting": coexisting, "secondary": secondary, "final_reads": final, "max_distance": widest, "status": status, "core": rows[0]["core"]}])
+        return cell, total, len(items), -items[0]["n"], coexisting, secondary, final, widest, status, items[0]["core"]
+
+    names = [c.strip().split()[0] for c in SUMMARY.split(", core")[0].split(",")] + ["core"]
+    core = pa.struct([("r1", pa.string()), ("r2", pa.string())])
+    types = [pa.string(), *[pa.int64()] * 7, pa.string(), core]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = [fold(c, i) for c, i in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())]
+            if rows:
+                yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(zip(*rows), types)], names=names)
 
-    ranked = counts.withColumn("rank", F.row_number().over(W.partitionBy("cell").orderBy(F.desc("n"), "first"))).drop("first")
-    return ranked.groupBy("cell").applyInPandas(fold, SUMMARY)
+    item = F.struct((-F.col("n")).alias("n"), F.col("first"), F.col("core"))
+    listed = counts.groupBy("cell").agg(F.array_sort(F.collect_list(item)).alias("items"))
+    return listed.select("cell", F.transform("items", lambda x: F.struct(x["n"].alias("n"), x["core"].alias("core"))).alias("items")).mapInArrow(run, SUMMARY)
 
 
 def with_unused(cells: DataFrame, summary: DataFrame) -> DataFrame:
@@ -75,8 +88,7 @@ def registry(summary: DataFrame, place: DataFrame | None = None) -> DataFrame:
     own = summary.where("status in ('single_ASV', 'corrupted_single_ASV')")
     own = own.join(place, "cell") if place is not None else own.withColumn("place", F.col("cell"))
     counted = own.groupBy("core").agg(F.count(F.lit(1)).alias("cells"), F.min("place").alias("place"))
-    # distinct cores only; numbering them through needs one order
-    return counted.withColumn("asv_no", F.row_number().over(W.orderBy(F.desc("cells"), "place", "core"))).select("asv_no", F.concat(F.lit("ASV_"), F.col("asv_no").cast("string")).alias("asv_id"), "core", "cells")
+    return numbered(counted, [F.desc("cells"), "place", "core"], "asv_no").withColumn("asv_no", F.col("asv_no").cast("int")).select("asv_no", F.concat(F.lit("ASV_"), F.col("asv_no").cast("string")).alias("asv_id"), "core", "cells")
 
 
 def assign(summary: DataFrame, asvs: DataFrame) -> DataFrame:
@@ -112,6 +124,5 @@ def filtered(cells: DataFrame, p: Variants = Variants(), drop_corrupted: bool =
 def abundance(cells: DataFrame, p: Variants = Variants()) -> DataFrame:
     """(asv_id, cells, share, passed): whether a variant has enough of the cells."""
     counted = cells.groupBy("asv_id").agg(F.count(F.lit(1)).alias("cells"))
-    whole = W.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
-    share = F.col("cells") / F.sum("cells").over(whole)
+    share = F.col("cells") / cells.agg(F.count(F.lit(1))).scalar()
     return counted.withColumn("share", share).withColumn("passed", (F.col("cells") >= p.final_min_cells) & (F.col("share") >= p.final_min_fraction))

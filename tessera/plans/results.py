@@ -6,13 +6,13 @@ import uuid
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tessera.functions import seq as S
 from tessera.params import Variants
 from tessera.sources import tables
 
+# Fixed values of the result format: its version, the names of states and of all fields below.
 VERSION = "3.1.0"
 STATUSES = ("single_ASV", "corrupted_single_ASV")
 ASSIGNMENTS = ("filtered_out", "detected", "sequence_unresolved", "sequence_cluster")
@@ -91,8 +91,7 @@ def final_cells(candidates: DataFrame) -> DataFrame:
 def candidate_asvs(candidates: DataFrame, asvs: DataFrame, run_id: str, p: Variants = Variants()) -> DataFrame:
     """Variants before the abundance filter; asvs: the registry."""
     counted = candidates.where("final_filter.stage in ('final', 'asv_abundance')").groupBy("asv.asv_id").agg(F.count(F.lit(1)).alias("n"))
-    whole = W.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
-    share = F.col("n") / F.sum("n").over(whole)
+    share = F.col("n") / counted.agg(F.sum("n")).scalar()
     passed = (F.col("n") >= p.final_min_cells) & (F.col("share") >= p.final_min_fraction)
     rows = counted.withColumn("share", share).join(asvs.select("asv_id", "core"), "asv_id")
     verdict = F.struct(passed.alias("passed"), F.when(passed, "final").otherwise("asv_abundance").alias("stage"), F.when(~passed, "low_asv_support").alias("reason"))
@@ -218,8 +217,7 @@ def provenance_violations(run_id: str, candidates: DataFrame, all_asvs: DataFram
     both = a.join(cells.select("cell_barcode", body.alias("b")), "cell_barcode", "full")
     passed = F.coalesce(verdict["passed"], F.lit(False))
     counted = candidates.where("final_filter.stage in ('final', 'asv_abundance')").groupBy("asv.asv_id").agg(F.count(F.lit(1)).alias("n"))
-    share = F.col("n") / F.sum("n").over(W.rowsBetween(W.unboundedPreceding, W.unboundedFollowing))
-    counted = counted.withColumn("share", share)
+    counted = counted.withColumn("share", F.col("n") / counted.agg(F.sum("n")).scalar())
     every = all_asvs.select("asv_id", "candidate_cell_count", "candidate_cell_fraction", "final_filter").join(counted, "asv_id", "full").join(asvs.select("asv_id", F.lit(True).alias("is_final")), "asv_id", "left")
     expected = (F.col("n") >= p.final_min_cells) & (F.col("share") >= p.final_min_fraction)
     checks = [
