@@ -255,11 +255,11 @@ def _judged(docs: DataFrame, words: int, similar: int, id_col: str, text_col: st
     # of a pair, as many hashes at least are in one set only as parities differ
     differ = sum((F.bit_count(F.col("bits")[k].bitwiseXOR(F.col("to.bits")[k])) for k in range(PARITY)), F.lit(0))
     able = differ * (100 + similar) <= (100 - similar) * (F.col("n") + F.col("to.n"))
-    centres, whole = 1, False
+    centres, whole, open_ = 1, False, shared
     while not whole:
         centres *= MORE_CENTRES
-        # buckets whose members are still in several components
-        named = shared.join(label.withColumnRenamed("node", "id"), "id", "left").select("h", "id", "k", "n", "weight", F.coalesce("component", "id").alias("c"))
+        # buckets whose members are still in several components; a bucket in one component stays in one
+        named = open_.join(label.withColumnRenamed("node", "id"), "id", "left").select("h", "id", "k", "n", "weight", F.coalesce("component", "id").alias("c"))
         named = stored(named, "named")
         mixed = named.groupBy("h").agg(F.min("c").alias("c0"), F.max("c").alias("c1"), F.max_by("c", heavy).alias("home"), F.count(F.lit(1)).alias("size")).where("c0 != c1")
         mixed = stored(mixed.select("h", "home", "size"), "mixed")
@@ -273,8 +273,9 @@ def _judged(docs: DataFrame, words: int, similar: int, id_col: str, text_col: st
         at = F.pmod(F.xxhash64("h", "id", "k"), F.col("size"))
         chosen = rows.where((F.col("c") != F.col("home")) & (at < centres)).select("h", F.struct("id", "k", "n", "c", "bits").alias("to"))
         more = stored(pairs(rows, chosen.hint("merge"), able).join(asked, ["a", "ka", "b", "kb"], "left_anti"), "asked")
-        release(named, mixed, rows)
-        scratch.append(more)
+        release(named, mixed)
+        open_ = rows.select("h", "id", "k", "n", "weight")
+        scratch += [more, rows]
         if more.isEmpty():
             continue
         asked = asked.union(more)
@@ -302,4 +303,4 @@ def near_dedup(docs: DataFrame, words: int = 5, similar: int = 80, id_col: str =
     name = uuid.uuid4().hex
     gone = _judged(docs, words, similar, id_col, text_col).where(~F.col("kept")).select(F.col("id").alias(f"_id_{name}"), F.col("dig").alias(f"_dig_{name}")).distinct()
     same = F.xxhash64(F.coalesce(F.col(f"`{text_col}`"), F.lit(""))) == F.col(f"_dig_{name}")
-    return docs.join(gone, (F.col(f"`{id_col}`").cast("long") == F.col(f"_id_{name}")) & same, "left_anti")
+    return docs.join(gone.hint("merge"), (F.col(f"`{id_col}`").cast("long") == F.col(f"_id_{name}")) & same, "left_anti")
