@@ -113,3 +113,25 @@ def lorenz(sizes: DataFrame, size: str = "size") -> DataFrame:
     whole = W.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
     reads = F.col("size") * F.col("groups")
     return by_size.withColumn("share", F.sum(reads).over(run) / F.sum(reads).over(whole))
+
+
+def group_sizes(packets: DataFrame) -> DataFrame:
+    """(series, cell, size): reads of a cell, of 16S alone ("16s"), with targets ("classified"; both for cells that have 16S reads), and of every kind ("all")."""
+    counted = packets.groupBy("cell").agg(F.count_if(F.col("gene_class") == "16s").alias("16s"), F.count_if(F.col("gene_class") == "target").alias("target"), F.count(F.lit(1)).alias("all"))
+    own = counted.select("cell", F.when(F.col("16s") > 0, F.col("16s")).alias("16s"), F.when(F.col("16s") > 0, F.col("16s") + F.col("target")).alias("classified"), "all")
+    return own.unpivot(["cell"], ["16s", "classified", "all"], "series", "size").where("size is not null")
+
+
+def group_curves(sizes: DataFrame) -> DataFrame:
+    """lorenz() of each series: (series, size, groups, share)."""
+    by_size = sizes.groupBy("series", "size").agg(F.count(F.lit(1)).alias("groups"))
+    whole = W.partitionBy("series")
+    run = whole.orderBy("size").rowsBetween(W.unboundedPreceding, 0)
+    reads = F.col("size") * F.col("groups")
+    # distinct sizes of three series: a short table however many groups there are
+    return by_size.withColumn("share", F.sum(reads).over(run) / F.sum(reads).over(whole))
+
+
+def by_lineage(cells: DataFrame) -> DataFrame:
+    """cells in the order of their lineages, then barcodes."""
+    return cells.orderBy(S.lineage(F.col("path")), "cell")

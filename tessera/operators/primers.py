@@ -4,13 +4,18 @@ from __future__ import annotations
 
 import math
 import random
+import re
 import shutil
 import subprocess
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tessera.sources.tables import write_tsv
+
+# The design tool's keys and parameters, and the dimer tool's, below.
 #: What is left of an oligo for a tool that takes 60 bases.
 OLIGO = 60
 #: Nearest-neighbour stacking energies at 37 C in kcal/mol (fixed values, public: unified parameters), by the two bases 5' to 3'.
@@ -27,17 +32,20 @@ def boulder(name: str, seq: str, s: dict = SETTINGS) -> str:
     return "".join(f"{k}={v}\n" for k, v in lines.items()) + "=\n"
 
 
-def parse_boulder(text: str) -> list[tuple[int, str, str]]:
-    """(number, left, right) of a design tool's answer."""
+def parse_boulder(text: str) -> list[tuple]:
+    """(number, left, right, left's and right's melting points, the product's size) of a design tool's answer; null what it doesn't say."""
     said = dict(line.split("=", 1) for line in text.splitlines() if "=" in line and not line.startswith("="))
+    number = lambda key, kind: kind(said[key]) if key in said else None
     out, k = [], 0
     while f"PRIMER_LEFT_{k}_SEQUENCE" in said:
-        out.append((k, said[f"PRIMER_LEFT_{k}_SEQUENCE"], said[f"PRIMER_RIGHT_{k}_SEQUENCE"]))
+        details = number(f"PRIMER_LEFT_{k}_TM", float), number(f"PRIMER_RIGHT_{k}_TM", float), number(f"PRIMER_PAIR_{k}_PRODUCT_SIZE", int)
+        out.append((k, said[f"PRIMER_LEFT_{k}_SEQUENCE"], said[f"PRIMER_RIGHT_{k}_SEQUENCE"], *details))
         k += 1
     return out
 
 
 CANDIDATES = "gene_idx int, gene string, primer_id string, fwd string, rev string"
+DESIGNED = CANDIDATES + ", forward_tm double, reverse_tm double, amplicon_len int"
 
 
 def design(targets: DataFrame, tool: str = "primer3_core") -> DataFrame:
@@ -50,21 +58,56 @@ def design(targets: DataFrame, tool: str = "primer3_core") -> DataFrame:
             rows = []
             for g, name, seq in zip(pdf["gene_idx"], pdf["name"], pdf["seq"]):
                 answer = subprocess.run([tool], input=boulder(name, seq), capture_output=True, text=True, check=True).stdout
-                rows += [(g, name, f"{name}_{k}", left, right) for k, left, right in parse_boulder(answer)]
-            yield pd.DataFrame(rows, columns=["gene_idx", "gene", "primer_id", "fwd", "rev"])
+                rows += [(g, name, f"{name}_{k}", *rest) for k, *rest in parse_boulder(answer)]
+            yield pd.DataFrame(rows, columns=[c.split()[0] for c in DESIGNED.split(", ")])
 
-    return targets.select("gene_idx", "name", "seq").mapInPandas(run, CANDIDATES)
+    return targets.select("gene_idx", "name", "seq").mapInPandas(run, DESIGNED)
 
 
 def with_fixed(candidates: DataFrame, fixed: list[tuple[str, str, str]]) -> DataFrame:
     """candidates behind fixed pairs (name, fwd, rev), each a gene of one pair."""
     first = candidates.sparkSession.createDataFrame([(k, n, n, f, r) for k, (n, f, r) in enumerate(fixed)], CANDIDATES)
-    return first.unionByName(candidates.withColumn("gene_idx", F.col("gene_idx") + len(fixed)))
+    return first.unionByName(candidates.withColumn("gene_idx", F.col("gene_idx") + len(fixed)), allowMissingColumns=True)
 
 
 def fasta_lines(candidates: DataFrame) -> DataFrame:
     """Two FASTA records a pair, for writing as text."""
-    return candidates.select(F.explode(F.array(F.concat(F.lit(">"), "primer_id", F.lit("_F\n"), "fwd"), F.concat(F.lit(">"), "primer_id", F.lit("_R\n"), "rev"))).alias("value"))
+    return candidates.select(F.explode(F.array(F.concat(F.lit(">"), "primer_id", F.lit("-f\n"), "fwd"), F.concat(F.lit(">"), "primer_id", F.lit("-r\n"), "rev"))).alias("value"))
+
+
+def candidate_table(candidates: DataFrame) -> DataFrame:
+    """Candidates as they are listed for people, genes in order; melting points and sizes are null where they aren't known."""
+    detail = lambda c, kind: F.col(c) if c in candidates.columns else F.lit(None).cast(kind).alias(c)
+    return candidates.orderBy("gene_idx", "primer_id").select("primer_id", "gene", F.col("fwd").alias("forward"), F.col("rev").alias("reverse"), detail("forward_tm", "double"), detail("reverse_tm", "double"), detail("amplicon_len", "int"))
+
+
+def write_candidates(candidates: DataFrame, folder: str) -> None:
+    """primers.fasta, primers.tsv, and primers.parquet, which reads back as it was, below a folder."""
+    fasta_lines(candidates).write.text(f"{folder}/primers.fasta")
+    write_tsv(candidate_table(candidates), f"{folder}/primers.tsv")
+    candidates.write.parquet(f"{folder}/primers.parquet")
+
+
+def parse_energy(text: str) -> float:
+    """The 14th word of a dimer tool's answer as a number, else the first number in it."""
+    words = text.split()
+    try:
+        return float(words[13])
+    except (IndexError, ValueError):
+        found = re.search(r"-?\d+(?:\.\d+)?", text)
+        if not found:
+            raise ValueError(f"no energy in {text!r}") from None
+        return float(found[0])
+
+
+def tool_energy(tool: str = "ntthal"):
+    """An energy for dimer_scores() from a dimer tool on the executors' path: the lower one of both ends' alignments."""
+
+    def energy(a: str, b: str) -> float:
+        ask = lambda end: subprocess.run([tool, "-mv", "200", "-dv", "3", "-n", "0.2", "-t", "25", "-d", "50", "-s1", a[-OLIGO:], "-s2", b[-OLIGO:], "-a", end], capture_output=True, text=True, check=True).stdout
+        return min(parse_energy(ask(end)) for end in ("END1", "END2"))
+
+    return energy
 
 
 def dimer_energy(a: str, b: str) -> float:
@@ -81,25 +124,65 @@ def dimer_energy(a: str, b: str) -> float:
     return best
 
 
-def oligo_pairs(candidates: DataFrame) -> DataFrame:
+def dimer_energies(xs: list[str], ys: list[str]) -> np.ndarray:
+    """dimer_energy() of many pairs of oligos: all pairs of one shift at a time."""
+    out = np.zeros(len(xs))
+    sizes: dict[tuple[int, int], list[int]] = {}
+    for k, (x, y) in enumerate(zip(xs, ys)):
+        sizes.setdefault((min(len(x), OLIGO), min(len(y), OLIGO)), []).append(k)
+    stack = np.zeros((256, 256))
+    for two, energy in STACK.items():
+        stack[ord(two[0]), ord(two[1])] = energy
+    other = str.maketrans("ACGT", "TGCA")
+    for (n, m), rows in sizes.items():
+        if min(n, m) < 2:
+            continue
+        a = np.frombuffer("".join(xs[k][-OLIGO:] for k in rows).encode(), np.uint8).reshape(-1, n)
+        b = np.frombuffer("".join(ys[k][-OLIGO:].translate(other)[::-1] for k in rows).encode(), np.uint8).reshape(-1, m)
+        each, best = stack[a[:, :-1], a[:, 1:]], np.zeros(len(rows))
+        for shift in range(2 - m, n - 1):
+            i, j = max(0, shift), max(0, -shift)
+            size = min(n - i, m - j) - 1
+            same = a[:, i : i + size + 1] == b[:, j : j + size + 1]
+            run = np.zeros(len(rows))
+            for k in range(size):
+                run = np.where(same[:, k] & same[:, k + 1], run + each[:, i + k], 0.0)
+                best = np.minimum(best, run)
+        out[rows] = best
+    return out
+
+
+def equal_places(a: str, b: str) -> float:
+    """A plain stand-in for an energy: minus the places at which two oligos have the same base."""
+    return -float(sum(x == y for x, y in zip(a, b)))
+
+
+def oligo_pairs(candidates: DataFrame, pool: str | None = None) -> DataFrame:
     """(id_lo, id_hi, x, y): for pairs of pairs of different genes, the oligos that could bind.
 
     Each of the four with itself and each ordered two of them; genes are ordered, so that a
-    pair comes once.  Candidates are some hundred a gene.
+    pair comes once.  pool: a column of candidates that are pooled apart; only pairs of one
+    pool meet, by an equi-join.  A pool's candidates are some hundred a gene.
     """
-    a = candidates.select(F.col("gene_idx").alias("ga"), F.col("primer_id").alias("ia"), F.array("fwd", "rev").alias("oa"))
-    b = candidates.select(F.col("gene_idx").alias("gb"), F.col("primer_id").alias("ib"), F.array("fwd", "rev").alias("ob"))
-    met = a.join(b, F.col("ga") < F.col("gb")).select(F.least("ia", "ib").alias("id_lo"), F.greatest("ia", "ib").alias("id_hi"), F.concat("oa", "ob").alias("o"))
+    pool_ = F.col(f"`{pool}`") if pool else F.lit(0)
+    a = candidates.select(pool_.alias("pool"), F.col("gene_idx").alias("ga"), F.col("primer_id").alias("ia"), F.array("fwd", "rev").alias("oa"))
+    b = candidates.select(pool_.alias("pool"), F.col("gene_idx").alias("gb"), F.col("primer_id").alias("ib"), F.array("fwd", "rev").alias("ob"))
+    met = a.join(b, "pool").where("ga < gb").select(F.least("ia", "ib").alias("id_lo"), F.greatest("ia", "ib").alias("id_hi"), F.concat("oa", "ob").alias("o"))
     return met.select("id_lo", "id_hi", "o", F.posexplode("o").alias("i", "x")).select("id_lo", "id_hi", "x", F.explode("o").alias("y")).withColumn("x", F.expr(f"right(x, {OLIGO})")).withColumn("y", F.expr(f"right(y, {OLIGO})"))
 
 
-def dimer_scores(candidates: DataFrame, energy=dimer_energy) -> DataFrame:
-    """(id_lo, id_hi, delta_g): the lowest energy over all bindings; each distinct two oligos are scored once."""
-    asked = oligo_pairs(candidates)
+def dimer_scores(candidates: DataFrame, energy=None, pool: str | None = None) -> DataFrame:
+    """(id_lo, id_hi, delta_g): the lowest energy over all bindings; each distinct two oligos are scored once.
+
+    Without an energy of two oligos, dimer_energy() over whole batches.
+    """
+    asked = oligo_pairs(candidates, pool)
     distinct = asked.select("x", "y").distinct()
 
     @F.pandas_udf("double")
     def score(x: pd.Series, y: pd.Series) -> pd.Series:
+        if energy is None:
+            return pd.Series(dimer_energies(x.tolist(), y.tolist()), dtype="float64")
         return pd.Series([energy(a, b) for a, b in zip(x, y)], dtype="float64")
 
     scored = distinct.withColumn("g", score("x", "y"))
@@ -165,8 +248,8 @@ def anneal(genes: list[list[str]], scores: dict[tuple[str, str], float], fixed:
 def anneal_chains(candidates: DataFrame, scores: DataFrame | None, fixed: int = 0, chains: int = 200, cycles: int = 2000, temperature: float = 600.0, beta: float = 0.997, top: int = 10, seed: int = 0, energy=dimer_energy) -> DataFrame:
     """The best sets of independent chains: (chain, rank_score, avg_score, min_score, primers), top of them.
 
-    Candidates and scores of a panel, some hundred pairs a gene, go to every chain; their
-    number is checked.  Without scores, each chain scores the pairs that it meets itself, so
+    Candidates and scores of a panel, some hundred pairs a gene, go to every chain; both
+    numbers are checked.  Without scores, each chain scores the pairs that it meets itself, so
     that all pairs of many candidates needn't be scored.
     """
     spark = candidates.sparkSession
@@ -176,7 +259,13 @@ def anneal_chains(candidates: DataFrame, scores: DataFrame | None, fixed: int =
     genes: dict[int, list[str]] = {}
     for r in rows:
         genes.setdefault(r["gene_idx"], []).append(r["primer_id"])
-    known = {(r["id_lo"], r["id_hi"]): r["delta_g"] for r in scores.collect()} if scores is not None else None
+    most = 2_000_000
+    known = None
+    if scores is not None:
+        pairs = scores.limit(most + 1).collect()
+        if len(pairs) > most:
+            raise ValueError("more scored pairs than a chain can hold; let the chains score what they meet")
+        known = {(r["id_lo"], r["id_hi"]): r["delta_g"] for r in pairs}
     oligos = {r["primer_id"]: (r["fwd"], r["rev"]) for r in rows} if scores is None else None
     shared = spark.sparkContext.broadcast(([genes[k] for k in sorted(genes)], known, oligos))
 

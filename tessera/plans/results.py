@@ -353,11 +353,16 @@ def legacy_export(cells: DataFrame, phases: DataFrame | None = None) -> DataFram
         found.alias("targets"), pv.alias("phase_variation"))
 
 
+def write_tables(folder: str, summary: dict, candidates: DataFrame, all_asvs: DataFrame, cells: DataFrame, asvs: DataFrame, sequences: DataFrame | None) -> None:
+    """All result tables below a folder, JSON Lines each."""
+    tables.write_json(cells.sparkSession, summary, f"{folder}/run_summary.json")
+    for name, df in (("candidate_cells", candidates), ("candidate_asvs", all_asvs), ("cells", cells), ("asvs", asvs)):
+        tables.write_jsonl(df, f"{folder}/{name}.jsonl")
+    if sequences is not None:
+        tables.write_jsonl(sequences, f"{folder}/target_sequences.jsonl", optional=("phase_variation", "reference_matches"))
+
+
 def write_results(folder: str, summary: dict, candidates: DataFrame, all_asvs: DataFrame, cells: DataFrame, asvs: DataFrame, sequences: DataFrame | None) -> None:
-    """All result tables below a folder, JSON Lines each, under a name that is theirs only once they are whole."""
-    with tables.Staged(folder) as work:
-        tables.write_json(summary, str(work / "run_summary.json"))
-        for name, df in (("candidate_cells", candidates), ("candidate_asvs", all_asvs), ("cells", cells), ("asvs", asvs)):
-            tables.write_jsonl(df, str(work / f"{name}.jsonl"))
-        if sequences is not None:
-            tables.write_jsonl(sequences, str(work / "target_sequences.jsonl"), optional=("phase_variation", "reference_matches"))
+    """write_tables() under a name that is the folder's only once all are whole."""
+    with tables.Staged(cells.sparkSession, folder) as work:
+        write_tables(work, summary, candidates, all_asvs, cells, asvs, sequences)

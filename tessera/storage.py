@@ -39,10 +39,39 @@ def stored(df: DataFrame, what: str, codec: str = "none") -> DataFrame:
     return table
 
 
-def delete(spark: SparkSession, path: str) -> None:
-    """Delete a file or folder of any file system that Spark reaches."""
+def _place(spark: SparkSession, path: str):
+    """A path, and the file system that it is on."""
     place = spark._jvm.org.apache.hadoop.fs.Path(path)
-    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+    return place, place.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is a file or folder on any file system that Spark reaches."""
+    place, system = _place(spark, path)
+    return system.exists(place)
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """Delete a file or folder."""
+    place, system = _place(spark, path)
+    system.delete(place, True)
+
+
+def move(spark: SparkSession, path: str, to: str) -> None:
+    """Give a file or folder another name on the same file system."""
+    place, system = _place(spark, path)
+    if not system.rename(place, _place(spark, to)[0]):
+        raise OSError(f"can't move {path} to {to}")
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small text as one file; there must be none yet."""
+    place, system = _place(spark, path)
+    out = system.create(place, False)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
 
 
 def release(*tables: DataFrame) -> None:

@@ -4,6 +4,7 @@ import math
 import random
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from tessera.operators import barcodes, cells, sequences, variants
@@ -249,6 +250,87 @@ def test_reference_matches_on_either_strand(spark):
     assert got == {"a x": (8, 47, 48, 77), "b": (1, 40, 43, 72)}
 
 
+def test_short_mates_are_found(spark):
+    names = spark.createDataFrame([("T_seq_1", ("ACGTA", "GGATCCAAT")), ("T_seq_2", ("C", "G")), ("T_seq_3", ("TTTTTTTTTTTTTTTTTT", "A")), ("T_seq_4", ("", "ACGT"))], "sequence_id string, core struct<r1:string,r2:string>")
+    ref = spark.createDataFrame([("a", "a", "TTACGTATTTGGATCCAATTT"), ("b", "b", "ATTGGATCCAAAA" + "TACGT"), ("c", "c", "CCCCCC"), ("d", "d", "GG" + "A" * 19)], "name string, title string, seq string")
+    got = {(x.sequence_id, x.subject): (x.r1_start, x.r1_end, x.r2_start, x.r2_end) for x in sequences.reference_matches(names, ref).collect()}
+    def place(seq, q):
+        rc = q[::-1].translate(str.maketrans("ACGT", "TGCA"))
+        return seq.find(q) + 1 or seq.find(rc) + 1
+
+    want = {}
+    for n in names.collect():
+        for r in ref.collect():
+            a, b = place(r.seq, n.core.r1), place(r.seq, n.core.r2)
+            if n.core.r1 and n.core.r2 and a and b:
+                want[n.sequence_id, r.title] = (a, a + len(n.core.r1) - 1, b, b + len(n.core.r2) - 1)
+    assert got == want and len(got) > 5 and sequences.reference_matches(names.limit(0), ref).count() == 0
+
+
+@pytest.mark.parametrize("shift,mismatches", [(2, 0), (1, 2), (2, 3)])
+def test_target_clusters_equal_the_greedy_definition(spark, shift, mismatches):
+    """Cores that are shifted, changed and unlike copies of a few; both guards against the sequential definition."""
+    r = random.Random(shift * 10 + mismatches)
+    dna = lambda n: "".join(r.choice("ACGT") for _ in range(n))
+    near = lambda x, y: max(min(sum(a != b for a, b in zip(x[m][s:] if s >= 0 else x[m], y[m] if s >= 0 else y[m][-s:])) for s in range(-shift, shift + 1)) for m in (0, 1)) <= mismatches
+    rows = []
+    for t in "TU":
+        base = [(dna(12), dna(9)) for _ in range(3)]
+        cores = set(base)
+        while len(cores) < 60:
+            a, b = r.choice(base)
+            kind = r.random()
+            if kind < 0.4:
+                k = r.randint(0, shift)
+                a = dna(k) + a[: len(a) - k] if r.random() < 0.5 else a[k:] + dna(k)
+            elif kind < 0.8:
+                k = r.randrange(len(a))
+                a = a[:k] + r.choice("ACGT") + a[k + 1 :]
+            else:
+                a, b = dna(12), dna(9)
+            cores.add((a, b))
+        rows += [("c", t, c, r.randint(1, 9) + 20 * (c in base), k) for k, c in enumerate(sorted(cores))]
+    counts = spark.createDataFrame(rows, "cell string, target string, core struct<r1:string,r2:string>, n long, first long").repartition(3)
+    params = Targets(max_shift=shift, max_mismatches=mismatches)
+    for guard in ("all_dominants", "cluster"):
+        want = {}
+        for t in "TU":
+            heads, members = [], {}
+            for _, _, core, n, first in sorted((x for x in rows if x[1] == t), key=lambda x: (-x[3], x[4])):
+                head = next((h for h in heads if near(core, h)), None)
+                held = heads if guard == "all_dominants" else members.get(head, [])
+                if head is None or not all(near(core, h) for h in held):
+                    head = core
+                    heads.append(core)
+                members.setdefault(head, []).append(core)
+                want[t, core] = head
+        got = {(x.target, tuple(x.core)): tuple(x.dominant) for x in sequences.cluster_cores(counts, params, guard).collect()}
+        assert got == want
+
+
+def test_rows_are_numbered_in_order(spark):
+    from tessera.operators import order
+
+    r = random.Random(2)
+    rows = [(r.choice("abc"), r.randint(0, 9), k) for k in range(500)]
+    df = spark.createDataFrame(rows, "g string, v int, k int").repartition(7)
+    want = sorted(rows, key=lambda x: (-x[1], x[2]))
+    got = order.numbered(df, [F.desc("v"), "k"])
+    assert [(x.g, x.v, x.k, x.no) for x in sorted(got.collect(), key=lambda x: x.no)] == [(*x, i) for i, x in enumerate(want, 1)]
+    inside = order.numbered_in(df, "g", [F.desc("v"), "k"]).collect()
+    for g in "abc":
+        assert [(x.v, x.k, x.no) for x in sorted((x for x in inside if x.g == g), key=lambda x: x.no)] == [(*x[1:], i) for i, x in enumerate([x for x in want if x[0] == g], 1)]
+    assert order.numbered(df.limit(0), ["k"]).count() == 0
+
+
+def test_group_sizes_of_three_kinds(spark):
+    df = spark.createDataFrame([("a", "16s"), ("a", "16s"), ("a", "target"), ("a", "unclassified"), ("b", "target"), ("c", "16s")], "cell string, gene_class string")
+    sizes = {(x.series, x.cell): x.size for x in cells.group_sizes(df).collect()}
+    assert sizes == {("16s", "a"): 2, ("classified", "a"): 3, ("all", "a"): 4, ("all", "b"): 1, ("16s", "c"): 1, ("classified", "c"): 1, ("all", "c"): 1}
+    curves = {(x.series, x.size): (x.groups, x.share) for x in cells.group_curves(cells.group_sizes(df)).collect()}
+    assert curves == {("16s", 1): (1, 1 / 3), ("16s", 2): (1, 1.0), ("classified", 1): (1, 0.25), ("classified", 3): (1, 1.0), ("all", 1): (2, 2 / 6), ("all", 4): (1, 1.0)}
+
+
 def test_lorenz_and_histogram(spark):
     sizes = spark.createDataFrame([(1,), (1,), (2,), (4,)], "size long")
     assert [(x.size, x.groups, x.share) for x in cells.lorenz(sizes).orderBy("size").collect()] == [(1, 2, 0.25), (2, 1, 0.5), (4, 1, 1.0)]

@@ -24,7 +24,7 @@ def test_panel_dialects_and_faults(spark, tmp_path):
     assert say("﻿Primer,F,R,Sub-ARG\n16s,ACG,CCC,single\n\"a,b\",ACC,CCA,family\n") == "Valid"
     assert [(r.target, r["mode"]) for r in tables.read_panel(spark, str(tmp_path / "p.csv")).orderBy("panel_index").collect()] == [("16s", ""), ("a,b", "")]
     head = "Primer,F,R,Mode\n"
-    for text, part in (("a,b\n", "expected 4 columns"), ("X,F,R,Mode\n", "Header error"), ("Primer,A,R,Mode\n", "Header name"), (head + "16s,A\n", "row 2"), (head + "16s,A,C,\n16s,C,C,\n", "Duplicate primer name"), (head + "16s,A,C,\nb,A,C,\n", "Duplicate primer sequence"), (head + "16s,N,C,\n", "F primer N"), (head + "16s,A,n,\n", "R primer n"), (head + "16s,A,C,x\n", "Mode error"), (head + "b,A,C,\n", "order error")):
+    for text, part in (("a,b\n", "four columns"), ("", "four columns"), ("X,F,R,Mode\n", "first column"), ("Primer,F,R,Kind\n", "fourth column"), ("Target,F,R,Sub-ARG\n", "fourth column"), ("Primer,A,R,Mode\n", "second and third"), (head + "16s,A\n", "line 2"), (head + "16s,A,C,\n16s,C,C,\n", "listed twice"), (head + "16s,A,C,\nb,A,C,\n", "primers of an earlier line"), (head + "16s,N,C,\n", "forward primer of 16s"), (head + "16s,A,n,\n", "reverse primer of 16s"), (head + "16s,A,C,x\n", "the mode x"), ("Primer,F,R,Sub-ARG\n16s,A,C,x\n", "neither single nor family"), (head + "b,A,C,\n", "stands first")):
         assert part in say(text), text
 
 
@@ -35,7 +35,7 @@ def test_reference_fasta(spark, tmp_path):
 
     assert say(">a x\nACGT\n\n>b\nAC\nGT\n") == "Valid"
     assert {r.name: (r.title, r.seq) for r in tables.read_fasta(spark, str(tmp_path / "r.fa"), ("b",)).collect()} == {"a": ("a x", "ACGT")}
-    for text, part in ((">a\n>b\nA\n", "no sequence before line 2"), (">\nA\n", "Empty record ID on line 1"), ("A\n", "before a header on line 1"), (">a\nA C\n", "Whitespace in sequence on line 2"), ("\n", "no FASTA records"), (">a\n", "Last record")):
+    for text, part in ((">a\n>b\nA\n", "line 2: a record begins"), (">\nA\n", "line 1: a record has no name"), ("A\n", "line 1: there is a sequence before"), (">a\nA C\n", "line 2: there is white space"), (">a\nA\n\n>b\n\n>c\nA", "line 6: a record begins"), ("\n", "no records"), (">a\n", "the last record")):
         assert part in say(text), text
 
 
@@ -130,12 +130,80 @@ def test_a_whole_run(spark, tmp_path):
     assert results.summary_violations(s | {"status": "x"}, s["run_id"], 12, 1, 12, 1) == ["identity"]
 
 
-def test_staging_keeps_failures_apart(tmp_path):
+def test_staging_keeps_failures_apart(spark, tmp_path):
     with pytest.raises(RuntimeError):
-        with tables.Staged(str(tmp_path / "run")) as work:
-            (work / "x").write_text("1")
+        with tables.Staged(spark, str(tmp_path / "run")) as work:
+            tables.write_json(spark, {"x": 1}, f"{work}/x.json")
             raise RuntimeError
     assert not (tmp_path / "run").exists() and list(tmp_path.glob(".run.incomplete.*"))
+    with tables.Staged(spark, f"file://{tmp_path}/run") as work:
+        tables.write_json(spark, {"x": 1}, f"{work}/x.json")
+    assert json.loads((tmp_path / "run" / "x.json").read_text()) == {"x": 1}
+    with pytest.raises(FileExistsError):
+        tables.Staged(spark, str(tmp_path / "run"))
+
+
+def test_one_command_from_files_to_a_folder(spark, tmp_path, capsys):
+    from tessera import cli
+
+    _example(tmp_path)
+    (tmp_path / "labels").write_text("".join(f"C\tread{k}\t5\t0\tx\n" for k in range(128)))
+    ranks = [("R", "1", "root"), ("D", "2", "d__B"), ("P", "3", "p__P"), ("S", "5", "s__S")]
+    (tmp_path / "report").write_text("".join(f"1\t1\t1\t{c}\t{i}\t{n}\n" for c, i, n in ranks))
+    (tmp_path / "ref.fa").write_text(">r one\nACGT\n")
+    args = ["-1", f"{tmp_path}/1.fastq", "-2", f"{tmp_path}/2.fastq", "-p", f"{tmp_path}/panel.csv", "--classified", f"{tmp_path}/labels", "--report", f"{tmp_path}/report", "-r", f"{tmp_path}/ref.fa", "-o", f"{tmp_path}/out"]
+
+    def refused(change):
+        with pytest.raises(SystemExit):
+            cli.main(change, spark)
+        return capsys.readouterr().err
+
+    assert "no such file for R2" in refused([x.replace("2.fastq", "none") for x in args]) and "negative" in refused([*args, "--min-cells-per-taxon=-1"])
+    (tmp_path / "bad.csv").write_text(PANEL.replace("16s", "x"))
+    assert "stands first" in refused([x.replace("panel.csv", "bad.csv") for x in args])
+    (tmp_path / "bad.fa").write_text("ACGT\n")
+    assert "before any record" in refused([x.replace("ref.fa", "bad.fa") for x in args])
+    (tmp_path / "short.fastq").write_text("".join((tmp_path / "2.fastq").read_text().splitlines(True)[:-4]))
+    assert "end at different records" in refused([x.replace("2.fastq", "short.fastq") for x in args])
+    cli.main([*args, "--min-cells-per-taxon", "12"], spark)
+    folder = tmp_path / "out"
+    record = json.loads((folder / "run_summary.json").read_text())
+    assert record["parameters"]["cells"]["min_cells_per_taxon"] == 12 and record["inputs"]["reference_fasta"] == f"{tmp_path}/ref.fa" and record["barcode_funnel"]["final_cells"] == 12
+    assert "there already" in refused(args) and not list(tmp_path.glob(".out.incomplete*"))
+
+    from tessera.plans import reports
+
+    names = ["summary.tsv", "cell_target_matrix.tsv", "asv_summary.tsv", "taxonomy_summary.tsv", "target_summary.tsv", "cell_phase_variation.tsv", "reference_matches.tsv"]
+    assert sorted(x.name for x in (folder / "reports").iterdir() if not x.name.startswith(".")) == sorted(names)
+    assert reports.write_reports(spark, str(folder), str(tmp_path / "again")) == names
+    read = lambda name: spark.read.option("sep", "\t").option("header", True).csv(str(tmp_path / "again" / name))
+    matrix = read("cell_target_matrix.tsv").collect()
+    assert len(matrix) == 12 and [r["Barcode"] for r in matrix] == sorted(r["Barcode"] for r in matrix) and {r["target"] for r in matrix} == {"0", "target_seq_1"}
+    assert read("reference_matches.tsv").count() == 0 and "sub-ARG_name" in read("reference_matches.tsv").columns
+    assert {(r["section"], r["metric"]): r["value"] for r in read("summary.tsv").collect()}["cells", "final_cells"] == "12"
+    with pytest.raises(FileExistsError):
+        reports.write_reports(spark, str(folder), str(tmp_path / "again"))
+    record["run_id"] = "other"
+    (folder / ".run_summary.json.crc").unlink()
+    (folder / "run_summary.json").write_text(json.dumps(record))
+    with pytest.raises(ValueError, match="another run"):
+        reports.write_reports(spark, str(folder), str(tmp_path / "third"))
+
+
+def test_words_for_true_and_false(spark):
+    import argparse
+
+    from tessera import cli
+    from tessera.functions import seq as S
+
+    words = {"true": True, " Yes ": True, "1": True, "Y": True, "false": False, "NO": False, "0": False, "n ": False}
+    assert {w: cli.parse_bool(w) for w in words} == words
+    df = spark.createDataFrame([(w,) for w in words], "w string")
+    assert {r.w: r.f for r in df.select("w", S.flag(F.col("w")).alias("f")).collect()} == words
+    with pytest.raises(argparse.ArgumentTypeError):
+        cli.parse_bool("maybe")
+    with pytest.raises(Exception, match="neither true nor false"):
+        spark.createDataFrame([("maybe",)], "w string").select(S.flag(F.col("w"))).collect()
 
 
 def test_empty_reports_have_headers(spark, tmp_path):
@@ -149,6 +217,43 @@ def test_chains_score_what_they_meet(spark):
     assert primers.anneal_chains(pool, None, **asked).collect() == primers.anneal_chains(pool, primers.dimer_scores(pool), **asked).collect()
 
 
+def test_energies_of_batches_equal_those_of_pairs():
+    r = random.Random(3)
+    xs = ["".join(r.choice("ACGT") for _ in range(r.choice([0, 1, 2, 19, 20, 70]))) for _ in range(300)]
+    ys = ["".join(r.choice("ACGT") for _ in range(r.choice([0, 1, 2, 19, 20, 70]))) for _ in range(300)]
+    assert primers.dimer_energies(xs, ys).tolist() == pytest.approx([primers.dimer_energy(x, y) for x, y in zip(xs, ys)])
+
+
+def test_candidate_files_and_tool_answers(spark, tmp_path):
+    plain = spark.createDataFrame([(0, "g", "g_0", "ACGT", "GGCC")], primers.CANDIDATES)
+    designed = spark.createDataFrame([(0, "g", "g_0", "ACGT", "GGCC", 60.0, 59.5, 420)], primers.DESIGNED)
+    primers.write_candidates(designed, str(tmp_path / "out"))
+    parts = lambda name: "".join(x.read_text() for x in sorted((tmp_path / "out" / name).glob("part*")))
+    assert parts("primers.fasta") == ">g_0-f\nACGT\n>g_0-r\nGGCC\n"
+    assert parts("primers.tsv") == "primer_id\tgene\tforward\treverse\tforward_tm\treverse_tm\tamplicon_len\ng_0\tg\tACGT\tGGCC\t60.0\t59.5\t420\n"
+    assert spark.read.parquet(str(tmp_path / "out" / "primers.parquet")).collect() == designed.collect()
+    assert primers.candidate_table(plain).first().forward_tm is None and primers.with_fixed(designed, [("f", "AC", "GT")]).count() == 2
+    assert primers.parse_energy(" ".join(["x"] * 13 + ["-4.25", "t"])) == -4.25 and primers.parse_energy("dG = -3.5 t") == -3.5
+    with pytest.raises(ValueError):
+        primers.parse_energy("none")
+    tool = tmp_path / "tool"
+    tool.write_text("#!/bin/sh\nfor a; do last=$a; done\nif [ $last = END1 ]; then echo dG = -1.5; else echo dG = -2.5; fi\n")
+    tool.chmod(0o755)
+    pool = spark.createDataFrame([(g, f"g{g}", f"g{g}_0", "ACGTACGTAC", "TTGGCCAATT") for g in range(2)], primers.CANDIDATES)
+    assert [tuple(r) for r in primers.dimer_scores(pool, primers.tool_energy(str(tool))).collect()] == [("g0_0", "g1_0", -2.5)]
+
+
+def test_pools_are_scored_apart(spark):
+    rows = [(g, f"g{g}", f"{p}g{g}_{k}", "ACGTACGTAC" + "ACGT"[k], "TTGGCCAATT" + "ACGT"[g], p) for p in "ab" for g in range(2) for k in range(2)]
+    pool = spark.createDataFrame(rows, primers.CANDIDATES + ", pool string")
+    got = {(r.id_lo, r.id_hi): r.delta_g for r in primers.dimer_scores(pool, pool="pool").collect()}
+    whole = {(r.id_lo, r.id_hi): r.delta_g for r in primers.dimer_scores(pool).collect()}
+    assert got == {k: v for k, v in whole.items() if k[0][0] == k[1][0]} and len(got) == 8
+    many = spark.range(2_000_001).select(F.col("id").cast("string").alias("id_lo"), F.lit("x").alias("id_hi"), F.lit(0.0).alias("delta_g"))
+    with pytest.raises(ValueError, match="more scored pairs"):
+        primers.anneal_chains(pool, many, chains=1, cycles=1)
+
+
 def test_primer_pools(spark):
     rows = [(g, f"g{g}", f"g{g}_{k}", "ACGTACGTACGTACGTACG" + "ACGT"[k], "TTGGCCAATTGGCCAATT" + "ACGT"[g]) for g in range(3) for k in range(4)]
     pool = primers.with_fixed(spark.createDataFrame(rows, primers.CANDIDATES), [("ad", "ACGTTT", "GGGAAA")])
@@ -165,6 +270,6 @@ def test_primer_pools(spark):
     assert best == again and best[0].primers[0] == "ad" and best[0].rank_score >= best[-1].rank_score
     chosen = spark.createDataFrame([(p,) for p in best[0].primers], "primer_id string")
     assert primers.pool_score(chosen, scores).first().rank_score == pytest.approx(best[0].rank_score)
-    assert primers.parse_boulder("PRIMER_LEFT_0_SEQUENCE=AC\nPRIMER_RIGHT_0_SEQUENCE=GT\n=\n") == [(0, "AC", "GT")]
+    assert primers.parse_boulder("PRIMER_LEFT_0_SEQUENCE=AC\nPRIMER_RIGHT_0_SEQUENCE=GT\nPRIMER_LEFT_0_TM=60.5\nPRIMER_PAIR_0_PRODUCT_SIZE=420\n=\n") == [(0, "AC", "GT", 60.5, None, 420)]
     with pytest.raises(FileNotFoundError):
         primers.design(spark.createDataFrame([(0, "a", "ACGT")], "gene_idx int, name string, seq string"), "no-such-tool")
