@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions import seq as S
 
-from tessera.operators import barcodes, cells, demux, primers, sequences, variants
+from tessera.operators import barcodes, cells, demux, order, primers, sequences, variants
 
 from tessera.plans import results, surrogate
 from tessera.plans.surrogate import PANEL, PARAMS, READS, TARGETS, Steps
@@ -256,10 +256,8 @@ def q10_semi_global_distance(spark, sf_dir):
 # ---- barcodes
 @query(_with(_bc, "SELECT barcode, n, rk AS barcode_rank FROM bc"))
 def q11_barcode_counts_ranked(spark, sf_dir):
-    from pyspark.sql import Window as W
-
     counts = barcodes.barcode_counts(surrogate.packets(spark, sf_dir))
-    return counts.select("barcode", "n", F.row_number().over(W.orderBy(F.desc("n"), "first")).cast("long").alias("barcode_rank"))
+    return order.numbered(counts, [F.desc("n"), "first"], "barcode_rank").select("barcode", "n", "barcode_rank")
 
 
 @query(_with(_bc, "SELECT a.barcode AS earlier, b.barcode AS later FROM bc a JOIN bc b ON a.rk < b.rk AND (substr(a.barcode, 2) = substr(b.barcode, 1, 5) OR substr(b.barcode, 2) = substr(a.barcode, 1, 5))"))
@@ -274,7 +272,7 @@ def q13_barcode_clusters(spark, sf_dir):
 
 # ---- taxonomy
 _TAXA = [(str(10 + k), "G", f"G{k}", ("Bacteria", f"P{k % 3}", f"C{k % 3}", f"O{k % 6}", f"F{k % 6}", f"G{k}", None)) for k in range(12)]
-_label = "CASE WHEN read_index % 23 = 0 THEN '0' WHEN read_index % 29 = 0 THEN '1' WHEN read_index % 31 = 0 THEN 'g__missing' WHEN read_index % 2 = 0 THEN concat('g__G', CAST(strain AS STRING)) ELSE CAST(10 + strain AS STRING) END"
+_label = surrogate.LABEL
 
 
 @query(_with(_reads, f"""SELECT read_id, l <> '0' AS classifiable, CASE WHEN known THEN 'Bacteria' END AS domain, CASE WHEN known THEN concat('P', strain % 3) END AS phylum, CASE WHEN known THEN concat('G', strain) END AS genus
@@ -392,20 +390,44 @@ def q32_seq_denoise(spark, sf_dir):
     return Steps(spark, sf_dir).names().select("sequence_id", "cells", "retained")
 
 
-@query()
+# sequences are kept by their rank from here on: SQL can't state the fit of q32
+_ns = _seq + """, nk AS (SELECT *, concat(target, '_seq_', seq_no) AS sequence_id, seq_no <= 2 AS retained FROM nm),
+an AS (SELECT ca.*, nk.sequence_id FROM ca LEFT JOIN nk ON ca.known AND nk.retained AND nk.target = ca.target AND nk.d1 = ca.d1 AND nk.d2 = ca.d2),
+asg AS (SELECT b.cell, b.target, b.n, CAST(b.filtered AS BIGINT) AS filtered, CASE WHEN b.filtered = 0 THEN 'filtered_out' WHEN b.target <> 'T1' THEN 'detected' WHEN an.sequence_id IS NULL THEN 'sequence_unresolved' ELSE 'sequence_cluster' END AS kind, an.sequence_id AS sid
+  FROM bg b LEFT JOIN an ON an.cell = b.cell AND an.target = b.target)"""
+
+
+@query(_with(_ns, "SELECT cell, target, coalesce(sequence_id, concat(target, '_parent')) AS assignment FROM an"))
 def q33_parent_fallback(spark, sf_dir):
     s = Steps(spark, sf_dir)
-    found = s.calls().join(s.names().where("retained").select("target", "core", "sequence_id"), ["target", "core"], "left")
+    found = s.calls().join(s.ranked_names().where("retained").select("target", "core", "sequence_id"), ["target", "core"], "left")
     return found.select("cell", "target", F.coalesce("sequence_id", F.concat("target", F.lit("_parent"))).alias("assignment"))
 
 
-@query()
+def _repeats_sql(name: str, table: str, key: str, text: str) -> str:
+    """Tables that find tandem repeats greedily from the left: name (key, i, span, size) has a row for each place that is looked at, span 0 where none begins."""
+    common = "coalesce(list_position(list_transform(range(0, length(s) - i - z), lambda k: substr(s, CAST(i + k + 1 AS INT), 1) <> substr(s, CAST(i + z + k + 1 AS INT), 1)), true) - 1, length(s) - i - z)"
+    best = f"coalesce(list_max(list_transform(range(1, (length(s) - i) // 2 + 1), lambda z: CASE WHEN {common} >= z THEN z * (1 + {common} // z) * 1000 + 999 - z ELSE 0 END)), 0)"
+    return f"""{name} AS (
+ SELECT {key} AS key, {text} AS s, 0::BIGINT AS i, NULL::BIGINT AS v FROM {table}
+ UNION ALL
+ SELECT key, s, CASE WHEN v IS NULL THEN i WHEN v > 0 THEN i + v // 1000 ELSE i + 1 END, CASE WHEN v IS NULL THEN {best} END FROM {name} WHERE i < length(s))"""
+
+
+_rep = lambda name, table, key, text: _repeats_sql(name, table, key, text) + f""", {name}f AS (SELECT key, i AS start, i + v // 1000 AS stop, v // 1000 AS span, 999 - v % 1000 AS size, substr(s, CAST(i + 1 AS INT), CAST(999 - v % 1000 AS INT)) AS motif FROM {name} WHERE v > 0)"""
+
+
+@query(_with(_reads + ", st1 AS (SELECT strain, substr(min(r1), 31, 90) AS t FROM reads GROUP BY strain), " + _rep("rp", "st1", "strain", "t"), 'SELECT key AS strain, motif, CAST(span // size AS INT) AS repeat_count, CAST(start AS INT) AS start, CAST(stop AS INT) AS "end" FROM rpf'))
 def q34_tandem_repeats(spark, sf_dir):
     one = surrogate.reads(spark, sf_dir).groupBy("strain").agg(F.min("r1").alias("r1"))
     return one.select("strain", F.explode(sequences.find_repeats(F.substring("r1", 31, 90))).alias("r")).select("strain", "r.*")
 
 
-@query()
+_phase = ", t1 AS (SELECT sequence_id, concat(d1, reverse(translate(d2, 'ACGT', 'TGCA'))) AS t FROM nk WHERE target = 'T1'), " + _rep("rq", "t1", "sequence_id", "t") + ", pb AS (SELECT key, arg_max({'motif': motif, 'times': span // size, 'start': start, 'stop': stop}, span * 1000 - start) AS b FROM rqf GROUP BY key)"
+
+
+@query(_with(_ns + _phase, """SELECT 'T1' AS target, sequence_id, 'ssr' AS mode, CASE WHEN b IS NULL THEN 'no_ssr_detected' ELSE 'ssr_detected' END AS call, b.motif AS motif, CAST(b.times AS INT) AS repeat_count, CAST(b.start AS INT) AS start, CAST(b.stop AS INT) AS "end", CAST(NULL AS DOUBLE) AS direct_similarity, 'tandem_repeat_scan' AS evidence
+ FROM t1 LEFT JOIN pb ON pb.key = t1.sequence_id"""))
 def q35_phase_calls(spark, sf_dir):
     return sequences.phase_calls(Steps(spark, sf_dir).names(), surrogate.panel(spark).select("target", "mode"))
 
@@ -425,7 +447,7 @@ def q36_reference_exact_match(spark, sf_dir):
 
 
 # ---- results
-_ab = _bg + ", ab AS (SELECT asv_id, count(*) AS n, count(*) / (SELECT count(*) FROM al) AS share, count(*) >= 2 AND count(*) / (SELECT count(*) FROM al) >= 0.005 AS passed FROM al GROUP BY asv_id)"
+_ab = _ns + ", ab AS (SELECT asv_id, count(*) AS n, count(*) / (SELECT count(*) FROM al) AS share, count(*) >= 2 AND count(*) / (SELECT count(*) FROM al) >= 0.005 AS passed FROM al GROUP BY asv_id)"
 
 
 @query(_with(_ab, "SELECT asv_id, n AS cells, round(share, 9) AS share, passed FROM ab"))
@@ -460,7 +482,7 @@ def q38_final_filter_provenance(spark, sf_dir):
     return _candidates(spark, sf_dir).select("cell_barcode", "final_filter.*")
 
 
-@query()
+@query(_with(_ns, "SELECT cell, target, n, filtered, kind AS assignment_type, CASE WHEN kind = 'sequence_cluster' THEN sid END AS sequence_id FROM asg"))
 def q39_assignment_type(spark, sf_dir):
     return Steps(spark, sf_dir).assigned()
 
@@ -480,11 +502,11 @@ def q41_asvs(spark, sf_dir):
 
 def _final_sequences(spark, sf_dir) -> DataFrame:
     s = Steps(spark, sf_dir)
-    phases = sequences.phase_calls(s.names().where("retained"), surrogate.panel(spark).select("target", "mode"))
-    return results.final_sequences(_final(spark, sf_dir), s.names(), RUN_ID, phases)
+    phases = sequences.phase_calls(s.ranked_names().where("retained"), surrogate.panel(spark).select("target", "mode"))
+    return results.final_sequences(_final(spark, sf_dir), s.ranked_names(), RUN_ID, phases)
 
 
-@query()
+@query(_with(_ca + _phase, "SELECT nk.sequence_id AS sequence_cluster_id, nk.target AS parent_target, nk.d1 AS r1, u.n AS final_surviving_cell_count, CASE WHEN pb.b IS NULL THEN 'no_ssr_detected' ELSE 'ssr_detected' END AS call FROM (SELECT sid, count(*) AS n FROM asg JOIN fc USING (cell) WHERE kind = 'sequence_cluster' GROUP BY sid) u JOIN nk ON nk.sequence_id = u.sid LEFT JOIN pb ON pb.key = u.sid"))
 def q42_target_sequences(spark, sf_dir):
     return _final_sequences(spark, sf_dir).select("sequence_cluster_id", "parent_target", "core_sequence.r1", "final_surviving_cell_count", F.col("phase_variation.call").alias("call"))
 
@@ -519,16 +541,46 @@ def q44_target_filtering_summary(spark, sf_dir):
     return out.drop("panel_index").withColumn("retention_percent", r9("retention_percent"))
 
 
-@query("SELECT 'violations' AS what, CAST(0 AS BIGINT) AS n")
+# results with planted faults: by a barcode's first letter and a variant's number
+_faults = """SELECT rule, CAST(n AS BIGINT) AS n FROM (
+ SELECT 'cell_numbers' AS rule, count(*) AS n FROM fc WHERE cell LIKE 'A%' UNION ALL SELECT 'cell_status', count(*) FROM fc WHERE cell LIKE 'C%' UNION ALL SELECT 'cell_identity', count(*) FROM fc WHERE cell LIKE 'G%'
+ UNION ALL SELECT 'target_count', count(*) FROM asg JOIN fc USING (cell) WHERE cell LIKE 'T%' AND kind = 'filtered_out'
+ UNION ALL SELECT 'asv_name', count(DISTINCT asv_id) FROM fc WHERE CAST(substr(asv_id, 5) AS INT) % 2 = 0 UNION ALL SELECT 'asv_cells', 2 * count(DISTINCT asv_id) FROM fc WHERE CAST(substr(asv_id, 5) AS INT) % 2 = 0
+ UNION ALL SELECT 'excluded_reason', count(*) FROM fc WHERE cell LIKE 'A%' UNION ALL SELECT 'passed_is_final', count(*) FROM fc WHERE cell LIKE 'A%'
+ UNION ALL SELECT 'same_record', count(*) FROM fc WHERE cell LIKE 'C%' OR cell LIKE 'T%' AND EXISTS (SELECT 1 FROM asg WHERE asg.cell = fc.cell AND kind = 'filtered_out')
+ UNION ALL SELECT 'passed_asv_is_final', count(DISTINCT asv_id) FROM fc WHERE CAST(substr(asv_id, 5) AS INT) % 2 = 0) WHERE n > 0"""
+
+
+@query(_with(_ca, _faults))
 def q45_fk_violations(spark, sf_dir):
+    s = Steps(spark, sf_dir)
+    letter = F.substring("cell_barcode", 1, 1)
+    c, f, a = _candidates(spark, sf_dir), _final(spark, sf_dir), _final_asvs(spark, sf_dir)
+    worse = F.transform("targets", lambda t: t.withField("filtered_read_count", F.when(t["assignment_type"] == "filtered_out", F.lit(5)).otherwise(t["filtered_read_count"]).cast("long")))
+    asv = F.when(letter == "A", F.col("asv").withField("reads_used", F.lit(-1).cast("long"))).when(letter == "C", F.col("asv").withField("status", F.lit("odd"))).otherwise(F.col("asv"))
+    bad = f.withColumn("asv", asv).withColumn("targets", F.when(letter == "T", worse).otherwise(F.col("targets"))).withColumn("run_id", F.when(letter == "G", "other").otherwise(F.col("run_id")))
+    no = F.regexp_extract("asv_id", r"(\d+)$", 1).cast("int")
+    renamed = a.withColumn("asv_id", F.when(no % 2 == 0, F.concat(F.lit("X"), no.cast("string"))).otherwise(F.col("asv_id")))
+    lost = c.withColumn("final_filter", F.when((letter == "A") & F.col("final_filter.passed"), F.col("final_filter").withField("passed", F.lit(False))).otherwise(F.col("final_filter")))
+    found = results.violations(RUN_ID, bad, renamed, _final_sequences(spark, sf_dir), TARGETS)
+    found = found.unionByName(results.provenance_violations(RUN_ID, lost, results.candidate_asvs(c, s.asvs(), RUN_ID, s.p.variants), bad, renamed, s.p.variants))
+    return found.groupBy("rule").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("SELECT CAST(0 AS BIGINT) AS n")
+def q58_sound_results(spark, sf_dir):
+    """What the validators find in results as they are: nothing."""
     s = Steps(spark, sf_dir)
     c, f, a = _candidates(spark, sf_dir), _final(spark, sf_dir), _final_asvs(spark, sf_dir)
     found = results.violations(RUN_ID, f, a, _final_sequences(spark, sf_dir), TARGETS)
     found = found.unionByName(results.provenance_violations(RUN_ID, c, results.candidate_asvs(c, s.asvs(), RUN_ID, s.p.variants), f, a, s.p.variants))
-    return found.agg(F.count(F.lit(1)).alias("n")).select(F.lit("violations").alias("what"), "n")
+    return found.agg(F.count(F.lit(1)).alias("n"))
 
 
-@query()
+_value = lambda t: f"coalesce((SELECT any_value(CASE kind WHEN 'sequence_cluster' THEN sid WHEN 'sequence_unresolved' THEN concat(target, '_parent') WHEN 'filtered_out' THEN '0' ELSE CAST(filtered AS VARCHAR) END) FROM asg WHERE asg.cell = fc.cell AND asg.target = '{t}'), '0')"
+
+
+@query(_with(_ca, f"SELECT cell AS barcode, lineage, asv_id, {_value('T1')} AS t1, {_value('T2')} AS t2 FROM fc"))
 def q46_cell_target_matrix(spark, sf_dir):
     return results.cell_target_matrix(_final(spark, sf_dir), TARGETS).select(F.col("Barcode").alias("barcode"), F.col("Predicted taxonomy").alias("lineage"), F.col("Assigned_core_asv").alias("asv_id"), F.col("T1").alias("t1"), F.col("T2").alias("t2"))
 
@@ -588,61 +640,117 @@ def q53_fastq_validation(spark, sf_dir):
     return fastq.violations(own)
 
 
-_BAD_PANEL = [(0, "T9", "ACGT", "TTTT", ""), (1, "16s", "ACGA", "TTTA", ""), (2, "16s", "ACGC", "TTTC", ""), (3, "T3", "ACGA", "TTTA", ""), (4, "T4", "ACGN", "TTTG", ""), (5, "T5", "ACCC", "TTNG", ""), (6, "T6", "ACCA", "TTAG", "family"), (7, "T7", "CCCA", "TAAG", "ssr")]
+_oligo = lambda k: f"substr(translate(md5(concat('{k}', CAST(p_partkey AS STRING))), '0123456789abcdef', 'ACGTACGTACGTACGT'), 1, 20)"
+_bad_panel = f"""SELECT CAST(p_partkey - 1 AS INT) AS panel_index, CASE WHEN p_partkey % 97 = 3 THEN 'T1' ELSE concat('T', CAST(p_partkey AS STRING)) END AS target,
+ CASE WHEN p_partkey % 89 = 5 THEN 'ACGTACGT' WHEN p_partkey % 83 = 2 THEN concat('N', {_oligo('f')}) ELSE {_oligo('f')} END AS fwd,
+ CASE WHEN p_partkey % 89 = 5 THEN 'ACGTACGT' WHEN p_partkey % 73 = 4 THEN concat({_oligo('r')}, 'n') ELSE {_oligo('r')} END AS rev,
+ CASE WHEN p_partkey % 79 = 6 THEN 'family' WHEN p_partkey % 2 = 0 THEN 'ssr' ELSE '' END AS mode FROM """
 
 
-@query("""WITH p(panel_index, target, fwd, rev, mode) AS (VALUES """ + ", ".join(f"({k}, '{t}', '{f}', '{r}', '{m}')" for k, t, f, r, m in _BAD_PANEL) + """)
-SELECT * FROM (SELECT CAST(panel_index AS INT) AS panel_index, CASE WHEN row_number() OVER (PARTITION BY target ORDER BY panel_index) > 1 THEN 'duplicate_name' WHEN row_number() OVER (PARTITION BY fwd, rev ORDER BY panel_index) > 1 THEN 'duplicate_sequences'
+@query("WITH p AS (" + _bad_panel + """part)
+SELECT * FROM (SELECT panel_index, CASE WHEN row_number() OVER (PARTITION BY target ORDER BY panel_index) > 1 THEN 'duplicate_name' WHEN row_number() OVER (PARTITION BY fwd, rev ORDER BY panel_index) > 1 THEN 'duplicate_sequences'
  WHEN NOT regexp_full_match(fwd, '[ATCG]*') THEN 'forward_letters' WHEN NOT regexp_full_match(rev, '[ATCG]*') THEN 'reverse_letters' WHEN mode NOT IN ('', 'ssr') THEN 'mode' WHEN panel_index = 0 AND lower(target) <> '16s' THEN 'first_is_16s' END AS rule FROM p) WHERE rule IS NOT NULL""")
 def q54_primer_validation(spark, sf_dir):
     from tessera.sources import tables
 
-    return tables.panel_violations(spark.createDataFrame(_BAD_PANEL, tables.PANEL))
+    return tables.panel_violations(spark.sql(_bad_panel + "{part}", part=spark.read.parquet(f"{sf_dir}/part.parquet")))
 
 
-# ---- primer toolkit: parts as genes, their hashed ids as oligos
-_pool = "pr AS (SELECT p_partkey % 5 AS gene_idx, concat('p', CAST(p_partkey AS STRING)) AS primer_id, substr(translate(md5(concat('f', CAST(p_partkey AS STRING))), '0123456789abcdef', 'ACGTACGTACGTACGT'), 1, 20) AS fwd, substr(translate(md5(concat('r', CAST(p_partkey AS STRING))), '0123456789abcdef', 'ACGTACGTACGTACGT'), 1, 20) AS rev FROM {part} WHERE p_partkey <= 40)"
+# ---- primer toolkit: parts as candidates, their hashed ids as oligos; twenty parts of five genes make a pool
+_pool = f"pr AS (SELECT CAST(floor(p_partkey / 20) AS BIGINT) AS pool, p_partkey % 5 AS gene_idx, concat('p', CAST(p_partkey AS STRING)) AS primer_id, {_oligo('f')} AS fwd, {_oligo('r')} AS rev FROM {{part}})"
 
 
-def _pool_df(spark, sf_dir, whole: bool = False) -> DataFrame:
+def _pool_df(spark, sf_dir) -> DataFrame:
     part = spark.read.parquet(f"{sf_dir}/part.parquet")
-    return spark.sql("WITH " + (_pool.replace(" WHERE p_partkey <= 40", "") if whole else _pool) + " SELECT CAST(gene_idx AS INT) AS gene_idx, CAST(gene_idx AS STRING) AS gene, primer_id, fwd, rev FROM pr", part=part)
-
+    return spark.sql("WITH " + _pool + " SELECT pool, CAST(gene_idx AS INT) AS gene_idx, CAST(gene_idx AS STRING) AS gene, primer_id, fwd, rev FROM pr", part=part)
 
-def _levenshtein_score(a: str, b: str) -> float:
-    """A stand-in for an energy that SQL can state: minus the number of equal places."""
-    return -float(sum(x == y for x, y in zip(a, b)))
 
-
-_dim = _pool.format(part="part") + """, ol AS (SELECT least(a.primer_id, b.primer_id) AS id_lo, greatest(a.primer_id, b.primer_id) AS id_hi, [a.fwd, a.rev, b.fwd, b.rev] AS o FROM pr a JOIN pr b ON a.gene_idx < b.gene_idx),
+_dim = _pool.format(part="part") + """, ol AS (SELECT least(a.primer_id, b.primer_id) AS id_lo, greatest(a.primer_id, b.primer_id) AS id_hi, [a.fwd, a.rev, b.fwd, b.rev] AS o FROM pr a JOIN pr b ON a.pool = b.pool AND a.gene_idx < b.gene_idx),
 op AS (SELECT id_lo, id_hi, x, unnest(o) AS y FROM (SELECT id_lo, id_hi, o, unnest(o) AS x FROM ol)),
 ds AS (SELECT id_lo, id_hi, min(-CAST(20 - hamming(x, y) AS DOUBLE)) AS delta_g FROM op GROUP BY ALL)"""
 
 
 @query("WITH " + _dim + " SELECT id_lo, id_hi, delta_g FROM ds")
 def q55_dimer_pairs(spark, sf_dir):
-    return primers.dimer_scores(_pool_df(spark, sf_dir), _levenshtein_score)
+    return primers.dimer_scores(_pool_df(spark, sf_dir), primers.equal_places, "pool")
 
 
-@query("WITH " + _dim + ", ch AS (SELECT min(primer_id) AS primer_id FROM pr GROUP BY gene_idx) SELECT round(avg(delta_g), 9) AS avg_score, min(delta_g) AS min_score, round(avg(delta_g) + min(delta_g), 9) AS rank_score FROM ds WHERE id_lo IN (SELECT primer_id FROM ch) AND id_hi IN (SELECT primer_id FROM ch)")
+@query("WITH " + _dim + ", ch AS (SELECT min(primer_id) AS primer_id FROM pr GROUP BY pool, gene_idx) SELECT round(avg(delta_g), 9) AS avg_score, min(delta_g) AS min_score, round(avg(delta_g) + min(delta_g), 9) AS rank_score FROM ds WHERE id_lo IN (SELECT primer_id FROM ch) AND id_hi IN (SELECT primer_id FROM ch)")
 def q56_pool_score(spark, sf_dir):
     pool = _pool_df(spark, sf_dir)
-    chosen = pool.groupBy("gene_idx").agg(F.min("primer_id").alias("primer_id"))
-    out = primers.pool_score(chosen, primers.dimer_scores(pool, _levenshtein_score))
+    chosen = pool.groupBy("pool", "gene_idx").agg(F.min("primer_id").alias("primer_id"))
+    out = primers.pool_score(chosen, primers.dimer_scores(pool, primers.equal_places, "pool"))
     return out.select(r9("avg_score").alias("avg_score"), "min_score", r9("rank_score").alias("rank_score"))
 
 
 @query()
 def q57_annealing(spark, sf_dir):
-    out = primers.anneal_chains(_pool_df(spark, sf_dir, whole=True), None, fixed=1, energy=_levenshtein_score)
+    out = primers.anneal_chains(_pool_df(spark, sf_dir), None, fixed=1, energy=primers.equal_places)
     return out.select("chain", "rank_score", "avg_score", "min_score", F.concat_ws(",", "primers").alias("primers"))
 
 
-# ---- the same shapes over the largest table
-@query("SELECT l_suppkey AS cell, count(*) AS reads, count(*) FILTER (WHERE l_returnflag = 'R') AS t1, count(*) FILTER (WHERE l_returnflag = 'A') AS t2, CAST(max(l_linenumber) AS INT) AS deepest FROM lineitem GROUP BY l_suppkey")
-def q58_bulk_cell_counts(spark, sf_dir):
-    own = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
-    return own.groupBy(F.col("l_suppkey").alias("cell")).agg(F.count(F.lit(1)).alias("reads"), F.count_if(F.col("l_returnflag") == "R").alias("t1"), F.count_if(F.col("l_returnflag") == "A").alias("t2"), F.max("l_linenumber").cast("int").alias("deepest"))
+# ---- from files: scan, pair, quality, primers, classifier, cells
+_scan = _reads.replace("reads AS", "raw AS", 1)
+_gene1 = "coalesce(" + ", ".join([f"CASE WHEN substr(fq2, 43, {len(r)}) = '{r}' AND substr(fq1, 1, {len(f)}) = '{f}' THEN {k} END" for k, _, f, r, _ in PANEL[1:]] + [f"CASE WHEN {_match_sql('fq2', r, 42)} AND {_match_sql('fq1', f, 0)} THEN {k} END" for k, _, f, r, _ in PANEL[1:]]) + ")"
+_found = _scan + _qc[len(_reads):].replace("FROM reads", "FROM raw") + _expand(f""", kept AS (SELECT raw.* FROM raw JOIN qc USING (read_index) WHERE qc_reason IS NULL),
+placed AS (SELECT *, CASE WHEN coalesce({_match_sql('fq2', REV, 42)}, false) THEN {_start_sql('fq1', FWD)} END AS start FROM kept),
+pq AS (SELECT *, CASE WHEN start IS NOT NULL THEN 0 ELSE {_gene1} END AS pix, substr(fq2, 1, 20) AS code FROM placed)""")
+
+
+@query(_with(_scan, "SELECT row_number() OVER (ORDER BY read_index) - 1 AS place, read_id, fq1 AS r1, q1 AS r1_qual, fq2 AS r2, q2 AS r2_qual FROM raw"))
+def q59_fastq_scan(spark, sf_dir):
+    pairs = _scanned(spark, sf_dir)
+    return pairs.select(F.col("read_index").alias("place"), "read_id", F.col("r1_seq").alias("r1"), "r1_qual", F.col("r2_seq").alias("r2"), "r2_qual")
+
+
+def _scanned(spark, sf_dir) -> DataFrame:
+    from tessera.sources import fastq
+
+    at = surrogate.files(spark, sf_dir)
+    return fastq.read_pairs(spark, at["r1"], at["r2"])
+
+
+def _found_packets(spark, sf_dir) -> DataFrame:
+    def make() -> DataFrame:
+        passed = demux.with_qc(_scanned(spark, sf_dir)).where("qc_reason is null").drop("qc_reason")
+        return demux.packets(demux.place_16s(passed, FWD, REV), PANEL)
+
+    return surrogate.kept(spark, sf_dir, "found", make)
+
+
+@query(_with(_found, "SELECT read_id, CAST(start AS INT) AS primer_start, CAST(pix AS INT) AS panel_index, CASE WHEN pix = 0 THEN '16s' WHEN pix > 0 THEN 'target' ELSE 'unclassified' END AS gene_class, code AS barcode FROM pq"))
+def q60_fastq_packets(spark, sf_dir):
+    return _found_packets(spark, sf_dir).select("read_id", F.col("r1_primer_start").alias("primer_start"), "panel_index", "gene_class", "barcode")
+
+
+_labelled = _found + f""", lb AS (SELECT *, {surrogate.LABEL} AS l FROM pq),
+reads AS (SELECT read_index, read_id, code AS barcode, CASE WHEN pix = 0 THEN '16s' WHEN pix > 0 THEN 'target' ELSE 'unclassified' END AS gene_class, CASE WHEN pix > 0 THEN concat('T', pix) END AS target, fq1 AS r1, fq2 AS r2,
+  CASE WHEN known THEN 'Bacteria' END AS R1k, CASE WHEN known THEN concat('P', strain % 3) END AS P, CASE WHEN known THEN concat('C', strain % 3) END AS C, CASE WHEN known THEN concat('O', strain % 6) END AS O,
+  CASE WHEN known THEN concat('F', strain % 6) END AS F, CASE WHEN known THEN concat('G', strain) END AS G, CAST(NULL AS VARCHAR) AS S FROM (SELECT *, l NOT IN ('0', '1', 'g__missing') AS known FROM lb))"""
+
+
+@query(_with(_labelled + _su[len(_reads):], f"SELECT s.cell, {_lineage_sql()} AS lineage, s.total AS total_16s, s.noise, round(s.conf, 9) AS confidence, round(s.contamination, 9) AS contamination, c.reads FROM su s JOIN (SELECT cell, count(*) AS reads FROM pk GROUP BY cell) c USING (cell)"))
+def q61_fastq_cells(spark, sf_dir):
+    from tessera.sources import tables
+
+    at = surrogate.files(spark, sf_dir)
+    packets = demux.classify(_found_packets(spark, sf_dir), tables.read_classified(spark, at["labels"]), tables.read_taxa(spark, at["report"]))
+    clustered = surrogate.kept(spark, sf_dir, "found-cells", lambda: barcodes.with_cells(packets.select("read_index", "read_id", "barcode", "gene_class", "path")))
+    summary = cells.consensus(cells.path_counts(clustered))
+    reads = clustered.groupBy("cell").agg(F.count(F.lit(1)).alias("reads"))
+    return summary.join(reads, "cell").select("cell", S.lineage(F.col("path")).alias("lineage"), "total_16s", "noise", r9("confidence").alias("confidence"), r9("contamination").alias("contamination"), "reads")
+
+
+@query(_with(_cl, """, sz0 AS (SELECT cell, count(*) FILTER (WHERE gene_class = '16s') AS a, count(*) FILTER (WHERE gene_class = 'target') AS t, count(*) AS n FROM pk GROUP BY cell),
+sz AS (SELECT '16s' AS series, a AS size FROM sz0 WHERE a > 0 UNION ALL SELECT 'classified', a + t FROM sz0 WHERE a > 0 UNION ALL SELECT 'all', n FROM sz0)
+SELECT series, size, count(*) AS groups, round(sum(size * count(*)) OVER (PARTITION BY series ORDER BY size) / sum(size * count(*)) OVER (PARTITION BY series), 9) AS share FROM sz GROUP BY series, size"""))
+def q62_group_curves(spark, sf_dir):
+    return cells.group_curves(cells.group_sizes(Steps(spark, sf_dir).packets())).withColumn("share", r9("share"))
+
+
+@query()
+def q63_dimer_energies(spark, sf_dir):
+    return primers.dimer_scores(_pool_df(spark, sf_dir), pool="pool").withColumn("delta_g", r9("delta_g"))
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:

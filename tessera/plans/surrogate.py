@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 from tessera.functions.seq import RANKS
 from tessera.operators import barcodes, cells, sequences, variants
 from tessera.params import Cells, Params, Variants
-from tessera.storage import stored
+from tessera.sources import fastq
+from tessera.storage import fresh_path, stored, write_text
 
 PANEL = [
     (0, "16s", "CCTACGGGAGGCAGCAGT", "GGACTACCAGGGTATCTAAT", ""),
@@ -73,7 +74,7 @@ def packets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reads(spark, sf_dir).select("read_index", "read_id", "barcode", "gene_class", "target", names.alias("path"), F.lit(0).alias("r1_primer_start"), F.col("r1").alias("r1_seq"), F.col("r2").alias("r2_seq"), "strain")
 
 
-_kept: dict[tuple[str, str, str], DataFrame] = {}
+_kept: dict = {}
 
 
 def kept(spark: SparkSession, sf_dir: str, what: str, make) -> DataFrame:
@@ -141,5 +142,41 @@ class Steps:
     def names(self) -> DataFrame:
         return self._kept("names", lambda: sequences.denoise(sequences.name_sequences(self.calls(), self.place()), self.p.targets))
 
+    def ranked_names(self) -> DataFrame:
+        """names() of which each target's first two stay: a rule that SQL can state, where denoise()'s fit can't be."""
+        return self.names().withColumn("retained", F.col("seq_no") <= 2)
+
     def assigned(self) -> DataFrame:
-        return sequences.assignments(self.tested(), self.calls(), self.names(), ["T1"])
+        return sequences.assignments(self.tested(), self.calls(), self.ranked_names(), ["T1"])
+
+
+#: A classifier's label of a read: unclassified, root, a name that the report hasn't, a name, or a taxon's number.
+LABEL = "CASE WHEN read_index % 23 = 0 THEN '0' WHEN read_index % 29 = 0 THEN '1' WHEN read_index % 31 = 0 THEN 'g__missing' WHEN read_index % 2 = 0 THEN concat('g__G', CAST(strain AS STRING)) ELSE CAST(10 + strain AS STRING) END"
+
+
+def report() -> str:
+    """A classifier's report of the strains' genera and all above them."""
+    lines = [("R", "1", "root"), ("D", "2", "d__Bacteria")]
+    for a in range(3):
+        lines += [("P", f"10{a}", f"p__P{a}"), ("C", f"20{a}", f"c__C{a}")]
+        for b in (a, a + 3):
+            lines += [("O", f"30{b}", f"o__O{b}"), ("F", f"40{b}", f"f__F{b}")]
+            lines += [("G", str(10 + g), f"g__G{g}") for g in (b, b + 6)]
+    return "".join(f"1.0\t1\t1\t{code}\t{taxid}\t  {name}\n" for code, taxid, name in lines)
+
+
+def files(spark: SparkSession, sf_dir: str) -> dict[str, str]:
+    """The surrogate as a run's input files: reads, the classifier's labels and its report; paths by what they are."""
+    key = (spark.sparkContext.applicationId, sf_dir, "files")
+    if key not in _kept:
+        folder = fresh_path(spark, "surrogate")
+        paths = {k: f"{folder}/{k}" for k in ("r1", "r2", "labels", "report")}
+        # one order for both mates, kept over any number of files
+        own = stored(reads(spark, sf_dir).select("read_index", "read_id", "strain", "fq1", "q1", "fq2", "q2").orderBy("read_index"), "ordered")
+        own = own.orderBy("read_index")
+        for mate in "12":
+            fastq.write_fastq(own, paths[f"r{mate}"], F.concat(F.lit("@"), "read_id", F.lit(f" {mate}")), F.col(f"fq{mate}"), F.col(f"q{mate}"), compression="gzip" if mate == "2" else "none")
+        own.select(F.concat_ws("\t", F.lit("C"), "read_id", F.expr(LABEL), F.lit("0"), F.lit("A:0")).alias("value")).write.text(paths["labels"])
+        write_text(spark, paths["report"], report())
+        _kept[key] = paths
+    return _kept[key]

@@ -11,16 +11,17 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 
 def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
-    """(line_no from 0, line) of a text file, plain or gzip by its suffix.
+    """(line_no from 0, line) of a text file, or of a folder's files one after another by name, plain or gzip by suffix.
 
-    Each scan partition's own row numbers are contiguous, so that its line count, one row
-    a partition, is all that has to be known to number them through.
+    Rows of a file's block are numbered without gaps by the scan, so that the blocks' sizes,
+    a row each, are all that has to be known to number them through.
     """
-    lines = spark.read.text(path).select(F.spark_partition_id().alias("part"), F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1).alias("row"), F.rtrim("value").alias("line"))
-    counts = lines.groupBy("part").agg((F.max("row") + 1).alias("n"))
-    # a row for each input split: small, and bounded by the number of partitions
-    before = counts.select("part", (F.sum("n").over(W.orderBy("part")) - F.col("n")).alias("before"))
-    return lines.join(F.broadcast(before), "part").select((F.col("before") + F.col("row")).alias("line_no"), F.regexp_replace("line", "\r$", "").alias("line"))
+    lines = spark.read.text(path).select(F.input_file_name().alias("file"), F.input_file_block_start().alias("block"), F.monotonically_increasing_id().alias("row"), F.rtrim("value").alias("line"))
+    counts = lines.groupBy("file", "block").agg(F.count(F.lit(1)).alias("n"), F.min("row").alias("first"))
+    # a row for each input split: small, and bounded by the number of splits
+    before = counts.select("file", "block", "first", (F.sum("n").over(W.orderBy("file", "block")) - F.col("n")).alias("before"))
+    joined = lines.join(F.broadcast(before), ["file", "block"])
+    return joined.select((F.col("before") + F.col("row") - F.col("first")).alias("line_no"), F.regexp_replace("line", "\r$", "").alias("line"))
 
 
 def read_fastq(spark: SparkSession, path: str) -> DataFrame:

@@ -43,6 +43,20 @@ def test_query_runs(spark, name):
     assert queries.QUERIES[name](spark, SF).count() >= 0
 
 
+def test_energies_of_all_pools(spark):
+    from tessera.operators import primers
+
+    pool = queries._pool_df(spark, SF).collect()
+    got = {(r.id_lo, r.id_hi): r.delta_g for r in queries.q63_dimer_energies(spark, SF).collect()}
+    want = {}
+    for k, a in enumerate(pool):
+        for b in pool[:k]:
+            if a.pool == b.pool and a.gene_idx != b.gene_idx:
+                own = [a.fwd, a.rev, b.fwd, b.rev]
+                want[min(a.primer_id, b.primer_id), max(a.primer_id, b.primer_id)] = min(primers.dimer_energy(x, y) for x in own for y in own)
+    assert set(got) == set(want) and all(abs(got[k] - want[k]) < 1e-8 for k in want)
+
+
 def test_annealing_takes_all_parts(spark):
     rows = queries.q57_annealing(spark, SF).collect()
     assert len(rows) == 10 and max(int(p[1:]) for r in rows for p in r.primers.split(",")) > 40

@@ -130,6 +130,15 @@ def test_fastq_scan_pairs_by_position(spark, tmp_path):
     assert [r.header for r in split] == [r[0] for r in one]
 
 
+def test_folders_of_files_are_read_in_their_names_order(spark, tmp_path):
+    for name, low, high in (("a.fastq", 0, 3), ("b.fastq", 3, 250), ("c.fastq", 250, 260)):
+        for mate in "12":
+            (tmp_path / mate).mkdir(exist_ok=True)
+            _write(tmp_path / mate / name, [(f"@R{k} {mate}", "ACGT" * (1 + k % 7), "+", "IIII" * (1 + k % 7)) for k in range(low, high)])
+    got = fastq.read_pairs(spark, str(tmp_path / "1"), str(tmp_path / "2")).orderBy("read_index").collect()
+    assert [(r.read_index, r.read_id) for r in got] == [(k, f"R{k}") for k in range(260)]
+
+
 def test_unequal_files_and_ids_end_the_query(spark, tmp_path):
     _write(tmp_path / "a", [("@A", "AC", "+", "II"), ("@B", "AC", "+", "II")])
     _write(tmp_path / "b", [("@A", "AC", "+", "II")])
