@@ -7,17 +7,30 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from tessera.storage import delete, forget_shuffles, fresh_path, release, shared_folder, stored
 
-__all__ = ["blocks", "bytes_of", "delete", "forget_shuffles", "fresh_path", "integer_id", "mix", "portions", "powers", "prefix_hash", "release", "shared_folder", "span_hash", "stored", "stretches"]
+__all__ = ["blocks", "bytes_of", "delete", "forget_shuffles", "fresh_path", "integer_id", "mix", "portions", "powers", "prefix_hash", "release", "shared_folder", "span_hash", "stored", "stretches", "text_batches"]
 
-#: Bytes of text that a worker has as Python objects at a time; one longer text counts as a portion of its own.
+#: Bytes of text that a worker has at a time; one longer text counts as a portion of its own.
 PORTION = 8 << 20
 
 
+def text_batches(spark: SparkSession) -> None:
+    """Let Spark hand over whole texts in Arrow batches of up to PORTION bytes.
+
+    Its own bound, 64 MB, takes several hundred MB of an executor outside the heap.  This is
+    a setting of the session, as Spark reads it when a plan runs; it is lowered, never
+    raised, and changes no result.
+    """
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    now = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get(key, "64m"))
+    if not 0 < now <= PORTION:
+        spark.conf.set(key, str(PORTION))
+
+
 def integer_id(df: DataFrame, id_col: str) -> None:
     """Refuse ids that aren't integers before any work is done: earlier and smaller are defined on integers."""
     kind = df.schema[id_col].dataType
@@ -26,7 +39,7 @@ def integer_id(df: DataFrame, id_col: str) -> None:
 
 
 def portions(batches: Iterator[pa.RecordBatch], text: Callable[[pa.RecordBatch], pa.Array] = lambda b: b.column(1), limit: int = PORTION) -> Iterator[pa.RecordBatch]:
-    """Batches in slices of about limit bytes of their text column; Spark bounds a batch by bytes as well, but at 64 MB."""
+    """Batches in slices of about limit bytes of their text column, as a batch has other columns too."""
     for batch in batches:
         _, offsets = bytes_of(text(batch))
         i, n = 0, batch.num_rows

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import blocks, forget_shuffles, integer_id, mix, prefix_hash, release, span_hash, stored
+from tessera.llm.common import blocks, forget_shuffles, integer_id, mix, prefix_hash, release, span_hash, stored, text_batches
 
 BANDS, ROWS = 24, 4
 BINS = BANDS * ROWS
@@ -217,6 +217,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, similar: int = 80, id_col:
 def _judged(docs: DataFrame, words: int, similar: int, id_col: str, text_col: str) -> DataFrame:
     """(id, dig, n, component, kept): a row of near_duplicates() for each row, and its text's hash."""
     integer_id(docs, id_col)
+    text_batches(docs.sparkSession)
     own = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").alias("text"), F.xxhash64(F.coalesce(F.col(f"`{text_col}`"), F.lit(""))).alias("dig"))
     signed = stored(own.mapInArrow(_signatures(words), "id long, dig long, n long, d0 long, d1 long, bands array<long>"), "minhash")
     classes = stored(signed.where("n > 0 and id is not null").groupBy("d0", "d1", "n").agg(F.min("id").alias("id"), F.first("bands").alias("bands")), "classes")

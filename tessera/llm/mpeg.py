@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from tessera.llm.common import portions, stored
+from tessera.llm.common import portions, stored, text_batches
 
 # Fixed values of ISO/IEC 11172-3 and 13818-3: kbit/s by index 1 to 14, Hz by index 0 to 2.
 KBITS = {
@@ -260,6 +260,7 @@ def payload(data: bytes, parsed: dict) -> np.ndarray:
 
 def media_table(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Each text's bytes as a media column: (id, media), unshuffled. Null or empty text: a frame of 255s. Null id: kept. Repeated rows: as often. Empty table: no rows."""
+    text_batches(df.sparkSession)
     schema = T.StructType([T.StructField(id_col, df.schema[id_col].dataType), T.StructField("media", T.BinaryType())])
 
     def store(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -12,7 +12,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from tessera.llm.common import portions
+from tessera.llm.common import portions, text_batches
 
 WINDOW = 2048
 END_ID = 1
@@ -138,6 +138,7 @@ def pack(df: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: s
     Null or empty text: one piece that holds end_id alone.  Null id: kept, as null.
     Repeated rows: each is packed.  Empty table: no rows.  Other columns are not read.
     """
+    text_batches(df.sparkSession)
     schema = T.StructType([T.StructField(id_col, df.schema[id_col].dataType), *PIECES.fields])
 
     def partition(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

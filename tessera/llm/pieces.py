@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from tessera.llm.common import portions
+from tessera.llm.common import portions, text_batches
 
 SPACE = "▁"
 #: A unit: spaces in a row and what follows up to the next. No piece goes on behind a space, so units are independent.
@@ -215,6 +215,7 @@ def loaded(path: str) -> Pieces:
 
 def encode(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, ids): every whole text encoded. Null or empty text: no ids. Null id: kept. Repeated rows: as often. Empty table: no rows. No shuffle."""
+    text_batches(docs.sparkSession)
     schema = T.StructType([docs.select(id_col).schema[0], T.StructField("ids", T.ArrayType(T.IntegerType()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -244,6 +245,7 @@ def round_trip(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_co
     lossless: whether decoding gives the text back (but for SPACE itself, which a decoder can't tell from a blank).
     Null or empty text: no ids, lossless.  Null id: kept.  Repeated rows: as often.  Empty table: no rows.
     """
+    text_batches(docs.sparkSession)
     own = docs.select(id_col).schema[0]
     schema = T.StructType([own, T.StructField("n_ids", T.LongType()), T.StructField("ids_crc32", T.LongType()), T.StructField("n_byte_ids", T.LongType()), T.StructField("text_bytes", T.LongType()), T.StructField("lossless", T.BooleanType())])
 

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.llm.common import BASE, integer_id, mix, portions
+from tessera.llm.common import BASE, integer_id, mix, portions, text_batches
 
 #: A string of a document by two hashes.  doc and dig name the document; place has where the string begins, what
 #: else an operator says of it (18 bits), and a kind.  A string that is settled has its end as ctx.
@@ -29,6 +29,7 @@ def documents(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, C
     and _dig is 0.
     """
     integer_id(docs, id_col)
+    text_batches(docs.sparkSession)
     own = docs.select(F.col(f"`{id_col}`").cast("long").alias("_id"), F.col(f"`{text_col}`").alias("_text")).where("_id is not null")
     unique = own.groupBy("_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").isEmpty()
     dig = F.lit(0).cast("long") if unique else F.xxhash64(F.coalesce("_text", F.lit("")))

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.llm.common import integer_id, portions, stored
+from tessera.llm.common import integer_id, portions, stored, text_batches
 
 #: The most labelled rows that a fit reads, the first by a hash of their ids.
 FIT_ROWS = 8000
@@ -155,6 +155,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     labels but 0 and 1, and rows without an id, teach nothing.
     """
     integer_id(docs, id_col)
+    text_batches(docs.sparkSession)
     chosen = labels.where(f"{label_col} in (0, 1) and {id_col} is not null").groupBy(F.col(id_col).cast("long").alias("_id")).agg(F.max(label_col).cast("int").alias("_y")).where(F.crc32(F.col("_id").cast("string")) % 5 != 0)
     chosen = chosen.orderBy(F.xxhash64("_id"), "_id").limit(fit_rows)
 
@@ -217,6 +218,7 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     """
     if keep and score_col in docs.columns:
         raise ValueError(f"docs has a column {score_col}")
+    text_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)  # the lexicon's terms and weights, see fit()
     token = uuid.uuid4().hex
 

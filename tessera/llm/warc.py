@@ -16,7 +16,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm.common import delete, fresh_path, integer_id, portions, release, stored
+from tessera.llm.common import delete, fresh_path, integer_id, portions, release, stored, text_batches
 
 #: Smaller payloads are never written as revisits.
 MIN_REVISIT_BYTES = 1000
@@ -100,6 +100,8 @@ def write_archives(pages: DataFrame, folder: str, file_bytes: int = FILE_BYTES)
     other attempts stay behind, unnamed by the index, until the folder is deleted.
     """
 
+    text_batches(pages.sparkSession)
+
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, base = fs.FileSystem.from_uri(folder)
         store.create_dir(base, recursive=True)
