@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.llm.common import integer_id, portions, stored, text_batches
+from tessera.llm.common import integer_id, portions, release, stored, text_batches
 
 #: The most labelled rows that a fit reads, the first by a hash of their ids.
 FIT_ROWS = 8000
@@ -180,6 +180,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     sizes = {r["y"]: r["n"] for r in rows.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
     bad, good = sizes.get(1, 0), sizes.get(0, 0)
     if not bad or not good:
+        release(rows)
         return Model({}, np.zeros(0), -3.0, np.zeros(0), np.zeros((0, 0)))
     levels = F.explode(F.filter(F.array(F.lit(1), F.lit(2)), lambda m: m <= F.col("n")))
     counted = rows.select("y", F.explode("found").alias("term", "n")).select("y", "term", levels.alias("least")).groupBy("term", "least").agg(F.sum("y").alias("a"), F.sum(1 - F.col("y")).alias("b"))
@@ -193,6 +194,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     listed = docs.sparkSession.createDataFrame([(t, k, m) for k, (t, m) in enumerate(lexicon)] or [("", -1, 1)], "term string, k int, least int")
     pairs = rows.select("id", F.explode("found").alias("term", "n")).join(F.broadcast(listed), "term").where("n >= least").groupBy("id").agg(F.collect_list("k").alias("hits"))
     table = rows.select("id", "y", "patterns").join(pairs, "id", "left").orderBy("id").collect()
+    release(rows)
     x, pats = np.zeros((len(table), len(lexicon))), np.zeros((len(table), len(PATTERN_CUTS)))
     for r, row in enumerate(table):
         x[r, row["hits"] or []] = 1
