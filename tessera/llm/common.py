@@ -71,7 +71,7 @@ def blocks(column: pa.Array, limit: int = 1 << 20) -> Iterator[tuple[int, int, n
         i = j
 
 
-def stretches(column: pa.Array, overlap: int, limit: int = 1 << 20) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, int]]:
+def stretches(column: pa.Array, overlap: int, limit: int = 1 << 19) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, int]]:
     """blocks(), but a row of more than two limits comes in stretches, each with overlap bytes of the next one.
 
     So (first row, row after the last, bytes, offsets from 0, where in the row's text they

@@ -18,7 +18,7 @@ from tessera.llm.common import BASE, integer_id, mix, portions, text_batches
 RUNS = "key long, ctx long, doc long, dig long, place long"
 RUN, GONE, OPEN = 0, 1, 2
 #: Strings among which a mapper settles repeats before the shuffle: so many times fewer rows of a frequent one travel.
-SETTLE = 1 << 19
+SETTLE = 1 << 17
 
 
 def documents(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, Column]:
