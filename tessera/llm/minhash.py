@@ -36,6 +36,8 @@ MORE_CENTRES = 4
 #: 64-bit words of a set's parities.
 PARITY = 16
 PROBES = 128
+#: Parts that a component's nodes are dealt out in where they get another name.
+SALTS = 32
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -201,6 +203,27 @@ def components(links: DataFrame) -> DataFrame:
             return label
 
 
+def joined(label: DataFrame, links: DataFrame) -> DataFrame:
+    """components() of the links behind label and of these, from label, which is released.
+
+    What is linked now are whole components, by their smallest nodes, so that the rounds go
+    over the new links alone.
+    """
+    named = label.withColumnRenamed("node", "of")
+    end = lambda rows, side: rows.join(named.hint("merge"), F.col(side) == F.col("of"), "left").withColumn(side, F.coalesce("component", side)).drop("of", "component")
+    between = end(end(links.select("a", "b"), "a"), "b").where("a != b").distinct()
+    wider = components(between)
+    # a component may hold a third of all nodes: its rows are dealt out by node, too
+    to = wider.select(F.col("node").alias("of"), F.col("component").alias("to"), F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
+    salted = label.withColumn("salt", F.pmod(F.xxhash64("node"), F.lit(SALTS)).cast("int"))
+    moved = salted.join(to.hint("merge"), (F.col("component") == F.col("of")) & (salted["salt"] == to["salt"]), "left").select("node", F.coalesce("to", "component").alias("component"))
+    # a node that had no link before
+    fresh = wider.select("node", "component").join(label.select("node").hint("merge"), "node", "left_anti")
+    out = stored(moved.union(fresh), "joined")
+    release(label, wider)
+    return out
+
+
 def near_duplicates(docs: DataFrame, words: int = 5, similar: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, n_shingles, component_id, kept): texts linked where 100 * intersection >= similar * union of their shingle sets.
 
@@ -283,9 +306,7 @@ def _judged(docs: DataFrame, words: int, similar: int, id_col: str, text_col: st
         found = stored(verified(more), "links")
         scratch.append(found)
         if not found.isEmpty():
-            links = links.union(found)
-            release(label)
-            label = components(links)
+            label = joined(label, found)
     known = classes.select("d0", "d1", F.col("n").alias("n_class"), F.col("id").alias("first")).join(label.withColumnRenamed("node", "first"), "first", "left")
     known = stored(known.select("d0", "d1", "n_class", F.coalesce("component", "first").alias("c")), "known")
     release(classes, label, *scratch)

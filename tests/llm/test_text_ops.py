@@ -102,6 +102,27 @@ def test_near_duplicates_of_loosely_similar_variants(spark):
     assert {r.doc_id: r.component_id for r in got} == want
 
 
+def test_links_found_later_join_components(spark):
+    r = random.Random(9)
+    links = [(a, a + r.choice((1, 1, 2, 7))) for a in r.sample(range(400), 230)]
+    links = [(min(x), max(x)) for x in links]
+    label = minhash.components(spark.createDataFrame(links[:100], "a long, b long"))
+    for more in (links[100:180], links[180:] + links[:5], []):
+        label = minhash.joined(label, spark.createDataFrame(more, "a long, b long"))
+    root = {x: x for link in links for x in link}
+
+    def top(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for x, y in links:
+        x, y = top(x), top(y)
+        root[max(x, y)] = min(x, y)
+    got = [(x.node, x.component) for x in label.collect()]
+    assert len(got) == len(root) and dict(got) == {x: top(x) for x in root}
+
+
 def test_parities_bound_what_differs():
     r = np.random.default_rng(2)
     for size in (1, 40, 3000):
