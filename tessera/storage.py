@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
+import contextlib
 import gc
 import tempfile
 import time
 import uuid
+from collections.abc import Callable, Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: What stored() has written in each scratch() block that is open, the innermost last.
+_scratch: list[list[DataFrame]] = []
+
 
 def shared_folder(spark: SparkSession) -> str:
     """spark.checkpoint.dir; where it is unset, a folder of this machine, for local sessions only."""
@@ -36,9 +41,36 @@ def stored(df: DataFrame, what: str, codec: str = "none") -> DataFrame:
     df.write.option("compression", codec).parquet(path)
     table = spark.read.schema(df.schema).parquet(path)
     table._stored_at = path
+    if _scratch:
+        _scratch[-1].append(table)
     return table
 
 
+@contextlib.contextmanager
+def scratch() -> Iterator[Callable[[DataFrame], DataFrame]]:
+    """A block whose stored() tables are deleted at its end, also if it fails.
+
+    It gives keep(table): that table outlives the block, and belongs to the block around
+    it, if there is one.  Whatever else is used later must not read the block's tables.
+    """
+    mine: list[DataFrame] = []
+    kept: list[DataFrame] = []
+    _scratch.append(mine)
+
+    def keep(table: DataFrame) -> DataFrame:
+        kept.append(table)
+        return table
+
+    try:
+        yield keep
+    finally:
+        _scratch.pop()
+        over = {getattr(t, "_stored_at", None) for t in kept}
+        release(*[t for t in mine if t._stored_at not in over])
+        if _scratch:
+            _scratch[-1].extend(t for t in mine if t._stored_at in over)
+
+
 def _place(spark: SparkSession, path: str):
     """A path, and the file system that it is on."""
     place = spark._jvm.org.apache.hadoop.fs.Path(path)
