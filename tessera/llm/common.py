@@ -10,9 +10,9 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from tessera.storage import delete, forget_shuffles, fresh_path, release, shared_folder, stored
+from tessera.storage import delete, forget_shuffles, fresh_path, release, scratch, shared_folder, stored
 
-__all__ = ["blocks", "bytes_of", "delete", "forget_shuffles", "fresh_path", "integer_id", "mix", "portions", "powers", "prefix_hash", "release", "shared_folder", "span_hash", "stored", "stretches", "text_batches"]
+__all__ = ["blocks", "bytes_of", "delete", "forget_shuffles", "fresh_path", "integer_id", "mix", "portions", "powers", "prefix_hash", "release", "scratch", "shared_folder", "span_hash", "stored", "stretches", "text_batches"]
 
 #: Bytes of text that a worker has at a time; one longer text counts as a portion of its own.
 PORTION = 8 << 20

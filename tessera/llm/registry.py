@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import chunk_dedup, hnsw, line_dedup, minhash, mpeg, packing, pieces, suffix_dedup, toxicity, warc
+from tessera.llm import chunk_dedup, hnsw, line_dedup, merkle, minhash, mpeg, negatives, packing, pieces, simhash, suffix_dedup, toxicity, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -56,7 +56,21 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_hnsw, op2_pieces, op3_minhash, op4_warc, op5_mpeg, op6_suffix_dedup, op7_packing, op8_chunk_dedup, op9_line_dedup, op10_toxicity)}
+def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.tamper_check(_table(spark, sf_dir, "documents"))
+
+
+def op12_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _table(spark, sf_dir, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.hard_negatives(rows.withColumn("label", label), F.col("vec_id") % 100 == 0)
+
+
+def op13_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(_table(spark, sf_dir, "documents"))
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_hnsw, op2_pieces, op3_minhash, op4_warc, op5_mpeg, op6_suffix_dedup, op7_packing, op8_chunk_dedup, op9_line_dedup, op10_toxicity, op11_merkle, op12_negatives, op13_simhash)}
 
 #: DuckDB SQL by query, where SQL can express it.
 ORACLES: dict[str, str] = {
