@@ -158,3 +158,55 @@ def tamper_check(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         made = manifest(docs, id_col, "source", fields, {"changed": changed})
         told = made.select(q(id_col), "leaf", "subroot", "root", proof_digest(F.col("before"), F.col("after")).alias("proof_sha256"), root.alias("folded_root"))
         return keep(stored(told.withColumn("verified", F.col("folded_root") == F.col("root")), "manifest"))
+
+
+#: The same in DuckDB's SQL, for the documents table.
+ORACLE = """
+    WITH RECURSIVE told AS (
+        -- hit: the checksum is even; it is the register's complement, which is odd then
+        SELECT doc_id, source, row_number() OVER () AS r,
+               list_reduce(list_prepend(4294967295, list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: CAST(unicode(c) AS BIGINT))),
+                           lambda crc, b: list_reduce(list_prepend(xor(crc, b), [0, 0, 0, 0, 0, 0, 0, 0]),
+                                                      lambda v, z: CASE WHEN v % 2 = 1 THEN xor(v // 2, 3988292384) ELSE v // 2 END)) % 2 = 1 AS hit,
+               CASE WHEN doc_id IS NULL THEN '-' ELSE strlen(CAST(doc_id AS VARCHAR)) || ':' || doc_id END
+               || CASE WHEN source IS NULL THEN '-' ELSE strlen(source) || ':' || source END
+               || CASE WHEN lang IS NULL THEN '-' ELSE strlen(lang) || ':' || lang END
+               || CASE WHEN n_chars IS NULL THEN '-' ELSE strlen(CAST(n_chars AS VARCHAR)) || ':' || n_chars END AS head,
+               text, replace(text, chr(10), '') AS cut
+        FROM documents),
+    leaves AS (
+        SELECT doc_id, source, r, sha256(head || CASE WHEN text IS NULL THEN '-' ELSE strlen(text) || ':' || text END) AS leaf,
+               sha256(head || CASE WHEN text IS NULL THEN '-' WHEN hit THEN strlen(cut) || ':' || cut ELSE strlen(text) || ':' || text END) AS changed
+        FROM told),
+    placed AS (
+        SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf, changed) - 1 AS pos, count(*) OVER (PARTITION BY source) AS n FROM leaves),
+    nodes AS (
+        SELECT source, 0 AS level, pos, n, leaf AS digest FROM placed
+        UNION ALL
+        SELECT source, level + 1, pos // 3, (n + 2) // 3, sha256(string_agg(digest, '' ORDER BY pos)) FROM nodes WHERE n > 1 GROUP BY source, level, pos // 3, n),
+    subroots AS (SELECT source, digest AS subroot, level AS height, row_number() OVER (ORDER BY source IS NOT NULL, encode(source)) - 1 AS pos, count(*) OVER () AS n FROM nodes WHERE n = 1),
+    above AS (
+        SELECT 0 AS level, pos, n, subroot AS digest FROM subroots
+        UNION ALL
+        SELECT level + 1, pos // 3, (n + 2) // 3, sha256(string_agg(digest, '' ORDER BY pos)) FROM above WHERE n > 1 GROUP BY level, pos // 3, n),
+    -- what stands beside each node, of its run
+    beside AS (
+        SELECT a.source, a.level, a.pos,
+               coalesce(string_agg(b.digest, '' ORDER BY b.pos) FILTER (WHERE b.pos < a.pos), '') AS bef, coalesce(string_agg(b.digest, '' ORDER BY b.pos) FILTER (WHERE b.pos > a.pos), '') AS aft
+        FROM nodes a JOIN nodes b ON a.source IS NOT DISTINCT FROM b.source AND a.level = b.level AND a.pos // 3 = b.pos // 3
+        WHERE a.n > 1 GROUP BY a.source, a.level, a.pos),
+    beside_above AS (
+        SELECT a.level, a.pos,
+               coalesce(string_agg(b.digest, '' ORDER BY b.pos) FILTER (WHERE b.pos < a.pos), '') AS bef, coalesce(string_agg(b.digest, '' ORDER BY b.pos) FILTER (WHERE b.pos > a.pos), '') AS aft
+        FROM above a JOIN above b ON a.level = b.level AND a.pos // 3 = b.pos // 3
+        WHERE a.n > 1 GROUP BY a.level, a.pos),
+    steps AS (
+        SELECT p.r, b.level, b.bef, b.aft FROM placed p JOIN beside b ON p.source IS NOT DISTINCT FROM b.source AND b.pos = p.pos // CAST(3 ** b.level AS BIGINT)
+        UNION ALL
+        SELECT p.r, s.height + b.level, b.bef, b.aft
+        FROM placed p JOIN subroots s ON p.source IS NOT DISTINCT FROM s.source JOIN beside_above b ON b.pos = s.pos // CAST(3 ** b.level AS BIGINT)),
+    proofs AS (SELECT r, list(bef || '|' || aft ORDER BY level) AS path, string_agg(bef || aft, '' ORDER BY level) AS beside FROM steps GROUP BY r)
+    SELECT p.doc_id, p.leaf, s.subroot, (SELECT digest FROM above WHERE n = 1) AS root, sha256(coalesce(f.beside, '')) AS proof_sha256,
+           list_reduce(list_prepend(p.changed, coalesce(f.path, [])), lambda v, x: sha256(split_part(x, '|', 1) || v || split_part(x, '|', 2))) AS folded_root,
+           folded_root = (SELECT digest FROM above WHERE n = 1) AS verified
+    FROM placed p JOIN subroots s ON p.source IS NOT DISTINCT FROM s.source LEFT JOIN proofs f ON p.r = f.r"""

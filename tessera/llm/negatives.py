@@ -170,3 +170,21 @@ def hard_negatives(
         best = W.partitionBy("anchor_id", "positive_id").orderBy(F.desc("negative_score"), "negative_id")
         far = far.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= count)
         return keep(stored(far.select("anchor_id", "positive_id", F.col("rank").cast("int").alias("rank"), "negative_id", "positive_score", "negative_score"), "negatives"))
+
+
+#: The registered query in DuckDB's SQL: labels of ids that 7 divides moved on by one, anchors those that 100 divides, the default limits.
+ORACLE = """
+    WITH own AS (
+        SELECT vec_id, CAST(CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS BIGINT) AS label, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS x
+        FROM (SELECT DISTINCT vec_id, label, embedding FROM embeddings)
+        WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+    scores AS (
+        SELECT a.vec_id AS anchor_id, a.label AS anchor_label, b.vec_id AS id, b.label, CAST(list_inner_product(a.x, b.x) AS BIGINT) AS score
+        FROM own a JOIN own b ON len(a.x) = len(b.x) WHERE a.vec_id % 100 = 0),
+    positives AS (
+        SELECT anchor_id, id AS positive_id, score AS positive_score FROM scores WHERE label = anchor_label AND id <> anchor_id
+        QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5)
+    SELECT p.anchor_id, p.positive_id, CAST(row_number() OVER (PARTITION BY p.anchor_id, p.positive_id ORDER BY s.score DESC, s.id) AS INTEGER) AS rank,
+           s.id AS negative_id, p.positive_score, s.score AS negative_score
+    FROM positives p JOIN scores s ON p.anchor_id = s.anchor_id AND s.label <> s.anchor_label AND 30 * p.positive_score <= 100 * s.score AND 100 * s.score <= 90 * p.positive_score
+    QUALIFY row_number() OVER (PARTITION BY p.anchor_id, p.positive_id ORDER BY s.score DESC, s.id) <= 10"""

@@ -75,6 +75,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f fo
 #: DuckDB SQL by query, where SQL can express it.
 ORACLES: dict[str, str] = {
     "op9_line_dedup": line_dedup.ORACLE,
+    "op11_merkle": merkle.ORACLE,
+    "op12_negatives": negatives.ORACLE,
     "op4_warc": """
         WITH p AS (SELECT page_id, url, coalesce(html, '') AS h FROM pages),
         d AS (SELECT page_id, url, strlen(h) AS b, sha1(h) AS s FROM p),

@@ -97,8 +97,8 @@ def _fingerprints(n: int):
 
 
 def distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Bits in which fingerprints differ."""
-    return np.bitwise_count(a ^ b).astype(np.int64)
+    """Bits in which fingerprints differ; of signed numbers NumPy would count those of the magnitude."""
+    return np.bitwise_count((a ^ b).view(np.uint64)).astype(np.int64)
 
 
 class Tree:
