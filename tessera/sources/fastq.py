@@ -9,6 +9,8 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
+from tessera.sources import paired
+
 
 def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
     """(line_no from 0, line) of a text file, or of a folder's files one after another by name, plain or gzip by suffix.
@@ -40,7 +42,10 @@ def pair(r1: DataFrame, r2: DataFrame, check: bool = True) -> DataFrame:
     """Mates by position, and by id: a mate that is missing or has another id ends the query."""
     a = r1.select("read_index", *[F.col(c).alias(f"r1_{c}") for c in ("header", "seq", "sep", "qual")])
     b = r2.select("read_index", *[F.col(c).alias(f"r2_{c}") for c in ("header", "seq", "sep", "qual")])
-    both = a.join(b, "read_index", "full")
+    return _named(a.join(b, "read_index", "full"), check)
+
+
+def _named(both: DataFrame, check: bool) -> DataFrame:
     one = read_id(F.col("r1_header"))
     if check:
         fault = F.when(F.col("r1_header").isNull() | F.col("r2_header").isNull(), F.raise_error(F.lit("R1 and R2 have different numbers of records"))).when(one != read_id(F.col("r2_header")), F.raise_error(F.concat(F.lit("paired ids differ at record "), F.col("read_index").cast("string"))))
@@ -48,9 +53,14 @@ def pair(r1: DataFrame, r2: DataFrame, check: bool = True) -> DataFrame:
     return both.withColumn("read_id", one)
 
 
-def read_pairs(spark: SparkSession, r1_path: str, r2_path: str) -> DataFrame:
-    """(read_index, read_id, r1_*, r2_*) of two FASTQ files."""
-    return pair(read_fastq(spark, r1_path), read_fastq(spark, r2_path))
+def read_pairs(spark: SparkSession, r1_path: str, r2_path: str, check: bool = True, **sizes: int) -> DataFrame:
+    """(read_index, read_id, r1_*, r2_*) of two FASTQ files: in splits of both where pyarrow reaches them, else by a scan of each and a join."""
+    both = paired.paired(spark, r1_path, r2_path, **sizes)
+    if both is None:
+        return pair(read_fastq(spark, r1_path), read_fastq(spark, r2_path), check)
+    out = _named(both, check)
+    out._stored_at = both._stored_at
+    return out
 
 
 #: What is wrong with a pair of read files, by rule; {line} is the record's first line.

@@ -6,6 +6,7 @@ from pyspark.sql import SparkSession
 
 from tessera.sources import fastq, tables
 from tessera.sources.tables import VALID
+from tessera.storage import release
 
 
 def check_inputs(spark: SparkSession, r1: str, r2: str, primers: str, reference: str | None = None) -> str:
@@ -15,7 +16,9 @@ def check_inputs(spark: SparkSession, r1: str, r2: str, primers: str, reference:
     """
     said = tables.check_panel(spark, primers)
     if said == VALID:
-        said = fastq.check_paired(fastq.pair(fastq.read_fastq(spark, r1), fastq.read_fastq(spark, r2), check=False))
+        pairs = fastq.read_pairs(spark, r1, r2, check=False)
+        said = fastq.check_paired(pairs)
+        release(pairs)
     if said == VALID and reference is not None:
         said = tables.check_fasta(spark, reference)
     return said

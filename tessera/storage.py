@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import contextlib
 import gc
+import re
 import tempfile
 import time
 import uuid
@@ -77,6 +78,19 @@ def _place(spark: SparkSession, path: str):
     return place, place.getFileSystem(spark._jsc.hadoopConfiguration())
 
 
+def listed(spark: SparkSession, path: str) -> list[tuple[str, int]]:
+    """(path, bytes) of a file, a folder's files or a pattern's, by name; hidden ones aren't data."""
+    place, system = _place(spark, path)
+    out = []
+    for found in system.globStatus(place) or []:
+        for status in system.listStatus(found.getPath()) if found.isDirectory() else [found]:
+            if not status.isDirectory() and status.getPath().getName()[:1] not in "._":
+                out.append((re.sub("^file:/+", "/", status.getPath().toString()), status.getLen()))
+    if not out and not system.exists(place):
+        raise FileNotFoundError(path)
+    return sorted(out)
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     """Whether there is a file or folder on any file system that Spark reaches."""
     place, system = _place(spark, path)
