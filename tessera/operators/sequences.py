@@ -3,16 +3,19 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 from functools import reduce
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tessera.functions import seq as S
 from tessera.functions import stats
+from tessera.functions.automaton import Automaton
 from tessera.operators.order import numbered_in
 from tessera.operators.variants import shifted_distance
 from tessera.params import Consensus, Targets
@@ -250,36 +253,63 @@ def phase_calls(names: DataFrame, modes: DataFrame) -> DataFrame:
     return out.select("target", "sequence_id", "mode", F.when(F.col("best").isNotNull(), "ssr_detected").otherwise("no_ssr_detected").alias("call"), "best.motif", "best.repeat_count", "best.start", "best.end", F.lit(None).cast("double").alias("direct_similarity"), F.lit("tandem_repeat_scan").alias("evidence"))
 
 
-#: Lengths of the words that sequences meet references by; a sequence takes the longest that its longer mate has.
-WORDS = (16, 8, 4, 1)
+#: Bases of a subject that are one row, bases of the patterns of one automaton, and bases of the stretches that one task takes.
+STRETCH, PATTERNS, SUBJECTS = 1 << 20, 1 << 21, 1 << 26
 
 
-def reference_matches(names: DataFrame, reference: DataFrame) -> DataFrame:
+def stretches(reference: DataFrame, overlap: int, size: int = STRETCH) -> DataFrame:
+    """(subject, title, start from 0, bases) of a reference's subjects (name, title, seq): each stretch has overlap bases of the next one."""
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k in range(batch.num_rows):
+                text = batch.column(2)[k].as_py() or ""
+                for start in range(0, max(1, len(text) - overlap), size):
+                    part = text[start : start + size + overlap].encode("latin-1", "replace")
+                    yield pa.RecordBatch.from_arrays([batch.column(0).slice(k, 1), batch.column(1).slice(k, 1), pa.array([start]), pa.array([part])], names=["subject", "title", "start", "bases"])
+
+    own = reference.select(F.xxhash64("name", "title", "seq").alias("subject"), F.col("title").cast("string").alias("title"), "seq")
+    return own.mapInArrow(cut, "subject long, title string, start long, bases binary")
+
+
+def places(patterns: DataFrame, reference: DataFrame, size: int = STRETCH, bases: int = PATTERNS, together: int = SUBJECTS) -> DataFrame:
+    """(pattern, subject, title, place): where distinct patterns (pattern) first stand in subjects, counted from 1.
+
+    Patterns are dealt into blocks of about `bases`, each an automaton, and stretches into
+    groups of about `together`; a task has one of each.
+    """
+    told = patterns.agg(F.max(F.length("pattern")).alias("longest"), F.sum(F.length("pattern")).alias("all")).first()
+    longest, blocks = told["longest"] or 1, max(1, -(-(told["all"] or 0) // bases))
+    groups = max(1, -(-(reference.agg(F.sum(F.length("seq"))).first()[0] or 0) // together))
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    left = patterns.select(F.pmod(F.xxhash64("pattern"), F.lit(blocks)).cast("int").alias("b"), every(groups).alias("g"), "pattern")
+    right = stretches(reference, longest - 1, size).select(every(blocks).alias("b"), F.pmod(F.xxhash64("subject", "start"), F.lit(groups)).cast("int").alias("g"), "subject", "title", "start", "bases")
+
+    def look(own: pd.DataFrame, texts: pd.DataFrame) -> pd.DataFrame:
+        if not len(own) or not len(texts):
+            return pd.DataFrame({"pattern": pd.Series(dtype=str), "subject": pd.Series(dtype="int64"), "title": pd.Series(dtype=str), "place": pd.Series(dtype="int64")})
+        pattern = own["pattern"].to_numpy()
+        text, which, at = Automaton([p.encode("latin-1", "replace") for p in pattern]).first_places([bytes(b) for b in texts["bases"]])
+        of = texts.iloc[text]
+        return pd.DataFrame({"pattern": pattern[which], "subject": of["subject"].to_numpy(), "title": of["title"].to_numpy(), "place": of["start"].to_numpy() + at + 1})
+
+    found = left.groupBy("b", "g").cogroup(right.groupBy("b", "g")).applyInPandas(look, "pattern string, subject long, title string, place long")
+    return found.groupBy("pattern", "subject", "title").agg(F.min("place").cast("int").alias("place"))
+
+
+def reference_matches(names: DataFrame, reference: DataFrame, **sizes: int) -> DataFrame:
     """(sequence_id, subject, r1_start, r1_end, r2_start, r2_end): subjects that hold both mates whole, on either strand.
 
     Places are counted from 1; of several, the first on the given strand, else on the other.
-    A finds-in join can't be an equi-join; each sequence meets each subject by the word that
-    its longer mate begins with, on either strand.  Words travel without what they are from;
-    a subject's bases are fetched for the sequences that met it.  An empty mate is in no
-    subject.
+    All mates and their reverse complements are looked up at once: see places().  An empty
+    mate is in no subject; subjects of equal name, title and bases are one.
     """
     both = names.select("sequence_id", F.col("core.r1").alias("q1"), F.col("core.r2").alias("q2")).where("length(q1) > 0 and length(q2) > 0")
-    longer = F.when(F.length("q1") >= F.length("q2"), F.col("q1")).otherwise(F.col("q2"))
-    size = F.coalesce(*[F.when(F.length("long") >= k, F.lit(k)) for k in WORDS])
-    asked = both.withColumn("long", longer).withColumn("k", size)
-    front = lambda c: c.substr(F.lit(1), F.col("k"))
-    keys = asked.select("sequence_id", "k", F.explode(F.array_distinct(F.array(front(F.col("long")), front(S.reverse_complement(F.col("long")))))).alias("key"))
-    # at most a row for each length
-    sizes = [r["k"] for r in asked.select("k").distinct().collect()]
-    words = lambda k: reference.where(F.length("seq") >= k).select("name", F.lit(k).alias("k"), F.explode(F.array_distinct(F.transform(F.sequence(F.lit(1), F.length("seq") - (k - 1)), lambda i: F.substring(F.col("seq"), i, F.lit(k))))).alias("key"))
-    if not sizes:
-        sizes = [WORDS[0]]
-    met = keys.join(reduce(DataFrame.unionByName, [words(k) for k in sizes]).distinct(), ["k", "key"]).select("sequence_id", "name").distinct()
-    out = met.join(asked.select("sequence_id", "q1", "q2"), "sequence_id").join(reference.select("name", "title", "seq"), "name")
-
-    def place(q: str):
-        given, other = F.instr("seq", F.col(q)), F.instr("seq", S.reverse_complement(F.col(q)))
-        return F.when(given > 0, given).when(other > 0, other)
-
-    out = out.withColumn("r1_start", place("q1")).withColumn("r2_start", place("q2")).where("r1_start is not null and r2_start is not null")
+    asked = both.select("sequence_id", *[F.struct(F.col(q).alias("given"), S.reverse_complement(F.col(q)).alias("other")).alias(q) for q in ("q1", "q2")])
+    ways = [F.struct(F.lit(f"{q}_{way}").alias("way"), F.col(f"{q}.{way}").alias("pattern")) for q in ("q1", "q2") for way in ("given", "other")]
+    wanted = stored(asked.select("sequence_id", F.explode(F.array(*ways)).alias("w")).select("sequence_id", "w.way", "w.pattern"), "mates")
+    met = places(wanted.select("pattern").distinct(), reference, **sizes).join(wanted, "pattern")
+    start = lambda q: F.coalesce(*[F.min(F.when(F.col("way") == f"{q}_{way}", F.col("place"))) for way in ("given", "other")])
+    out = met.groupBy("sequence_id", "subject", "title").agg(start("q1").alias("r1_start"), start("q2").alias("r2_start")).where("r1_start is not null and r2_start is not null")
+    out = out.join(both, "sequence_id")
     return out.select("sequence_id", F.col("title").alias("subject"), "r1_start", (F.col("r1_start") + F.length("q1") - 1).alias("r1_end"), "r2_start", (F.col("r2_start") + F.length("q2") - 1).alias("r2_end"), F.lit(100.0).alias("percent_identity"))

@@ -4,9 +4,12 @@ import math
 import random
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
+from tessera.functions import automaton
 from tessera.operators import barcodes, cells, sequences, variants
 from tessera.functions.seq import RANKS
 from tessera.params import Cells, Consensus, Targets, Variants
@@ -267,6 +270,52 @@ def test_short_mates_are_found(spark):
     assert got == want and len(got) > 5 and sequences.reference_matches(names.limit(0), ref).count() == 0
 
 
+def brute_places(patterns, texts):
+    return sorted((k, j, t.find(p)) for k, t in enumerate(texts) for j, p in enumerate(patterns) if p in t)
+
+
+def test_automaton_finds_first_places(monkeypatch):
+    r = random.Random(6)
+    dna = lambda n, letters: bytes(r.choice(letters) for _ in range(n))
+    for trial in range(120):
+        if trial == 60:
+            monkeypatch.setattr(automaton, "LANES", 3)
+            monkeypatch.setattr(automaton, "HELD", 10)
+        letters = (b"AC", b"ACGTN", b"A", bytes(range(256)))[trial % 4]
+        patterns = list({dna(r.randint(1, 7), letters) for _ in range(r.randint(1, 25))})
+        texts = [dna(r.choice([0, 1, 5, 300, 3000]), letters if trial % 3 else b"ACGTN-") for _ in range(r.randint(1, 6))]
+        found = automaton.Automaton(patterns).first_places(texts)
+        assert sorted(zip(*(x.tolist() for x in found))) == brute_places(patterns, texts)
+    assert [len(x) for x in automaton.Automaton([]).first_places([b"ACGT"])] == [0, 0, 0]
+
+
+def test_places_whatever_the_cuts(spark):
+    r = random.Random(8)
+    dna = lambda n: "".join(r.choice("ACGT") for _ in range(n))
+    rc = lambda s: s[::-1].translate(str.maketrans("ACGT", "TGCA"))
+    subjects = [(f"s{k}", f"s{k} of {k}", dna(n)) for k, n in enumerate((0, 1, 40, 900, 2500))]
+    patterns = {s[j : j + n] for _, _, s in subjects for n in (1, 3, 20, 61) for j in range(0, max(0, len(s) - n), 173)} | {dna(12) for _ in range(40)}
+    want = {(p, t, s.find(p) + 1) for p in patterns for _, t, s in subjects if p in s}
+    ref = spark.createDataFrame([*subjects, ("empty", None, None)], "name string, title string, seq string")
+    df = spark.createDataFrame([(p,) for p in patterns], "pattern string")
+    for sizes in ({}, {"size": 50, "bases": 300, "together": 700}, {"size": 7, "together": 100}):
+        assert {(x.pattern, x.title, x.place) for x in sequences.places(df, ref, **sizes).collect()} == want
+    names = [(f"T_seq_{k}", (s[5:5 + n], rc(s[100 : 100 + m]) if k % 2 else s[100 : 100 + m])) for k, (_, _, s) in enumerate(subjects[3:] * 6) for n, m in [(40 + k, 30 + k)]]
+    got = sequences.reference_matches(spark.createDataFrame(names, "sequence_id string, core struct<r1:string,r2:string>"), ref, size=64, together=1000).collect()
+    assert {(x.sequence_id, x.subject, x.r1_start, x.r2_start) for x in got} == {(i, f"s{3 + k % 2} of {3 + k % 2}", 6, 101) for k, (i, _) in enumerate(names)}
+
+
+def test_a_subject_of_fifty_million_bases(spark, tmp_path):
+    """Mates across the ends of stretches of one long subject; no task holds more of it than the row itself and a group's stretches."""
+    seq = np.frombuffer(b"ACGT", np.uint8)[np.random.default_rng(3).integers(0, 4, 50_000_000)].tobytes().decode()
+    rc = lambda s: s[::-1].translate(str.maketrans("ACGT", "TGCA"))
+    pq.write_table(pa.table({"name": ["chr"], "title": ["chr 1"], "seq": [seq]}), tmp_path / "ref.parquet")
+    at = [0, sequences.STRETCH - 60, 7 * sequences.STRETCH - 1, 20_000_000, 49_999_700]
+    names = spark.createDataFrame([(f"T_seq_{k}", (seq[a : a + 120], rc(seq[a + 130 : a + 290]) if k % 2 else seq[a + 130 : a + 290])) for k, a in enumerate(at)] + [("none", ("ACGT" * 40, seq[:50]))], "sequence_id string, core struct<r1:string,r2:string>")
+    got = {x.sequence_id: (x.r1_start, x.r1_end, x.r2_start, x.r2_end) for x in sequences.reference_matches(names, spark.read.parquet(str(tmp_path / "ref.parquet"))).collect()}
+    assert got == {f"T_seq_{k}": (a + 1, a + 120, a + 131, a + 290) for k, a in enumerate(at)}
+
+
 @pytest.mark.parametrize("shift,mismatches", [(2, 0), (1, 2), (2, 3)])
 def test_target_clusters_equal_the_greedy_definition(spark, shift, mismatches):
     """Cores that are shifted, changed and unlike copies of a few; both guards against the sequential definition."""
