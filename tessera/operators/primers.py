@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import math
-import random
 import re
 import shutil
 import subprocess
@@ -11,15 +9,16 @@ import subprocess
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from tessera.functions import duplex
 from tessera.sources.tables import write_tsv
+from tessera.storage import stored
 
 # The design tool's keys and parameters, and the dimer tool's, below.
 #: What is left of an oligo for a tool that takes 60 bases.
 OLIGO = 60
-#: Nearest-neighbour stacking energies at 37 C in kcal/mol (fixed values, public: unified parameters), by the two bases 5' to 3'.
-STACK = {"AA": -1.00, "TT": -1.00, "AT": -0.88, "TA": -0.58, "CA": -1.45, "TG": -1.45, "GT": -1.44, "AC": -1.44, "CT": -1.28, "AG": -1.28, "GA": -1.30, "TC": -1.30, "CG": -2.17, "GC": -2.24, "GG": -1.84, "CC": -1.84}
 SETTINGS = {"opt_tm": 60, "min_tm": 55, "max_tm": 63, "opt_size": 20, "min_size": 18, "max_size": 25, "max_end_gc": 2, "max_gc": 50, "product": "400-500", "number": 100}
 
 
@@ -101,92 +100,64 @@ def parse_energy(text: str) -> float:
 
 
 def tool_energy(tool: str = "ntthal"):
-    """An energy for dimer_scores() from a dimer tool on the executors' path: the lower one of both ends' alignments."""
+    """Energies for dimer_scores() from a dimer tool on the executors' path: the lower one of both ends' alignments."""
 
     def energy(a: str, b: str) -> float:
         ask = lambda end: subprocess.run([tool, "-mv", "200", "-dv", "3", "-n", "0.2", "-t", "25", "-d", "50", "-s1", a[-OLIGO:], "-s2", b[-OLIGO:], "-a", end], capture_output=True, text=True, check=True).stdout
         return min(parse_energy(ask(end)) for end in ("END1", "END2"))
 
-    return energy
+    return lambda xs, ys: np.array([min(energy(x, y), energy(y, x)) for x, y in zip(xs, ys)])
 
 
-def dimer_energy(a: str, b: str) -> float:
-    """The lowest stacking energy of any ungapped pairing of two oligos: an approximation without loops, ends or salt."""
-    a, b = a[-OLIGO:], b[-OLIGO:].translate(str.maketrans("ACGT", "TGCA"))[::-1]
-    best = 0.0
-    for shift in range(-len(b) + 2, len(a) - 1):
-        run = 0.0
-        i, j = max(0, shift), max(0, -shift)
-        while i + 1 < len(a) and j + 1 < len(b):
-            run = run + STACK.get(a[i : i + 2], 0.0) if a[i : i + 2] == b[j : j + 2] else 0.0
-            best = min(best, run)
-            i, j = i + 1, j + 1
-    return best
+def dimer_energies(xs: list[str], ys: list[str]) -> np.ndarray:
+    """The lowest energy, in kcal/mol, at which the 3' end of either of two oligos binds the other: stacks, bulges, internal loops, ends and salt; see duplex."""
+    return duplex.energies([x[-OLIGO:] for x in xs], [y[-OLIGO:] for y in ys]) / 1000
 
 
-def dimer_energies(xs: list[str], ys: list[str]) -> np.ndarray:
-    """dimer_energy() of many pairs of oligos: all pairs of one shift at a time."""
-    out = np.zeros(len(xs))
-    sizes: dict[tuple[int, int], list[int]] = {}
-    for k, (x, y) in enumerate(zip(xs, ys)):
-        sizes.setdefault((min(len(x), OLIGO), min(len(y), OLIGO)), []).append(k)
-    stack = np.zeros((256, 256))
-    for two, energy in STACK.items():
-        stack[ord(two[0]), ord(two[1])] = energy
-    other = str.maketrans("ACGT", "TGCA")
-    for (n, m), rows in sizes.items():
-        if min(n, m) < 2:
-            continue
-        a = np.frombuffer("".join(xs[k][-OLIGO:] for k in rows).encode(), np.uint8).reshape(-1, n)
-        b = np.frombuffer("".join(ys[k][-OLIGO:].translate(other)[::-1] for k in rows).encode(), np.uint8).reshape(-1, m)
-        each, best = stack[a[:, :-1], a[:, 1:]], np.zeros(len(rows))
-        for shift in range(2 - m, n - 1):
-            i, j = max(0, shift), max(0, -shift)
-            size = min(n - i, m - j) - 1
-            same = a[:, i : i + size + 1] == b[:, j : j + size + 1]
-            run = np.zeros(len(rows))
-            for k in range(size):
-                run = np.where(same[:, k] & same[:, k + 1], run + each[:, i + k], 0.0)
-                best = np.minimum(best, run)
-        out[rows] = best
-    return out
+def dimer_energy(a: str, b: str) -> float:
+    """dimer_energies() of one pair."""
+    return float(dimer_energies([a], [b])[0])
 
 
-def equal_places(a: str, b: str) -> float:
+def equal_places(xs: list[str], ys: list[str]) -> np.ndarray:
     """A plain stand-in for an energy: minus the places at which two oligos have the same base."""
-    return -float(sum(x == y for x, y in zip(a, b)))
+    size = max(map(len, [*xs, *ys]), default=0)
+    table = lambda own, pad: np.frombuffer("".join(o.ljust(size, pad) for o in own).encode(), np.uint8).reshape(len(own), size)
+    return -(table(xs, "<") == table(ys, ">")).sum(1).astype(float)
 
 
-def oligo_pairs(candidates: DataFrame, pool: str | None = None) -> DataFrame:
-    """(id_lo, id_hi, x, y): for pairs of pairs of different genes, the oligos that could bind.
+def oligo_pairs(candidates: DataFrame, pool: str | None = None, tail: int = OLIGO) -> DataFrame:
+    """(pool, id_lo, id_hi, x, y): for pairs of pairs of different genes, the oligos that could bind, in either order.
 
-    Each of the four with itself and each ordered two of them; genes are ordered, so that a
-    pair comes once.  pool: a column of candidates that are pooled apart; only pairs of one
-    pool meet, by an equi-join.  A pool's candidates are some hundred a gene.
+    Each of the four with itself and each two of them, by their last `tail` bases; genes are
+    ordered, so that a pair comes once.  pool: a column of candidates that are pooled apart;
+    only pairs of one pool meet, by an equi-join.  A pool's candidates are some hundred a gene.
     """
     pool_ = F.col(f"`{pool}`") if pool else F.lit(0)
-    a = candidates.select(pool_.alias("pool"), F.col("gene_idx").alias("ga"), F.col("primer_id").alias("ia"), F.array("fwd", "rev").alias("oa"))
-    b = candidates.select(pool_.alias("pool"), F.col("gene_idx").alias("gb"), F.col("primer_id").alias("ib"), F.array("fwd", "rev").alias("ob"))
-    met = a.join(b, "pool").where("ga < gb").select(F.least("ia", "ib").alias("id_lo"), F.greatest("ia", "ib").alias("id_hi"), F.concat("oa", "ob").alias("o"))
-    return met.select("id_lo", "id_hi", "o", F.posexplode("o").alias("i", "x")).select("id_lo", "id_hi", "x", F.explode("o").alias("y")).withColumn("x", F.expr(f"right(x, {OLIGO})")).withColumn("y", F.expr(f"right(y, {OLIGO})"))
+    ends = lambda c: F.expr(f"right({c}, {min(tail, OLIGO)})")
+    a = candidates.select(pool_.alias("pool"), F.col("gene_idx").alias("ga"), F.col("primer_id").alias("ia"), ends("fwd").alias("o0"), ends("rev").alias("o1"))
+    b = candidates.select(pool_.alias("pool"), F.col("gene_idx").alias("gb"), F.col("primer_id").alias("ib"), ends("fwd").alias("o2"), ends("rev").alias("o3"))
+    two = lambda i, j: F.struct(F.least(f"o{i}", f"o{j}").alias("x"), F.greatest(f"o{i}", f"o{j}").alias("y"))
+    met = a.join(b, "pool").where("ga < gb")
+    return met.select("pool", F.least("ia", "ib").alias("id_lo"), F.greatest("ia", "ib").alias("id_hi"), F.explode(F.array(*[two(i, j) for i in range(4) for j in range(i, 4)])).alias("o")).select("pool", "id_lo", "id_hi", "o.x", "o.y")
 
 
-def dimer_scores(candidates: DataFrame, energy=None, pool: str | None = None) -> DataFrame:
-    """(id_lo, id_hi, delta_g): the lowest energy over all bindings; each distinct two oligos are scored once.
+def dimer_scores(candidates: DataFrame, energies=dimer_energies, pool: str | None = None, tail: int = OLIGO) -> DataFrame:
+    """(id_lo, id_hi, delta_g), led by the pool where there are some: the lowest energy over all bindings.
 
-    Without an energy of two oligos, dimer_energy() over whole batches.
+    energies: of two lists of oligos, the same in either order; each distinct two oligos are
+    scored once.
     """
-    asked = oligo_pairs(candidates, pool)
-    distinct = asked.select("x", "y").distinct()
+    asked = oligo_pairs(candidates, pool, tail)
 
     @F.pandas_udf("double")
     def score(x: pd.Series, y: pd.Series) -> pd.Series:
-        if energy is None:
-            return pd.Series(dimer_energies(x.tolist(), y.tolist()), dtype="float64")
-        return pd.Series([energy(a, b) for a, b in zip(x, y)], dtype="float64")
+        return pd.Series(np.asarray(energies(x.tolist(), y.tolist()), float))
 
-    scored = distinct.withColumn("g", score("x", "y"))
-    return asked.join(scored, ["x", "y"]).groupBy("id_lo", "id_hi").agg(F.min("g").alias("delta_g"))
+    scored = asked.select("x", "y").distinct().withColumn("g", score("x", "y"))
+    own = ["pool", "id_lo", "id_hi"] if pool else ["id_lo", "id_hi"]
+    out = asked.join(scored, ["x", "y"]).groupBy(*own).agg(F.min("g").alias("delta_g"))
+    return out.withColumnRenamed("pool", pool) if pool else out
 
 
 def pool_score(chosen: DataFrame, scores: DataFrame) -> DataFrame:
@@ -196,89 +167,124 @@ def pool_score(chosen: DataFrame, scores: DataFrame) -> DataFrame:
     return own.agg(F.avg("delta_g").alias("avg_score"), F.min("delta_g").alias("min_score")).withColumn("rank_score", F.col("avg_score") + F.col("min_score"))
 
 
-class Scores(dict):
-    """Dimer scores that are worked out when they are first asked for."""
+#: Chains that go in step in one task, and candidates of a pool, at most: a task holds a matrix of their scores.
+CHAINS, POOL = 200, 8192
+#: What scores are multiples of while chains compare them, so that sums don't depend on their order.
+UNIT = 1000
 
-    def __init__(self, oligos: dict[str, tuple[str, str]], energy):
-        super().__init__()
-        self.oligos, self.energy = oligos, energy
 
-    def __missing__(self, ids: tuple[str, str]) -> float:
-        own = [o[-OLIGO:] for i in ids for o in self.oligos[i]]
-        score = self[ids] = min(self.energy(x, y) for x in own for y in own)
-        return score
+def draws(seed: int, chain: int, genes: int, cycles: int) -> tuple[np.ndarray, np.ndarray]:
+    """A chain's random numbers: one for each gene's first candidate; for each step whether any pair may go, which one, for which, and whether a worse set stays."""
+    rng = np.random.default_rng([seed, chain])
+    return rng.random(genes), rng.random((cycles, 4))
 
 
-def anneal(genes: list[list[str]], scores: dict[tuple[str, str], float], fixed: int, cycles: int, temperature: float, beta: float, seed: int) -> tuple[float, float, float, list[str]]:
-    """One chain of a given number of cycles: (rank, average, minimum, pairs) of the best set it proposed.
+def anneal(genes: list[np.ndarray], scores: np.ndarray, fixed: int, cycles: int, temperature: float, beta: float, seed: int, chains: list[int]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Chains in step: (rank, average, minimum, candidates by gene) of the best set that each one proposed.
 
+    genes: their candidates' numbers; scores: a symmetric matrix of whole numbers of UNIT-ths.
     Four of five steps replace the changeable pair with the lowest row sum, the others any;
-    a set is kept if its energy, minus the average score, falls, else by chance.
+    a set is kept if its energy, minus the average score, falls, else by chance.  A step
+    changes one row and one column of a set's scores, and so the row sums by their
+    difference; the minimum is only looked up for sets whose average could be the best.
     """
-    rng = random.Random(seed)
-    of = lambda a, b: scores[(a, b) if a < b else (b, a)]
-
-    def summary(chosen: list[str]) -> tuple[float, float, float]:
-        values = [of(chosen[i], chosen[j]) for i in range(len(chosen)) for j in range(i)]
-        avg, low = sum(values) / len(values), min(values)
-        return avg + low, avg, low
-
-    current = [rng.choice(g) for g in genes]
-    state = summary(current)
-    best, best_set = state, list(current)
-    open_ = range(fixed, len(genes))
-    for turn in range(1, cycles + 1 if open_ else 1):
-        if rng.random() >= 0.2:
-            k = min(open_, key=lambda i: sum(of(current[i], other) for j, other in enumerate(current) if j != i))
-        else:
-            k = rng.choice(open_)
-        trial = list(current)
-        trial[k] = rng.choice(genes[k])
-        found = summary(trial)
-        rise = state[1] - found[1]
-        if rise < 0 or temperature > 0 and math.exp(-rise / temperature) > rng.random():
-            current, state = trial, found
-        if found[0] > best[0]:
-            best, best_set = found, trial
-        if turn % 100 == 0:
+    count, n = len(chains), len(genes)
+    pairs = max(1, n * (n - 1) // 2)
+    began, steps = zip(*[draws(seed, c, n, cycles) for c in chains])
+    steps = np.stack(steps)
+    sizes = np.array([len(g) for g in genes])
+    table = np.zeros((n, sizes.max()), np.int64)
+    for k, g in enumerate(genes):
+        table[k, : len(g)] = g
+    own, row = np.arange(n), np.arange(count)
+    chosen = table[own, (np.stack(began) * sizes).astype(int)]
+    between = scores[chosen[:, :, None], chosen[:, None, :]].astype(np.int64)
+    between[:, own, own] = 0
+    sums = between.sum(2)
+    total = sums.sum(1) // 2
+
+    def lowest(sets: np.ndarray) -> np.ndarray:
+        values = scores[sets[:, :, None], sets[:, None, :]].astype(np.int64)
+        values[:, own, own] = values.max(initial=0) if n < 2 else np.iinfo(np.int64).max
+        return values.min((1, 2))
+
+    best_total, best_low, best = total.copy(), lowest(chosen), chosen.copy()
+    rank = lambda sum_, low: sum_ / pairs + low
+    best_rank = rank(best_total, best_low)
+    for turn in range(cycles if n > max(1, fixed) else 0):
+        any_, which, with_, stay = steps[:, turn].T
+        k = np.where(any_ >= 0.2, fixed + np.argmin(sums[:, fixed:], axis=1), fixed + (which * (n - fixed)).astype(int))
+        new = table[k, (with_ * sizes[k]).astype(int)]
+        old = chosen[row, k]
+        line = scores[new[:, None], chosen].astype(np.int64)
+        line[row, k] = 0
+        change = line.sum(1) - sums[row, k]
+        rise = -change / pairs / UNIT
+        taken = change > 0
+        if temperature > 0:
+            taken |= np.exp(-np.maximum(rise, 0) / temperature) > stay
+        # a proposed set's minimum is at most that of its new row
+        line_low = np.where(own == k[:, None], np.iinfo(np.int64).max, line).min(1)
+        hope = np.flatnonzero(rank(total + change, line_low) > best_rank)
+        if len(hope):
+            sets = chosen[hope]
+            sets[np.arange(len(hope)), k[hope]] = new[hope]
+            low = lowest(sets)
+            found = rank(total[hope] + change[hope], low)
+            better = found > best_rank[hope]
+            at = hope[better]
+            best[at], best_rank[at], best_low[at], best_total[at] = sets[better], found[better], low[better], total[at] + change[at]
+        t = np.flatnonzero(taken)
+        before = scores[old[t][:, None], chosen[t]].astype(np.int64)
+        before[np.arange(len(t)), k[t]] = 0
+        sums[t] += line[t] - before
+        sums[t, k[t]] = line[t].sum(1)
+        total[t] += change[t]
+        chosen[t, k[t]] = new[t]
+        if (turn + 1) % 100 == 0:
             temperature *= beta
-    return (*best, best_set)
+    return best_rank / UNIT, best_total / pairs / UNIT, best_low / UNIT, best
 
 
-def anneal_chains(candidates: DataFrame, scores: DataFrame | None, fixed: int = 0, chains: int = 200, cycles: int = 2000, temperature: float = 600.0, beta: float = 0.997, top: int = 10, seed: int = 0, energy=dimer_energy) -> DataFrame:
-    """The best sets of independent chains: (chain, rank_score, avg_score, min_score, primers), top of them.
+def anneal_chains(
+    candidates: DataFrame, scores: DataFrame | None = None, fixed: int = 0, chains: int = 200, cycles: int = 2000, temperature: float = 600.0, beta: float = 0.997, top: int = 10, seed: int = 0,
+    energies=dimer_energies, pool: str | None = None,
+) -> DataFrame:
+    """The best sets of independent chains: (chain, rank_score, avg_score, min_score, primers), top of them; of each pool, which leads the columns, where candidates are pooled.
 
-    Candidates and scores of a panel, some hundred pairs a gene, go to every chain; both
-    numbers are checked.  Without scores, each chain scores the pairs that it meets itself, so
-    that all pairs of many candidates needn't be scored.
+    A pool is a panel: some hundred pairs for each of its genes, whose scores a task holds
+    (at most POOL pairs, else a ValueError).  Pools are any number.  Without scores, those of
+    all pairs of a pool are worked out first, each distinct two oligos once.
     """
-    spark = candidates.sparkSession
-    rows = candidates.select("gene_idx", "primer_id", "fwd", "rev").orderBy("gene_idx", "primer_id").limit(100_001).collect()
-    if len(rows) > 100_000:
-        raise ValueError("more candidates than a chain can hold")
-    genes: dict[int, list[str]] = {}
-    for r in rows:
-        genes.setdefault(r["gene_idx"], []).append(r["primer_id"])
-    most = 2_000_000
-    known = None
-    if scores is not None:
-        pairs = scores.limit(most + 1).collect()
-        if len(pairs) > most:
-            raise ValueError("more scored pairs than a chain can hold; let the chains score what they meet")
-        known = {(r["id_lo"], r["id_hi"]): r["delta_g"] for r in pairs}
-    oligos = {r["primer_id"]: (r["fwd"], r["rev"]) for r in rows} if scores is None else None
-    shared = spark.sparkContext.broadcast(([genes[k] for k in sorted(genes)], known, oligos))
-
-    def run(batches):
-        for pdf in batches:
-            out = []
-            for chain in pdf["chain"]:
-                g, s, o = shared.value
-                s = Scores(o, energy) if s is None else s
-                rank, avg, low, chosen = anneal(g, s, fixed, cycles, temperature, beta, seed + int(chain))
-                out.append({"chain": int(chain), "rank_score": rank, "avg_score": avg, "min_score": low, "primers": chosen})
-            yield pd.DataFrame(out, columns=["chain", "rank_score", "avg_score", "min_score", "primers"])
-
-    chains_ = spark.range(chains).select(F.col("id").cast("int").alias("chain"))
-    done = chains_.mapInPandas(run, "chain int, rank_score double, avg_score double, min_score double, primers array<string>")
-    return done.orderBy(F.desc("rank_score"), "chain").limit(top)
+    pool_ = F.col(f"`{pool}`") if pool else F.lit(0)
+    if scores is None:
+        scores = stored(dimer_scores(candidates, energies, pool), "dimers")
+    blocks = max(1, -(-chains // CHAINS))
+    block = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block")
+    left = candidates.select(pool_.alias("pool"), block, "gene_idx", "primer_id")
+    right = scores.select((F.col(f"`{pool}`") if pool else F.lit(0)).alias("pool"), block, "id_lo", "id_hi", "delta_g")
+    kind = left.schema["pool"].dataType.simpleString()
+
+    def run(key: tuple, own: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
+        columns = ["pool", "chain", "rank_score", "avg_score", "min_score", "primers"]
+        mine = list(range(key[1] * CHAINS, min(chains, (key[1] + 1) * CHAINS)))
+        if not len(own) or not mine:
+            return pd.DataFrame(columns=columns)
+        if len(own) > POOL:
+            raise ValueError(f"a pool has {len(own)} candidates, more than {POOL}")
+        own = own.sort_values(["gene_idx", "primer_id"], kind="stable").reset_index(drop=True)
+        number = pd.Series(own.index, own["primer_id"])
+        number = number[~number.index.duplicated()]
+        a, b = number.reindex(known["id_lo"]).to_numpy(), number.reindex(known["id_hi"]).to_numpy()
+        both = ~(np.isnan(a) | np.isnan(b))
+        matrix = np.zeros((len(own), len(own)), np.int32)
+        a, b = a[both].astype(int), b[both].astype(int)
+        matrix[a, b] = matrix[b, a] = np.rint(known["delta_g"].to_numpy()[both] * UNIT)
+        genes = [part.index.to_numpy() for _, part in own.groupby("gene_idx")]
+        rank, avg, low, best = anneal(genes, matrix, fixed, cycles, temperature, beta, seed, mine)
+        return pd.DataFrame({"pool": [key[0]] * len(mine), "chain": mine, "rank_score": rank, "avg_score": avg, "min_score": low, "primers": own["primer_id"].to_numpy()[best].tolist()}, columns=columns)
+
+    done = left.groupBy("pool", "block").cogroup(right.groupBy("pool", "block")).applyInPandas(run, f"pool {kind}, chain int, rank_score double, avg_score double, min_score double, primers array<string>")
+    place = F.row_number().over(W.partitionBy("pool").orderBy(F.desc("rank_score"), "chain"))
+    out = done.withColumn("place", place).where(F.col("place") <= top).drop("place")
+    return out.withColumnRenamed("pool", pool) if pool else out.drop("pool").orderBy(F.desc("rank_score"), "chain")

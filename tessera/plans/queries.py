@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tessera.functions import duplex
 from tessera.functions import seq as S
 
 from tessera.operators import barcodes, cells, demux, order, primers, sequences, variants
@@ -672,7 +673,7 @@ ds AS (SELECT id_lo, id_hi, min(-CAST(20 - hamming(x, y) AS DOUBLE)) AS delta_g
 
 @query("WITH " + _dim + " SELECT id_lo, id_hi, delta_g FROM ds")
 def q55_dimer_pairs(spark, sf_dir):
-    return primers.dimer_scores(_pool_df(spark, sf_dir), primers.equal_places, "pool")
+    return primers.dimer_scores(_pool_df(spark, sf_dir), primers.equal_places, "pool").drop("pool")
 
 
 @query("WITH " + _dim + ", ch AS (SELECT min(primer_id) AS primer_id FROM pr GROUP BY pool, gene_idx) SELECT round(avg(delta_g), 9) AS avg_score, min(delta_g) AS min_score, round(avg(delta_g) + min(delta_g), 9) AS rank_score FROM ds WHERE id_lo IN (SELECT primer_id FROM ch) AND id_hi IN (SELECT primer_id FROM ch)")
@@ -685,8 +686,10 @@ def q56_pool_score(spark, sf_dir):
 
 @query()
 def q57_annealing(spark, sf_dir):
-    out = primers.anneal_chains(_pool_df(spark, sf_dir), None, fixed=1, energy=primers.equal_places)
-    return out.select("chain", "rank_score", "avg_score", "min_score", F.concat_ws(",", "primers").alias("primers"))
+    """Chains over every pool of a hundred parts, by the energies of duplexes."""
+    pools = _pool_df(spark, sf_dir).withColumn("pool", F.expr("CAST(substr(primer_id, 2) AS BIGINT) div 100"))
+    out = primers.anneal_chains(pools, fixed=1, pool="pool")
+    return out.select("pool", "chain", "rank_score", "avg_score", "min_score", F.concat_ws(",", "primers").alias("primers"))
 
 
 # ---- from files: scan, pair, quality, primers, classifier, cells
@@ -750,7 +753,47 @@ def q62_group_curves(spark, sf_dir):
 
 @query()
 def q63_dimer_energies(spark, sf_dir):
-    return primers.dimer_scores(_pool_df(spark, sf_dir), pool="pool").withColumn("delta_g", r9("delta_g"))
+    return primers.dimer_scores(_pool_df(spark, sf_dir), pool="pool").drop("pool").withColumn("delta_g", r9("delta_g"))
+
+
+#: The last bases of an oligo, which begin its extension; a duplex of so few is a walk over few pairs of bases, which SQL can go.
+TAIL = 6
+_model = duplex.Model()
+
+
+def _gap_sql() -> str:
+    """What lies between two pairs of a duplex, by the unpaired bases of either side (l, r): a constant, and whether the stack, or both ends, count as well."""
+    cost = lambda a, b: _model.bulge[a + b] if not a * b else _model.internal[a + b] + _model.uneven * abs(a - b)
+    rows = [f"({a}, {b}, {cost(a, b)}, {int(a + b < 2)}, {int(a + b > 1 and not a * b)})" for a in range(TAIL) for b in range(TAIL) if a + b <= duplex.LOOP]
+    return "gap(l, r, cost, stacked, ends) AS (VALUES " + ", ".join(rows) + ")"
+
+
+_stack_sql = "st(two, e) AS (VALUES " + ", ".join(f"('{a}{b}', {_model.stack[i, j]})" for i, a in enumerate("ACGT") for j, b in enumerate("ACGT")) + ")"
+_tails = "RECURSIVE " + _pool.format(part="part") + f""", ol AS (SELECT least(a.primer_id, b.primer_id) AS id_lo, greatest(a.primer_id, b.primer_id) AS id_hi, list_transform([a.fwd, a.rev, b.fwd, b.rev], lambda s: right(s, {TAIL})) AS o FROM pr a JOIN pr b ON a.pool = b.pool AND a.gene_idx < b.gene_idx),
+op AS (SELECT id_lo, id_hi, x, unnest(o) AS y FROM (SELECT id_lo, id_hi, o, unnest(o) AS x FROM ol)),
+xy AS (SELECT DISTINCT x, y FROM op), {_gap_sql()}, {_stack_sql},
+-- pairs of bases: x's i-th with y's j-th from its end; weak ones cost at an end
+bp AS (SELECT x, y, i, j, substr(x, CAST(i AS INT), 1) AS c, CASE WHEN substr(x, CAST(i AS INT), 1) IN ('A', 'T') THEN {_model.weak} ELSE 0 END AS w
+ FROM xy, range(1, {TAIL + 1}) a(i), range(1, {TAIL + 1}) b(j) WHERE substr(x, CAST(i AS INT), 1) = translate(substr(y, CAST({TAIL + 1} - j AS INT), 1), 'ACGT', 'TGCA')),
+du AS (SELECT x, y, i, j, c, w, {_model.begin} + w AS e FROM bp
+ UNION ALL
+ SELECT n.x, n.y, n.i, n.j, n.c, n.w, min(d.e + g.cost + g.stacked * st.e + g.ends * (d.w + n.w))
+ FROM du d JOIN bp n ON d.x = n.x AND d.y = n.y AND n.i > d.i AND n.j > d.j JOIN gap g ON g.l = n.i - d.i - 1 AND g.r = n.j - d.j - 1 JOIN st ON st.two = concat(d.c, n.c) GROUP BY ALL),
+en AS (SELECT x, y, least(0, min(e + w)) AS e FROM du WHERE i = {TAIL} GROUP BY x, y),
+ds AS (SELECT id_lo, id_hi, min(coalesce(e, 0)) / 1000 AS delta_g FROM op LEFT JOIN en USING (x, y) GROUP BY ALL)"""
+
+
+@query("WITH " + _tails + " SELECT id_lo, id_hi, round(delta_g, 9) AS delta_g FROM ds")
+def q64_tail_energies(spark, sf_dir):
+    return primers.dimer_scores(_pool_df(spark, sf_dir), pool="pool", tail=TAIL).drop("pool").withColumn("delta_g", r9("delta_g"))
+
+
+@query("WITH " + _tails + ", ch AS (SELECT min(primer_id) AS primer_id FROM pr GROUP BY pool, gene_idx) SELECT round(avg(delta_g), 9) AS avg_score, round(min(delta_g), 9) AS min_score, round(avg(delta_g) + min(delta_g), 9) AS rank_score FROM ds WHERE id_lo IN (SELECT primer_id FROM ch) AND id_hi IN (SELECT primer_id FROM ch)")
+def q65_tail_score(spark, sf_dir):
+    pool = _pool_df(spark, sf_dir)
+    chosen = pool.groupBy("pool", "gene_idx").agg(F.min("primer_id").alias("primer_id"))
+    out = primers.pool_score(chosen, primers.dimer_scores(pool, pool="pool", tail=TAIL))
+    return out.select(*[r9(c).alias(c) for c in ("avg_score", "min_score", "rank_score")])
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:

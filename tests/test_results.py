@@ -1,11 +1,15 @@
 """Tables, validators, reports, and a whole run over made reads."""
 
+import functools
 import json
+import math
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from tessera.functions import duplex
 from tessera.operators import primers
 from tessera.params import Cells, Params, Variants
 from tessera.plans import results, run
@@ -214,7 +218,8 @@ def test_empty_reports_have_headers(spark, tmp_path):
 def test_chains_score_what_they_meet(spark):
     pool = spark.createDataFrame([(g, f"g{g}", f"g{g}_{k}", "ACGTACGTACGTACGTACG" + "ACGT"[k], "TTGGCCAATTGGCCAATT" + "ACGT"[g]) for g in range(3) for k in range(4)], primers.CANDIDATES)
     asked = {"fixed": 1, "chains": 3, "cycles": 300, "top": 3}
-    assert primers.anneal_chains(pool, None, **asked).collect() == primers.anneal_chains(pool, primers.dimer_scores(pool), **asked).collect()
+    got = primers.anneal_chains(pool, None, **asked).collect()
+    assert len(got) == 3 and got == primers.anneal_chains(pool, primers.dimer_scores(pool), **asked).collect()
 
 
 def test_energies_of_batches_equal_those_of_pairs():
@@ -249,9 +254,111 @@ def test_pools_are_scored_apart(spark):
     got = {(r.id_lo, r.id_hi): r.delta_g for r in primers.dimer_scores(pool, pool="pool").collect()}
     whole = {(r.id_lo, r.id_hi): r.delta_g for r in primers.dimer_scores(pool).collect()}
     assert got == {k: v for k, v in whole.items() if k[0][0] == k[1][0]} and len(got) == 8
-    many = spark.range(2_000_001).select(F.col("id").cast("string").alias("id_lo"), F.lit("x").alias("id_hi"), F.lit(0.0).alias("delta_g"))
-    with pytest.raises(ValueError, match="more scored pairs"):
-        primers.anneal_chains(pool, many, chains=1, cycles=1)
+    asked = {"fixed": 0, "chains": 60, "cycles": 50, "top": 2}
+    best = primers.anneal_chains(pool, pool="pool", **asked).collect()
+    assert sorted(r.pool for r in best) == ["a", "a", "b", "b"] and all(i.startswith(r.pool) for r in best for i in r.primers)
+    # each pool's chains are those of the pool alone; scores of pairs that are no candidates change nothing
+    more = primers.dimer_scores(pool.where("pool = 'a'")).union(spark.range(1000).select(F.concat(F.lit("x"), "id").alias("id_lo"), F.lit("y").alias("id_hi"), F.lit(-9.0).alias("delta_g")))
+    alone = primers.anneal_chains(pool.where("pool = 'a'"), more, **asked).collect()
+    assert [tuple(r) for r in alone] == sorted((tuple(r)[1:] for r in best if r.pool == "a"), key=lambda r: (-r[1], r[0]))
+
+
+def plain_chain(genes, scores, fixed, cycles, temperature, beta, seed, chain):
+    """One chain, with all scores of a set summed up anew in each step; also how often it took a set."""
+    began, steps = primers.draws(seed, chain, len(genes), cycles)
+    pairs = max(1, len(genes) * (len(genes) - 1) // 2)
+    of = lambda s: [int(scores[s[i], s[j]]) for i in range(len(s)) for j in range(i)]
+    rank = lambda s: sum(of(s)) / pairs + min(of(s), default=0)
+    current = [int(g[int(u * len(g))]) for g, u in zip(genes, began)]
+    best, taken = list(current), []
+    open_ = range(fixed, len(genes))
+    for turn in range(cycles if open_ and len(genes) > 1 else 0):
+        any_, which, with_, stay = steps[turn]
+        sums = [sum(int(scores[a, b]) for j, b in enumerate(current) if j != i) for i, a in enumerate(current)]
+        k = min(open_, key=lambda i: sums[i]) if any_ >= 0.2 else open_[int(which * len(open_))]
+        trial = list(current)
+        trial[k] = int(genes[k][int(with_ * len(genes[k]))])
+        rise = -(sum(of(trial)) - sum(of(current))) / pairs / primers.UNIT
+        if rise < 0 or temperature > 0 and math.exp(-max(rise, 0) / temperature) > stay:
+            current = trial
+            taken.append(turn)
+        if rank(trial) > rank(best):
+            best = trial
+        if (turn + 1) % 100 == 0:
+            temperature *= beta
+    return rank(best) / primers.UNIT, sum(of(best)) / pairs / primers.UNIT, min(of(best), default=0) / primers.UNIT, best
+
+
+@pytest.mark.parametrize("genes, fixed, temperature", [(6, 1, 600.0), (5, 0, 0.5), (9, 2, 0.0), (1, 0, 1.0), (3, 3, 1.0), (2, 1, 0.05)])
+def test_chains_in_step_are_the_plain_chains(genes, fixed, temperature):
+    r = np.random.default_rng(genes)
+    parts, n = [], 0
+    for _ in range(genes):
+        size = int(r.integers(1, 9))
+        parts.append(np.arange(n, n + size))
+        n += size
+    scores = -r.integers(0, 4000, (n, n)) if genes != 5 else -1000 * r.integers(0, 3, (n, n))  # many ties
+    scores = np.minimum(scores, scores.T).astype(np.int32)
+    chains = [0, 3, 7, 11]
+    got = primers.anneal(parts, scores, fixed, 350, temperature, 0.9, 5, chains)
+    want = [plain_chain(parts, scores, fixed, 350, temperature, 0.9, 5, c) for c in chains]
+    assert [(float(a), float(b), float(c), d.tolist()) for a, b, c, d in zip(*got)] == want
+
+
+def plain_anchored(x, y, model):
+    """The lowest energy of a duplex that pairs x's last base, by recursion over pairs of bases."""
+    other, weak = {"A": "T", "C": "G", "G": "C", "T": "A"}, lambda c: model.weak if c in "AT" else 0
+    back = y[::-1]
+
+    @functools.cache
+    def to(i, j):
+        if other.get(x[i]) != back[j]:
+            return None
+        out = [model.begin + weak(x[i])]
+        for a in range(i):
+            for b in range(j):
+                left, right, before = i - a - 1, j - b - 1, to(a, b)
+                if before is None or left + right > duplex.LOOP:
+                    continue
+                stack = int(model.stack["ACGT".index(x[a]), "ACGT".index(x[i])])
+                if left + right < 2 and left * right == 0:
+                    gap = stack + model.bulge[left + right]
+                elif left == 0 or right == 0:
+                    gap = model.bulge[left + right] + weak(x[a]) + weak(x[i])
+                else:
+                    gap = model.internal[left + right] + model.uneven * abs(left - right)
+                out.append(before + gap)
+        return min(out)
+
+    ends = [to(len(x) - 1, j) for j in range(len(y))] if x else []
+    return min([0, *(e + weak(x[-1]) for e in ends if e is not None)])
+
+
+def test_energies_of_duplexes_equal_the_recursion(monkeypatch):
+    r = random.Random(1)
+    oligo = lambda k: "".join(r.choice("ACGT" if k % 9 else "ACGTN") for _ in range(r.choice([0, 1, 2, 6, 12, 20])))
+    xs, ys = [oligo(k) for k in range(400)], [oligo(k) for k in range(400)]
+    model = duplex.Model()
+    want = [min(plain_anchored(a, b, model), plain_anchored(b, a, model)) for a, b in zip(xs, ys)]
+    assert duplex.energies(xs, ys).tolist() == want and duplex.energies(ys, xs).tolist() == want and sum(w < 0 for w in want) > 30
+    monkeypatch.setattr(duplex, "TOGETHER", 3)
+    monkeypatch.setattr(duplex, "LOOP", 3)
+    assert duplex.energies(xs, ys).tolist() == [min(plain_anchored(a, b, model), plain_anchored(b, a, model)) for a, b in zip(xs, ys)]
+
+
+def test_energies_follow_the_model():
+    g = lambda a, b, **at: int(duplex.energies([a], [b], duplex.Model(**at))[0])
+    rc = lambda s: s[::-1].translate(str.maketrans("ACGT", "TGCA"))
+    full = "GATTACAGGCATGCC"
+    model = duplex.Model()
+    stacks = sum(int(model.stack["ACGT".index(a), "ACGT".index(b)]) for a, b in zip(full, full[1:]))
+    assert g(full, rc(full)) == model.begin + stacks  # ends of G and C cost nothing
+    assert g(full, rc(full), celsius=60) > g(full, rc(full)) and g(full, rc(full), monovalent=50, divalent=0) > g(full, rc(full))
+    # a bulge, a mismatch, a longer loop: ever weaker
+    bulge, mismatch, loop = full[:7] + "T" + full[7:], full[:7] + "C" + full[8:], full[:6] + "CACTG" + full[9:]
+    assert g(full, rc(full)) < g(bulge, rc(full)) < g(loop, rc(full)) and g(full, rc(full)) < g(mismatch, rc(full)) < 0
+    # without a 3' end that binds there is none
+    assert g("GGGGGGGGAAAA", "CCCCCCCCAAAA") == 0 and g("AAAAGGGGGGGG", "CCCCCCCCAAAA") < 0
 
 
 def test_primer_pools(spark):
