@@ -6,29 +6,37 @@ dealt out by hash, and their results are merged.
 
 Nodes go into a graph a group at a time, and queries walk it a block at a time: all of a
 group take their steps together, so that a step is a few array operations.  A group's own
-members, and all nodes of a graph that is still small, are compared by a matrix product.
+members, and the first few hundred nodes, are compared by a matrix product.
+
+A graph is stored in rows of some MB.  Queries are sent to the graphs: a shard's rows and
+its queries meet in one task, the graph's first, and the queries stream by, so that each
+graph is shuffled once, however many queries there are.
 """
 
 from __future__ import annotations
 
+import io
 import math
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tessera.llm.common import integer_id, release, stored
+from tessera.llm.common import integer_id, scratch, stored, text_batches
 
-LINKS, BUILD, SEARCH = 12, 64, 96
-#: Nodes of a shard: SHARD while that makes up to SHARDS of them, then more, up to MOST, which bounds a worker's memory.
-SHARD, SHARDS, MOST = 8192, 256, 1 << 17
+LINKS, BUILD, SEARCH = 16, 64, 160
+#: Nodes of a shard: SHARD while that makes up to SHARDS of them, then more, up to MOST, or to BYTES of vectors, which bounds a worker's memory.
+SHARD, SHARDS, MOST, BYTES = 8192, 256, 1 << 17, 64 << 20
 #: Queries that walk a shard's graph together, and nodes that go into it together.
 QUERY_BLOCK, GROUP = 512, 512
-#: Up to so many nodes a graph is searched by a matrix product while it is built, BLOCK nodes at a time; a walk takes longer below that, and finds less.
-SMALL, BLOCK = 1 << 16, 4096
+#: A graph's first nodes, which a matrix product compares, BLOCK at a time, as a walk through so few finds no other; beyond that nodes find their neighbours by the walk.
+SMALL, BLOCK = 512, 4096
+#: Bytes of a stored graph's rows.
+PART = 4 << 20
 
 
 class Graph:
@@ -265,9 +273,9 @@ def proper(vector) -> F.Column:
     return F.coalesce(vector.isNotNull() & (F.size(vector) > 0) & finite & F.exists(vector, lambda v: v != 0), F.lit(False))
 
 
-def shards_for(nodes: int, shard: int) -> int:
-    """How many shards so many nodes take."""
-    return max(1, -(-nodes // min(MOST, max(shard, -(-nodes // SHARDS)))))
+def shards_for(nodes: int, shard: int, numbers: int = 64) -> int:
+    """How many shards so many nodes, of vectors of so many numbers, take."""
+    return max(1, -(-nodes // min(MOST, max(1, BYTES // (8 * max(1, numbers))), max(shard, -(-nodes // SHARDS)))))
 
 
 def _vectors(rows: DataFrame, id_col: str, vector_col: str, name: str) -> DataFrame:
@@ -277,8 +285,43 @@ def _vectors(rows: DataFrame, id_col: str, vector_col: str, name: str) -> DataFr
     return own.where(F.col(name).isNotNull() & proper(F.col("v")))
 
 
+def packed(graph: Graph, vectors: np.ndarray, ids: list) -> bytes:
+    """A graph, its vectors and their ids as one blob of arrays."""
+    out = io.BytesIO()
+    single = bool((vectors == vectors.astype(np.float32)).all())
+    np.savez(
+        out, vectors=vectors.astype(np.float32) if single else vectors, begin=np.cumsum([0, *map(len, ids)]), ids=np.concatenate(ids).astype(np.int64),
+        level=graph.level.astype(np.int8), ground=graph.ground, upper=graph.upper, entry=np.int64(graph.entry))
+    return out.getvalue()
+
+
+class Shard:
+    """A stored graph, which queries walk."""
+
+    def __init__(self, blob: bytes):
+        with np.load(io.BytesIO(blob), allow_pickle=False) as a:
+            self.vectors, self.begin, self.ids = a["vectors"], a["begin"], a["ids"]
+            self.graph = Graph.of(self.vectors.astype(np.float32), a["level"].astype(np.int64), a["ground"], a["upper"], int(a["entry"]), LINKS)
+
+    def best(self, asking: np.ndarray, q: np.ndarray, k: int) -> pd.DataFrame:
+        """(query_id, vec_id, score): each query's k nearest ids but its own, of 2 * k candidates by distances in double precision."""
+        found = self.graph.nearest(q, 2 * k)
+        of, slot = np.nonzero(found >= 0)
+        node = found[of, slot]
+        score = np.empty(len(of))
+        for low in range(0, len(of), 4096):
+            part = slice(low, low + 4096)
+            score[part] = np.sqrt(((self.vectors[node[part]].astype(np.float64) - q[of[part]]) ** 2).sum(1))
+        counts = np.diff(self.begin)[node]
+        each = np.repeat(np.arange(len(of)), counts)
+        named = self.ids[np.repeat(self.begin[node], counts) + np.arange(len(each)) - np.repeat(np.cumsum(counts) - counts, counts)]
+        table = pd.DataFrame({"query_id": asking[of[each]], "vec_id": named, "score": score[each]})
+        table = table[table["query_id"] != table["vec_id"]].sort_values(["query_id", "score", "vec_id"], kind="stable").drop_duplicates(["query_id", "vec_id"])
+        return table.groupby("query_id", sort=False).head(k)
+
+
 def build_index(rows: DataFrame, k: int, id_col: str, vector_col: str, shard: int = SHARD) -> tuple[DataFrame, int]:
-    """A graph for each shard of the distinct vectors, as flat arrays, and the number of shards.
+    """A graph for each shard of the distinct vectors, (d, s, part, blob), and the number of shards of each length of vectors.
 
     Every vector is indexed.  A node carries the k + 1 smallest ids of its vector, which
     are all that a result of k can name; that choice limits each partition's rows before
@@ -289,7 +332,7 @@ def build_index(rows: DataFrame, k: int, id_col: str, vector_col: str, shard: in
     nodes = stored(ranked.groupBy("v").agg(F.array_sort(F.collect_list("id")).alias("ids")), "vectors")
     # vectors of another length can't be compared; they have shards of their own
     sizes = {r["d"]: r["n"] for r in nodes.groupBy(F.size("v").alias("d")).agg(F.count(F.lit(1)).alias("n")).collect()}
-    shards = max([1, *(shards_for(n, shard) for n in sizes.values())])
+    shards = max([1, *(shards_for(n, shard, d) for d, n in sizes.items())])
 
     def build(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("first", kind="stable")
@@ -297,70 +340,73 @@ def build_index(rows: DataFrame, k: int, id_col: str, vector_col: str, shard: in
         # links follow from the order of nodes; neighbours in the table needn't be neighbours here
         order = np.random.default_rng(7).permutation(len(x))
         x, ids = x[order], [pdf["ids"].iloc[k] for k in order]
-        g = Graph(x)
-        single = bool((x == x.astype(np.float32)).all())
-        return pd.DataFrame([{
-            "d": int(pdf["d"].iloc[0]), "s": int(pdf["s"].iloc[0]), "single": single, "vectors": (x.astype(np.float32) if single else x).tobytes(), "counts": np.array([len(i) for i in ids], np.int32).tobytes(),
-            "ids": np.concatenate(ids).astype(np.int64).tobytes(), "level": g.level.astype(np.int8).tobytes(), "ground": g.ground.tobytes(), "upper": g.upper.tobytes(), "entry": g.entry}])
+        blob = packed(Graph(x), x, ids)
+        parts = [blob[low : low + PART] for low in range(0, len(blob), PART)]
+        return pd.DataFrame({"d": int(pdf["d"].iloc[0]), "s": int(pdf["s"].iloc[0]), "part": range(len(parts)), "blob": parts})
 
     dealt = nodes.select(F.size("v").alias("d"), F.pmod(F.xxhash64("v"), F.lit(shards)).cast("int").alias("s"), "v", "ids", F.col("ids")[0].alias("first"))
-    graphs = stored(dealt.groupBy("d", "s").applyInPandas(build, "d int, s int, single boolean, vectors binary, counts binary, ids binary, level binary, ground binary, upper binary, entry long"), "graphs")
-    release(nodes)
-    return graphs, shards
+    return stored(dealt.groupBy("d", "s").applyInPandas(build, "d int, s int, part int, blob binary"), "graphs"), shards
+
+
+def sent(graphs: DataFrame, asked: DataFrame, shards: int) -> DataFrame:
+    """(d, s, part, blob, query_id, q): each row of each graph, once, and each query once for each shard, with part as null."""
+    left = graphs.select("d", "s", "part", "blob", F.lit(None).cast("long").alias("query_id"), F.lit(None).cast("array<double>").alias("q"))
+    every = F.explode(F.sequence(F.lit(0), F.lit(shards - 1)))
+    return left.union(asked.select(F.size("q").alias("d"), every.alias("s"), F.lit(None).cast("int"), F.lit(None).cast("binary"), "query_id", "q"))
+
+
+def _walks(k: int):
+    """Queries that stream by a graph; a shard's rows come first, in their order."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, parts, shard, asking, vectors = None, [], None, [], []
+
+        def told() -> Iterator[pa.RecordBatch]:
+            if asking and shard is not None:
+                yield pa.RecordBatch.from_pandas(shard.best(np.array(asking), np.stack(vectors), k), preserve_index=False)
+            asking.clear()
+            vectors.clear()
+
+        for batch in batches:
+            d, s, part, blob, query, q = batch.columns
+            flat, offsets = q.flatten().to_numpy(), q.offsets.to_numpy() - q.offsets[0].as_py()
+            for row, key in enumerate(zip(d.to_pylist(), s.to_pylist())):
+                if key != at:
+                    yield from told()
+                    at, parts, shard = key, [], None
+                if part[row].is_valid:
+                    parts.append(blob[row].as_py())
+                    continue
+                if parts:
+                    shard, parts = Shard(b"".join(parts)), []
+                asking.append(query[row].as_py())
+                vectors.append(flat[offsets[row] : offsets[row + 1]])
+                if len(asking) == QUERY_BLOCK:
+                    yield from told()
+        yield from told()
+
+    return run
 
 
 def search(rows: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "vec_id", vector_col: str = "embedding", shard: int = SHARD) -> DataFrame:
     """Each query's k nearest of rows but itself, by Euclidean distance: (query_id, rank, vec_id, score).
 
     Each shard's graph finds 2 * k candidates, whose distances are then taken on the
-    vectors in double precision; ties go to the smaller id.  Queries are dealt into blocks;
-    a block meets a shard by both their keys, so that no group grows with the queries, and
-    its k best of each shard are merged.  Vectors that are null, zero or hold a null or a
-    number that isn't finite take no part, nor do rows without an id.  Ids that aren't
-    integers: a TypeError.  Repeated rows count once; an id with several vectors can be
-    found by each of them, but named once, and asks with one of them, the smallest.  Empty
-    table: no rows.  Other columns aren't read.
+    vectors in double precision; ties go to the smaller id.  Queries stream by each graph
+    of their length, and the k best of each shard are merged.  Vectors that are null, zero
+    or hold a null or a number that isn't finite take no part, nor do rows without an id.
+    Ids that aren't integers: a TypeError.  Repeated rows count once; an id with several
+    vectors can be found by each of them, but named once, and asks with one of them, the
+    smallest.  Empty table: no rows.  Other columns aren't read.  The result is a table in
+    the shared folder; what led to it is deleted.
     """
-    graphs, shards = build_index(rows, k, id_col, vector_col, shard)
-    asked = _vectors(queries, id_col, vector_col, "query_id").groupBy("query_id").agg(F.min("v").alias("q"))
-    asked = stored(asked.withColumn("d", F.size("q")), "queries")
-    blocks = max(1, -(-asked.count() // QUERY_BLOCK))
-    dealt = asked.select("d", F.pmod(F.xxhash64("query_id"), F.lit(blocks)).cast("int").alias("b"), "query_id", "q")
-    # a row for each block, and each shard's graph once for each block of its length of vectors
-    each = dealt.select("d", "b").distinct()
-    key = [F.col(c).alias(c) for c in ("d", "s", "b")]  # names of each side's own: both come from the same tables
-    left = graphs.join(each, "d").select(*key, F.struct(*[c for c in graphs.columns if c not in ("d", "s")]).alias("g"))
-    right = dealt.join(graphs.select("d", "s"), "d").select(*key, "query_id", "q")
-
-    def look(key: tuple, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        if not len(left) or not len(right):
-            return pd.DataFrame({"query_id": pd.Series(dtype="int64"), "vec_id": pd.Series(dtype="int64"), "score": pd.Series(dtype="float64")})
-        g = left["g"].iloc[0]
-        vectors = np.frombuffer(g["vectors"], np.float32 if g["single"] else np.float64).reshape(-1, key[0])
-        counts, ids = np.frombuffer(g["counts"], np.int32), np.frombuffer(g["ids"], np.int64)
-        begin = np.cumsum(np.r_[0, counts])
-        graph = Graph.of(vectors.astype(np.float32), np.frombuffer(g["level"], np.int8).astype(np.int64), np.frombuffer(g["ground"], np.int32), np.frombuffer(g["upper"], np.int32), int(g["entry"]), LINKS)
-        asking, q = right["query_id"].to_numpy(), np.stack(right["q"].to_numpy())
-        parts = []
-        for i in range(0, len(q), QUERY_BLOCK):
-            found = graph.nearest(q[i : i + QUERY_BLOCK], 2 * k)
-            of, slot = np.nonzero(found >= 0)
-            node = found[of, slot]
-            of += i
-            score = np.empty(len(of))
-            for low in range(0, len(of), 4096):
-                part = slice(low, low + 4096)
-                score[part] = np.sqrt(((vectors[node[part]].astype(np.float64) - q[of[part]]) ** 2).sum(1))
-            each = np.repeat(np.arange(len(of)), counts[node])
-            named = ids[np.repeat(begin[node], counts[node]) + np.arange(len(each)) - np.repeat(np.cumsum(counts[node]) - counts[node], counts[node])]
-            table = pd.DataFrame({"query_id": asking[of[each]], "vec_id": named, "score": score[each]})
-            table = table[table["query_id"] != table["vec_id"]].sort_values(["query_id", "score", "vec_id"], kind="stable").drop_duplicates(["query_id", "vec_id"])
-            parts.append(table.groupby("query_id", sort=False).head(k))
-        return pd.concat(parts)
-
-    found = left.groupBy("d", "s", "b").cogroup(right.groupBy("d", "s", "b")).applyInPandas(look, "query_id long, vec_id long, score double")
-    found = found.groupBy("query_id", "vec_id").agg(F.min("score").alias("score"))
-    best = W.partitionBy("query_id").orderBy("score", "vec_id")
-    out = stored(found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score"), "nearest")
-    release(graphs, asked)
-    return out
+    text_batches(rows.sparkSession)
+    with scratch() as keep:
+        graphs, shards = build_index(rows, k, id_col, vector_col, shard)
+        asked = stored(_vectors(queries, id_col, vector_col, "query_id").groupBy("query_id").agg(F.min("v").alias("q")), "queries")
+        dealt = sent(graphs, asked, shards).repartition("d", "s").sortWithinPartitions("d", "s", F.col("part").asc_nulls_last())
+        found = dealt.mapInArrow(_walks(k), "query_id long, vec_id long, score double")
+        found = found.groupBy("query_id", "vec_id").agg(F.min("score").alias("score"))
+        best = W.partitionBy("query_id").orderBy("score", "vec_id")
+        out = found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
+        return keep(stored(out, "nearest"))

@@ -75,6 +75,47 @@ def test_graphs_that_are_walked_while_they_are_built():
     assert hnsw.Graph(x[:1]).nearest(x[:2], 3).tolist() == [[0, -1, -1], [0, -1, -1]]
 
 
+def test_each_graph_is_sent_once_however_many_queries(spark, monkeypatch):
+    monkeypatch.setattr(hnsw, "PART", 5000)
+    r = np.random.default_rng(8)
+    x = r.normal(size=(1500, 8)).astype(np.float32)
+    df = spark.createDataFrame([(k, v.tolist()) for k, v in enumerate(x)], "vec_id long, embedding array<float>").repartition(3)
+    graphs, shards = hnsw.build_index(df, 10, "vec_id", "embedding", 400)
+    stored_parts = {(g.d, g.s, g.part) for g in graphs.collect()}
+    assert shards == 4 and len(stored_parts) == graphs.count() > 3 * shards
+    for n in (1, 40, 1500):
+        asked = df.limit(n).select("vec_id", df.embedding.cast("array<double>").alias("q")).toDF("query_id", "q")
+        sent = hnsw.sent(graphs, asked, shards)
+        parts = sent.where("part is not null")
+        assert {(g.d, g.s, g.part) for g in parts.collect()} == stored_parts and parts.count() == len(stored_parts) and sent.where("part is null").count() == n * shards
+    # more queries than a block, by graphs in many rows, over several shards
+    got = hnsw.search(df, df, 5, shard=400).collect()
+    want = exact(list(enumerate(x.tolist())), list(enumerate(x.tolist())), 5)
+    assert len(got) == 7500 and sum(g.vec_id in {v for _, v in want[g.query_id]} for g in got) >= 0.97 * 7500
+
+
+def test_shards_are_bounded_by_bytes():
+    assert hnsw.shards_for(1 << 20, 8192, 64) == 128 and hnsw.shards_for(1 << 20, 1 << 17, 4096) == 512 and hnsw.shards_for(100, 8192, 0) == 1
+
+
+def test_walks_find_what_products_find():
+    """Graphs that nodes enter by the walk, against those whose nodes all saw one another: over shards, for queries that are in none of them."""
+    r = np.random.default_rng(12)
+    x, q = r.normal(size=(6000, 24)).astype(np.float32), r.normal(size=(150, 24)).astype(np.float32)
+    want = np.argsort(((q[:, None] - x[None]) ** 2).sum(2), axis=1)[:, :10]
+    recall = {}
+    for small in (hnsw.SMALL, 1 << 16):
+        near = []
+        for low in range(0, 6000, 2000):
+            found = hnsw.Graph(x[low : low + 2000], small=small).nearest(q, 20)
+            near.append(np.where(found >= 0, found + low, -1))
+        near = np.hstack(near)
+        d = np.where(near >= 0, ((q[:, None] - x[near]) ** 2).sum(2), np.inf)
+        best = np.take_along_axis(near, np.argsort(d, axis=1)[:, :10], 1)
+        recall[small] = np.mean([len(set(a) & set(b)) / 10 for a, b in zip(best.tolist(), want.tolist())])
+    assert recall[hnsw.SMALL] >= 0.95 and recall[hnsw.SMALL] >= recall[1 << 16] - 0.02
+
+
 def test_shards_grow_once_there_are_many():
     assert [hnsw.shards_for(n, hnsw.SHARD) for n in (0, 1, 8192, 8193, 1 << 21, 1 << 25, 1 << 30)] == [1, 1, 1, 2, 256, 256, 8192]
 
