@@ -440,11 +440,14 @@ _ref = "rf AS (SELECT concat('ref', strain) AS title, concat('TTGCA', substr(min
  SELECT *, CASE WHEN instr(seq, d1) > 0 THEN instr(seq, d1) WHEN instr(seq, reverse(translate(d1, 'ACGT', 'TGCA'))) > 0 THEN instr(seq, reverse(translate(d1, 'ACGT', 'TGCA'))) END AS s1,
   CASE WHEN instr(seq, d2) > 0 THEN instr(seq, d2) WHEN instr(seq, reverse(translate(d2, 'ACGT', 'TGCA'))) > 0 THEN instr(seq, reverse(translate(d2, 'ACGT', 'TGCA'))) END AS s2 FROM nm CROSS JOIN rf) WHERE s1 IS NOT NULL AND s2 IS NOT NULL"""))
 def q36_reference_exact_match(spark, sf_dir):
+    return sequences.reference_matches(Steps(spark, sf_dir).names(), _reference(spark, sf_dir)).drop("percent_identity")
+
+
+def _reference(spark, sf_dir) -> DataFrame:
     own = surrogate.reads(spark, sf_dir).where("strain % 3 <> 1").groupBy("strain").agg(F.min(F.when(F.col("read_index") % 7 != 0, F.col("r1"))).alias("r1"), F.min("r2").alias("r2"))
     mate = F.when(F.col("strain") % 2 == 0, S.reverse_complement(F.col("r2"))).otherwise(F.col("r2"))
     name = F.concat(F.lit("ref"), F.col("strain").cast("string"))
-    ref = own.select(name.alias("name"), name.alias("title"), F.concat(F.lit("TTGCA"), F.substring("r1", 1, 160), F.lit("GGATC"), mate).alias("seq"))
-    return sequences.reference_matches(Steps(spark, sf_dir).names(), ref).drop("percent_identity")
+    return own.select(name.alias("name"), name.alias("title"), F.concat(F.lit("TTGCA"), F.substring("r1", 1, 160), F.lit("GGATC"), mate).alias("seq"))
 
 
 # ---- results
@@ -800,3 +803,7 @@ def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Cells by lineage: reads to barcodes to consensus to the stage-1 filter."""
     own = cells.taxon_size(Steps(spark, sf_dir).stage1(), 1)
     return own.groupBy(S.lineage(F.col("path")).alias("lineage")).agg(F.count(F.lit(1)).alias("cells"), F.sum("total_16s").alias("reads"))
+
+
+# those from files register here as well
+from tessera.plans import file_queries  # noqa: E402, F401
