@@ -201,10 +201,41 @@ def shifted(a: pa.Array, b: pa.Array, max_shift: int) -> np.ndarray:
     width = int(max(size_a.max(initial=0), size_b.max(initial=0)))
     x, _ = part(raw_a, at_a, 0, width)
     y, _ = part(raw_b, at_b, 0, width)
-    best = np.full(len(size_a), width + 1, np.int64)
+    return shifted_rows(x, size_a, y, size_b, max_shift)
+
+
+def shifted_rows(x: np.ndarray, size_x: np.ndarray, y: np.ndarray, size_y: np.ndarray, max_shift: int) -> np.ndarray:
+    """shifted() of the rows of two matrices of bytes, whose texts have the given sizes."""
+    width = x.shape[1]
+    best = np.full(len(size_x), width + 1, np.int64)
+    alike = bool((size_x == width).all() and (size_y == width).all())
     for s in range(-max_shift, max_shift + 1):
         left, right = (x[:, s:], y[:, : max(0, width - s)]) if s >= 0 else (x[:, : max(0, width + s)], y[:, -s:])
-        overlap = np.maximum(np.minimum(size_a - max(s, 0), size_b - max(-s, 0)), 0)
-        differ = (left != right) & (np.arange(left.shape[1]) < overlap[:, None])
-        best = np.minimum(best, differ.sum(1))
+        differ = left != right
+        if not alike:
+            overlap = np.maximum(np.minimum(size_x - max(s, 0), size_y - max(-s, 0)), 0)
+            differ &= np.arange(left.shape[1]) < overlap[:, None]
+        best = np.minimum(best, np.count_nonzero(differ, axis=1))
     return best
+
+
+class Texts:
+    """Pairs of texts as matrices, to compare rows with rows."""
+
+    #: Rows that are compared at a time.
+    TOGETHER = 1 << 15
+
+    def __init__(self, *columns: pa.Array):
+        self.mates = []
+        for column in columns:
+            raw, offsets = flat(column)
+            size = np.diff(offsets)
+            self.mates.append((part(raw, offsets, 0, int(size.max(initial=0)))[0], size))
+
+    def apart(self, i: np.ndarray, j: np.ndarray, max_shift: int) -> np.ndarray:
+        """The larger one of the mates' shifted distances between rows i and j."""
+        out = np.zeros(len(i), np.int64)
+        for low in range(0, len(i), self.TOGETHER):
+            a, b = i[low : low + self.TOGETHER], j[low : low + self.TOGETHER]
+            out[low : low + self.TOGETHER] = np.max([shifted_rows(x[a], n[a], x[b], n[b], max_shift) for x, n in self.mates], axis=0)
+        return out

@@ -16,8 +16,8 @@ from pyspark.sql import types as T
 from tessera.functions import seq as S
 from tessera.functions import stats
 from tessera.functions.automaton import Automaton
+from tessera.functions.kernels import Texts
 from tessera.operators.order import numbered_in
-from tessera.operators.variants import shifted_distance
 from tessera.params import Consensus, Targets
 from tessera.storage import stored
 
@@ -73,21 +73,26 @@ def _cluster_by_members(own: DataFrame, p: Targets) -> DataFrame:
     """cluster_cores() with the guard over a cluster's own members; a function call holds the distinct cores of one target."""
 
     def fold(pdf: pd.DataFrame) -> pd.DataFrame:
-        rows = pdf.sort_values("rank", kind="stable").to_dict("records")
-        arrays = [tuple(np.frombuffer(r["core"][m].encode(), np.uint8) for m in ("r1", "r2")) for r in rows]
-        near = lambda x, y: max(shifted_distance(x[m], y[m], p.max_shift) for m in (0, 1)) <= p.max_mismatches
+        pdf = pdf.sort_values("rank", kind="stable")
+        cores = Texts(pa.array(pdf["r1"], pa.string()), pa.array(pdf["r2"], pa.string()))
+        near = lambda k, others: cores.apart(np.full(len(others), k), np.array(others), p.max_shift) <= p.max_mismatches
         members: dict[int, list[int]] = {}
         owner = []
-        for k, x in enumerate(arrays):
-            first = next((h for h in members if near(x, arrays[h])), None)
-            if first is None or not all(near(x, arrays[m]) for m in members[first]):
+        for k in range(len(pdf)):
+            # all dominant cores at once, then all members of the first that is near
+            heads = list(members)
+            hit = near(k, heads) if heads else np.zeros(0, bool)
+            first = heads[int(np.argmax(hit))] if hit.any() else k
+            if first != k and not near(k, members[first]).all():
                 first = k
             members.setdefault(first, []).append(k)
             owner.append(first)
-        return pd.DataFrame({"target": [r["target"] for r in rows], "core": [r["core"] for r in rows], "dominant": [rows[o]["core"] for o in owner]})
+        head = pdf.iloc[owner]
+        return pd.DataFrame({"target": pdf["target"].to_numpy(), "r1": pdf["r1"].to_numpy(), "r2": pdf["r2"].to_numpy(), "d1": head["r1"].to_numpy(), "d2": head["r2"].to_numpy()})
 
-    ranked = numbered_in(own, "target", ["ord"], "rank").select("target", "core", "rank")
-    return ranked.groupBy("target").applyInPandas(fold, f"target string, core {CORE}, dominant {CORE}")
+    ranked = numbered_in(own, "target", ["ord"], "rank").select("target", "core.r1", "core.r2", "rank")
+    found = ranked.groupBy("target").applyInPandas(fold, "target string, r1 string, r2 string, d1 string, d2 string")
+    return found.select("target", F.struct("r1", "r2").alias("core"), F.struct(F.col("d1").alias("r1"), F.col("d2").alias("r2")).alias("dominant"))
 
 
 def call_sequences(counts: DataFrame, clusters: DataFrame, p: Consensus = Consensus()) -> DataFrame:

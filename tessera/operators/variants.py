@@ -10,23 +10,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions import seq as S
+from tessera.functions.kernels import Texts
 from tessera.operators.order import numbered
 from tessera.params import Variants
 
 SUMMARY = "cell string, reads_used long, raw_unique long, dominant_reads long, coexisting long, secondary long, final_reads long, max_distance long, status string, core struct<r1:string,r2:string>"
 
 
-def shifted_distance(a: np.ndarray, b: np.ndarray, max_shift: int) -> int:
-    """Fewest mismatches of two byte arrays' overlap over shifts up to max_shift."""
-    best = None
-    for s in range(-max_shift, max_shift + 1):
-        x, y = (a[s:], b) if s >= 0 else (a, b[-s:])
-        n = min(len(x), len(y))
-        d = int(np.count_nonzero(x[:n] != y[:n]))
-        best = d if best is None else min(best, d)
-    return best or 0
-
-
 def core_counts(packets: DataFrame, p: Variants = Variants()) -> DataFrame:
     """(cell, core, n, first): 16S reads of a cell by core sequence, and the place of the first; reads too short for a core aren't counted."""
     core = S.core(F.col("r1_seq"), F.col("r2_seq"), p.r1, p.r2, F.coalesce("r1_primer_start", F.lit(0)))
@@ -34,46 +24,72 @@ def core_counts(packets: DataFrame, p: Variants = Variants()) -> DataFrame:
     return reads.groupBy("cell", "core").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("barcode_ord", "read_index")).alias("first"))
 
 
+def fold(n: np.ndarray, begin: np.ndarray, cores: Texts, p: Variants) -> dict[str, np.ndarray]:
+    """summarise()'s numbers for many cells at once; a cell's cores, by abundance, are those from its begin to the next one's, n their reads.
+
+    All cells take their next core together.  It is held against their dominant ones first,
+    and where it is near against all that have joined so far: one comparison of many rows.
+    """
+    first, count = begin[:-1], np.diff(begin)
+    total = np.add.reduceat(n, first) if len(first) else np.zeros(0, np.int64)
+    gate = np.maximum(2, (p.gate_ratio * total).astype(np.int64))
+    joined = np.zeros(len(n), bool)
+    joined[first] = True
+    final, coexisting, secondary, widest = n[first].copy(), np.zeros_like(total), np.zeros_like(total), np.zeros_like(total)
+    for k in range(1, int(count.max(initial=1))):
+        cells = np.flatnonzero(count > k)
+        own = first[cells] + k
+        far = cores.apart(own, first[cells], p.max_shift)
+        clash = np.where(far > p.max_distance, far, -1)
+        near = np.flatnonzero(far <= p.max_distance)
+        if len(near) and k > 1:
+            # each of these cores with the later members of its cell, in their order
+            of = np.repeat(near, k - 1)
+            member = first[cells[of]] + 1 + np.tile(np.arange(k - 1), len(near))
+            of, member = of[joined[member]], member[joined[member]]
+            d = cores.apart(own[of], member, p.max_shift)
+            over = np.flatnonzero(d > p.max_distance)
+            some, at = np.unique(of[over], return_index=True)
+            clash[some] = d[over[at]]
+        free = clash < 0
+        joined[own[free]] = True
+        final[cells[free]] += n[own[free]]
+        coexisting[cells[free]] += n[own[free]]
+        widest[cells[free]] = np.maximum(widest[cells[free]], far[free])
+        apart = ~free & (n[own] >= gate[cells])
+        secondary[cells[apart]] += n[own[apart]]
+        widest[cells[apart]] = np.maximum(widest[cells[apart]], clash[apart])
+    share = secondary / (final + secondary)
+    status = np.select([total < p.min_reads, secondary == 0, share >= p.mixed_ratio], ["low_depth", "single_ASV", "mixed_ASV"], "corrupted_single_ASV")
+    return {"reads_used": total, "raw_unique": count, "dominant_reads": n[first], "coexisting": coexisting, "secondary": secondary, "final_reads": final, "max_distance": widest, "status": status}
+
+
 def summarise(counts: DataFrame, p: Variants = Variants()) -> DataFrame:
     """One row a cell: its dominant core, what merges with it, what stands beside it, and the status.
 
     Cores come in order of abundance.  A core near the dominant one joins it if it is near
     every core that joined before; else it counts as secondary where it has enough reads.
     A cell is one row here, with its distinct cores, already counted; cells come in Arrow
-    batches.
+    batches, which fold() takes whole.
     """
-    far = lambda x, y: max(shifted_distance(x[m], y[m], p.max_shift) for m in (0, 1))
-
-    def fold(cell: str, items: list[dict]) -> tuple:
-        total = -sum(r["n"] for r in items)
-        gate = max(2, int(p.gate_ratio * total))
-        arrays = [tuple(np.frombuffer(r["core"][m].encode(), np.uint8) for m in ("r1", "r2")) for r in items]
-        members, final, coexisting, secondary, widest = [arrays[0]], -items[0]["n"], 0, 0, 0
-        for r, x in zip(items[1:], arrays[1:]):
-            d, n = far(x, arrays[0]), -r["n"]
-            clash = d if d > p.max_distance else next((e for e in (far(x, m) for m in members) if e > p.max_distance), None)
-            if clash is None:
-                members.append(x)
-                final, coexisting, widest = final + n, coexisting + n, max(widest, d)
-            elif n >= gate:
-                secondary, widest = secondary + n, max(widest, clash)
-        share = secondary / (final + secondary)
-        status = "low_depth" if total < p.min_reads else "single_ASV" if not secondary else "mixed_ASV" if share >= p.mixed_ratio else "corrupted_single_ASV"
-        return cell, total, len(items), -items[0]["n"], coexisting, secondary, final, widest, status, items[0]["core"]
-
-    names = [c.strip().split()[0] for c in SUMMARY.split(", core")[0].split(",")] + ["core"]
-    core = pa.struct([("r1", pa.string()), ("r2", pa.string())])
-    types = [pa.string(), *[pa.int64()] * 7, pa.string(), core]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = [fold(c, i) for c, i in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())]
-            if rows:
-                yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(zip(*rows), types)], names=names)
+            if not batch.num_rows:
+                continue
+            items = batch.column(1)
+            begin = items.offsets.to_numpy().astype(np.int64)
+            n, r1, r2 = items.flatten().flatten()
+            begin = begin - begin[0]
+            found = fold(n.to_numpy(zero_copy_only=False), begin, Texts(r1, r2), p)
+            heads = pa.array(begin[:-1])
+            core = pa.StructArray.from_arrays([r1.take(heads), r2.take(heads)], ["r1", "r2"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), *[pa.array(c.astype(object) if c.dtype.kind == "U" else c) for c in found.values()], core], names=["cell", *found, "core"])
 
     item = F.struct((-F.col("n")).alias("n"), F.col("first"), F.col("core"))
     listed = counts.groupBy("cell").agg(F.array_sort(F.collect_list(item)).alias("items"))
-    return listed.select("cell", F.transform("items", lambda x: F.struct(x["n"].alias("n"), x["core"].alias("core"))).alias("items")).mapInArrow(run, SUMMARY)
+    plain = F.transform("items", lambda x: F.struct((-x["n"]).alias("n"), x["core"]["r1"].alias("r1"), x["core"]["r2"].alias("r2")))
+    return listed.select("cell", plain.alias("items")).mapInArrow(run, SUMMARY)
 
 
 def with_unused(cells: DataFrame, summary: DataFrame) -> DataFrame:
