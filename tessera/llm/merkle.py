@@ -113,6 +113,7 @@ def manifest(docs: DataFrame, id_col: str = "doc_id", group_col: str = "source",
     q = lambda c: F.col(f"`{c}`")
     tree = F.when(q(group_col).isNull(), F.lit(b"\x00")).otherwise(F.concat(F.lit(b"\x01"), q(group_col).cast("string").cast("binary")))
     leaves = docs.select(tree.alias("tree"), q(id_col).alias("id"), leaf_digest([q(c) for c in columns]).alias("leaf"), *[c.alias(f"carry_{k}") for k, c in carry.items()])
+    leaves = stored(leaves, "digests")  # a range sort goes through its input twice
     carried = [f"carry_{k}" for k in carry]
     own = stored(_placed(leaves, ["tree", "id", "leaf", *carried]), "placed")
 
