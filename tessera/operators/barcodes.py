@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.storage import stored
+from tessera.storage import Log, scratch, stored
 
 CLASS_ORDER = {"16s": 0, "target": 1, "unclassified": 2}
 
@@ -44,27 +44,54 @@ def cluster(counts: DataFrame, max_shift: int = 1) -> DataFrame:
 
     A barcode is dominant once all earlier neighbours are absorbed, absorbed once one of
     them is dominant: rounds settle the sequential definition without an order of
-    processing.  Only barcodes with earlier neighbours take part; rounds grow with the
-    longest chain of them.  Each round is a stored table.
+    processing.  Only barcodes with earlier neighbours take part.  What has one earlier
+    neighbour left is the opposite of that one: a link, and links jump to their neighbour's
+    neighbour, so that rounds grow with the logarithm of a chain.  A round looks at what the
+    one before settled; edges that are decided go.  The result is a table in the shared
+    folder.
     """
-    edges = stored(shift_edges(counts, max_shift), "edges")
+    with scratch() as keep:
+        edges = stored(shift_edges(counts, max_shift), "edges")
+        settled = _settled(edges)
+        owner = edges.join(settled.where("dominant").select(F.col("barcode").alias("earlier")), "earlier").join(settled.where("not dominant").select(F.col("barcode").alias("later")), "later").groupBy("later").agg(F.min_by("earlier", "earlier_ord").alias("cell"))
+        out = counts.select("barcode").join(owner.withColumnRenamed("later", "barcode"), "barcode", "left").select("barcode", F.coalesce("cell", "barcode").alias("cell"))
+        return keep(stored(out, "clusters"))
+
+
+def _settled(edges: DataFrame) -> DataFrame:
+    """(barcode, dominant) of all ends of edges (earlier, later)."""
+    log = Log(edges.sparkSession, "settled", "barcode string, dominant boolean")
     later = edges.select(F.col("later").alias("barcode")).distinct()
-    settled = stored(edges.select(F.col("earlier").alias("barcode")).distinct().join(later, "barcode", "left_anti").select("barcode", F.lit(True).alias("dominant")), "settled")
+    new = stored(edges.select(F.col("earlier").alias("barcode")).distinct().join(later, "barcode", "left_anti").select("barcode", F.lit(True).alias("dominant")), "settled")
+    log.append(new)
+    open_, links = edges.select("earlier", "later"), None
     while True:
-        known = edges.join(settled.withColumnRenamed("barcode", "earlier"), "earlier", "left")
-        open_ = known.join(settled.select(F.col("barcode").alias("later")), "later", "left_anti")
-        verdict = open_.groupBy("later").agg(F.bool_or(F.coalesce("dominant", F.lit(False))).alias("taken"), F.every(F.coalesce(~F.col("dominant"), F.lit(False))).alias("free"))
-        new = verdict.where("taken or free").select(F.col("later").alias("barcode"), F.col("free").alias("dominant"))
-        new = stored(new, "settled")
-        if new.isEmpty():
-            break
-        settled = settled.union(new)
-    owner = edges.join(settled.where("dominant").select(F.col("barcode").alias("earlier")), "earlier").join(settled.where("not dominant").select(F.col("barcode").alias("later")), "later").groupBy("later").agg(F.min_by("earlier", "earlier_ord").alias("cell"))
-    return counts.select("barcode").join(owner.withColumnRenamed("later", "barcode"), "barcode", "left").select("barcode", F.coalesce("cell", "barcode").alias("cell"))
+        told = open_.join(new.withColumnRenamed("barcode", "earlier"), "earlier", "left")
+        unknown = F.col("dominant").isNull()
+        each = told.groupBy("later").agg(F.bool_or(F.coalesce("dominant", F.lit(False))).alias("taken"), F.count_if(unknown).alias("left"), F.min(F.when(unknown, F.col("earlier"))).alias("ref"))
+        each = stored(each, "verdicts")
+        found = each.where("taken or left = 0").select(F.col("later").alias("barcode"), (~F.col("taken")).alias("dominant"))
+        linked = each.where("not taken and left = 1").select(F.col("later").alias("node"), "ref", F.lit(True).alias("other"))
+        if links is not None:
+            asked = stored(links.join(new.withColumnRenamed("barcode", "ref"), "ref", "left"), "asked")
+            found = found.unionByName(asked.where(~unknown).select(F.col("node").alias("barcode"), (F.col("dominant") != F.col("other")).alias("dominant")))
+            linked = linked.unionByName(asked.where(unknown).select("node", "ref", "other"))
+        found = stored(found, "found")
+        if found.isEmpty():
+            return log.table()
+        log.append(found)
+        linked = stored(linked, "linked")
+        further = linked.select(F.col("node").alias("ref"), F.col("ref").alias("ref2"), F.col("other").alias("other2"))
+        jumped = linked.join(further, "ref", "left").select("node", F.coalesce("ref2", "ref").alias("ref"), (F.col("other") != F.coalesce("other2", F.lit(False))).alias("other"))
+        links = stored(jumped, "links")
+        open_ = stored(told.where(unknown).select("earlier", "later").join(each.where("not taken and left > 1").select("later"), "later", "left_semi"), "open")
+        new = found
 
 
 def with_cells(packets: DataFrame, max_shift: int = 1) -> DataFrame:
     """packets with their cell and within: the order of a read among its cell's."""
-    counts = stored(barcode_counts(packets), "barcodes")
-    cells = cluster(counts, max_shift).join(counts, "barcode").select("barcode", "cell", F.struct((-F.col("n")).alias("n"), F.col("first")).alias("barcode_ord"))
-    return packets.join(stored(cells, "cells"), "barcode")
+    with scratch() as keep:
+        counts = stored(barcode_counts(packets), "barcodes")
+        cells = cluster(counts, max_shift).join(counts, "barcode").select("barcode", "cell", F.struct((-F.col("n")).alias("n"), F.col("first")).alias("barcode_ord"))
+        cells = keep(stored(cells, "cells"))
+    return packets.join(cells, "barcode")

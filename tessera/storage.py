@@ -47,6 +47,23 @@ def stored(df: DataFrame, what: str, codec: str = "none") -> DataFrame:
     return table
 
 
+class Log:
+    """A table in the shared folder that grows by appended rows; however often, it is read as one table."""
+
+    def __init__(self, spark: SparkSession, what: str, schema: str):
+        self.spark, self.schema, self.path = spark, schema, fresh_path(spark, what)
+
+    def append(self, df: DataFrame) -> None:
+        df.write.mode("append").option("compression", "none").parquet(self.path)
+
+    def table(self) -> DataFrame:
+        out = self.spark.read.schema(self.schema).parquet(self.path)
+        out._stored_at = self.path
+        if _scratch:
+            _scratch[-1].append(out)
+        return out
+
+
 @contextlib.contextmanager
 def scratch() -> Iterator[Callable[[DataFrame], DataFrame]]:
     """A block whose stored() tables are deleted at its end, also if it fails.

@@ -1,6 +1,7 @@
 """Cells: clustering, consensus, background, variants, sequences — each against its sequential definition."""
 
 import math
+import os
 import random
 import time
 
@@ -15,6 +16,7 @@ from tessera.functions.kernels import Texts
 from tessera.operators import barcodes, cells, sequences, variants
 from tessera.functions.seq import RANKS
 from tessera.params import Cells, Consensus, Targets, Variants
+from tessera.storage import Log
 
 CODES = list(RANKS)
 
@@ -41,6 +43,32 @@ def test_clusters_equal_the_greedy_definition(spark):
             assert {x.barcode: x.cell for x in barcodes.cluster(df.repartition(parts), shift).collect()} == want
 
 
+def test_long_chains_take_few_rounds(spark, monkeypatch):
+    """4,000 barcodes, each a shifted base from the one before and less frequent: dominant and absorbed in turn; branches that join chains."""
+    r = random.Random(2)
+    text = "".join(r.choice("ACGT") for _ in range(4020))
+    chain = [text[k : k + 20] for k in range(4000)]
+    assert len(set(chain)) == 4000
+    rows = [(b, 5000 - k, k) for k, b in enumerate(chain)]
+    # barcodes beside the chain, which have two neighbours in it or one, earlier or later ones
+    rows += [(c + b[:-1], 5500 - k, 5000 + 4 * k + j) for k, b in enumerate(chain[::37]) for j, c in enumerate("ACGT") if c + b[:-1] not in set(chain)]
+    df = spark.createDataFrame(rows, "barcode string, n long, k long").select("barcode", "n", F.struct(F.lit(0).alias("class"), F.col("k").alias("index")).alias("first"))
+    rounds = []
+    append = Log.append
+    monkeypatch.setattr(Log, "append", lambda self, df: rounds.append(1) or append(self, df))
+    got = {x.barcode: x.cell for x in barcodes.cluster(df, 1).collect()}
+    # neighbours in the order of the definition
+    order_, heads, want = [b for b, _, _ in sorted(rows, key=lambda x: (-x[1], x[2]))], {}, {}
+    for place, b in enumerate(order_):
+        near = [heads[o] for c in "ACGT" for o in (c + b[:-1], b[1:] + c) if o in heads]
+        want[b] = order_[min(near)] if near else b
+        if not near:
+            heads[b] = place
+    assert got == want and len(rounds) <= 15
+    folder = spark.conf.get("spark.checkpoint.dir").removeprefix("file://") + "/tessera"
+    assert not [x for x in os.listdir(folder) if x.startswith(("settled", "verdicts", "links", "open", "edges"))]
+
+
 def consensus(reads, p=Consensus()):
     """Read by read, rank by rank."""
     path, last, open_ = [], 1.0, True
