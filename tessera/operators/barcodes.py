@@ -46,52 +46,53 @@ def cluster(counts: DataFrame, max_shift: int = 1) -> DataFrame:
     them is dominant: rounds settle the sequential definition without an order of
     processing.  Only barcodes with earlier neighbours take part.  What has one earlier
     neighbour left is the opposite of that one: a link, and links jump to their neighbour's
-    neighbour, so that rounds grow with the logarithm of a chain.  A round looks at what the
-    one before settled; edges that are decided go.  The result is a table in the shared
-    folder.
+    neighbour, so that rounds grow with the logarithm of a chain.  The result is a table in
+    the shared folder.
     """
     with scratch() as keep:
-        edges = stored(shift_edges(counts, max_shift), "edges")
-        settled = _settled(edges)
-        owner = edges.join(settled.where("dominant").select(F.col("barcode").alias("earlier")), "earlier").join(settled.where("not dominant").select(F.col("barcode").alias("later")), "later").groupBy("later").agg(F.min_by("earlier", "earlier_ord").alias("cell"))
-        out = counts.select("barcode").join(owner.withColumnRenamed("later", "barcode"), "barcode", "left").select("barcode", F.coalesce("cell", "barcode").alias("cell"))
-        return keep(stored(out, "clusters"))
+        return keep(stored(_clusters(counts, max_shift), "clusters"))
+
+
+def _clusters(counts: DataFrame, max_shift: int) -> DataFrame:
+    """cluster() as a plan over tables of the scratch() block around it."""
+    edges = stored(shift_edges(counts, max_shift), "edges")
+    settled = _settled(edges)
+    owner = edges.join(settled.where("dominant").select(F.col("barcode").alias("earlier")), "earlier").join(settled.where("not dominant").select(F.col("barcode").alias("later")), "later").groupBy("later").agg(F.min_by("earlier", "earlier_ord").alias("cell"))
+    return counts.select("barcode").join(owner.withColumnRenamed("later", "barcode"), "barcode", "left").select("barcode", F.coalesce("cell", "barcode").alias("cell"))
 
 
 def _settled(edges: DataFrame) -> DataFrame:
-    """(barcode, dominant) of all ends of edges (earlier, later)."""
-    log = Log(edges.sparkSession, "settled", "barcode string, dominant boolean")
-    later = edges.select(F.col("later").alias("barcode")).distinct()
-    new = stored(edges.select(F.col("earlier").alias("barcode")).distinct().join(later, "barcode", "left_anti").select("barcode", F.lit(True).alias("dominant")), "settled")
-    log.append(new)
-    open_, links = edges.select("earlier", "later"), None
-    while True:
-        told = open_.join(new.withColumnRenamed("barcode", "earlier"), "earlier", "left")
+    """(barcode, dominant) of all ends of edges (earlier, later).
+
+    A round is one table of rows: what it settles, and links (barcode, ref, other), by which
+    a barcode is what ref is, or the other.
+    """
+    schema = "barcode string, dominant boolean, ref string, other boolean"
+    log = Log(edges.sparkSession, "settled", schema)
+    ends, none = edges.select("earlier", "later"), [F.lit(None).cast("string").alias("ref"), F.lit(None).cast("boolean").alias("other")]
+    later = ends.select(F.col("later").alias("barcode")).distinct()
+    last = log.append(ends.select(F.col("earlier").alias("barcode")).distinct().join(later, "barcode", "left_anti").select("barcode", F.lit(True).alias("dominant"), *none))
+    while not last.where("dominant is not null").isEmpty():
+        settled = log.table().where("dominant is not null").select("barcode", "dominant")
+        links = last.where("dominant is null").select("barcode", "ref", "other")
+        further = links.select(F.col("barcode").alias("ref"), F.col("ref").alias("ref2"), F.col("other").alias("other2"))
+        jumped = links.join(further, "ref", "left").select("barcode", F.coalesce("ref2", "ref").alias("ref"), (F.col("other") != F.coalesce("other2", F.lit(False))).alias("other"))
+        asked = jumped.join(settled.withColumnRenamed("barcode", "ref"), "ref", "left").select("barcode", (F.col("dominant") != F.col("other")).alias("dominant"), "ref", "other")
+        # what is neither settled nor a link, with what is known of its earlier neighbours
+        done = settled.select(F.col("barcode").alias("later")).union(links.select("barcode"))
+        told = ends.join(done, "later", "left_anti").join(settled.withColumnRenamed("barcode", "earlier"), "earlier", "left")
         unknown = F.col("dominant").isNull()
         each = told.groupBy("later").agg(F.bool_or(F.coalesce("dominant", F.lit(False))).alias("taken"), F.count_if(unknown).alias("left"), F.min(F.when(unknown, F.col("earlier"))).alias("ref"))
-        each = stored(each, "verdicts")
-        found = each.where("taken or left = 0").select(F.col("later").alias("barcode"), (~F.col("taken")).alias("dominant"))
-        linked = each.where("not taken and left = 1").select(F.col("later").alias("node"), "ref", F.lit(True).alias("other"))
-        if links is not None:
-            asked = stored(links.join(new.withColumnRenamed("barcode", "ref"), "ref", "left"), "asked")
-            found = found.unionByName(asked.where(~unknown).select(F.col("node").alias("barcode"), (F.col("dominant") != F.col("other")).alias("dominant")))
-            linked = linked.unionByName(asked.where(unknown).select("node", "ref", "other"))
-        found = stored(found, "found")
-        if found.isEmpty():
-            return log.table()
-        log.append(found)
-        linked = stored(linked, "linked")
-        further = linked.select(F.col("node").alias("ref"), F.col("ref").alias("ref2"), F.col("other").alias("other2"))
-        jumped = linked.join(further, "ref", "left").select("node", F.coalesce("ref2", "ref").alias("ref"), (F.col("other") != F.coalesce("other2", F.lit(False))).alias("other"))
-        links = stored(jumped, "links")
-        open_ = stored(told.where(unknown).select("earlier", "later").join(each.where("not taken and left > 1").select("later"), "later", "left_semi"), "open")
-        new = found
+        own = F.when(F.col("taken"), F.lit(False)).when(F.col("left") == 0, F.lit(True))
+        each = each.where("taken or left < 2").select(F.col("later").alias("barcode"), own.alias("dominant"), F.when(own.isNull(), F.col("ref")).alias("ref"), F.when(own.isNull(), F.lit(True)).alias("other"))
+        last = log.append(asked.unionByName(each))
+    return log.table().where("dominant is not null").select("barcode", "dominant")
 
 
 def with_cells(packets: DataFrame, max_shift: int = 1) -> DataFrame:
     """packets with their cell and within: the order of a read among its cell's."""
     with scratch() as keep:
         counts = stored(barcode_counts(packets), "barcodes")
-        cells = cluster(counts, max_shift).join(counts, "barcode").select("barcode", "cell", F.struct((-F.col("n")).alias("n"), F.col("first")).alias("barcode_ord"))
+        cells = _clusters(counts, max_shift).join(counts, "barcode").select("barcode", "cell", F.struct((-F.col("n")).alias("n"), F.col("first")).alias("barcode_ord"))
         cells = keep(stored(cells, "cells"))
     return packets.join(cells, "barcode")

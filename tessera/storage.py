@@ -48,16 +48,21 @@ def stored(df: DataFrame, what: str, codec: str = "none") -> DataFrame:
 
 
 class Log:
-    """A table in the shared folder that grows by appended rows; however often, it is read as one table."""
+    """A table in the shared folder that grows by rows appended in rounds; however many, it is read as one table."""
 
     def __init__(self, spark: SparkSession, what: str, schema: str):
-        self.spark, self.schema, self.path = spark, schema, fresh_path(spark, what)
+        self.spark, self.schema, self.path, self.rounds = spark, schema, fresh_path(spark, what), 0
 
-    def append(self, df: DataFrame) -> None:
-        df.write.mode("append").option("compression", "none").parquet(self.path)
+    def append(self, df: DataFrame) -> DataFrame:
+        """Write a round; gives the table of its rows."""
+        self.rounds += 1
+        path = f"{self.path}/round={self.rounds}"
+        df.write.option("compression", "none").parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
 
     def table(self) -> DataFrame:
-        out = self.spark.read.schema(self.schema).parquet(self.path)
+        """All rounds' rows."""
+        out = self.spark.read.schema(self.schema).parquet(self.path).drop("round")
         out._stored_at = self.path
         if _scratch:
             _scratch[-1].append(out)
