@@ -9,12 +9,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.llm import chunk_dedup, hnsw, line_dedup, merkle, minhash, mpeg, negatives, packing, pieces, simhash, suffix_dedup, toxicity, warc
+from tessera.llm.common import scratch, stored
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _alone(what: str, make: Callable[[], DataFrame]) -> DataFrame:
+    """A result as a table in the shared folder, without the tables that led to it."""
+    with scratch() as keep:
+        return keep(stored(make(), what))
+
+
 def op1_hnsw(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _table(spark, sf_dir, "embeddings")
     return hnsw.search(rows, rows.where(F.col("vec_id") % 100 == 0))
@@ -25,19 +32,19 @@ def op2_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return minhash.near_duplicates(_table(spark, sf_dir, "documents"), words=3, similar=85)
+    return _alone("near-duplicates", lambda: minhash.near_duplicates(_table(spark, sf_dir, "documents"), words=3, similar=85))
 
 
 def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return warc.archive_round_trip(spark, _table(spark, sf_dir, "pages"))
+    return _alone("archived", lambda: warc.archive_round_trip(spark, _table(spark, sf_dir, "pages")))
 
 
 def op5_mpeg(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mpeg.media_columns(_table(spark, sf_dir, "documents"))
+    return _alone("media-read", lambda: mpeg.media_columns(_table(spark, sf_dir, "documents")))
 
 
 def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return suffix_dedup.suffix_dedup(_table(spark, sf_dir, "documents"))
+    return _alone("suffix-dedup", lambda: suffix_dedup.suffix_dedup(_table(spark, sf_dir, "documents")))
 
 
 def op8_chunk_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -45,7 +52,7 @@ def op8_chunk_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return line_dedup.line_dedup(_table(spark, sf_dir, "documents")).withColumn("kept_sha256", F.sha2("kept_text", 256)).drop("kept_text")
+    return _alone("line-dedup", lambda: line_dedup.line_dedup(_table(spark, sf_dir, "documents")).withColumn("kept_sha256", F.sha2("kept_text", 256)).drop("kept_text"))
 
 
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

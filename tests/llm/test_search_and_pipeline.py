@@ -247,3 +247,20 @@ def test_columns_that_clash_stay(spark, tmp_path):
         after = stage(spark, docs, str(tmp_path))
         assert after.columns == docs.columns
         assert all(r[c] == f"{c}{r.doc_id}" for r in after.collect() for c in names)
+
+
+@pytest.mark.parametrize("name", [*registry.QUERIES, "pipeline"])
+def test_a_result_alone_stays_in_the_shared_folder(spark, name):
+    """After a query there is one table more at most, which is its result, and no archive or index."""
+    import os
+
+    import corpus_pipeline
+
+    folder = spark.conf.get("spark.checkpoint.dir").removeprefix("file://") + "/tessera"
+    seen = lambda: set(os.listdir(folder)) if os.path.isdir(folder) else set()
+    before = seen()
+    df = (corpus_pipeline.run if name == "pipeline" else registry.QUERIES[name])(spark, SF)
+    rows = df.collect()
+    left = seen() - before
+    assert len(left) <= 1 and df.count() == len(rows) > 0
+    assert all(f"/tessera/{x}/" in "".join(df.inputFiles()) for x in left)
