@@ -2,7 +2,8 @@
 
 Each stage takes (spark, docs, sf_dir) and gives a DataFrame; all but the last give the
 columns of documents.  ``run`` writes every stage's result as a table in the shared folder
-and reads it again for the next one; the one before it is deleted then.
+and reads it again for the next one; the one before it is deleted then, with all tables that
+led to the new one, so that the last result alone stays.
 
 In every stage: null and empty texts stay as they are (toxicity scores them as texts without
 words, near-dedup takes none for a copy, packing gives each one piece).  Ids must be integers;
@@ -20,7 +21,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm.common import release, stored
+from tessera.llm.common import release, scratch, stored
 from tessera.llm.line_dedup import line_dedup
 from tessera.llm.minhash import near_dedup
 from tessera.llm.packing import pack
@@ -77,6 +78,7 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the documents table."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
-        before, docs = docs, stored(stage(spark, docs, sf_dir), f"stage-{name}", "zstd")
+        with scratch() as keep:
+            before, docs = docs, keep(stored(stage(spark, docs, sf_dir), f"stage-{name}", "zstd"))
         release(before)  # the table of the stage before; documents itself isn't one
     return docs
