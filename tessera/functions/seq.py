@@ -245,7 +245,12 @@ def display_label(text: Column, width: int = 18) -> Column:
     return F.aggregate(words, F.lit(""), step)
 
 
+# The words that options and tables take for true and false.
+FLAGS = {"true": True, "1": True, "yes": True, "y": True, "false": False, "0": False, "no": False, "n": False}
+
+
 def flag(text: Column) -> Column:
-    """true, 1, yes or y, and false, 0, no or n, in any case and with blanks around; anything else ends the query."""
+    """What FLAGS says of a word, in any case and with blanks around; any other word ends the query."""
     word = F.lower(F.trim(text))
-    return F.when(word.isin("true", "1", "yes", "y"), True).when(word.isin("false", "0", "no", "n"), False).when(text.isNotNull(), F.raise_error(F.concat(F.lit("neither true nor false: "), text)).cast("boolean"))
+    known = F.element_at(F.create_map(*[F.lit(x) for item in FLAGS.items() for x in item]), word)
+    return F.when(text.isNotNull(), F.coalesce(known, F.raise_error(F.concat(F.lit("neither true nor false: "), text)).cast("boolean")))

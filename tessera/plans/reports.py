@@ -9,21 +9,25 @@ from pyspark.sql import functions as F
 
 from tessera.plans import results
 from tessera.sources import tables
+from tessera.sources.commit import Published
 from tessera.storage import exists
 
 TARGET_SUMMARY = "panel_index int, target_name string, original_positive_cells long, filtered_out_cells long, remaining_positive_cells long, asv_abundance_excluded_positive_cells long, final_positive_cells long, retention_percent double"
 
 
-def load(spark: SparkSession, folder: str) -> tuple[dict, DataFrame, DataFrame, DataFrame | None]:
+def load(spark: SparkSession, folder: str, published: bool = True) -> tuple[dict, DataFrame, DataFrame, DataFrame | None]:
     """A result folder's record, cells, variants and target sequences (None where the run has none).
 
-    Rows of another run than the record's are refused: reports never mix runs.
+    Of a published folder only the files that its manifest names are read.  Rows of another
+    run than the record's are refused: reports never mix runs.
     """
-    summary = json.loads(spark.read.text(f"{folder}/run_summary.json", wholetext=True).first()["value"])
-    cells = tables.read_jsonl(spark, f"{folder}/cells.jsonl", results.CELL)
-    asvs = tables.read_jsonl(spark, f"{folder}/asvs.jsonl", results.ASV_ROW)
-    path = f"{folder}/target_sequences.jsonl"
-    sequences = tables.read_jsonl(spark, path, results.SEQUENCE) if exists(spark, path) else None
+    if published:
+        whole = Published(spark, folder)
+        record, read = whole.paths("run_summary.json"), whole.read_json
+    else:
+        record, read = f"{folder}/run_summary.json", lambda name, schema: tables.read_jsonl(spark, f"{folder}/{name}", schema) if exists(spark, f"{folder}/{name}") else None
+    summary = json.loads(spark.read.text(record, wholetext=True).first()["value"])
+    cells, asvs, sequences = read("cells.jsonl", results.CELL), read("asvs.jsonl", results.ASV_ROW), read("target_sequences.jsonl", results.SEQUENCE)
     for name, table in (("cells", cells), ("asvs", asvs), ("target_sequences", sequences)):
         if table is not None and not table.where(~F.col("run_id").eqNullSafe(summary["run_id"])).isEmpty():
             raise ValueError(f"{name}.jsonl has rows of another run than run_summary.json")
@@ -52,11 +56,11 @@ def build(spark: SparkSession, summary: dict, cells: DataFrame, asvs: DataFrame,
     return out
 
 
-def write_reports(spark: SparkSession, folder: str, target: str) -> list[str]:
-    """Write every report of a result folder below target, which must not be there yet; give their names. A report without rows has its header alone."""
+def write_reports(spark: SparkSession, folder: str, target: str, published: bool = True) -> list[str]:
+    """Write every report of a result folder (of one that isn't published yet, if so told) below target, which must not be there yet; give their names. A report without rows has its header alone."""
     if exists(spark, target):
         raise FileExistsError(f"{target} is there already")
-    found = build(spark, *load(spark, folder))
+    found = build(spark, *load(spark, folder, published))
     for name, table in found.items():
         tables.write_tsv(table, f"{target}/{name}")
     return list(found)

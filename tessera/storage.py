@@ -113,6 +113,22 @@ def listed(spark: SparkSession, path: str) -> list[tuple[str, int]]:
     return sorted(out)
 
 
+def listed_below(spark: SparkSession, folder: str) -> list[tuple[str, str, int]]:
+    """(path, path in the folder, bytes) of all files below a folder, but for those in or of hidden names."""
+    place, system = _place(spark, folder)
+    if not system.exists(place):
+        return []
+    top, out = system.makeQualified(place).toString().rstrip("/") + "/", []
+    found = system.listFiles(place, True)
+    while found.hasNext():
+        status = found.next()
+        path = status.getPath().toString()
+        rest = path[len(top) :]
+        if not any(part[:1] in "._" for part in rest.split("/")):
+            out.append((path, rest, status.getLen()))
+    return out
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     """Whether there is a file or folder on any file system that Spark reaches."""
     place, system = _place(spark, path)

@@ -3,6 +3,7 @@
 import functools
 import json
 import math
+import pathlib
 import random
 
 import numpy as np
@@ -12,8 +13,9 @@ from pyspark.sql import functions as F
 from tessera.functions import duplex
 from tessera.operators import primers
 from tessera.params import Cells, Params, Variants
-from tessera.plans import results, run
-from tessera.sources import fastq, tables
+from tessera.plans import reports, results, run
+from tessera.sources import commit, fastq, tables
+from tessera.storage import write_text
 
 PANEL = "Primer,F,R,Mode\n16s,CCTACGGGAGGCAGCAGT,GGACTACCAGGGTATCTAATCCTGTT,\ntarget,ACGTTGCAACGTTGCAACGT,TGCACGATTGCACGATTGCA,ssr\n"
 
@@ -147,6 +149,61 @@ def test_staging_keeps_failures_apart(spark, tmp_path):
         tables.Staged(spark, str(tmp_path / "run"))
 
 
+@pytest.mark.parametrize("rename", [True, False])
+def test_a_run_that_is_killed_at_any_write_leaves_nothing_readable(spark, tmp_path, monkeypatch, rename):
+    cell = spark.createDataFrame([("a", "x"), ("b", "y")], "run_id string, v string").repartition(2)
+    steps = [lambda w: tables.write_json(spark, {"run_id": "a"}, f"{w}/run_summary.json"), lambda w: tables.write_jsonl(cell, f"{w}/cells.jsonl"), lambda w: tables.write_jsonl(cell.limit(0), f"{w}/none.jsonl")]
+    kills = 0
+
+    def die(*_, **__):
+        raise KeyboardInterrupt
+
+    for k in range(len(steps) + 3):
+        target = str(tmp_path / (f"run{k}" if rename else "run"))
+        with pytest.raises(KeyboardInterrupt), monkeypatch.context() as m:
+            if k == len(steps):
+                m.setattr(commit, "move" if rename else "digests", die)
+            if k == len(steps) + 1:
+                m.setattr(commit, "write_text", die)
+            if k == len(steps) + 2:
+                # a manifest of which half is there
+                half = lambda spark, path, text: (write_text(spark, path, text[: len(text) // 2]), die())
+                m.setattr(commit, "write_text", half)
+            with commit.Staged(spark, target, rename) as work:
+                for j, step in enumerate(steps):
+                    if j == k:
+                        die()
+                    step(work)
+        kills += 1
+        with pytest.raises(FileNotFoundError):
+            commit.Published(spark, target)
+        with pytest.raises(FileNotFoundError):
+            reports.load(spark, target)
+    assert kills == 6
+    # in an object store another attempt follows into the same target, but for the half manifest
+    target = tmp_path / ("whole" if rename else "run")
+    if not rename:
+        (target / commit.MANIFEST).unlink()
+        (target / f".{commit.MANIFEST}.crc").unlink(missing_ok=True)
+    with commit.Staged(spark, str(target), rename) as work:
+        for step in steps:
+            step(work)
+    whole = commit.Published(spark, str(target))
+    assert sorted(tuple(r) for r in whole.read_json("cells.jsonl", "run_id string, v string").collect()) == [("a", "x"), ("b", "y")] and whole.faults() == []
+    assert whole.read_json("none.jsonl", "run_id string").count() == 0 and whole.read_json("other.jsonl", "a string") is None and len(whole.paths("run_summary.json")) == 1
+    with pytest.raises(FileExistsError):
+        commit.Staged(spark, str(target), rename)
+    # a file that comes up later isn't read; one that changes is told
+    folder = tmp_path / whole.folder
+    (folder / "cells.jsonl" / "part-99.json").write_text('{"run_id": "z", "v": "z"}\n')
+    part = next(p for p in (folder / "cells.jsonl").glob("part-0*.json") if p.stat().st_size)
+    assert whole.read_json("cells.jsonl", "run_id string, v string").count() == 2
+    text = part.read_text()
+    (part.parent / f".{part.name}.crc").unlink(missing_ok=True)
+    part.write_text(text.replace('"x"', '"q"').replace('"y"', '"q"'))
+    assert whole.faults() == sorted(["cells.jsonl/part-99.json", f"cells.jsonl/{part.name}"])
+
+
 def test_one_command_from_files_to_a_folder(spark, tmp_path, capsys):
     from tessera import cli
 
@@ -163,6 +220,10 @@ def test_one_command_from_files_to_a_folder(spark, tmp_path, capsys):
         return capsys.readouterr().err
 
     assert "no such file for R2" in refused([x.replace("2.fastq", "none") for x in args]) and "negative" in refused([*args, "--min-cells-per-taxon=-1"])
+    several = refused([x.replace("2.fastq", "none").replace("ref.fa", "no.fa") for x in args] + ["--threads=-2"])
+    assert "no such file for R2" in several and "no such file for reference" in several and "--threads can't be negative" in several
+    shared = lambda: {p.name for p in pathlib.Path(spark.conf.get("spark.checkpoint.dir").removeprefix("file://"), "tessera").glob("*")}
+    before = shared()
     (tmp_path / "bad.csv").write_text(PANEL.replace("16s", "x"))
     assert "stands first" in refused([x.replace("panel.csv", "bad.csv") for x in args])
     (tmp_path / "bad.fa").write_text("ACGT\n")
@@ -174,6 +235,7 @@ def test_one_command_from_files_to_a_folder(spark, tmp_path, capsys):
     record = json.loads((folder / "run_summary.json").read_text())
     assert record["parameters"]["cells"]["min_cells_per_taxon"] == 12 and record["inputs"]["reference_fasta"] == f"{tmp_path}/ref.fa" and record["barcode_funnel"]["final_cells"] == 12
     assert "there already" in refused(args) and not list(tmp_path.glob(".out.incomplete*"))
+    assert shared() == before and commit.Published(spark, str(folder)).faults() == []
 
     from tessera.plans import reports
 
