@@ -308,3 +308,25 @@ def q82_candidate_table(spark, sf_dir):
 
     own = spark.read.option("sep", "\t").option("header", True).csv(_once(spark, sf_dir, "written-candidates", make) + "/primers.tsv")
     return own.select("primer_id", "gene", "forward", "reverse")
+
+
+# ---- a landing folder
+@query(Q._with(Q._found, """SELECT 'reason' AS kind, coalesce(qc_reason, 'passed') AS key, count(*) AS n, NULL AS first_index FROM qc GROUP BY ALL
+ UNION ALL SELECT 'start', CAST(start AS VARCHAR), count(*), NULL FROM pq WHERE start IS NOT NULL GROUP BY ALL
+ UNION ALL SELECT 'barcode', code, count(*), CAST(arg_min(read_index, CASE WHEN pix = 0 THEN 0 WHEN pix > 0 THEN 1 ELSE 2 END * 1000000000 + read_index) AS BIGINT) FROM pq GROUP BY code"""))
+def q83_running_counts(spark, sf_dir):
+    """Counts of reads that land in five files, two calls of the stream apart; a barcode's first read is the one that clustering orders it by."""
+    from tessera.streaming import reads
+
+    def make() -> str:
+        folder = fresh_path(spark, "landing")
+        own = surrogate.reads(spark, sf_dir).select("read_index", "read_id", F.col("fq1").alias("r1_seq"), F.col("q1").alias("r1_qual"), F.col("fq2").alias("r2_seq"), F.col("q2").alias("r2_qual"))
+        for k in range(5):
+            own.where(F.pmod(F.xxhash64("read_index"), F.lit(5)) == k).coalesce(1).write.parquet(f"{folder}/in/{k}")
+            if k in (1, 4):
+                stream = spark.readStream.schema(reads.PAIRS).option("maxFilesPerTrigger", 1).parquet(f"{folder}/in/*")
+                reads.running_counts(stream, PANEL, f"{folder}/counts", f"{folder}/checkpoint")
+        return f"{folder}/counts"
+
+    own = reads.counts_now(spark, _once(spark, sf_dir, "landing", make))
+    return own.select("kind", "key", "n", F.when(F.col("kind") == "barcode", F.col("first.index")).alias("first_index"))

@@ -179,3 +179,55 @@ def test_small_text_functions(spark):
     path = F.struct(*[F.lit(v).alias(c) for c, v in zip(S.RANKS, ("B", "P", "C", "O", "F", "Klebsiella x", "S1"))])
     assert value(S.species_complex(path)["G"]) == "Klebsiella pneumoniae complex" and value(S.species_complex(path)["S"]) is None
     assert value(S.most_specific(path)) == "S1"
+
+
+def test_running_counts_survive_stops_and_losses(spark, tmp_path, monkeypatch):
+    """Files land in portions; calls end well, die while a batch is counted, and die once it is written: the counts are those of all files in one go."""
+    from pyspark.sql import DataFrameWriter
+
+    from tessera.operators import barcodes
+    from tessera.plans import surrogate
+    from tessera.streaming import reads as streaming
+
+    panel = surrogate.PANEL
+    own = surrogate.reads(spark, "/root/testdata/sf0.001").select("read_index", "read_id", F.col("fq1").alias("r1_seq"), F.col("q1").alias("r1_qual"), F.col("fq2").alias("r2_seq"), F.col("q2").alias("r2_qual"))
+    folder, checkpoint = f"{tmp_path}/counts", f"{tmp_path}/checkpoint"
+    calls = []
+    write = DataFrameWriter.parquet
+
+    def dying(self, path, *a, **k):
+        calls.append(path)
+        if "batch=" in path and len(calls) == 2:
+            raise RuntimeError("before it is written")
+        write(self, path, *a, **k)
+        if "batch=" in path and len(calls) == 4:
+            raise RuntimeError("once it is written")
+
+    def call():
+        stream = spark.readStream.schema(streaming.PAIRS).option("maxFilesPerTrigger", 1).parquet(f"{tmp_path}/in/*")
+        streaming.running_counts(stream, panel, folder, checkpoint)
+
+    lost = 0
+    for k in range(6):
+        own.where(f"read_index % 6 = {k}").coalesce(1).write.parquet(f"{tmp_path}/in/{k}")
+        if k % 2:
+            with monkeypatch.context() as m:
+                m.setattr(DataFrameWriter, "parquet", dying)
+                for _ in range(3):
+                    try:
+                        call()
+                        break
+                    except Exception as e:
+                        assert "written" in str(e)
+                        lost += 1
+    assert lost == 2
+    got = {(r.kind, r.key): (r.n, tuple(r.first)) for r in streaming.counts_now(spark, folder).collect()}
+    checked = demux.with_qc(own)
+    reasons = {("reason", r.qc_reason or "passed"): r["count"] for r in checked.groupBy("qc_reason").count().collect()}
+    placed = demux.place_16s(checked.where("qc_reason is null"), panel[0][2], panel[0][3])
+    starts = {("start", str(r.start)): r.n for r in demux.stagger_counts(placed).collect() if r.n}
+    found = {("barcode", r.barcode): (r.n, tuple(r["first"])) for r in barcodes.barcode_counts(demux.packets(placed, panel)).collect()}
+    assert {k: v[0] for k, v in got.items() if k[0] == "reason"} == reasons and {k: v[0] for k, v in got.items() if k[0] == "start"} == starts
+    assert {k: v for k, v in got.items() if k[0] == "barcode"} == found and len(found) > 5
+    call()  # nothing new
+    assert {(r.kind, r.key): (r.n, tuple(r.first)) for r in streaming.counts_now(spark, folder).collect()} == got
