@@ -8,7 +8,7 @@ import subprocess
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -126,38 +126,49 @@ def equal_places(xs: list[str], ys: list[str]) -> np.ndarray:
     return -(table(xs, "<") == table(ys, ">")).sum(1).astype(float)
 
 
-def oligo_pairs(candidates: DataFrame, pool: str | None = None, tail: int = OLIGO) -> DataFrame:
-    """(pool, id_lo, id_hi, x, y): for pairs of pairs of different genes, the oligos that could bind, in either order.
+def candidate_pairs(candidates: DataFrame, pool: str | None = None, tail: int = OLIGO) -> DataFrame:
+    """(pool, id_lo, id_hi, o0, o1, o2, o3): pairs of candidates of different genes, with the last `tail` bases of their four oligos.
 
-    Each of the four with itself and each two of them, by their last `tail` bases; genes are
-    ordered, so that a pair comes once.  pool: a column of candidates that are pooled apart;
-    only pairs of one pool meet, by an equi-join.  A pool's candidates are some hundred a gene.
+    Genes are ordered, so that a pair comes once.  pool: a column of candidates that are
+    pooled apart; only pairs of one pool meet, by an equi-join.  A pool's candidates are some
+    hundred a gene.
     """
     pool_ = F.col(f"`{pool}`") if pool else F.lit(0)
     ends = lambda c: F.expr(f"right({c}, {min(tail, OLIGO)})")
     a = candidates.select(pool_.alias("pool"), F.col("gene_idx").alias("ga"), F.col("primer_id").alias("ia"), ends("fwd").alias("o0"), ends("rev").alias("o1"))
     b = candidates.select(pool_.alias("pool"), F.col("gene_idx").alias("gb"), F.col("primer_id").alias("ib"), ends("fwd").alias("o2"), ends("rev").alias("o3"))
-    two = lambda i, j: F.struct(F.least(f"o{i}", f"o{j}").alias("x"), F.greatest(f"o{i}", f"o{j}").alias("y"))
-    met = a.join(b, "pool").where("ga < gb")
-    return met.select("pool", F.least("ia", "ib").alias("id_lo"), F.greatest("ia", "ib").alias("id_hi"), F.explode(F.array(*[two(i, j) for i in range(4) for j in range(i, 4)])).alias("o")).select("pool", "id_lo", "id_hi", "o.x", "o.y")
+    return a.join(b, "pool").where("ga < gb").select("pool", F.least("ia", "ib").alias("id_lo"), F.greatest("ia", "ib").alias("id_hi"), "o0", "o1", "o2", "o3")
+
+
+def lowest_energies(oligos: list[pd.Series], energies) -> np.ndarray:
+    """For each row of several columns of oligos the lowest energy of each with itself and of each two; what is the same two in many rows is worked out once."""
+    number, names = pd.factorize(pd.concat(oligos, ignore_index=True))
+    number = number.reshape(len(oligos), -1)
+    two = np.stack([np.minimum(number[i], number[j]) * len(names) + np.maximum(number[i], number[j]) for i in range(len(oligos)) for j in range(i, len(oligos))])
+    distinct, of = np.unique(two, return_inverse=True)
+    found = np.asarray(energies([names[k] for k in distinct // len(names)], [names[k] for k in distinct % len(names)]), float)
+    return found[of.reshape(two.shape)].min(0)
+
+
+def _parts(spark: SparkSession) -> int:
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), 2 * spark.sparkContext.defaultParallelism)
 
 
 def dimer_scores(candidates: DataFrame, energies=dimer_energies, pool: str | None = None, tail: int = OLIGO) -> DataFrame:
     """(id_lo, id_hi, delta_g), led by the pool where there are some: the lowest energy over all bindings.
 
-    energies: of two lists of oligos, the same in either order; each distinct two oligos are
-    scored once.
+    energies: of two lists of oligos, the same in either order.  Pairs are scored where the
+    join makes them, a batch at a time, each distinct two oligos of a batch once.
     """
-    asked = oligo_pairs(candidates, pool, tail)
 
     @F.pandas_udf("double")
-    def score(x: pd.Series, y: pd.Series) -> pd.Series:
-        return pd.Series(np.asarray(energies(x.tolist(), y.tolist()), float))
+    def score(o0: pd.Series, o1: pd.Series, o2: pd.Series, o3: pd.Series) -> pd.Series:
+        return pd.Series(lowest_energies([o0, o1, o2, o3], energies) if len(o0) else np.zeros(0))
 
-    scored = asked.select("x", "y").distinct().withColumn("g", score("x", "y"))
-    own = ["pool", "id_lo", "id_hi"] if pool else ["id_lo", "id_hi"]
-    out = asked.join(scored, ["x", "y"]).groupBy(*own).agg(F.min("g").alias("delta_g"))
-    return out.withColumnRenamed("pool", pool) if pool else out
+    # a number of parts of its own: by their bytes, which are few, so much work would be dealt out to a task or two
+    dealt = candidate_pairs(candidates, pool, tail).repartition(_parts(candidates.sparkSession), "pool", "id_lo")
+    scored = dealt.select("pool", "id_lo", "id_hi", score("o0", "o1", "o2", "o3").alias("delta_g"))
+    return scored.withColumnRenamed("pool", pool) if pool else scored.drop("pool")
 
 
 def pool_score(chosen: DataFrame, scores: DataFrame) -> DataFrame:
@@ -284,6 +295,8 @@ def anneal_chains(
         rank, avg, low, best = anneal(genes, matrix, fixed, cycles, temperature, beta, seed, mine)
         return pd.DataFrame({"pool": [key[0]] * len(mine), "chain": mine, "rank_score": rank, "avg_score": avg, "min_score": low, "primers": own["primer_id"].to_numpy()[best].tolist()}, columns=columns)
 
+    parts = _parts(candidates.sparkSession)
+    left, right = (rows.repartition(parts, "pool", "block") for rows in (left, right))
     done = left.groupBy("pool", "block").cogroup(right.groupBy("pool", "block")).applyInPandas(run, f"pool {kind}, chain int, rank_score double, avg_score double, min_score double, primers array<string>")
     place = F.row_number().over(W.partitionBy("pool").orderBy(F.desc("rank_score"), "chain"))
     out = done.withColumn("place", place).where(F.col("place") <= top).drop("place")
