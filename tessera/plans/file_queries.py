@@ -201,7 +201,8 @@ def q78_legacy_export(spark, sf_dir):
         tables.write_jsonl(results.legacy_export(before, results.cell_phases(before, results.final_sequences(before, names, RUN_ID, phases))), path)
         return path
 
-    own = spark.read.json(_once(spark, sf_dir, "legacy", make))
+    # with its schema: an export without cells, or without calls, has no fields to infer
+    own = tables.read_jsonl(spark, _once(spark, sf_dir, "legacy", make), results.LEGACY)
     said = lambda items, a, b: F.array_join(F.transform(items, lambda t: F.concat(t[a], F.lit("="), t[b])), ",")
     return own.select(
         "cell_barcode", "taxonomy.lineage", "asv.assignment", "asv.status", "read_qc.total_16s_reads", "read_qc.reads_used_for_asv", said("targets", "target", "assignment").alias("targets"),

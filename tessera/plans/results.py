@@ -16,7 +16,8 @@ from tessera.sources import tables
 VERSION = "3.1.0"
 STATUSES = ("single_ASV", "corrupted_single_ASV")
 ASSIGNMENTS = ("filtered_out", "detected", "sequence_unresolved", "sequence_cluster")
-TAXONOMY = "struct<ranks:struct<domain:string,phylum:string,class:string,order:string,family:string,genus:string,species:string>,confidence:double,contamination:double>"
+RANKS = "struct<domain:string,phylum:string,class:string,order:string,family:string,genus:string,species:string>"
+TAXONOMY = f"struct<ranks:{RANKS},confidence:double,contamination:double>"
 EVIDENCE = "struct<total_16s_reads:bigint,technical_noise_reads:bigint>"
 ASV = "struct<asv_id:string,status:string,reads_used:bigint,raw_unique_core_sequences:bigint,dominant_raw_read_count:bigint,coexisting_2bp_reads:bigint,unauthorized_secondary_reads:bigint,final_cell_asv_reads:bigint,max_internal_distance:bigint>"
 QC = "struct<confidence:double,contamination:double,total_reads:bigint,technical_noise_reads:bigint>"
@@ -31,6 +32,10 @@ ASV_ROW = f"{HEAD}, asv_id string, core_sequence {CORE}, final_surviving_cell_co
 PHASE = "struct<mode:string,call:string,motif:string,repeat_count:int,start:int,end:int,direct_similarity:double,evidence:string>"
 MATCH = "struct<subject:string,r1_start:int,r1_end:int,r1_percent_identity:double,r2_start:int,r2_end:int,r2_percent_identity:double>"
 SEQUENCE = f"{HEAD}, sequence_cluster_id string, parent_target string, core_sequence {CORE}, final_surviving_cell_count long, phase_variation {PHASE}, reference_matches array<{MATCH}>"
+LEGACY = (
+    f"schema_version string, cell_barcode string, taxonomy struct<lineage:string,ranks:{RANKS},confidence:double,contamination:double>, asv struct<assignment:string,status:string,reads:bigint,max_internal_distance:bigint>, "
+    "read_qc struct<total_16s_reads:bigint,technical_noise_reads:bigint,reads_used_for_asv:bigint>, targets array<struct<target:string,assignment:string>>, "
+    "phase_variation array<struct<target:string,mode:string,sequence_assignment:string,call:string,motif:string,repeat_count:int,start:int,end:int,direct_similarity:double,evidence:string>>")
 
 
 def new_run_id() -> str:

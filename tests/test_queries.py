@@ -69,3 +69,10 @@ def test_annealing_takes_all_parts(spark):
 
 def test_flagship(spark):
     assert queries.flagship(spark, SF).count() > 0
+
+
+@pytest.mark.parametrize("kept", ["event_id % 50 = 0", "event_type in ('view', 'click')"], ids=["no_cells", "no_calls"])
+def test_legacy_export_without_cells_or_calls(spark, tmp_path, kept):
+    spark.read.parquet(f"{SF}/events.parquet").where(kept).write.parquet(str(tmp_path / "events.parquet"))
+    rows = queries.QUERIES["q78_legacy_export"](spark, str(tmp_path)).collect()
+    assert bool(rows) == ("view" in kept) and all(r.targets == r.phases == "" for r in rows)
