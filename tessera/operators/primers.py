@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import functools
 import re
 import shutil
 import subprocess
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -109,9 +111,17 @@ def tool_energy(tool: str = "ntthal"):
     return lambda xs, ys: np.array([min(energy(x, y), energy(y, x)) for x, y in zip(xs, ys)])
 
 
-def dimer_energies(xs: list[str], ys: list[str]) -> np.ndarray:
-    """The lowest energy, in kcal/mol, at which the 3' end of either of two oligos binds the other: stacks, bulges, internal loops, ends and salt; see duplex."""
-    return duplex.energies([x[-OLIGO:] for x in xs], [y[-OLIGO:] for y in ys]) / 1000
+def dimer_energies(xs: list[str], ys: list[str], below: np.ndarray | None = None) -> np.ndarray:
+    """The lowest energy, in kcal/mol, at which the 3' end of either of two oligos binds the other: stacks, bulges, internal loops, ends and salt; see duplex.
+
+    below: bounds; what isn't lower than its bound may come out as any energy that isn't.
+    """
+    below = None if below is None else np.rint(below * 1000).astype(np.int64)
+    return duplex.energies([x[-OLIGO:] for x in xs], [y[-OLIGO:] for y in ys], below=below) / 1000
+
+
+#: That energies take bounds.
+dimer_energies.bounded = True
 
 
 def dimer_energy(a: str, b: str) -> float:
@@ -127,7 +137,7 @@ def equal_places(xs: list[str], ys: list[str]) -> np.ndarray:
 
 
 def candidate_pairs(candidates: DataFrame, pool: str | None = None, tail: int = OLIGO) -> DataFrame:
-    """(pool, id_lo, id_hi, o0, o1, o2, o3): pairs of candidates of different genes, with the last `tail` bases of their four oligos.
+    """(pool, id_lo, id_hi, o0, o1, o2, o3): pairs of candidates of different genes, with the last `tail` bases of their four oligos; the lower one of their own energies, where candidates have them.
 
     Genes are ordered, so that a pair comes once.  pool: a column of candidates that are
     pooled apart; only pairs of one pool meet, by an equi-join.  A pool's candidates are some
@@ -135,19 +145,31 @@ def candidate_pairs(candidates: DataFrame, pool: str | None = None, tail: int =
     """
     pool_ = F.col(f"`{pool}`") if pool else F.lit(0)
     ends = lambda c: F.expr(f"right({c}, {min(tail, OLIGO)})")
-    a = candidates.select(pool_.alias("pool"), F.col("gene_idx").alias("ga"), F.col("primer_id").alias("ia"), ends("fwd").alias("o0"), ends("rev").alias("o1"))
-    b = candidates.select(pool_.alias("pool"), F.col("gene_idx").alias("gb"), F.col("primer_id").alias("ib"), ends("fwd").alias("o2"), ends("rev").alias("o3"))
-    return a.join(b, "pool").where("ga < gb").select("pool", F.least("ia", "ib").alias("id_lo"), F.greatest("ia", "ib").alias("id_hi"), "o0", "o1", "o2", "o3")
+    own = lambda c: [F.col("own").alias(c)] if "own" in candidates.columns else []
+    a = candidates.select(pool_.alias("pool"), F.col("gene_idx").alias("ga"), F.col("primer_id").alias("ia"), ends("fwd").alias("o0"), ends("rev").alias("o1"), *own("wa"))
+    b = candidates.select(pool_.alias("pool"), F.col("gene_idx").alias("gb"), F.col("primer_id").alias("ib"), ends("fwd").alias("o2"), ends("rev").alias("o3"), *own("wb"))
+    lower = [F.least("wa", "wb").alias("own")] if own("wa") else []
+    return a.join(b, "pool").where("ga < gb").select("pool", F.least("ia", "ib").alias("id_lo"), F.greatest("ia", "ib").alias("id_hi"), "o0", "o1", "o2", "o3", *lower)
 
 
-def lowest_energies(oligos: list[pd.Series], energies) -> np.ndarray:
-    """For each row of several columns of oligos the lowest energy of each with itself and of each two; what is the same two in many rows is worked out once."""
+def lowest_energies(oligos: list[pd.Series], energies, twos: list[tuple[int, int]], so_far: np.ndarray | None = None) -> np.ndarray:
+    """For each row of several columns of oligos the lowest energy of the named two columns, and of what is known so far; what is the same two in many rows is worked out once."""
     number, names = pd.factorize(pd.concat(oligos, ignore_index=True))
     number = number.reshape(len(oligos), -1)
-    two = np.stack([np.minimum(number[i], number[j]) * len(names) + np.maximum(number[i], number[j]) for i in range(len(oligos)) for j in range(i, len(oligos))])
-    distinct, of = np.unique(two, return_inverse=True)
-    found = np.asarray(energies([names[k] for k in distinct // len(names)], [names[k] for k in distinct % len(names)]), float)
-    return found[of.reshape(two.shape)].min(0)
+    best = np.full(number.shape[1], np.inf) if so_far is None else np.asarray(so_far, float)
+    for i, j in twos:
+        two = np.minimum(number[i], number[j]) * len(names) + np.maximum(number[i], number[j])
+        distinct, of = np.unique(two, return_inverse=True)
+        pair = [names.take(k).tolist() for k in (distinct // len(names), distinct % len(names))]
+        if getattr(energies, "bounded", False) and np.isfinite(best).all():
+            # the highest of its rows' bounds
+            below = np.full(len(distinct), -np.inf)
+            np.maximum.at(below, of, best)
+            found = energies(*pair, below)
+        else:
+            found = energies(*pair)
+        best = np.minimum(best, np.asarray(found, float)[of])
+    return best
 
 
 def _parts(spark: SparkSession) -> int:
@@ -157,17 +179,26 @@ def _parts(spark: SparkSession) -> int:
 def dimer_scores(candidates: DataFrame, energies=dimer_energies, pool: str | None = None, tail: int = OLIGO) -> DataFrame:
     """(id_lo, id_hi, delta_g), led by the pool where there are some: the lowest energy over all bindings.
 
-    energies: of two lists of oligos, the same in either order.  Pairs are scored where the
-    join makes them, a batch at a time, each distinct two oligos of a batch once.
+    energies: of two lists of oligos, the same in either order.  A candidate's oligos are
+    scored with themselves and with each other first.  Pairs are scored where the join makes
+    them, a batch at a time, each distinct two oligos of a batch once; energies that take
+    bounds are only asked for what is lower than a pair's lowest one so far.
     """
 
     @F.pandas_udf("double")
-    def score(o0: pd.Series, o1: pd.Series, o2: pd.Series, o3: pd.Series) -> pd.Series:
-        return pd.Series(lowest_energies([o0, o1, o2, o3], energies) if len(o0) else np.zeros(0))
+    def alone(o0: pd.Series, o1: pd.Series) -> pd.Series:
+        return pd.Series(lowest_energies([o0, o1], energies, [(0, 0), (0, 1), (1, 1)]) if len(o0) else np.zeros(0))
 
-    # a number of parts of its own: by their bytes, which are few, so much work would be dealt out to a task or two
-    dealt = candidate_pairs(candidates, pool, tail).repartition(_parts(candidates.sparkSession), "pool", "id_lo")
-    scored = dealt.select("pool", "id_lo", "id_hi", score("o0", "o1", "o2", "o3").alias("delta_g"))
+    @F.pandas_udf("double")
+    def score(o0: pd.Series, o1: pd.Series, o2: pd.Series, o3: pd.Series, own: pd.Series) -> pd.Series:
+        return pd.Series(lowest_energies([o0, o1, o2, o3], energies, [(0, 2), (0, 3), (1, 2), (1, 3)], own.to_numpy()) if len(o0) else np.zeros(0))
+
+    # numbers of parts of their own: by their bytes, which are few, so much work would be dealt out to a task or two
+    parts, ends = _parts(candidates.sparkSession), lambda c: F.expr(f"right({c}, {min(tail, OLIGO)})")
+    own = candidates.select(*([pool] if pool else []), "gene_idx", "primer_id", "fwd", "rev").repartition(parts, "primer_id")
+    own = stored(own.withColumn("own", alone(ends("fwd"), ends("rev"))), "own-energies")
+    dealt = candidate_pairs(own, pool, tail).repartition(parts, "pool", "id_lo")
+    scored = dealt.select("pool", "id_lo", "id_hi", score("o0", "o1", "o2", "o3", "own").alias("delta_g"))
     return scored.withColumnRenamed("pool", pool) if pool else scored.drop("pool")
 
 
@@ -180,6 +211,8 @@ def pool_score(chosen: DataFrame, scores: DataFrame) -> DataFrame:
 
 #: Chains that go in step in one task, and candidates of a pool, at most: a task holds a matrix of their scores.
 CHAINS, POOL = 200, 8192
+#: Pools whose chains go in step, scores that they have together, at most; candidates that are dealt to a task's call together, about.
+IN_STEP, SCORES, DEALT = 16, 1 << 24, 1600
 #: What scores are multiples of while chains compare them, so that sums don't depend on their order.
 UNIT = 1000
 
@@ -190,71 +223,111 @@ def draws(seed: int, chain: int, genes: int, cycles: int) -> tuple[np.ndarray, n
     return rng.random(genes), rng.random((cycles, 4))
 
 
+@functools.lru_cache(maxsize=2)
+def _all_draws(seed: int, chains: tuple[int, ...], genes: int, cycles: int) -> tuple[np.ndarray, np.ndarray]:
+    """draws() of many chains: (gene, chain), and (step, what, chain); the same for every pool."""
+    began, steps = zip(*[draws(seed, c, genes, cycles) for c in chains])
+    return np.stack(began, 1), np.ascontiguousarray(np.stack(steps).transpose(1, 2, 0))
+
+
 def anneal(genes: list[np.ndarray], scores: np.ndarray, fixed: int, cycles: int, temperature: float, beta: float, seed: int, chains: list[int]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Chains in step: (rank, average, minimum, candidates by gene) of the best set that each one proposed.
 
     genes: their candidates' numbers; scores: a symmetric matrix of whole numbers of UNIT-ths.
+    """
+    return anneal_pools([(genes, scores)], fixed, cycles, temperature, beta, seed, chains)[0]
+
+
+def anneal_pools(pools: list[tuple[list[np.ndarray], np.ndarray]], fixed: int, cycles: int, temperature: float, beta: float, seed: int, chains: list[int]) -> list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """anneal() of several pools of as many genes, whose chains all go in step; each pool's chains draw the same numbers.
+
     Four of five steps replace the changeable pair with the lowest row sum, the others any;
     a set is kept if its energy, minus the average score, falls, else by chance.  A step
     changes one row and one column of a set's scores, and so the row sums by their
     difference; the minimum is only looked up for sets whose average could be the best.
     """
-    count, n = len(chains), len(genes)
+    count, n, many = len(chains), len(pools[0][0]), len(pools)
     pairs = max(1, n * (n - 1) // 2)
-    began, steps = zip(*[draws(seed, c, n, cycles) for c in chains])
-    steps = np.stack(steps)
-    sizes = np.array([len(g) for g in genes])
-    table = np.zeros((n, sizes.max()), np.int64)
-    for k, g in enumerate(genes):
-        table[k, : len(g)] = g
-    own, row = np.arange(n), np.arange(count)
-    chosen = table[own, (np.stack(began) * sizes).astype(int)]
-    between = scores[chosen[:, :, None], chosen[:, None, :]].astype(np.int64)
-    between[:, own, own] = 0
-    sums = between.sum(2)
-    total = sums.sum(1) // 2
-
-    def lowest(sets: np.ndarray) -> np.ndarray:
-        values = scores[sets[:, :, None], sets[:, None, :]].astype(np.int64)
-        values[:, own, own] = values.max(initial=0) if n < 2 else np.iinfo(np.int64).max
-        return values.min((1, 2))
-
-    best_total, best_low, best = total.copy(), lowest(chosen), chosen.copy()
+    began, steps = _all_draws(seed, tuple(chains), n, cycles)
+    sizes = np.array([[len(g) for g in genes] for genes, _ in pools])
+    widest = sizes.max()
+    table = np.zeros((many, n, widest), np.int64)
+    for p, (genes, _) in enumerate(pools):
+        for k, g in enumerate(genes):
+            table[p, k, : len(g)] = g
+    # a column for each chain of each pool; where its pool's genes, their sizes and its scores begin, and how long a row of scores is
+    flat = np.concatenate([s.ravel() for _, s in pools])
+    pool, row = np.repeat(np.arange(many), count), np.arange(many * count)
+    wide = np.array([len(s) for _, s in pools])
+    begin, wide = (np.cumsum(wide**2) - wide**2)[pool], wide[pool]
+    sizes, table, place = sizes.ravel(), table.ravel(), pool * n
+    own, none = np.arange(n)[:, None], np.iinfo(np.int64).max
+    at = place + own
+    chosen = table[at * widest + (np.tile(began, many) * sizes[at]).astype(int)]
+
+    def between(sets: np.ndarray, of: np.ndarray) -> np.ndarray:
+        """(gene, gene, set): scores of sets that are columns of the chains `of`."""
+        return flat[begin[of] + sets[:, None] * wide[of] + sets[None]].astype(np.int64)
+
+    def lowest(sets: np.ndarray, of: np.ndarray) -> np.ndarray:
+        values = between(sets, of)
+        values[np.arange(n), np.arange(n)] = values.max(initial=0) if n < 2 else none
+        return values.min((0, 1))
+
+    first = between(chosen, row)
+    first[np.arange(n), np.arange(n)] = 0
+    sums = first.sum(0)
+    total = sums.sum(0) // 2
+    best_total, best_low, best = total.copy(), lowest(chosen, row), chosen.copy()
     rank = lambda sum_, low: sum_ / pairs + low
     best_rank = rank(best_total, best_low)
     for turn in range(cycles if n > max(1, fixed) else 0):
-        any_, which, with_, stay = steps[:, turn].T
-        k = np.where(any_ >= 0.2, fixed + np.argmin(sums[:, fixed:], axis=1), fixed + (which * (n - fixed)).astype(int))
-        new = table[k, (with_ * sizes[k]).astype(int)]
-        old = chosen[row, k]
-        line = scores[new[:, None], chosen].astype(np.int64)
-        line[row, k] = 0
-        change = line.sum(1) - sums[row, k]
+        any_, which, with_, stay = np.tile(steps[turn], many)
+        k = np.where(any_ >= 0.2, fixed + np.argmin(sums[fixed:], axis=0), fixed + (which * (n - fixed)).astype(int))
+        new = table[(place + k) * widest + (with_ * sizes[place + k]).astype(int)]
+        old, was = chosen[k, row], sums[k, row]
+        line = flat.take(begin + new * wide + chosen).astype(np.int64)
+        # a proposed set's minimum is at most that of its new row
+        line[k, row] = none
+        line_low = line.min(0)
+        line[k, row] = 0
+        now = line.sum(0)
+        change = now - was
         rise = -change / pairs / UNIT
         taken = change > 0
         if temperature > 0:
             taken |= np.exp(-np.maximum(rise, 0) / temperature) > stay
-        # a proposed set's minimum is at most that of its new row
-        line_low = np.where(own == k[:, None], np.iinfo(np.int64).max, line).min(1)
         hope = np.flatnonzero(rank(total + change, line_low) > best_rank)
         if len(hope):
-            sets = chosen[hope]
-            sets[np.arange(len(hope)), k[hope]] = new[hope]
-            low = lowest(sets)
+            sets = chosen[:, hope]
+            sets[k[hope], np.arange(len(hope))] = new[hope]
+            low = lowest(sets, hope)
             found = rank(total[hope] + change[hope], low)
             better = found > best_rank[hope]
             at = hope[better]
-            best[at], best_rank[at], best_low[at], best_total[at] = sets[better], found[better], low[better], total[at] + change[at]
-        t = np.flatnonzero(taken)
-        before = scores[old[t][:, None], chosen[t]].astype(np.int64)
-        before[np.arange(len(t)), k[t]] = 0
-        sums[t] += line[t] - before
-        sums[t, k[t]] = line[t].sum(1)
-        total[t] += change[t]
-        chosen[t, k[t]] = new[t]
+            best[:, at], best_rank[at], best_low[at], best_total[at] = sets[:, better], found[better], low[better], total[at] + change[at]
+        line -= flat.take(begin + old * wide + chosen)
+        line[k, row] = change
+        sums += line * taken
+        total += change * taken
+        chosen[k, row] = np.where(taken, new, old)
         if (turn + 1) % 100 == 0:
             temperature *= beta
-    return best_rank / UNIT, best_total / pairs / UNIT, best_low / UNIT, best
+    out = best_rank / UNIT, best_total / pairs / UNIT, best_low / UNIT, best.T
+    return [tuple(values[p * count : (p + 1) * count] for values in out) for p in range(many)]
+
+
+def _scored(own: pd.DataFrame, known: pd.DataFrame) -> tuple[np.ndarray, list[np.ndarray], np.ndarray]:
+    """A pool's candidates in order, their numbers by gene, and the matrix of their scores."""
+    own = own.sort_values(["gene_idx", "primer_id"], kind="stable").reset_index(drop=True)
+    number = pd.Series(own.index, own["primer_id"])
+    number = number[~number.index.duplicated()]
+    a, b = number.reindex(known["id_lo"]).to_numpy(), number.reindex(known["id_hi"]).to_numpy()
+    both = ~(np.isnan(a) | np.isnan(b))
+    matrix = np.zeros((len(own), len(own)), np.int32)
+    a, b = a[both].astype(int), b[both].astype(int)
+    matrix[a, b] = matrix[b, a] = np.rint(known["delta_g"].to_numpy()[both] * UNIT)
+    return own["primer_id"].to_numpy(), [part.index.to_numpy() for _, part in own.groupby("gene_idx")], matrix
 
 
 def anneal_chains(
@@ -264,40 +337,44 @@ def anneal_chains(
     """The best sets of independent chains: (chain, rank_score, avg_score, min_score, primers), top of them; of each pool, which leads the columns, where candidates are pooled.
 
     A pool is a panel: some hundred pairs for each of its genes, whose scores a task holds
-    (at most POOL pairs, else a ValueError).  Pools are any number.  Without scores, those of
-    all pairs of a pool are worked out first, each distinct two oligos once.
+    (at most POOL pairs, else a ValueError).  Pools are any number; small ones are dealt
+    several to a call, which takes their chains in step.  Without scores, those of all pairs
+    of a pool are worked out first, each distinct two oligos once.
     """
     pool_ = F.col(f"`{pool}`") if pool else F.lit(0)
     if scores is None:
         scores = stored(dimer_scores(candidates, energies, pool), "dimers")
-    blocks = max(1, -(-chains // CHAINS))
-    block = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block")
-    left = candidates.select(pool_.alias("pool"), block, "gene_idx", "primer_id")
-    right = scores.select((F.col(f"`{pool}`") if pool else F.lit(0)).alias("pool"), block, "id_lo", "id_hi", "delta_g")
+    blocks, bundles = max(1, -(-chains // CHAINS)), max(1, -(-candidates.count() // DEALT)) if pool else 1
+    block, bundle = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"), F.pmod(F.xxhash64(pool_), F.lit(bundles)).alias("bundle")
+    left = candidates.select(pool_.alias("pool"), bundle, block, "gene_idx", "primer_id")
+    right = scores.select(pool_.alias("pool"), bundle, block, "id_lo", "id_hi", "delta_g")
     kind = left.schema["pool"].dataType.simpleString()
 
-    def run(key: tuple, own: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
-        columns = ["pool", "chain", "rank_score", "avg_score", "min_score", "primers"]
+    def run(key: tuple, own: pd.DataFrame, known: pd.DataFrame) -> Iterator[pd.DataFrame]:
         mine = list(range(key[1] * CHAINS, min(chains, (key[1] + 1) * CHAINS)))
         if not len(own) or not mine:
-            return pd.DataFrame(columns=columns)
-        if len(own) > POOL:
-            raise ValueError(f"a pool has {len(own)} candidates, more than {POOL}")
-        own = own.sort_values(["gene_idx", "primer_id"], kind="stable").reset_index(drop=True)
-        number = pd.Series(own.index, own["primer_id"])
-        number = number[~number.index.duplicated()]
-        a, b = number.reindex(known["id_lo"]).to_numpy(), number.reindex(known["id_hi"]).to_numpy()
-        both = ~(np.isnan(a) | np.isnan(b))
-        matrix = np.zeros((len(own), len(own)), np.int32)
-        a, b = a[both].astype(int), b[both].astype(int)
-        matrix[a, b] = matrix[b, a] = np.rint(known["delta_g"].to_numpy()[both] * UNIT)
-        genes = [part.index.to_numpy() for _, part in own.groupby("gene_idx")]
-        rank, avg, low, best = anneal(genes, matrix, fixed, cycles, temperature, beta, seed, mine)
-        return pd.DataFrame({"pool": [key[0]] * len(mine), "chain": mine, "rank_score": rank, "avg_score": avg, "min_score": low, "primers": own["primer_id"].to_numpy()[best].tolist()}, columns=columns)
+            yield pd.DataFrame(columns=["pool", "chain", "rank_score", "avg_score", "min_score", "primers"])
+            return
+        held, said = [], known.groupby("pool").indices
+
+        def done() -> Iterator[pd.DataFrame]:
+            found = anneal_pools([(genes, matrix) for _, _, genes, matrix in held], fixed, cycles, temperature, beta, seed, mine)
+            for (name, ids, _, _), (rank, avg, low, best) in zip(held, found):
+                yield pd.DataFrame({"pool": [name] * len(mine), "chain": mine, "rank_score": rank, "avg_score": avg, "min_score": low, "primers": ids[best].tolist()})
+            held.clear()
+
+        for name, part in own.groupby("pool", dropna=False):
+            if len(part) > POOL:
+                raise ValueError(f"a pool has {len(part)} candidates, more than {POOL}")
+            ids, genes, matrix = _scored(part, known.iloc[said.get(name, [])])
+            if held and (len(held) == IN_STEP or len(held[0][2]) != len(genes) or sum(m.size for *_, m in held) + matrix.size > SCORES):
+                yield from done()
+            held.append((name, ids, genes, matrix))
+        yield from done()
 
     parts = _parts(candidates.sparkSession)
-    left, right = (rows.repartition(parts, "pool", "block") for rows in (left, right))
-    done = left.groupBy("pool", "block").cogroup(right.groupBy("pool", "block")).applyInPandas(run, f"pool {kind}, chain int, rank_score double, avg_score double, min_score double, primers array<string>")
+    left, right = (rows.repartition(parts, "bundle", "block") for rows in (left, right))
+    done = left.groupBy("bundle", "block").cogroup(right.groupBy("bundle", "block")).applyInPandas(lambda key, a, b: pd.concat(list(run(key, a, b)), ignore_index=True), f"pool {kind}, chain int, rank_score double, avg_score double, min_score double, primers array<string>")
     place = F.row_number().over(W.partitionBy("pool").orderBy(F.desc("rank_score"), "chain"))
     out = done.withColumn("place", place).where(F.col("place") <= top).drop("place")
     return out.withColumnRenamed("pool", pool) if pool else out.drop("pool").orderBy(F.desc("rank_score"), "chain")

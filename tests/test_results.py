@@ -442,3 +442,39 @@ def test_primer_pools(spark):
     assert primers.parse_boulder("PRIMER_LEFT_0_SEQUENCE=AC\nPRIMER_RIGHT_0_SEQUENCE=GT\nPRIMER_LEFT_0_TM=60.5\nPRIMER_PAIR_0_PRODUCT_SIZE=420\n=\n") == [(0, "AC", "GT", 60.5, None, 420)]
     with pytest.raises(FileNotFoundError):
         primers.design(spark.createDataFrame([(0, "a", "ACGT")], "gene_idx int, name string, seq string"), "no-such-tool")
+
+
+def test_bounded_energies_and_pools_in_step():
+    rng = random.Random(8)
+    dna = lambda n: "".join(rng.choice("ACGT" if n % 2 else "ACGTGC") for _ in range(n))
+    for n, m in ((20, 20), (3, 18), (31, 12), (60, 60)):
+        xs, ys = [dna(n) for _ in range(150)], [dna(m) for _ in range(150)]
+        exact, below = duplex.energies(xs, ys), np.array([rng.choice((0, -1500, -3000, -5000)) for _ in xs])
+        got, low = duplex.energies(xs, ys, below=below), exact < below
+        assert (got[low] == exact[low]).all() and (got[~low] >= below[~low]).all() and low.any()
+
+    some = np.random.default_rng(4)
+    pools = []
+    for _ in range(5):
+        sizes = some.integers(1, 7, 4)
+        scores = -some.integers(0, 6000, (sizes.sum(), sizes.sum())).astype(np.int32)
+        pools.append((np.split(np.arange(sizes.sum()), np.cumsum(sizes)[:-1]), np.minimum(scores, scores.T)))
+    for (genes, scores), got in zip(pools, primers.anneal_pools(pools, 1, 250, 2.0, 0.9, 3, [0, 2, 7])):
+        assert all((a == b).all() for a, b in zip(got, primers.anneal(genes, scores, 1, 250, 2.0, 0.9, 3, [0, 2, 7])))
+
+
+def test_oligos_are_scored_once_alone(spark, tmp_path):
+    """A pair asks for its four energies across; those of a candidate alone aren't asked for again in each of its pairs."""
+    pool = spark.range(60).selectExpr("CAST(id div 20 AS STRING) AS pool", "CAST(id % 4 AS INT) AS gene_idx", "concat('p', id) AS primer_id", *[f"substr(translate(md5(concat('{k}', id)), '0123456789abcdef', 'ACGTACGTACGTACGT'), 1, 20) AS {k}" for k in ("fwd", "rev")])
+    folder = str(tmp_path)
+
+    def energies(xs, ys):
+        import tempfile
+
+        with tempfile.NamedTemporaryFile("w", dir=folder, suffix=".asked", delete=False) as f:
+            f.write(str(len(xs)))
+        return primers.equal_places(xs, ys)
+
+    pairs = primers.dimer_scores(pool, energies, "pool").collect()
+    asked = sum(int(f.read_text()) for f in tmp_path.glob("*.asked"))
+    assert len(pairs) == 3 * 150 and 4 * len(pairs) <= asked <= 4 * len(pairs) + 3 * 60
