@@ -18,7 +18,7 @@ from tessera.plans import reports, results, run, surrogate
 from tessera.plans.queries import RUN_ID, query, r9
 from tessera.plans.surrogate import PANEL, PARAMS, TARGETS, Steps
 from tessera.sources import fastq, tables, validate
-from tessera.storage import fresh_path, write_text
+from tessera.storage import fresh_path, release, write_text
 
 #: What the SQL parts of queries state, as parameters of a run.
 RUN_PARAMS = replace(PARAMS, targets=replace(PARAMS.targets, background_alpha=0.5))
@@ -48,7 +48,9 @@ def _file_run(spark: SparkSession, sf_dir: str) -> run.Results:
         panel = fresh_path(spark, "panel") + ".csv"
         write_text(spark, panel, _panel_text())
         pairs = fastq.read_pairs(spark, at["r1"], at["r2"])
-        return run.run(pairs, tables.read_panel(spark, panel), tables.read_classified(spark, at["labels"]), tables.read_taxa(spark, at["report"]), RUN_PARAMS)
+        done = run.run(pairs, tables.read_panel(spark, panel), tables.read_classified(spark, at["labels"]), tables.read_taxa(spark, at["report"]), RUN_PARAMS)
+        release(pairs)
+        return done
 
     return _once(spark, sf_dir, "file-run", make)
 

@@ -14,7 +14,7 @@ from tessera.functions.seq import RANKS
 from tessera.operators import barcodes, cells, sequences, variants
 from tessera.params import Cells, Params, Variants
 from tessera.sources import fastq
-from tessera.storage import fresh_path, stored, write_text
+from tessera.storage import forget_shuffles, fresh_path, release, stored, write_text
 
 PANEL = [
     (0, "16s", "CCTACGGGAGGCAGCAGT", "GGACTACCAGGGTATCTAAT", ""),
@@ -172,11 +172,13 @@ def files(spark: SparkSession, sf_dir: str) -> dict[str, str]:
         folder = fresh_path(spark, "surrogate")
         paths = {k: f"{folder}/{k}" for k in ("r1", "r2", "labels", "report")}
         # one order for both mates, kept over any number of files
-        own = stored(reads(spark, sf_dir).select("read_index", "read_id", "strain", "fq1", "q1", "fq2", "q2").orderBy("read_index"), "ordered")
-        own = own.orderBy("read_index")
+        own = stored(reads(spark, sf_dir).select("read_index", "read_id", "strain", "fq1", "q1", "fq2", "q2").orderBy("read_index"), "ordered", "zstd")
+        table, own = own, own.orderBy("read_index")
         for mate in "12":
-            fastq.write_fastq(own, paths[f"r{mate}"], F.concat(F.lit("@"), "read_id", F.lit(f" {mate}")), F.col(f"fq{mate}"), F.col(f"q{mate}"), compression="gzip" if mate == "2" else "none")
+            fastq.write_fastq(own, paths[f"r{mate}"], F.concat(F.lit("@"), "read_id", F.lit(f" {mate}")), F.col(f"fq{mate}"), F.col(f"q{mate}"), compression="gzip")
         own.select(F.concat_ws("\t", F.lit("C"), "read_id", F.expr(LABEL), F.lit("0"), F.lit("A:0")).alias("value")).write.text(paths["labels"])
         write_text(spark, paths["report"], report())
+        release(table)
+        forget_shuffles(spark)
         _kept[key] = paths
     return _kept[key]

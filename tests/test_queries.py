@@ -76,3 +76,18 @@ def test_legacy_export_without_cells_or_calls(spark, tmp_path, kept):
     spark.read.parquet(f"{SF}/events.parquet").where(kept).write.parquet(str(tmp_path / "events.parquet"))
     rows = queries.QUERIES["q78_legacy_export"](spark, str(tmp_path)).collect()
     assert bool(rows) == ("view" in kept) and all(r.targets == r.phases == "" for r in rows)
+
+
+@pytest.mark.parametrize("name", ["q66_run_cells", "q67_run_asvs"])
+def test_run_from_files_leaves_no_tables_of_reads(spark, tmp_path, name):
+    from tessera.plans import surrogate
+    from tessera.storage import shared_folder
+
+    spark.read.parquet(f"{SF}/events.parquet").write.parquet(str(tmp_path / "events.parquet"))
+    there = lambda: set(os.listdir(shared_folder(spark).removeprefix("file://") + "/tessera"))
+    surrogate.kept(spark, str(tmp_path), "none", lambda: spark.range(1))
+    before = there()
+    rows = queries.QUERIES[name](spark, str(tmp_path))
+    left = {n.rsplit("-", 1)[0] for n in there() - before}
+    assert not left & {"ordered", "bgzf", "placed", "genes", "packets", "clustered", "cores"} and "surrogate" in left
+    assert sorted(map(tuple, rows.collect()), key=str) == sorted(map(tuple, queries.QUERIES[name](spark, SF).collect()), key=str)
