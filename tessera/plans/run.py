@@ -64,9 +64,12 @@ def _run(keep: Callable[[DataFrame], DataFrame], pairs: DataFrame, panel: DataFr
     genes = stored(demux.packets(passed, rows, params.matching, params.read_qc.barcode_length), "genes", "zstd")
     release(passed)
     own = genes.join(F.broadcast(panel.select("panel_index", "target")), "panel_index", "left")
-    own = demux.classify(own, labels, taxa).select("read_index", "read_id", "barcode", "gene_class", "panel_index", "target", "path", "r1_primer_start", "r1_seq", "r2_seq")
+    # labels are asked for 16S reads alone: the others don't go through the join's shuffle
+    is16, columns = F.col("gene_class") == "16s", ["read_index", "read_id", "barcode", "gene_class", "panel_index", "target", "path", "r1_primer_start", "r1_seq", "r2_seq"]
+    own = demux.classify(own.where(is16), labels, taxa).select(*columns).union(own.where(~is16).withColumn("path", F.lit(None).cast(demux.EMPTY_PATH)).select(*columns))
     packets = stored(own, "packets", "zstd")
     release(genes)
+    forget_shuffles(spark)
     clustered = stored(barcodes.with_cells(packets, params.cells.barcode_shift), "clustered", "zstd")
     # what the record counts of all packets
     kinds = stored(packets.select("gene_class", "r1_primer_start"), "kinds", "zstd")

@@ -11,10 +11,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.functions.seq import RANKS
-from tessera.operators import barcodes, cells, sequences, variants
+from tessera.operators import barcodes, cells, order, sequences, variants
 from tessera.params import Cells, Params, Variants
 from tessera.sources import fastq
-from tessera.storage import forget_shuffles, fresh_path, release, stored, write_text
+from tessera.storage import forget_shuffles, fresh_path, scratch, stored, write_text
 
 PANEL = [
     (0, "16s", "CCTACGGGAGGCAGCAGT", "GGACTACCAGGGTATCTAAT", ""),
@@ -61,7 +61,12 @@ PARAMS = Params(cells=Cells(min_cells_per_taxon=2), variants=Variants(final_min_
 
 
 def reads(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.sql(READS.replace("FROM events", "FROM {events}"), events=spark.read.parquet(f"{sf_dir}/events.parquet"))
+    return reads_of(spark.read.parquet(f"{sf_dir}/events.parquet"))
+
+
+def reads_of(events: DataFrame) -> DataFrame:
+    """A read for each event, in the events' order."""
+    return events.sparkSession.sql(READS.replace("FROM events", "FROM {events}"), events=events)
 
 
 def panel(spark: SparkSession) -> DataFrame:
@@ -165,20 +170,36 @@ def report() -> str:
     return "".join(f"1.0\t1\t1\t{code}\t{taxid}\t  {name}\n" for code, taxid, name in lines)
 
 
+#: Records of a read file, at most; with fewer in all, there is a file for each core.
+FILE_RECORDS = 500_000
+
+
+def _in_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events in order, a partition for each read file.
+
+    What reads are made from is narrow, so events are sorted and reads made behind the sort.
+    Places deal events out, so that both mates' files hold the same records.
+    """
+    events = spark.read.parquet(f"{sf_dir}/events.parquet").select("event_id", "user_id", "event_type")
+    count = events.count()
+    n = max(spark.sparkContext.defaultParallelism, -(-count // FILE_RECORDS))
+    # these three are all that reads follow from, so that ties are equal
+    placed = order.numbered(events, events.columns, "place")
+    return placed.repartitionById(n, F.expr(f"CAST((place - 1) DIV {max(1, -(-count // n))} AS INT)")).sortWithinPartitions("place")
+
+
 def files(spark: SparkSession, sf_dir: str) -> dict[str, str]:
     """The surrogate as a run's input files: reads, the classifier's labels and its report; paths by what they are."""
     key = (spark.sparkContext.applicationId, sf_dir, "files")
     if key not in _kept:
         folder = fresh_path(spark, "surrogate")
         paths = {k: f"{folder}/{k}" for k in ("r1", "r2", "labels", "report")}
-        # one order for both mates, kept over any number of files
-        own = stored(reads(spark, sf_dir).select("read_index", "read_id", "strain", "fq1", "q1", "fq2", "q2").orderBy("read_index"), "ordered", "zstd")
-        table, own = own, own.orderBy("read_index")
-        for mate in "12":
-            fastq.write_fastq(own, paths[f"r{mate}"], F.concat(F.lit("@"), "read_id", F.lit(f" {mate}")), F.col(f"fq{mate}"), F.col(f"q{mate}"), compression="gzip")
-        own.select(F.concat_ws("\t", F.lit("C"), "read_id", F.expr(LABEL), F.lit("0"), F.lit("A:0")).alias("value")).write.text(paths["labels"])
+        with scratch():
+            own = reads_of(_in_files(spark, sf_dir))
+            for mate in "12":
+                fastq.write_fastq(own, paths[f"r{mate}"], F.concat(F.lit("@"), "read_id", F.lit(f" {mate}")), F.col(f"fq{mate}"), F.col(f"q{mate}"), compression="gzip")
+            own.select(F.concat_ws("\t", F.lit("C"), "read_id", F.expr(LABEL), F.lit("0"), F.lit("A:0")).alias("value")).write.option("compression", "gzip").text(paths["labels"])
         write_text(spark, paths["report"], report())
-        release(table)
         forget_shuffles(spark)
         _kept[key] = paths
     return _kept[key]

@@ -3,7 +3,8 @@
 1. Files are cut into byte ranges, and each is gone through once: how many lines end in it,
    and where some of its lines begin (marks).  A range of a BGZF file begins at the first
    block in it; other gzip can't be entered in the middle, so that a file is one range,
-   which is written anew as BGZF on the way.
+   which is written anew as BGZF on the way.  Where files of both mates are no longer than
+   a range and pairwise hold the same records, splits are whole files, and none is written.
 2. The ranges' counts, summed up, number the lines, and so the records.
 3. A split is the records between two marks of the first mate; the second is entered at its
    last mark before them.  Each task reads its two ranges together: no record is shuffled,
@@ -183,12 +184,22 @@ def _rewritten(path: str, folder: str, marks: Marks) -> str:
     return f"{folder}/{name}"
 
 
-def _gone_through(path: str, begin: int, end: int, size: int, folder: str, each: int) -> tuple[str, Marks]:
-    """A range's marks, and the file that they are in; a range that isn't the first of a plain gzip file has none."""
+def _gone_through(path: str, begin: int, end: int, size: int, folder: str | None, each: int) -> tuple[str, Marks]:
+    """A range's marks, and the file that they are in.
+
+    A range that isn't the first of a plain gzip file has none.  Without a folder such a file
+    stays as it is, and its lines are counted alone.
+    """
     marks = Marks(each)
     zipped = path.endswith(GZIPPED)
     with opened(path) as f:
         blocked = zipped and block_size(f.read(256)) > 0
+        if zipped and not blocked and folder is None:
+            f.seek(0)
+            for text in unzipped(f) if begin == 0 else ():
+                marks.add(text, 0, True)
+            marks.marks.clear()
+            return path, marks
         if zipped and not blocked:
             return (_rewritten(path, folder, marks) if begin == 0 and size else path), marks
         start = first_block(f, begin, size) if blocked else begin
@@ -199,7 +210,7 @@ def _gone_through(path: str, begin: int, end: int, size: int, folder: str, each:
     return path, marks
 
 
-def _ranges(folder: str, each: int):
+def _ranges(folder: str | None, each: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for r in batch.to_pylist():
@@ -216,7 +227,7 @@ FOUND_ARROW = pa.schema([
     ("marks", pa.list_(pa.struct([("line", pa.int64()), ("offset", pa.int64()), ("within", pa.int32())])))])
 
 
-def index(spark: SparkSession, files: list[list[tuple[str, int]]], folder: str, range_bytes: int, each: int) -> list[list[dict]]:
+def index(spark: SparkSession, files: list[list[tuple[str, int]]], folder: str | None, range_bytes: int, each: int) -> list[list[dict]]:
     """Each mate's files in order, with their numbers of lines and marks: (line, offset, within), lines counted over all files of the mate."""
     total = sum(size for mate in files for _, size in mate)
     step = max(range_bytes, -(-total // RANGES))
@@ -243,6 +254,16 @@ def index(spark: SparkSession, files: list[list[tuple[str, int]]], folder: str,
     return out
 
 
+def pieces(f: pa.NativeFile, offset: int, zipped: bool) -> Iterator[tuple[int, bytes]]:
+    """(offset, text) of a file from a place on; gzip that isn't BGZF has no places but its beginning."""
+    if not zipped:
+        return plain(f, offset)
+    if block_size(f.read(256)):
+        return blocks(f, offset)
+    f.seek(0)
+    return ((0, text) for text in unzipped(f))
+
+
 def _entered(files: list[dict], low: int, high: int) -> list[tuple[str, int, int, int]]:
     """(path, offset, within, lines to skip) of the files that hold lines low to high - 1."""
     out = []
@@ -279,9 +300,8 @@ class Lines:
     def _texts(self) -> Iterator[list[bytes]]:
         for path, offset, within, skip in self.places:
             with opened(path) as f:
-                zipped = path.endswith(GZIPPED)
                 rest = b""
-                for _, text in blocks(f, offset) if zipped else plain(f, offset):
+                for _, text in pieces(f, offset, path.endswith(GZIPPED)):
                     lines = (rest + text[within:]).split(b"\n")
                     rest, within = lines.pop(), 0
                     if skip:
@@ -369,12 +389,17 @@ def paired(spark: SparkSession, r1_path: str, r2_path: str, range_bytes: int = R
     The index of ranges, which goes to the driver, has a row a range and a mark for each
     `each` lines.  Files of plain gzip are written anew as BGZF in the shared folder, where
     they stay as long as the rows are read: release() the result when it isn't needed any more.
+    Pairs of gzip files of up to range_bytes each that hold as many lines are read as they are.
     """
     files = [listed(spark, p) for p in (r1_path, r2_path)]
     if not all(map(reachable, files)):
         return None
     folder = fresh_path(spark, "bgzf")
-    mates = index(spark, files, folder, range_bytes, each)
+    short = len(files[0]) == len(files[1]) and all(path.endswith(GZIPPED) and size <= range_bytes for mate in files for path, size in mate)
+    mates = index(spark, files, None if short else folder, range_bytes, each)
+    if short and [(f["file"], f["end"]) for f in mates[0]] != [(f["file"], f["end"]) for f in mates[1]]:
+        # a split would go through what is before it in the other mate's file
+        mates = index(spark, files, folder, range_bytes, each)
     spark.dataSource.register(PairedFastq)
     rows = spark.read.format("paired_fastq").option("splits", json.dumps(splits(mates, range_bytes))).load()
     rows._stored_at = folder

@@ -1,6 +1,7 @@
 """Paired FASTQ in splits: every cut, every container, against the files' own text."""
 
 import gzip
+import os
 import random
 import struct
 import zlib
@@ -164,3 +165,20 @@ def test_blocks_that_are_written_are_read_by_gzip(tmp_path):
     line, offset, within = marks.marks[77]
     assert paired.Lines([(path, offset, within, 2)]).take(1) == text.split(b"\n")[line + 2 : line + 3]
     assert pa.array(["x"]).type == pa.string()
+
+
+def test_short_gzip_files_that_line_up_are_not_written_anew(spark, tmp_path):
+    a, b = records(90, 1), records(90, 2)
+    want = [(k, *x, *y) for k, (x, y) in enumerate(zip(a, b))]
+    for name, rows, cuts in (("1", a, (0, 30, 31, 90)), ("2", b, (0, 30, 31, 90)), ("3", b, (0, 29, 31, 90))):
+        (tmp_path / name).mkdir()
+        for k, (low, high) in enumerate(zip(cuts, cuts[1:])):
+            put(tmp_path / name / f"part{k}", rows[low:high], ("gz", "members", "bgzf")[k] if name == "1" else "gz")
+    for two, size, anew in (("2", 1 << 20, False), ("3", 1 << 20, True), ("2", 400, True)):
+        df = fastq.read_pairs(spark, str(tmp_path / "1"), str(tmp_path / two), range_bytes=size, each=5)
+        assert rows_of(df) == want and os.path.isdir(df._stored_at.removeprefix("file://")) == anew
+    assert fastq.read_pairs(spark, str(tmp_path / "1"), str(tmp_path / "2")).rdd.getNumPartitions() == 3
+    cut = tmp_path / "c.fastq.gz"
+    cut.write_bytes(gzip.compress(text_of(a).encode())[:-500])
+    with pytest.raises(Exception, match="cut off"):
+        fastq.read_pairs(spark, put(tmp_path / "d", b, "gz"), str(cut)).collect()

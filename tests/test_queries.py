@@ -91,3 +91,19 @@ def test_run_from_files_leaves_no_tables_of_reads(spark, tmp_path, name):
     left = {n.rsplit("-", 1)[0] for n in there() - before}
     assert not left & {"ordered", "bgzf", "placed", "genes", "packets", "clustered", "cores"} and "surrogate" in left
     assert sorted(map(tuple, rows.collect()), key=str) == sorted(map(tuple, queries.QUERIES[name](spark, SF).collect()), key=str)
+
+
+def test_made_read_files_line_up(spark, tmp_path, monkeypatch):
+    from tessera.plans import surrogate
+    from tessera.sources import fastq
+    from tessera.storage import listed
+
+    monkeypatch.setattr(surrogate, "FILE_RECORDS", 130)
+    spark.read.parquet(f"{SF}/events.parquet").repartition(7).write.parquet(str(tmp_path / "events.parquet"))
+    at = surrogate.files(spark, str(tmp_path))
+    lines = [[spark.read.text(path).count() for path, _ in listed(spark, at[mate])] for mate in ("r1", "r2")]
+    total = spark.read.parquet(f"{SF}/events.parquet").count()
+    assert lines[0] == lines[1] and max(lines[0]) <= 4 * 130 and sum(lines[0]) == 4 * total and len(lines[0]) == -(-total // 130)
+    pairs = fastq.read_pairs(spark, at["r1"], at["r2"])
+    ids = [r.read_id for r in pairs.orderBy("read_index").select("read_id").collect()]
+    assert ids == sorted(ids, key=lambda i: int(i[1:])) and not os.path.exists(pairs._stored_at.removeprefix("file://"))
