@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import functools
 import os
+import string
+import unicodedata
 import zlib
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
@@ -62,23 +66,40 @@ class LevelArray:
         return window_id, level
 
 
-_readers: dict[str, Callable[[str], np.ndarray]] = {}
+#: Ids of texts, one after another, and each text's length in ids.
+Reader = Callable[[pa.Array], tuple[np.ndarray, np.ndarray]]
 
+_readers: dict[str, Reader] = {}
 
-def word_ids(tokenizer_path: str) -> Callable[[str], np.ndarray]:
+
+def word_ids(tokenizer_path: str) -> Reader:
     """word_reader(), one for each worker: later tasks find the words that earlier ones met."""
     if tokenizer_path not in _readers:
         _readers[tokenizer_path] = word_reader(tokenizer_path)
     return _readers[tokenizer_path]
 
 
-def word_reader(tokenizer_path: str) -> Callable[[str], np.ndarray]:
-    """Ids of a text by the tokenizer at that path, without special tokens added.
+#: Strings of special tokens and separators that Python alone, or the tokenizer alone, takes for white space.
+ODD = "<\\||[\\x1c-\\x1f\\x{85}\\x{200b}\\x{feff}\\x{180e}]"
+#: ASCII punctuation that the splitter keeps together; an apostrophe may begin a contraction.
+MARKS = "".join(c for c in string.punctuation if c != "'")
+#: Words that are sent to the tokenizer as one text.
+TOGETHER = 1000
+
+
+@functools.lru_cache(1 << 16)
+def _ends_letters(c: str) -> bool:
+    """Whether a letter stays one when the tokenizer normalises it, so that marks beside it are on their own."""
+    return c.isascii() or len(unicodedata.normalize("NFC", c).lower()) == 1 and unicodedata.ucd_3_2_0.category(c)[0] == "L"
+
+
+def word_reader(tokenizer_path: str) -> Reader:
+    """Ids of texts by the tokenizer at that path, without special tokens added.
 
     The vocabulary's splitter never joins across white space, so that a word between white
-    space always has the same ids; known words come from a table.  Texts where that might
-    not hold (special tokens' strings, separators that Python alone takes for white space)
-    go to the tokenizer whole.
+    space always has the same ids, nor letters with the marks around them.  The distinct
+    words of the texts are looked up, once each, in a table of known words.  Texts where that
+    might not hold (ODD) go to the tokenizer whole.
     """
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
@@ -88,43 +109,86 @@ def word_reader(tokenizer_path: str) -> Callable[[str], np.ndarray]:
     ends_word = np.zeros(1 << 16, bool)
     ends_word[[i for w, i in tokenizer.get_vocab().items() if w.endswith("</w>")]] = True
     known: dict[str, bytes] = {}
-    odd = ("<|", "\x1c", "\x1d", "\x1e", "\x1f", "\x85", "​", "﻿", "᠎")
 
     def packed(texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, np.uint16).tobytes() for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def learn(words: set[str]) -> None:
+    def learn_letters(words: list[str]) -> None:
         """Words of letters alone go in together: each ends at the next id of an end-of-word entry."""
-        bare = {w: w[:-1] for w in words if len(w) > 1 and w[-1] in ",.;:!?" and w[-2].isalpha()}
-        new = {w for w in words if w not in bare}
-        new.update(w for w in bare.values() if w not in known)
-        new.update(w[-1] for w in bare if w[-1] not in known)
-        plain = [w for w in new if w.isalpha()]
-        if plain:
-            got = np.array(tokenizer.encode_batch_fast([" ".join(plain)], add_special_tokens=False)[0].ids, np.uint16)
+        for k in range(0, len(words), TOGETHER):
+            some = words[k : k + TOGETHER]
+            got = np.array(tokenizer.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0].ids, np.uint16)
             stops = np.flatnonzero(ends_word[got]) + 1
-            if len(stops) == len(plain) and stops[-1] == len(got):
+            if len(stops) == len(some) and stops[-1] == len(got):
                 whole, cuts = got.tobytes(), [0, *(2 * stops).tolist()]
-                known.update((w, whole[i:j]) for w, i, j in zip(plain, cuts, cuts[1:]))
-                new.difference_update(plain)
-        new = list(new)
-        known.update(zip(new, packed(new)))
-        for w, b in bare.items():
-            known[w] = known[b] + known[w[-1]]
-
-    def ids(text: str) -> np.ndarray:
-        if any(x in text for x in odd):
-            return np.frombuffer(packed([text])[0], np.uint16)
-        words = text.split()
-        new = set(words).difference(known)
-        if new:
-            if len(known) > KNOWN_WORDS:
-                known.clear()
-                new = set(words)
-            learn(new)
-        return np.frombuffer(b"".join(map(known.__getitem__, words)), np.uint16)
-
-    return ids
+                known.update((w, whole[i:j]) for w, i, j in zip(some, cuts, cuts[1:]))
+            else:
+                known.update(zip(some, packed(some)))
+
+    def learn(words: list[str]) -> None:
+        """Letters with marks around them are three words; ASCII letters are learnt in lower case, as the tokenizer has them."""
+        letters: set[str] = set()
+        rest: set[str] = set()
+        made: list[tuple[str, str, str, str]] = []
+        for w in words:
+            if w.isalpha():
+                low = w.lower() if w.isascii() else w
+                letters.add(low)
+                if low != w:
+                    made.append((w, "", low, ""))
+                continue
+            core = w.strip(MARKS)
+            if len(core) == len(w) or not core.isalpha() or not (plain := core.isascii()) and not (_ends_letters(core[0]) and _ends_letters(core[-1])):
+                rest.add(w)
+                continue
+            low = core.lower() if plain else core
+            lead, _, trail = w.partition(core)
+            letters.add(low)
+            rest.add(lead)
+            rest.add(trail)
+            made.append((w, lead, low, trail))
+        learn_letters([w for w in letters if w not in known])
+        others = [w for w in rest if w not in known]
+        known.update(zip(others, packed(others)))
+        known[""] = b""
+        for w, lead, low, trail in made:
+            known[w] = known[lead] + known[low] + known[trail]
+
+    def of_words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        nonlocal known
+        split = pc.utf8_split_whitespace(texts)
+        words = split.flatten().dictionary_encode()
+        distinct = words.dictionary.to_numpy(zero_copy_only=False).tolist()
+        new = [w for w in distinct if w not in known]
+        if new and len(known) > KNOWN_WORDS:
+            known = {w: known[w] for w in distinct if w in known}
+        learn(new)
+        each = [known[w] for w in distinct]
+        table, sizes = np.frombuffer(b"".join(each), np.uint16), np.fromiter(map(len, each), np.int64, len(each)) // 2
+        at = np.asarray(words.indices)
+        size = sizes[at]
+        ends = np.cumsum(size)
+        # where each word's ids begin in the table, less where they go
+        shift = (np.cumsum(sizes) - sizes)[at] - (ends - size)
+        ids = table[np.repeat(shift, size) + np.arange(ends[-1] if len(ends) else 0)]
+        ends = np.concatenate([[0], ends])
+        last = np.cumsum(np.asarray(pc.list_value_length(split)).astype(np.int64))
+        return ids, np.diff(ends[last], prepend=0)
+
+    def read(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        if texts.null_count:
+            texts = pc.fill_null(texts, "")
+        odd = pc.match_substring_regex(texts, ODD)
+        if not pc.any(odd).as_py():
+            return of_words(texts)
+        ids, n = of_words(pc.if_else(odd, pa.scalar("", texts.type), texts))
+        whole = [np.frombuffer(b, np.uint16) for b in packed(texts.filter(odd).to_pylist())]
+        parts, at = np.split(ids, np.cumsum(n)[:-1]), np.flatnonzero(np.asarray(odd))
+        for k, w in zip(at.tolist(), whole):
+            parts[k] = w
+        return np.concatenate(parts), np.array(list(map(len, parts)), np.int64)
+
+    return read
 
 
 def pack(df: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, end_id: int = END_ID) -> DataFrame:
@@ -146,8 +210,10 @@ def pack(df: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: s
         first = TaskContext.get().partitionId() << 33
         for batch in portions(batches):
             rows: list[tuple[int, ...]] = []
-            for k, text in enumerate(batch.column(1).to_pylist()):
-                ids = np.append(ids_of(text or ""), end_id).astype("<u4")
+            flat, sizes = ids_of(batch.column(1))
+            ends = np.cumsum(sizes)
+            for k, (low, high) in enumerate(zip((ends - sizes).tolist(), ends.tolist())):
+                ids = np.append(flat[low:high], end_id).astype("<u4")
                 for start in range(0, len(ids), window):
                     piece = ids[start : start + window]
                     number, offset = levels.place(len(piece))

@@ -406,6 +406,26 @@ def test_packing(spark):
     assert packing.pack(empty(spark), TOKENIZER).count() == 0
 
 
+def test_words_and_marks_have_the_tokenizers_ids(spark, monkeypatch):
+    import pyarrow as pa
+    from tokenizers import Tokenizer
+
+    r, reader = random.Random(3), Tokenizer.from_file(TOKENIZER)
+    own = lambda t: reader.encode(t or "", add_special_tokens=False).ids
+    # letters that normalise to a letter and a mark, which what follows joins
+    rows = [(1, "AL\u0130. ok"), (2, "\u0958, (\u0958) x"), (3, "***Word*** \"It's,\" don't! a.b <b> </b>")]
+    for x in packing.pack(frame(spark, rows), TOKENIZER).collect():
+        assert x.ids_crc32 == zlib.crc32(np.array([*own(dict(rows)[x.doc_id]), 1], "<u4").tobytes())
+    parts = ["a", "B", "z", "\u00c9", "\u0130", "\u0958", "\u03a3", "\u03c2", "e\u0301", "\u0338", "'", "'s", "'S", ".", "!", "<", "|", "***", "$$", "12", "\u4e2d", "\ud55c", "\u1100", "\u1161", "\u200b", "\x85", "\x1c", "\xa0", "\u3000", " ", " ", "\t", "\n", "\U0001d49c", "\u1c89", "\U0001f9ff", "-", "_"]
+    texts = ["".join(r.choice(parts) for _ in range(r.randint(0, 14))) for _ in range(4000)] + [None, "", "  a  "]
+    for most in (packing.KNOWN_WORDS, 50):
+        monkeypatch.setattr(packing, "KNOWN_WORDS", most)
+        read = packing.word_reader(TOKENIZER)
+        for low in range(0, len(texts), 900):
+            ids, n = read(pa.array(texts[low : low + 900], pa.string()))
+            assert [x.tolist() for x in np.split(ids, np.cumsum(n)[:-1])] == [own(t) for t in texts[low : low + 900]] and len(ids) == n.sum()
+
+
 def test_level_array_takes_the_smallest_sum_of_squares():
     r = random.Random(1)
     levels, counts = packing.LevelArray(50), [0] * 51
